@@ -8,10 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The white space of every contract here, as a regular expression class.
-SPACE = r"[\x20\x09-\x0D]+"
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session (spark.checkpoint.dir). Only where none is set, as in tests, a local one is made."""
     root = spark.conf.get("spark.checkpoint.dir", None)

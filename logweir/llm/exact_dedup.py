@@ -5,18 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, free_name, text_of
+from .common import free_name, stored, text_of
 
 #: Characters of the prefix that the second step hashes.
 PREFIX_CHARS = 64
 
 
+#: Survivors of the prefix step that are broadcast, at most; each is a length and a hash.
+BROADCAST_ROWS = 200_000
+
+
 def normalised(text):
-    """Runs of white space as one space."""
-    return F.regexp_replace(text, SPACE, " ")
+    """Runs of white space as one space. Only runs that change are matched, so single spaces cost nothing."""
+    return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+
+
+def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) -> DataFrame:
+    """doc_id, text_sha256, suspect for each row; without digests the hash is null unless the row is suspect, where that is cheaper."""
+    text = normalised(text_of(docs, text_col))
+    slim = docs.select(F.length(text).alias("len"), F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("prefix"))
+    lengths = slim.groupBy("len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len")
+    suspects = slim.join(lengths, "len", "left_semi").groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len", "prefix", F.lit(True).alias("suspect"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select("doc_id", "text", F.length("text").alias("len"), F.xxhash64(F.substring("text", 1, PREFIX_CHARS)).alias("prefix"))
+    suspect = F.coalesce("suspect", F.lit(False))
+    if not digests:
+        suspects = stored(suspects, "suspects")
+        if suspects.count() <= BROADCAST_ROWS:
+            return rows.join(F.broadcast(suspects), ["len", "prefix"], "left").select("doc_id", F.when(suspect, F.sha2("text", 256)).alias("text_sha256"), suspect.alias("suspect"))
+    # hashes move to the survivors, for texts would be a shuffle of the whole corpus
+    return rows.select("doc_id", "len", "prefix", F.sha2("text", 256).alias("text_sha256")).join(suspects, ["len", "prefix"], "left").select("doc_id", "text_sha256", suspect.alias("suspect"))
 
 
-def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = True) -> DataFrame:
     """One row for each document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when their normalised forms are; a null text counts as empty. The row with the smallest id of its
@@ -25,25 +45,27 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gives an empty result.
 
     Three passes, each over fewer rows: lengths that occur twice; among those, (length, prefix hash) that occur twice;
-    only rows that survive both meet their group by the full hash, which others have for themselves alone. Group sizes
-    and keepers are pre-aggregated; joins carry ids and hashes, and a hot group is a skewed join's to split.
+    only rows that survive both meet their group by the full hash, which others have for themselves alone. With digests
+    every row shows its hash, so every text is read to its end; without, text_sha256 is null for texts that are unique by
+    length or prefix, and survivors few enough to broadcast spare the rest the hash. Group sizes and keepers are
+    pre-aggregated; joins carry ids and hashes, never texts, and a hot group is a skewed join's to split.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), normalised(text_of(docs, text_col)).alias("__text")).withColumn("__len", F.length("__text"))
-    lengths = rows.groupBy("__len").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__len")
-    prefix = F.xxhash64(F.substring("__text", 1, PREFIX_CHARS))
-    suspects = rows.join(lengths, "__len", "left_semi").withColumn("__prefix", prefix).groupBy("__len", "__prefix").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__len", "__prefix", F.lit(True).alias("__suspect"))
-    full = rows.withColumn("__prefix", prefix).join(suspects, ["__len", "__prefix"], "left").select("doc_id", F.sha2("__text", 256).alias("text_sha256"), F.coalesce("__suspect", F.lit(False)).alias("__suspect"))
+    full = _full_hashes(docs, id_col, text_col, digests)
     # copies of one (id, text) become one row with a count, and are dealt out again at the end
-    ids = full.groupBy("text_sha256", "doc_id", "__suspect").agg(F.count(F.lit(1)).alias("__copies"))
-    groups = ids.filter("__suspect").groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("__copies").alias("group_size"))
-    met = ids.join(groups, "text_sha256", "left").select(
+    ids = full.groupBy("text_sha256", "doc_id", "suspect").agg(F.count(F.lit(1)).alias("copies"))
+    groups = ids.filter("suspect").groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # a unique text without a hash joins by its id, which is no hash: nulls would all meet in one task
+    keyed = ids.withColumn("key", F.coalesce("text_sha256", F.col("doc_id").cast("string"), F.lit("")))
+    met = keyed.join(groups.withColumnRenamed("text_sha256", "key"), "key", "left").select(
         "doc_id",
-        F.when(F.col("__suspect"), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        F.when(F.col("__suspect"), F.col("group_size")).otherwise(F.col("__copies")).alias("group_size"),
+        F.when(F.col("suspect"), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.when(F.col("suspect"), F.col("group_size")).otherwise(1).cast("long").alias("group_size"),
         "text_sha256",
-        "__copies",
+        "copies",
     )
-    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 1)).alias("kept"), "text_sha256")
+    dealt = met.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & ((F.col("copy") == 1) | F.col("text_sha256").isNull())
+    return dealt.select("doc_id", "keep_id", "group_size", first.alias("kept"), "text_sha256")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,10 +73,14 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of rows that repeat id and text but differ elsewhere, any one stays.
     """
-    sha, keep, many, key = (free_name(docs, c) for c in ("keep_sha", "keep_doc", "keep_many", "text_sha"))
+    sha, doc, key = (free_name(docs, c) for c in ("gone_sha", "gone_doc", "text_sha"))
     found = duplicate_groups(docs, id_col, text_col).groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
-    keepers = found.filter("kept").select(F.col("text_sha256").alias(sha), F.col("doc_id").alias(keep), (F.col("n") > 1).alias(many))
-    hashed = docs.withColumn(key, F.sha2(normalised(text_of(docs, text_col)), 256))
-    met = hashed.join(keepers, (F.col(key) == F.col(sha)) & F.col(id_col).eqNullSafe(F.col(keep)))
-    once, more = met.filter(~F.col(many)), met.filter(many).dropDuplicates([sha, keep])
-    return once.unionByName(more).select(docs.columns)
+    gone = stored(found.filter("not kept or n > 1").select(F.col("text_sha256").alias(sha), F.col("doc_id").alias(doc), F.col("kept").alias("again")), "gone")
+    marked = docs.withColumn(key, F.sha2(normalised(text_of(docs, text_col)), 256))
+    on = (F.col(key) == F.col(sha)) & F.col(id_col).eqNullSafe(F.col(doc))
+    small = gone.count() <= BROADCAST_ROWS
+    out = marked.join(F.broadcast(gone) if small else gone, on, "left_anti")
+    again = gone.filter("again").drop("again")
+    if again.limit(1).count():  # rows that repeat a keeper: one of each comes back
+        out = out.unionByName(marked.join(F.broadcast(again) if small else again, on, "left_semi").dropDuplicates([key, id_col]))
+    return out.select(docs.columns)

@@ -27,6 +27,8 @@ PAIR_BLOCK = 1 << 20
 NODE_ROWS = 8192
 #: Minimum hashes of the sketch that a verified search carries beside the fingerprint, of 8 bits each.
 SKETCH = 16
+#: Ids of dropped documents that are broadcast, at most; beyond that they meet the documents in a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 # ------------------------------------------------------------------------------------------------ fingerprints
@@ -346,13 +348,17 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, s
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each near-duplicate group: the one with the smallest id; of rows that repeat it, any one."""
-    keep = free_name(docs, "keep_id")
+    gone_id = free_name(docs, "gone_id")
     groups = near_duplicate_groups(docs, words, max_bits, similarity, id_col, text_col)
-    kept = groups.groupBy("component_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("n")).select(F.col("component_id").alias(keep), (F.col("n") > 1).alias(free_name(docs, "many")))
-    many = free_name(docs, "many")
-    met = docs.join(kept, docs[id_col].eqNullSafe(F.col(keep)))
-    once, more = met.filter(~F.col(many)), met.filter(many).dropDuplicates([keep])
-    return once.unionByName(more).select(docs.columns)
+    ids = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    gone = stored(ids.filter("not kept or n > 1").select(F.col("doc_id").alias(gone_id), F.col("kept").alias("again")), "gone")
+    on = docs[id_col].eqNullSafe(F.col(gone_id))
+    small = gone.count() <= BROADCAST_ROWS
+    out = docs.join(F.broadcast(gone) if small else gone, on, "left_anti")
+    again = gone.filter("again").drop("again")
+    if again.limit(1).count():  # rows that repeat a keeper: one of each comes back
+        out = out.unionByName(docs.join(F.broadcast(again) if small else again, on, "left_semi").dropDuplicates([id_col]))
+    return out
 
 
 def as_hex(fp):
