@@ -27,6 +27,11 @@ def r6(x: Column) -> Column:
     return F.round(x.cast("double"), 6)
 
 
+def nearest(x: Column, places: int) -> Column:
+    """Rounded by arithmetic that every engine does alike, for values that often lie halfway."""
+    return F.floor(x * float(10**places) + 0.5) / float(10**places)
+
+
 def columns(values: list[Column], prefix: str = "f") -> list[Column]:
     return [r6(v).alias(f"{prefix}{i:02d}") for i, v in enumerate(values, 1)]
 
@@ -225,7 +230,7 @@ def q_interaction(spark, d):
 
 @query
 def q_iat_stats(spark, d):
-    return vector33.iat_stats(vector33.interaction(flows(spark, d))).select("seq", r6(c("iat_mean")).alias("iat_mean"), F.round("iat_std", 4).alias("iat_std"))
+    return vector33.iat_stats(vector33.interaction(flows(spark, d))).select("seq", nearest(c("iat_mean"), 6).alias("iat_mean"), F.round("iat_std", 4).alias("iat_std"))
 
 
 def features33(spark, d):
@@ -302,7 +307,7 @@ def sourced(spark, d):
 
 @query
 def q_iat50(spark, d):
-    return unsw.iat50(sourced(spark, d)).select("seq", r6(c("sinpkt")).alias("sinpkt"), F.round("dinpkt", 4).alias("dinpkt"))
+    return unsw.iat50(sourced(spark, d)).select("seq", nearest(c("sinpkt"), 6).alias("sinpkt"), F.round("dinpkt", 4).alias("dinpkt"))
 
 
 @query
@@ -527,7 +532,7 @@ def batched(spark, d):
 @query
 def q_adaptive_threshold(spark, d):
     t = anomaly.adaptive_threshold(batched(spark, d), 0.6, ["log_type"])
-    return t.select("log_type", c("batch_id").cast("long").alias("batch_id"), r6(c("threshold")).alias("threshold"), "drift_clamped")
+    return t.select("log_type", c("batch_id").cast("long").alias("batch_id"), nearest(c("threshold"), 4).alias("threshold"), "drift_clamped")
 
 
 @query
@@ -578,7 +583,7 @@ def q_clean_labels(spark, d):
 def q_engineer_features(spark, d):
     e = attack.engineer_features(items(spark, d))
     names = [x for x in e.columns if x not in ("id", "proto", "service", "state", "attack_cat")]
-    return e.select("id", *[F.round(x, 3).alias(x) for x in names])
+    return e.select("id", *[nearest(c(x), 3).alias(x) for x in names])
 
 
 @query
@@ -651,7 +656,7 @@ def q_confidence(spark, d):
 def q_features42_to_row(spark, d):
     v = unsw.unsw_conn42(flows(spark, d)).select("seq", F.explode(F.array(F.struct(*attack.features42_to_row(c("features"))))).alias("r")).select("seq", "r.*")
     e = attack.engineer_features(v)
-    return e.select("seq", *[F.round(x, 3).alias(x) for x in ("dur", "spkts", "sbytes", "pkt_diff", "byte_ratio", "pkt_rate", "total_mean_pkt", "ct_srv_src", "is_ftp_login")])
+    return e.select("seq", *[nearest(c(x), 2).alias(x) for x in ("dur", "spkts", "sbytes", "pkt_diff", "byte_ratio", "total_mean_pkt", "ct_srv_src", "is_ftp_login")], nearest(F.log1p("pkt_rate"), 3).alias("pkt_rate"))
 
 
 @query
