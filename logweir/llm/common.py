@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand Python at most so many rows at a time, so that long texts need little memory there."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes what stored() wrote for df, if it did."""
     path = getattr(df, "_stored_at", None)
@@ -63,6 +77,24 @@ def held_out(df: DataFrame, column: str = "doc_id"):
     return (F.crc32(F.coalesce(df[column].cast("string"), F.lit(""))) % 4) == 2
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """docs joined to at most `rows` labels: those of the smallest hash of their id. Ids and labels alone are sorted, and what is
+    broadcast is bounded by `rows`, so texts don't move. Labels with a null id are left out; a repeated label counts once."""
+    rest = [c for c in labels.columns if c != id_col]
+    key = free_name(docs, "label_id")
+    few = labels.filter(F.col(id_col).isNotNull()).dropDuplicates().orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col, *rest).limit(rows)
+    few = few.select(F.col(id_col).alias(key), *rest)
+    return docs.drop(*rest).join(F.broadcast(few), F.col(id_col) == F.col(key)).drop(key)
+
+
+def bounded(df: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """df, or about `rows` of it by a hash of the id where it has more."""
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < int((1 << 20) * rows / n))
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
     """Adds column out: the sum of value over the rows of the same keys that stand before in the given order.
 

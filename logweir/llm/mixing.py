@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import bounded, free_name, stored, text_of
 
-#: Labelled rows that the classifier is fitted on, at most: those of the smallest hash.
+#: Labelled rows that the classifier is fitted on, about at most.
 FIT_ROWS = 20_000
 #: Features of the classifier, at most: the most frequent ones.
 VOCABULARY = 50_000
@@ -76,9 +76,10 @@ _ZEROS = _Zeros()
 
 
 def fit_classifier(labelled: DataFrame, domain_col: str, text_col: str = "text", id_col: str = "doc_id", rows: int = FIT_ROWS) -> Classifier:
-    """Learns domains from labelled rows, at most `rows` of them; rows with a null domain are left out. No rows: no domains."""
+    """Learns domains from labelled rows, about `rows` of them at most, by a hash of the id; rows with a null domain are left out. No rows: no domains."""
     domain = F.col(domain_col).cast("string")
-    sample = labelled.filter(domain.isNotNull()).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), domain.alias("d"), text_of(labelled, text_col).alias("t")).orderBy("h", "d", F.xxhash64("t")).limit(rows)
+    known = bounded(labelled.filter(domain.isNotNull()), rows, id_col)
+    sample = known.select(domain.alias("d"), text_of(known, text_col).alias("t"))
 
     def count(batches):
         found: Counter = Counter()
@@ -95,7 +96,7 @@ def fit_classifier(labelled: DataFrame, domain_col: str, text_col: str = "text",
     def _counted(found):
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["d", "f", "n"])
 
-    counts = sample.repartition(max(1, min(64, rows // 500)), "h").select("d", "t").mapInArrow(count, "d string, f string, n long").groupBy("f", "d").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(count, "d string, f string, n long").groupBy("f", "d").agg(F.sum("n").alias("n"))
     sums = counts.groupBy("f").agg(F.map_from_entries(F.collect_list(F.struct("d", "n"))).alias("by"), F.sum("n").alias("all"))
     top = sums.orderBy(F.desc(F.col("f") == ""), F.desc("all"), "f").limit(VOCABULARY + 1).collect()
     whole = next((r.by for r in top if r.f == ""), {})

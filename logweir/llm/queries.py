@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, language, mixing, packing, pii, simhash, sstable, topk, toxicity, urls
-from .common import held_out
+from .common import held_out, labelled_sample
 
 #: Weights of the domains that op1_mixing aims at.
 MIXTURE = {"high": 0.75, "low": 0.2, "toxic": 0.05}
@@ -26,10 +26,9 @@ def _tokenizer(name: str) -> str:
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, domain of the documents that the labelled table covers: toxic, else high or low by quality."""
+    """doc_id, text, domain of documents that the labelled table covers (mixing.FIT_ROWS of them at most): toxic, else high or low by quality."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
-    named = labels.select(F.col("doc_id").alias("__id"), domain.alias("domain")).dropDuplicates()
-    return docs.select("doc_id", "text").join(named, F.col("doc_id") == F.col("__id")).drop("__id")
+    return labelled_sample(docs.select("doc_id", "text"), labels.select("doc_id", domain.alias("domain")), mixing.FIT_ROWS)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,10 +54,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def learned_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
-    """A lexicon from the labelled documents that aren't held out."""
-    named = labels.select(F.col("doc_id").alias("__id"), "toxic").dropDuplicates()
-    known = docs.filter(~held_out(docs)).select("doc_id", "text").join(named, F.col("doc_id") == F.col("__id")).drop("__id")
-    return toxicity.fit_lexicon(known)
+    """A lexicon from labelled documents that aren't held out, toxicity.FIT_ROWS of them at most."""
+    known = labels.filter(~held_out(labels)).select("doc_id", "toxic")
+    return toxicity.fit_lexicon(labelled_sample(docs.select("doc_id", "text"), known, toxicity.FIT_ROWS))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, text_of
+from .common import bounded, free_name, text_of
 
 # Letters that look like Latin ones, and the signs that stand in for letters.
 LOOK_ALIKES = {
@@ -24,7 +24,7 @@ LOOK_ALIKES = {
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e", "£": "l"}
 INVISIBLE = "­​‌‍⁠﻿"
 
-#: Labelled rows that the lexicon is learned from, at most: those of the smallest hash of their id.
+#: Labelled rows that the lexicon is learned from, about at most.
 FIT_ROWS = 20_000
 #: Entries of the lexicon, at most.
 LEXICON_ENTRIES = 5_000
@@ -124,7 +124,7 @@ class Lexicon:
 
 
 def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", rows: int = FIT_ROWS, exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """Learns a lexicon from labelled rows (label 0 or 1; others are left out), at most `rows` of them, those of the smallest hash.
+    """Learns a lexicon from labelled rows (label 0 or 1; others are left out), about `rows` of them, by a hash of the id.
 
     An entry is a word or a beginning of words that toxic texts have far more often than others; its weight is the
     logarithm of that ratio. A longer word under a kept beginning that mostly occurs in texts that aren't toxic becomes an
@@ -132,7 +132,8 @@ def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "t
     Without labels of both kinds the lexicon is empty and all scores are low.
     """
     y = F.col(label_col).cast("int")
-    sample = labelled.filter(y.isin(0, 1)).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), y.alias("y"), text_of(labelled, text_col).alias("t")).orderBy("h", F.xxhash64("t"), "y").limit(rows)
+    known = bounded(labelled.filter(y.isin(0, 1)), rows, id_col)
+    sample = known.select(y.alias("y"), text_of(known, text_col).alias("t"))
 
     def count(batches):
         found: Counter = Counter()
@@ -149,9 +150,7 @@ def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "t
     def _counted(found):
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([v * k[1] for k, v in found.items()], pa.int64()), pa.array([v * (1 - k[1]) for k, v in found.items()], pa.int64())], ["entry", "bad", "good"])
 
-    parts = max(1, min(64, rows // 500))
-    dealt = sample.repartition(parts, "h").select("y", "t")
-    counts = dealt.mapInArrow(count, "entry string, bad long, good long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).cache()
+    counts = sample.mapInArrow(count, "entry string, bad long, good long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).cache()
     whole = {r.entry: (r.bad, r.good) for r in counts.filter("entry = ''").collect()}
     n1, n0 = whole.get("", (0, 0))
     if not n1 or not n0:
@@ -180,7 +179,7 @@ def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "t
             x = [one.features(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v[0] for v in x], pa.float64()), pa.array([log1p(v[1]) for v in x], pa.float64())], ["y", "a", "b"])
 
-    lines = dealt.mapInArrow(measure, "y int, a double, b double").groupBy("y", F.round("a", 3).alias("a"), F.round("b", 3).alias("b")).count().orderBy("y", "a", "b").collect()
+    lines = sample.mapInArrow(measure, "y int, a double, b double").groupBy("y", F.round("a", 3).alias("a"), F.round("b", 3).alias("b")).count().orderBy("y", "a", "b").collect()
     table = np.array([[r.y, r.a, r.b, r["count"]] for r in lines], float)
     lexicon.calibration = _logistic(table[:, 1:3], table[:, 0], table[:, 3])
     return lexicon
