@@ -51,6 +51,8 @@ class Classifier:
         return at, w
 
     def posteriors(self, texts: list[str]) -> np.ndarray:
+        if not self.domains:
+            return np.zeros((len(texts), 0))
         at, w = getattr(self, "_held", None) or self.table()
         self._held = (at, w)
         out = np.zeros((len(texts), len(self.domains)))

@@ -20,7 +20,7 @@ def docs(spark, rows):
 
 
 def test_folding():
-    for text in ("You IDIOT!", "you 1d10t", "уоu ідiоt", "you id\u00adiot", "ｙｏｕ ｉｄｉｏｔ", "you $tup1d"):
+    for text in ("You IDIOT!", "you 1d10t", "уоu іԁiоt", "you id\u00adiot", "ｙｏｕ ｉｄｉｏｔ", "you $tup1d"):
         assert toxicity.fold(text) in (" you idiot ", " you stupid ")
     assert toxicity.fold("it costs 10 $ 5!") == " it costs "
     assert toxicity.fold("c10wn") == toxicity.fold("clown")
