@@ -4,32 +4,44 @@ from __future__ import annotations
 
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, stored, text_of
-from .tokens import encoder
+from .common import batches_of, prefix_sums, stored, text_of
+from .tokens import TEXTS, encoder, widened
 
 #: Tokens that one visit to a queue serves.
 QUANTUM = 256
+#: Bytes of ids that a task hands on at a time.
+BATCH_BYTES = 1 << 23
 
 
 def tokenised(docs: DataFrame, tokenizer: str, style: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """row, doc_id, source, ids (little-endian unsigned 32-bit), n for each row: the text's ids, then end_id. Null texts count as empty."""
-
-    end = np.array([end_id], "<u4").tobytes()
+    """row, doc_id, source, ids, width, n for each row: the text's ids as numbers of `width` bytes, then end_id. Null texts count as empty."""
 
     def run(batches):
-        encode = encoder(tokenizer, style).encode
+        one = encoder(tokenizer, style)
+        end = one.packed([end_id])
+
+        def made(batch, first, ids):
+            part = batch.slice(first, len(ids))
+            n = pa.array([len(x) // one.width for x in ids], pa.int64())
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array([one.width] * len(ids), pa.int32()), n], ["doc_id", "source", "ids", "width", "n"])
+
         for batch in batches:
-            ids = [encode(t or "") + end for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "source", "ids", "n"])
+            ids, first, size = [], 0, 0
+            for text in batch.column(2):
+                ids.append(one.encode(text.as_py() or "") + end)
+                size += len(ids[-1])
+                if size > BATCH_BYTES:
+                    yield made(batch, first, ids)
+                    ids, first, size = [], first + len(ids), 0
+            yield made(batch, first, ids)
 
     kind = docs.schema[id_col].dataType.simpleString()
     source = F.col(source_col).cast("string") if source_col in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), text_of(docs, text_col).alias("t")).mapInArrow(run, f"doc_id {kind}, source string, ids binary, n long").withColumn("row", F.monotonically_increasing_id())
+    return docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), text_of(docs, text_col).alias("t")).mapInArrow(run, f"doc_id {kind}, source string, ids binary, width int, n long").withColumn("row", F.monotonically_increasing_id())
 
 
 def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int = 1024, quantum: int = QUANTUM) -> DataFrame:
@@ -52,11 +64,13 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
     """
     slim = tokens.select("source", "doc_id", "row", "n")
     queued = prefix_sums(slim, ["source"], ["doc_id", "row"], "n", "at", "queues")
+    total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     totals = tokens.groupBy("source").agg(F.sum("n").alias("total"))
     share = F.col("total").cast("double")
     if targets:
-        named = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
-        share = F.coalesce(named[F.coalesce("source", F.lit(""))] * F.lit(1e9), share)
+        named = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v) * total))])
+        share = F.coalesce(named[F.coalesce("source", F.lit(""))], share)
+    share = F.greatest(share, F.lit(1e-9))  # a target of nothing: after all others
     rates = totals.select(F.col("source").alias("of"), share.alias("rate"))
     rated = queued.join(rates, queued.source.eqNullSafe(rates.of)).drop("of")
     first = F.floor(F.col("at") / quantum)
@@ -72,14 +86,14 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
     ).withColumn("size", F.col("stop") - F.col("start"))
     placed = prefix_sums(cut, [], ["due", "source", "queue_at"], "size", "place", "schedule")
     pieces = placed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "size", "place"))).alias("pieces"))
-    total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     edges = _tail(total, length)
 
     def run(batches):
         for batch in batches:
             out = {k: [] for k in ("at", "start", "length", "crc", "n", "sequence", "offset")}
-            for i, (ids, pieces) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                for start, size, sequence, offset in _windows(pieces, length, edges):
+            for i, (ids, pieces, width) in enumerate(zip(batch.column(2), batch.column(3), batch.column(4), strict=True)):
+                ids = widened(ids.as_py(), width.as_py())
+                for start, size, sequence, offset in _windows(pieces.as_py(), length, edges):
                     out["at"].append(i)
                     out["start"].append(start)
                     out["length"].append(size)
@@ -91,7 +105,7 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *(pa.array(v, pa.int64()) for v in out.values()), batch.column(1).take(at)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    met = tokens.select("row", "doc_id", "source", "ids").join(pieces, "row").select("doc_id", "source", "ids", "pieces")
+    met = tokens.select("row", "doc_id", "source", "ids", "width").join(pieces, "row").select("doc_id", "source", "ids", "pieces", "width")
     return met.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
 
 
@@ -131,6 +145,8 @@ def _windows(pieces: list[dict], length: int, tail: list[tuple[int, int]]):
 
 def pack_documents(docs: DataFrame, tokenizer: str, style: str = "bytes", end_id: int = 0, targets: dict[str, float] | None = None, length: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Tokenises docs, stores the ids in the shared folder and packs them."""
-    return pack(stored(tokenised(docs, tokenizer, style, end_id, id_col, text_col, source_col), "token-ids"), targets, length)
+    with batches_of(docs.sparkSession, TEXTS):
+        tokens = stored(tokenised(docs, tokenizer, style, end_id, id_col, text_col, source_col), "token-ids")
+    return pack(tokens, targets, length)
 
 

@@ -1,68 +1,106 @@
-"""Token ids by the tokenizers library, encoding each distinct piece of text once."""
+"""Token ids by the tokenizers library, encoding each distinct word once."""
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces that an encoder remembers; beyond that it starts anew.
-MEMORY = 400_000
-#: Characters of a piece that is remembered; longer ones are encoded each time.
+#: Parts of texts, and words in them, that an encoder remembers; beyond that it starts anew.
+PARTS, WORDS = 450_000, 30_000
+#: Texts that a task is handed at a time.
+TEXTS = 1_000
+#: Characters of what is remembered; longer parts are encoded each time.
 LONGEST = 64
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
-_PIECE_START = re.compile(r"(?=[ \n]\S)")
-_UNEVEN = re.compile(r"\s\s|\s$|^\s")
-_GAPS = re.compile(r"[ \t\n\r]+")
+_PART_START = re.compile(r"(?=[ \n]\S)")
+#: A part of one word and one run of signs after it, letters and signs such that no tokenizer here normalises or cuts them otherwise.
+_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\[\]^_`{|}~-]*)")
+#: How byte-level vocabularies write bytes: printable Latin-1 signs as they are, others from 256 on in order.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+_BYTE_SIGNS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 
 
 class _Remembered(dict):
-    """Piece to its ids as little-endian unsigned 32-bit bytes; prefix stands before each piece when it is encoded."""
+    """Key to its ids; made on first use."""
 
-    def __init__(self, encode, prefix: str = ""):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.make, self.most = make, most
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(self.prefix + piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= MEMORY:
+    def __missing__(self, key: str) -> bytes:
+        ids = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.most:
                 self.clear()
-            self[piece] = ids
+            self[key] = ids
         return ids
 
 
 class Encoder:
-    """Encodes whole texts with a tokenizer file; ids are those of encode(text, add_special_tokens=False).
+    """Encodes whole texts with a tokenizer file; ids are those of encode(text, add_special_tokens=False), as little-endian
+    numbers of `width` bytes (2 where the vocabulary allows it, else 4).
 
-    style "words": the tokenizer splits at white space and drops it, so a text's ids are those of its words.
+    style "words": the tokenizer lowers case, splits at white space and drops it, so a text's ids are those of its words.
     style "bytes": the tokenizer's own pattern starts a piece at each space or line end before a sign that isn't white space,
     so a text's ids are those of the parts between such places. style "whole": nothing is known, texts are encoded whole.
-    Texts with a special token of the tokenizer are always encoded whole."""
+    A part that is one word of plain letters, with signs after it or without, goes to the tokenizer's model by word and
+    signs, which the pattern always parts; any other part goes through the whole tokenizer. Texts with a special token of
+    the tokenizer are encoded whole."""
 
     def __init__(self, path: str, style: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.style = style
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first, self.rest, self.lines = (_Remembered(self._ids, before) for before in ("", " ", "\n"))
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
+        self.model = self.tokenizer.model
+        self.words = _Remembered(self._word, WORDS)
+        self.first, self.rest, self.lines = (_Remembered(self._after(before), PARTS) for before in ("", " ", "\n"))
+
+    def packed(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        shown = word.replace(" ", _BYTE_SIGNS[32]) if word.isascii() and word != "\n" else "".join(map(_BYTE_SIGNS.__getitem__, word.encode()))
+        return self.packed([t.id for t in self.model.tokenize(shown)])
+
+    def _after(self, before: str):
+        def make(part: str) -> bytes | None:
+            if before and (not part or part[0].isspace()):
+                return None  # the place before it isn't where a piece starts
+            simple = _SIMPLE.fullmatch(before.replace("\n", "") + part)
+            if simple is None:
+                return self._whole(before + part)
+            space, word, signs = simple.groups()
+            out = self.words[word.lower()] if self.style == "words" else self._word(space + word)
+            out = out + self.words[signs] if signs else out
+            return self.words[before] + out if before == "\n" else out
+
+        return make
 
     def encode(self, text: str) -> bytes:
         if self.style == "whole" or any(s in text for s in self.special):
-            return self._ids(text)
+            return self._whole(text)
         if self.style == "words":
-            return b"".join(map(self.first.__getitem__, filter(None, _GAPS.split(text))))
-        if _UNEVEN.search(text) is None:
-            out = []
-            for i, line in enumerate(text.split("\n")):
-                head, *tail = line.split(" ")
-                out.append(self.lines[head] if i else self.first[head])
-                out += map(self.rest.__getitem__, tail)
-            return b"".join(out)
-        return b"".join(map(self.first.__getitem__, _PIECE_START.split(text)))
+            return b"".join(map(self.first.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        out = []
+        for i, line in enumerate(text.split("\n")):
+            head, *tail = line.split(" ")
+            out.append(self.lines[head] if i else self.first[head])
+            out += map(self.rest.__getitem__, tail)
+        if None in out:  # white space side by side: cut only before a single one
+            return b"".join(map(self.first.__getitem__, _PART_START.split(text)))
+        return b"".join(out)
 
 
 def encoder(path: str, style: str) -> Encoder:
@@ -70,3 +108,8 @@ def encoder(path: str, style: str) -> Encoder:
     if (path, style) not in _ENCODERS:
         _ENCODERS[path, style] = Encoder(path, style)
     return _ENCODERS[path, style]
+
+
+def widened(ids: bytes, width: int) -> bytes:
+    """Ids as unsigned 32-bit numbers."""
+    return ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
