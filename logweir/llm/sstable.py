@@ -2,11 +2,11 @@
 
 A shard, all numbers little-endian:
   blocks   entries in key order. An entry: u16 bytes shared with the key before, u16 further bytes of the key, u32 ids,
-           the further bytes, the ids as u32. A block's first entry shares nothing. At least BLOCK_BYTES, one entry or more.
+           the further bytes, the ids. A block's first entry shares nothing. At least BLOCK_BYTES, one entry or more.
   index    for each block: u64 offset, u32 size, u32 entries, u16 key length, the first key
   bloom    the filter's bits
   footer   u64 index offset, u64 index size, u64 bloom offset, u64 bloom size, u32 hashes, u64 documents, u64 ids,
-           u32 crc32 of index and bloom, 8 bytes of magic
+           u32 bytes of an id (2 or 4), u32 crc32 of index and bloom, 8 bytes of magic
 A key is the document's id as 8 bytes, big-endian with the sign bit turned, so that bytes sort as ids do; no bytes at all
 stand for a null id, which sorts first.
 """
@@ -20,20 +20,19 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, stored, text_of
-from .tokens import encoder
+from .common import batches_of, scratch_path, stored, text_of
+from .tokens import TEXTS, encoder, widened
 
-MAGIC = b"TOKSST01"
+MAGIC = b"TOKSST02"
 BLOCK_BYTES = 1 << 16
 BLOOM_BITS, BLOOM_HASHES = 10, 7
-_ENTRY, _INDEX, _FOOTER = struct.Struct("<HHI"), struct.Struct("<QIIH"), struct.Struct("<QQQQIQQI8s")
+_ENTRY, _INDEX, _FOOTER = struct.Struct("<HHI"), struct.Struct("<QIIH"), struct.Struct("<QQQQIQQII8s")
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -53,8 +52,8 @@ def _places(key: bytes, bits: int, hashes: int) -> list[int]:
 class ShardWriter:
     """Entries must come in ascending order of key; equal keys may follow each other. Blocks are written as they fill."""
 
-    def __init__(self, out):
-        self.out, self.at, self.index, self.keys = out, 0, [], []
+    def __init__(self, out, width: int = 4):
+        self.out, self.width, self.at, self.index, self.keys = out, width, 0, [], []
         self.block, self.first, self.last, self.entries, self.ids = bytearray(), b"", b"", 0, 0
 
     def add(self, key: bytes, ids: bytes) -> None:
@@ -63,10 +62,10 @@ class ShardWriter:
         shared = 0 if not self.entries else len(os.path.commonprefix([self.last, key]))
         if not self.entries:
             self.first = key
-        self.block += _ENTRY.pack(shared, len(key) - shared, len(ids) // 4) + key[shared:] + ids
+        self.block += _ENTRY.pack(shared, len(key) - shared, len(ids) // self.width) + key[shared:] + ids
         self.last = key
         self.entries += 1
-        self.ids += len(ids) // 4
+        self.ids += len(ids) // self.width
         self.keys.append(key)
         if len(self.block) >= BLOCK_BYTES:
             self._flush()
@@ -87,7 +86,7 @@ class ShardWriter:
         for key in self.keys:
             for p in _places(key, len(bloom) * 8, BLOOM_HASHES):
                 bloom[p >> 3] |= 1 << (p & 7)
-        footer = _FOOTER.pack(self.at, len(index), self.at + len(index), len(bloom), BLOOM_HASHES, len(self.keys), self.ids, zlib.crc32(index + bytes(bloom)), MAGIC)
+        footer = _FOOTER.pack(self.at, len(index), self.at + len(index), len(bloom), BLOOM_HASHES, len(self.keys), self.ids, self.width, zlib.crc32(index + bytes(bloom)), MAGIC)
         self.out.write(index + bytes(bloom) + footer)
         return self.at + len(index) + len(bloom) + len(footer)
 
@@ -100,7 +99,7 @@ class ShardReader:
         file.seek(0, 2)
         end = file.tell()
         file.seek(end - _FOOTER.size)
-        at, size, self.bloom_at, self.bloom_size, self.hashes, self.documents, self.ids, crc, magic = _FOOTER.unpack(file.read(_FOOTER.size))
+        at, size, self.bloom_at, self.bloom_size, self.hashes, self.documents, self.ids, self.width, crc, magic = _FOOTER.unpack(file.read(_FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a shard")
         file.seek(at)
@@ -124,8 +123,8 @@ class ShardReader:
             i += _ENTRY.size
             key = key[:shared] + data[i : i + more]
             i += more
-            yield key, data[i : i + 4 * ids]
-            i += 4 * ids
+            yield key, widened(data[i : i + self.width * ids], self.width)
+            i += self.width * ids
 
     def __iter__(self) -> Iterator[tuple[bytes, bytes]]:
         for block in self.blocks:
@@ -145,6 +144,10 @@ class ShardReader:
         return out
 
 
+def _plain(scalar: pa.Scalar):
+    return scalar.as_py()
+
+
 def _place(uri: str):
     system, path = pafs.FileSystem.from_uri(uri)
     return system, path
@@ -162,27 +165,28 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, style: str, end_id:
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(key.alias("k"), F.xxhash64(text_of(docs, text_col)).alias("h"), text_of(docs, text_col).alias("t"))
     dealt = rows.repartitionByRange(n, F.col("k").asc_nulls_first(), F.col("h")).sortWithinPartitions(F.col("k").asc_nulls_first(), "h").select(F.spark_partition_id().alias("p"), "k", "t")
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = encoder(tokenizer, style).encode
+        one = encoder(tokenizer, style)
+        end = one.packed([end_id])
         writer = out = None
         for batch in batches:
-            for p, k, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for p, k, t in zip(*(map(_plain, batch.column(i)) for i in range(3)), strict=True):
                 if writer is None:
                     system, base = _place(path)
                     system.create_dir(base, recursive=True)
                     draft, final, shard = f"{base}/.draft-{uuid.uuid4().hex}", f"shard-{p:06d}.sst", p
                     out = system.open_output_stream(draft)
-                    writer = ShardWriter(out)
-                writer.add(key_of(k), encode(t) + end)
+                    writer = ShardWriter(out, one.width)
+                writer.add(key_of(k), one.encode(t) + end)
         if writer is not None:
             size = writer.finish()
             out.close()
             system.move(draft, f"{base}/{final}")
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{path}/{final}"]), *(pa.array([x], pa.int64()) for x in (len(writer.keys), writer.ids, size))], ["shard", "file", "documents", "ids", "bytes"])
 
-    return stored(dealt.mapInArrow(run, "shard int, file string, documents long, ids long, bytes long"), "manifest")
+    with batches_of(spark, TEXTS):
+        return stored(dealt.mapInArrow(run, "shard int, file string, documents long, ids long, bytes long"), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
