@@ -41,6 +41,7 @@ def _table() -> dict[int, str | None]:
 
 _FOLD = _table()
 _STAND = {ord(k): v for k, v in STAND_INS.items()}
+_LOOKS = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
 _RUN = re.compile(r"[0-9@$!|€£]+")
 _GAPS = re.compile(r"[\W\d_]+")
 
@@ -60,7 +61,10 @@ def fold(text: str) -> str:
     """Lower case, look-alikes as Latin letters, stand-ins as letters where they touch letters, all else one space; a space at either end.
 
     l and i fold together, since 1 stands for both."""
-    low = _RUN.sub(_stand_in, text.lower().translate(_FOLD))
+    low = text.lower()
+    if _LOOKS.search(low):
+        low = low.translate(_FOLD)
+    low = _RUN.sub(_stand_in, low)
     return " " + _GAPS.sub(" ", low).strip().replace("l", "i") + " "
 
 
