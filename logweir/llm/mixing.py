@@ -17,7 +17,7 @@ from .common import bounded, free_name, stored, text_of
 #: Labelled rows that the classifier is fitted on, about at most.
 FIT_ROWS = 20_000
 #: Features of the classifier, at most: the most frequent ones.
-VOCABULARY = 50_000
+VOCABULARY = 20_000
 #: Posteriors of whole texts are softened: evidence counts as if a text had this many words at most.
 SOFT_WORDS = 40.0
 #: Rounds of projected gradient, and the largest relative miss at which it stops.
