@@ -29,6 +29,10 @@ NODE_ROWS = 8192
 SKETCH = 16
 #: Ids of dropped documents that are broadcast, at most; beyond that they meet the documents in a shuffle.
 BROADCAST_ROWS = 200_000
+#: Bands that propose pairs by similarity, and minimum hashes in each.
+BANDS, BAND_HASHES = 20, 5
+#: Rows of a node that are held against each other in one piece, and rows of a larger node that are in all of its pieces.
+SET_ROWS, SET_SAMPLE = 512, 64
 
 
 # ------------------------------------------------------------------------------------------------ fingerprints
@@ -325,21 +329,186 @@ def _cut(rows: DataFrame, max_bits: int, blocks: int = 32) -> DataFrame:
     return placed.join(ends, ["node", "block"]).select(F.xxhash64("node", "x", "y").alias("node"), "fp", "s1", "s2", "side")
 
 
+# ------------------------------------------------------------------------------------- pairs by exact similarity
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct shingle hashes of the text, ascending."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+#: A minimum hash is the least of (shingle hash xor the one) times the other.
+_XORS, _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_HASHES), dtype=np.uint64) | np.array([[0], [1]], np.uint64)
+
+
+def minimum_hashes(hashes: np.ndarray) -> np.ndarray:
+    least = np.full(len(_XORS), np.iinfo(np.uint64).max)
+    for i in range(0, len(hashes), 512):
+        least = np.minimum(least, ((hashes[i : i + 512, None] ^ _XORS) * _FACTORS).min(0))
+    return least
+
+
+def _set_key(hashes: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+
+
+def _banded(words: int):
+    """Batches of (doc_id, text) to doc_id, key (a hash of the shingle set), bands (hashes of some minimum hashes each; none for an empty set)."""
+
+    def run(batches):
+        for batch in batches:
+            keys, bands = [], []
+            for text in batch.column(1).to_pylist():
+                hashes = shingle_set(text, words)
+                keys.append(_set_key(hashes))
+                least = minimum_hashes(hashes).reshape(BANDS, -1)
+                bands.append([_signed(xxhash.xxh64_intdigest(b.tobytes(), SEED)) for b in least] if len(hashes) else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+
+    return run
+
+
+def _sets(words: int):
+    """Batches of (key, text) to key, data (a byte of each minimum hash, then the shingle set), of the rows whose text has that key."""
+
+    def run(batches):
+        for batch in batches:
+            keys, data = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes = shingle_set(text, words)
+                if _set_key(hashes) == key:
+                    keys.append(key)
+                    data.append((minimum_hashes(hashes) >> np.uint64(20)).astype(np.uint8).tobytes() + hashes.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], ["key", "data"])
+
+    return run
+
+
+def similar_in_node(root: np.ndarray, side: np.ndarray, data: list[bytes], similarity: float) -> tuple[list[int], list[int]]:
+    """Pairs of rows (side 0: within; 1 and 2: across) that join what the node's similar pairs join. Rows of equal root are joined already.
+
+    A pair is only skipped if it is joined already, if the sets' sizes rule it out, or if its minimum hashes agree less than
+    five standard deviations below the similarity; all others are held against each other whole."""
+    n = BANDS * BAND_HASHES
+    _, label = np.unique(root, return_inverse=True)
+    sketch = np.frombuffer(b"".join(x[:n] for x in data), np.uint8).reshape(-1, n)
+    sets = [np.frombuffer(x, np.uint64, offset=n) for x in data]
+    size = np.array([len(x) for x in sets])
+    least = n * similarity - 5 * (n * similarity * (1 - similarity)) ** 0.5
+    a, b = [], []
+    for i in np.flatnonzero(side < 2).tolist():
+        rest = np.flatnonzero((side == 2) if side[i] else (side == 0) & (np.arange(len(side)) > i))
+        rest = rest[(label[rest] != label[i]) & (np.minimum(size[rest], size[i]) >= similarity * np.maximum(size[rest], size[i]) - 1e-9)]
+        rest = rest[(sketch[rest] == sketch[i]).sum(1) >= least]
+        for j in rest.tolist():
+            if label[i] != label[j]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= similarity * (size[i] + size[j] - both) - 1e-9:
+                    label[label == label[j]] = label[i]
+                    a.append(i)
+                    b.append(j)
+    return a, b
+
+
+def _similar_of_sorted(similarity: float):
+    """Reads rows sorted by node and yields each node's links. A node's rows may span batches."""
+
+    def flush(node):
+        key, root, side = (np.array([r[k] for r in node]) for k in range(3))
+        i, j = similar_in_node(root, side, [r[3] for r in node], similarity) if len(node) > 1 else ([], [])
+        return key[i].tolist(), key[j].tolist()
+
+    def run(batches):
+        now, node = None, []
+        for batch in batches:
+            a, b = [], []
+            for at, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != now:
+                    x, y = flush(node) if node else ([], [])
+                    a += x
+                    b += y
+                    now, node = at, []
+                node.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if node:
+            a, b = flush(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b): links that connect the classes (key, least: an id of the class, bands) which pairs at the similarity connect.
+
+    Candidates share a band: all of some BAND_HASHES minimum hashes. At Jaccard 0.8 a pair shares one of the BANDS with
+    0.9996. Classes of a band are a node; nodes of the same classes count once. Each candidate is checked by the shingle
+    sets, made anew from the texts of classes that have a node and joined by key. Nodes of more than SET_ROWS rows are
+    cut into chunks, with SET_SAMPLE rows of the node in each of its chunks. What is then outside of a large node's
+    largest component is held against all of that node's chunks, so no candidate pair is left out that isn't joined.
+    """
+    spark = classes.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = classes.select("key", F.posexplode("bands").alias("view", "band")).select("key", F.xxhash64("view", "band").alias("node"))
+    sums = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.expr("bit_xor(xxhash64(key))").alias("x"), F.expr("bit_xor(xxhash64(key, 1))").alias("y"))
+    once = sums.filter("rows > 1").groupBy("rows", "x", "y").agg(F.min("node").alias("node")).select("node", "rows")
+    members = stored(rows.join(once, "node").select("key", "node", F.ceil(F.col("rows") / SET_ROWS).alias("chunks"), "rows"), "set-nodes")
+    asked = members.select("key").distinct().join(classes.select("key", "least"), "key").select("key", F.col("least").alias("asked_id"))
+    texts = docs.join(asked, docs["doc_id"].eqNullSafe(F.col("asked_id"))).select("key", "text")
+    sets = stored(texts.mapInArrow(_sets(words), "key long, data binary").groupBy("key").agg(F.first("data").alias("data")), "shingle-sets")
+
+    def checked(placed: DataFrame) -> DataFrame:
+        dealt = placed.join(sets, "key").select("node", "key", "root", "side", "data").repartition(n, "node").sortWithinPartitions("node", "side", "key")
+        return dealt.mapInArrow(_similar_of_sorted(similarity), "a long, b long")
+
+    # two nodes with one 64-bit hash only share a node; no link depends on it
+    chunk = F.pmod(F.xxhash64("key", "node"), F.col("chunks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
+    sampled = F.pmod(F.xxhash64("node", "key"), F.col("rows")) < SET_SAMPLE
+    spread = members.select("node", "key", F.explode(F.when((F.col("chunks") > 1) & sampled, every).otherwise(F.array(chunk))).alias("chunk"))
+    links = stored(checked(spread.select(F.xxhash64("node", "chunk").alias("node"), "key", F.col("key").alias("root"), F.lit(0).alias("side"))), "set-links")
+    large = members.filter("chunks > 1")
+    if not large.limit(1).count():
+        return links
+    roots = connected_components(links)
+    of = stored(large.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "set-roots")
+    main = of.groupBy("node", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("main"), (F.sum("size") - F.max("size")).alias("others"))
+    left = of.join(main.filter("others > 0").withColumn("parts", F.ceil(F.col("others") / SET_ROWS)), "node")
+    part = F.pmod(F.xxhash64("node", "key", F.lit(1)), F.col("parts"))
+    ones = left.filter("root <> main").select("node", "key", "root", part.alias("part"), F.explode(every).alias("chunk"), F.lit(1).alias("side"))
+    others = left.select("node", "key", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), chunk.alias("chunk"), F.lit(2).alias("side"))
+    crossed = ones.unionByName(others).select(F.xxhash64("node", "part", "chunk").alias("node"), "key", "root", "side")
+    return links.unionByName(checked(crossed))
+
+
+def _similar_groups(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    kind = docs.schema[id_col].dataType.simpleString()
+    plain = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
+    prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, bands array<long>"), "bands")
+    classes = prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    roots = connected_components(similar_links(classes, plain, words, similarity))
+    rooted = classes.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = rooted.join(named, "root").select("key", "component_id")
+    return prints.select("doc_id", "key").join(of, "key").select("doc_id", F.col("key").alias("fp"), "component_id")
+
+
 def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (long), component_id: the smallest doc_id reachable over links, for each row of docs.
 
-    Fingerprints link at max_bits or fewer differing bits. With a similarity, a pair must also agree in enough minimum
-    hashes for that Jaccard similarity of its shingle sets (an estimate from 16 hashes; two standard deviations below
-    are let pass), which keeps unrelated short texts apart where max_bits is wide. Without one, bits alone decide.
+    Without a similarity, fingerprints link at max_bits or fewer differing bits. With one, texts link whose shingle sets
+    have that Jaccard similarity or more: minimum hashes propose pairs and the sets themselves decide (similar_links), so
+    that max_bits has no say; fp is then a hash of the shingle set, and only texts of equal sets share it.
 
-    Null and empty texts have fingerprint zero and link to each other like any text. Rows that repeat an id each get a
-    row. Null ids name no component unless no other is in it. An empty table gives an empty result.
+    Null and empty texts have fingerprint zero (with a similarity, the empty set) and link to each other like any text.
+    Rows that repeat an id each get a row. Null ids name no component unless no other is in it. An empty table gives an
+    empty result.
     """
-    prints = stored(fingerprints(docs, words, id_col, text_col, similarity is not None), "fingerprints")
+    if similarity is not None:
+        return _similar_groups(docs, words, similarity, id_col, text_col)
+    prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("s1", "s2")).alias("s"))
     reps = stored(least.select("fp", "least", "s.s1", "s.s2"), "reps")
-    min_same = 0 if similarity is None else max(1, int(SKETCH * similarity - 2 * (SKETCH * similarity * (1 - similarity)) ** 0.5 + 0.5))
-    roots = connected_components(fingerprint_links(reps.select("fp", "s1", "s2"), max_bits, min_same))
+    roots = connected_components(fingerprint_links(reps.select("fp", "s1", "s2"), max_bits))
     rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.join(named, "root").select("fp", "component_id")

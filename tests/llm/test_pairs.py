@@ -148,6 +148,34 @@ def test_near_duplicates(spark):
     assert groups[101] == groups[102] == 100 and groups[30] == 30
 
 
+def overlapping(rng, shared, own, name):
+    """Two texts of five-word shingles: about shared in common, own in each alone (the last words differ)."""
+    head = [f"{name}{rng.getrandbits(40)}" for _ in range(shared + 4)]
+    return [" ".join(head + [f"{name}{side}{i}" for i in range(own)]) for side in "ab"]
+
+
+@pytest.mark.parametrize("rows", [512, 8])
+def test_exact_similarity_decides(spark, monkeypatch, rows):
+    monkeypatch.setattr(simhash, "SET_ROWS", rows)
+    monkeypatch.setattr(simhash, "SET_SAMPLE", 2)
+    rng = random.Random(7)
+    texts = []
+    for i in range(150):
+        texts += overlapping(rng, 160, 20, f"n{i}x")  # 160 of 200: 0.8 exactly
+    for i in range(150):
+        texts += overlapping(rng, 158, 20, f"f{i}x")  # just below
+    family = [f"c{i}" for i in range(200)]
+    for i in range(40):  # a family around one text, with members that aren't similar to each other
+        texts.append(" ".join([*family[: 3 * i], f"z{i}", *family[3 * i + 1 :]]) if i else " ".join(family))
+    for i in range(40):  # unlike each other, but with one passage of nearly two thirds
+        texts.append(" ".join(family[:120] + [f"p{i}x{k}" for k in range(70)]))
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(table(spark, list(enumerate(texts)))).collect()}
+    assert sum(groups[2 * i + 1] == 2 * i for i in range(150)) >= 148
+    assert all(groups[i] == i for i in range(300, 600))
+    assert all(groups[i] == 600 for i in range(600, 640))
+    assert all(groups[i] == i for i in range(640, 680))
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(1000, 1001), (5, 5), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in connected_components(links).collect()}
