@@ -176,6 +176,15 @@ def test_exact_similarity_decides(spark, monkeypatch, rows):
     assert all(groups[i] == i for i in range(640, 680))
 
 
+def test_filler_makes_no_copies(spark):
+    rng = random.Random(8)
+    words = [[f"u{rng.getrandbits(40)}" for _ in range(60)] for _ in range(4)]
+    rows = [(i, " ".join(w) + " ha" * 200) for i, w in enumerate(words)]
+    rows += [(10, rows[3][1].replace(words[3][0], "zz")), (11, rows[3][1] + " ha" * 300)]
+    assert len({simhash.fingerprint(t, 5)[0] for _, t in rows}) == 1
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(table(spark, rows)).collect()) == [0, 1, 2, 3]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(1000, 1001), (5, 5), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in connected_components(links).collect()}
