@@ -1,8 +1,10 @@
 """Language identification: scripts narrow the candidates, Viterbi over words labels spans."""
 
 import json
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from math import exp, log
 
 import numpy as np
@@ -41,9 +43,14 @@ SWITCH = 6.0
 MEMORY = 300_000
 #: Texts whose words are labelled side by side, and words of them, at most (one text can be longer).
 TEXT_BLOCK, WORD_BLOCK = 512, 400_000
+#: A longer word is cut into pieces of PIECE letters (and CONTEXT letters of the next, so that runs across the cut count).
+LONG, PIECE, CONTEXT = 40, 10, 3
+#: Stands where a piece goes on in its word; str.split() takes it for white space, so no word has it.
+_JOIN = "\x1f"
 UNKNOWN = "und"
 
 
+@lru_cache(maxsize=1 << 14)
 def script_of(letter: str) -> str:
     code = ord(letter)
     for name, ranges in SCRIPTS.items():
@@ -52,8 +59,9 @@ def script_of(letter: str) -> str:
     return "other"
 
 
-
-
+def word_script(word: str) -> str:
+    """The script of the first letter of a script known here."""
+    return next((s for s in map(script_of, filter(str.isalpha, word)) if s != "other"), "other")
 
 def word_of(token: str) -> str:
     """A lower-case token without signs and digits at either end; empty if it has no letter."""
@@ -61,15 +69,62 @@ def word_of(token: str) -> str:
     return w if w and any(map(str.isalpha, w)) else ""
 
 
+def _script_runs(word: str) -> Iterator[str]:
+    """Cuts between letters of two scripts; signs, digits and letters of no script known here go with what is before them."""
+    start, now = 0, "other"
+    for i, c in enumerate(word):
+        script = script_of(c) if c.isalpha() else "other"
+        if script not in ("other", now):
+            if now != "other":
+                yield word[start:i]
+                start = i
+            now = script
+    yield word[start:]
+
+
+def pieces_of(token: str) -> list[str]:
+    """The token whole if it is short and of one script; else cut at script changes, and a long one at signs and by length too."""
+    if len(token) <= LONG:
+        return [token] if token.isascii() else list(_script_runs(token))
+    out = []
+    for part in "".join(" " if unicodedata.category(c)[0] in "PSZC" else c for c in token).split():
+        for run in (part,) if part.isascii() else _script_runs(part):
+            if len(run) <= LONG:
+                out.append(run)
+            else:
+                out += [(_JOIN if i else "") + run[i : i + PIECE + CONTEXT] + (_JOIN if i + PIECE + CONTEXT < len(run) else "") for i in range(0, len(run), PIECE)]
+    return out
+
+
+def tokens_of(text: str, known: dict[str, list[str]]) -> list[str]:
+    """White-space tokens in lower case, cut by pieces_of(); known remembers what short ones are cut into."""
+    tokens = text.lower().split()
+    if text.isascii() and max(map(len, tokens), default=0) <= LONG:
+        return tokens
+    out = []
+    for t in tokens:
+        if len(t) <= LONG:
+            if t.isascii():
+                out.append(t)
+                continue
+            cut = known.get(t)
+            if cut is None:
+                cut = known[t] = pieces_of(t)
+            out += cut
+        else:
+            out += pieces_of(t)
+    return out
+
+
 def words_of(text: str) -> list[str]:
-    return [w for w in map(word_of, text.lower().split()) if w]
+    return [w for w in map(word_of, tokens_of(text, {})) if w]
 
 
 _EDGES = "".join(map(chr, (*range(33, 65), *range(91, 97), *range(123, 127), 0xAB, 0xBB, 0xBF, 0xA1, 0x2018, 0x2019, 0x201C, 0x201D, 0x2026)))
 
 
 def grams_of(word: str) -> list[str]:
-    w = f"_{word[:40]}_"  # a longer word is scored by its first letters; its label is the same for all of it
+    w = ("" if word[0] == _JOIN else "_") + word.strip(_JOIN) + ("" if word[-1] == _JOIN else "_")
     return [w[i : i + n] for n in LENGTHS for i in range(len(w) - n + 1)]
 
 
@@ -79,6 +134,7 @@ class Model:
     def __init__(self, langs, grams, scripts, floor):
         self.langs, self.grams, self.scripts, self.floor = list(langs), grams, {k: set(v) for k, v in scripts.items()}, list(floor)
         self._memory: dict[str, int] = {}
+        self._cuts: dict[str, list[str]] = {}
         self._table = np.zeros((0, len(self.langs)))
         self._row = {g: i + 1 for i, g in enumerate(grams)}
         self._logs = np.array([self.floor, *grams.values()], float).reshape(len(grams) + 1, len(self.langs))
@@ -101,7 +157,7 @@ class Model:
         out = total * (4.0 / n * np.clip(length / 3, 1.0, 3.0))[:, None]
         for i, w in enumerate(words):
             if not w.isascii() or not self._ascii:
-                script = script_of(next(c for c in w if c.isalpha()))
+                script = word_script(w)
                 fits = np.array([script in self.scripts[x] for x in self.langs])
                 if fits.any() and not fits.all():
                     out[i] -= np.where(fits, 0.0, 50.0)
@@ -111,7 +167,9 @@ class Model:
         """(scores, number of words of each text): a row for each word of the texts, laid end to end."""
         if len(self._memory) > MEMORY:
             self._memory, self._table = {}, self._table[:0]
-        tokens = [t.lower().split() for t in texts]
+        if len(self._cuts) > MEMORY:
+            self._cuts = {}
+        tokens = [tokens_of(t, self._cuts) for t in texts]
         new = set().union(*tokens).difference(self._memory)
         if new:
             named = {t: word_of(t) for t in new}
@@ -203,7 +261,7 @@ def fit_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lan
                 for w, n in counted.items():
                     for g in grams_of(w):
                         found[(code, g)] += n
-                    found[(code, "\t" + script_of(next(c for c in w if c.isalpha())))] += n
+                    found[(code, "\t" + word_script(w))] += n
             if len(found) > 500_000:
                 yield _counted(found)
                 found = Counter()
@@ -280,7 +338,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
 
 
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
-    """doc_id, first_word, n_words, lang: the runs of words of one language in each text, in order."""
+    """doc_id, first_word, n_words, lang: the runs of words of one language in each text, in order.
+
+    Words are counted as pieces_of() cuts them: a long one, or one of several scripts, is several."""
     data = docs.sparkSession.sparkContext.broadcast(model.to_json())
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -95,6 +95,22 @@ def test_language(spark):
     assert language.identify(docs(spark, [(1, "x")]), language.fit_model(known.limit(0))).first().lang_pred == "und"
 
 
+def test_language_of_texts_without_blanks(spark):
+    thai = "สวัสดีชาวโลกวันนี้เป็นอย่างไรบ้างเพื่อนของฉันเราจะไปกินข้าวที่ตลาด"
+    one, two = "wir haben heute sehr viel über das wetter gesprochen und nichts getan", "the weather today is what we have talked about and nothing has been done"
+    rows = [(i, t, k) for i in range(20) for t, k in ((thai, "th"), ("日本語の文章はこのように書きますがどうですか", "ja"), ("今天天气很好我们一起去公园散步然后回家吃饭", "zh"), (one, "de"), (two, "en"))]
+    model = language.fit_model(spark.createDataFrame([(5 * i + n, t, k) for n in range(5) for i, t, k in rows], "doc_id long, text string, lang string"))
+    de, en = one.replace(" ", "/"), two.replace(" ", "\u200b")
+    texts = [thai[:40] + two.replace(" ", "") * 40, de[:41] + (en + ".") * 40, (de + "/") * 30 + en[:30], "hello" + thai * 20, thai[:50] + "今天天气很好我们一起去公园散步" * 20, one.replace(" ", "") * 5000]
+    found = [r.lang_pred for r in language.identify(docs(spark, list(enumerate(texts))), model).orderBy("doc_id").collect()]
+    assert found == ["en", "en", "de", "th", "zh", "de"]
+    got = language.spans(docs(spark, [(1, "today" + thai * 3 + (two * 2).replace(" ", ""))]), model).collect()
+    assert [r.lang for r in got][-2:] == ["th", "en"]
+    word = "abcdefghij" * 9 + "xyz"
+    runs = {g for p in language.pieces_of(word) for g in language.grams_of(p)}
+    assert runs == {f"_{word}_"[i : i + n] for n in language.LENGTHS for i in range(len(word) + 3 - n)}
+
+
 def plain_luhn(digits):
     total = 0
     for i, d in enumerate(map(int, reversed(digits))):
