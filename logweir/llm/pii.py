@@ -8,13 +8,23 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 # The patterns. Each starts where the leftmost match can (a run's start, or where the last match ended) and
-# gives nothing back once taken, so that a long run without a match is read once.
+# gives nothing back once taken, so that a long run without a match is read once (account numbers: a bounded number of signs).
 _START = r"(?:\G|(?<![{0}]))"
 EMAIL = _START.format("A-Za-z0-9._%+-") + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?=[0-9])" + _START.format("0-9") + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?=[0-9])" + _START.format("0-9") + r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Signs of an account number by country (the registry of ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = "(?:" + "|".join(x.replace(" ", "|") for x in IBAN_LENGTHS.values()) + ")[0-9]{2}"
+_BY_LENGTH = "|".join(f"(?:{x.replace(' ', '|')})[0-9]{{2}}(?:[\\x20]?[A-Z0-9]){{{n - 4}}}" for n, x in IBAN_LENGTHS.items())
+# the country fixes how many signs are taken, so that what follows is never read as part; other pairs of letters take up to 34 signs
+IBAN = rf"(?<![A-Za-z0-9])(?:{_BY_LENGTH}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!{_LISTED}))?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])"
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 KINDS = ("email", "ip", "card", "phone", "iban", "id")
 #: Score of a span by kind before its context is looked at, and what a word nearby adds.

@@ -164,6 +164,18 @@ def test_more_spans(spark):
     assert red == ["to <email>, <ip>!", None, ""]
 
 
+def test_account_numbers_before_capitals_and_numbers(spark):
+    numbers = ["GB29NWBK60161331926819", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "GB29 NWBK 6016 1331 9268 19"]
+    after = [" Please pay", " A note", " 12 euro", " 4", " XY12", " DE89370400440532013000", ", AB", "", " to"]
+    texts = [f"{before}{n}{a}" for before in ("to ", "AB12 ") for n in numbers for a in after]
+    for r in pii.spans(docs(spark, list(enumerate(texts)))).collect():
+        n = numbers[r.doc_id // len(after) % len(numbers)]
+        wanted = [n] + ["DE89370400440532013000"] * (after[r.doc_id % len(after)] == " DE89370400440532013000")
+        assert [s.value for s in r.pii if s.kind == "iban"] == wanted, texts[r.doc_id]
+    wrong = ["GB29NWBK60161331926819X", "DE88370400440532013000 A", "DE8937040044053201300 0x", "xGB29NWBK60161331926819 Please"]
+    assert all(s.kind != "iban" for r in pii.spans(docs(spark, list(enumerate(wrong)))).collect() for s in r.pii)
+
+
 def test_digests_of_no_spans(spark):
     row = queries.op7_pii(spark, SMALL).filter("spans = ''").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
