@@ -2,6 +2,7 @@
 
 import json
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from math import log
@@ -139,7 +140,7 @@ def _replay(p: np.ndarray, history: np.ndarray, low: float) -> np.ndarray:
     return rate
 
 
-def fit_rates(members: DataFrame, targets: list[float], low: float = 0.0, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
+def fit_rates(members: DataFrame, targets: list[float], low: float = 0.0, rounds: int = ROUNDS, tolerance: float = TOLERANCE, grows: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(history, totals): least squares for rates of `low` (0 or more) and above, with the sum over documents of
     rate * tokens * posterior as near as can be to each domain's target.
 
@@ -149,9 +150,14 @@ def fit_rates(members: DataFrame, targets: list[float], low: float = 0.0, rounds
     only replays. The step is the residual, scaled by the Gram matrix of the documents not held at `low`; if the squared
     residual fell by less than a hundredth, the round is taken back and the plain gradient's safe step (one over the
     largest eigenvalue) takes its place.
+
+    grows: the targets are weights that any total may meet. Documents belong to several domains, so raising one domain
+    raises others too; where one has more than its target after a round, all targets grow by that much. Where they are
+    not met in the end a warning says so.
     """
     target = np.array(targets, float)
     d = len(target)
+    most = 2 * target.sum() / max(target[target > 0].min(initial=1.0) / max(target.sum(), 1.0), 1e-9)
 
     def sums(history):
         def run(batches):
@@ -179,6 +185,10 @@ def fit_rates(members: DataFrame, targets: list[float], low: float = 0.0, rounds
     scale = max(1.0, float(np.abs(target).max()))
     plain = False
     for _ in range(rounds):
+        if grows:
+            some = target > 0
+            target = target * min(max(1.0, float((total[some] / target[some]).max(initial=1.0))), max(1.0, most / max(target.sum(), 1.0)))
+            scale = max(1.0, float(np.abs(target).max()))
         miss = target - total
         if np.abs(miss).max() <= tolerance * scale:
             break
@@ -193,12 +203,15 @@ def fit_rates(members: DataFrame, targets: list[float], low: float = 0.0, rounds
                 plain = True
                 continue
         history, total, gram = tried, after, free
+    if grows and np.abs(target - total).max() > 0.01 * scale:
+        warnings.warn(f"the mixture's weights are not met: expected tokens {total.round().tolist()}, aimed at {target.round().tolist()}", stacklevel=2)
     return history, total
 
 
 def aim(members: DataFrame, model: Classifier, targets: dict[str, float], tokens: float | None = None, growth: float | None = None) -> list[float]:
     """Target tokens by domain. growth: the total is what it takes for every domain to keep its tokens, but at most
-    growth times what is there; a domain that would still fall short of what it has aims at that."""
+    growth times what is there (infinity: no bound, and fit_rates lets it grow further where documents of several domains
+    ask for it); a domain that would still fall short of what it has aims at that."""
     weights = np.array([max(0.0, targets.get(x, 0.0)) for x in model.domains])
     weights = weights / max(weights.sum(), 1e-300)
     d = len(model.domains)
@@ -222,7 +235,7 @@ def rates(docs: DataFrame, model: Classifier, targets: dict[str, float], low: fl
     members = stored(memberships(docs, model, id_col, text_col), "memberships")
     if not model.domains:
         return members.select("doc_id", "tokens", F.create_map().cast("map<string,double>").alias("posteriors"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
-    history, _ = fit_rates(members, aim(members, model, targets, tokens, growth), low)
+    history, _ = fit_rates(members, aim(members, model, targets, tokens, growth), low, grows=growth == float("inf"))
     return rated(members, model, history, low)
 
 
@@ -249,7 +262,7 @@ def mix(docs: DataFrame, model: Classifier, targets: dict[str, float], low: floa
     if not model.domains:
         return docs
     members = stored(memberships(docs, model, id_col, text_col), "memberships")
-    history, _ = fit_rates(members, aim(members, model, targets, tokens, growth), low)
+    history, _ = fit_rates(members, aim(members, model, targets, tokens, growth), low, grows=growth == float("inf"))
     data, steps = docs.sparkSession.sparkContext.broadcast(model.to_json()), history.tolist()
 
     @F.pandas_udf("double")

@@ -151,6 +151,34 @@ def test_mixing(spark):
     assert mixed.count() > 83
 
 
+@pytest.mark.parametrize("high", [10, 5])
+def test_the_stage_meets_its_targets(spark, tmp_path, high):
+    """`high` of 15 documents are of the one domain, none is quite of one alone."""
+    import corpus_pipeline
+
+    rng = random.Random(high)
+    words = {"high": [f"a{i}" for i in range(60)], "low": [f"b{i}" for i in range(60)]}
+    rows = []
+    for i in range(1500):
+        mine, other = ("high", "low") if i % 15 < high else ("low", "high")
+        share = rng.choice((0.02, 0.1, 0.3))
+        rows.append((i, " ".join(rng.choice(words[other if rng.random() < share else mine]) for _ in range(20)), mine))
+    spark.createDataFrame([(i, 0, int(d == "high")) for i, _, d in rows], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    table = docs(spark, [(i, t, "s") for i, t, _ in rows])
+    got = corpus_pipeline.mix_domains(spark, table, str(tmp_path))
+    model = mixing.fit_classifier(spark.createDataFrame(rows, "doc_id long, text string, domain string"), "domain")
+    sums = mixing.memberships(got, model).agg(*[F.sum(F.col("tokens") * F.col("p")[k]) for k in range(2)]).first()
+    assert {r.doc_id for r in got.select("doc_id").collect()} == set(range(1500))
+    for k, d in enumerate(model.domains):
+        assert abs(sums[k] / sum(sums) - corpus_pipeline.TARGETS[d]) < 0.02
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    members = spark.createDataFrame([(10, [0.5, 0.5])] * 20, "tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="not met"):
+        mixing.fit_rates(members, [320.0, 80.0], low=1.0, grows=True)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as pipeline
 
