@@ -36,7 +36,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = mixing.fit_classifier(labelled_domains(docs, _table(spark, sf_dir, "labels")), "domain")
     found = mixing.rates(docs, model, MIXTURE)
     p = [F.coalesce(F.col("posteriors")[d], F.lit(0.0)).alias(f"p_{d}") for d in MIXTURE]
-    return found.select("doc_id", "tokens", *p, "rate", "copies")
+    return found.select("doc_id", "tokens", *p, "rate", "copies", "miss")
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
