@@ -231,7 +231,7 @@ def test_targets_out_of_reach_are_reported(spark):
     same = docs(spark, [(i, "none known", "s") for i in range(20)])
     with pytest.warns(UserWarning, match="not met"):
         got = mixing.rates(same, model, {"a": 0.8, "b": 0.2}, low=1.0, free_total=True).collect()
-    assert len({r.miss for r in got}) == 1 and got[0].miss == pytest.approx(0.3, abs=0.08)
+    assert len({r.miss for r in got}) == 1 and got[0].miss == pytest.approx(0.48, abs=0.01)
 
 
 def test_pipeline(spark):
