@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import free_name, text_of
 
 # First and last code point of the letters of each script.
 SCRIPTS = {
@@ -188,10 +188,12 @@ class Model:
 
 
 def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
-    """What viterbi() gives, with the steps left out for texts of one language.
+    """A path of viterbi()'s value, with the steps left out where staying in one language is provably best.
 
-    For a text, let `best` be the language of the highest total. If no other language gains `switch` over it on any run of
-    words, no path with changes is better than staying: each change costs that much."""
+    For a text, let `best` be the language of the highest total, and let a word's gain be what the best of all other
+    languages has over it. A path is `best` but for some runs of words; a run gives its words' gains at most, and each run
+    comes with a change of language, unless it is the whole text in one other language, which gains nothing since
+    `best` has the highest total. So if no run of words gains `switch`, no path is better than staying."""
     path = np.zeros(len(scores), np.int64)
     hard, ends = [], np.cumsum(lengths)
     for i, (end, n) in enumerate(zip(ends.tolist(), lengths.tolist(), strict=True)):
@@ -199,11 +201,13 @@ def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nd
             continue
         s = scores[end - n : end]
         best = int(s.sum(0).argmax())
-        sums = np.concatenate([np.zeros((1, s.shape[1])), np.cumsum(s - s[:, best : best + 1], axis=0)])
-        if (sums - np.minimum.accumulate(sums, axis=0)).max() < switch:
-            path[end - n : end] = best
-        else:
-            hard.append(i)
+        if s.shape[1] > 1:
+            gain = np.delete(s, best, axis=1).max(1) - s[:, best]
+            sums = np.concatenate(([0.0], np.cumsum(gain)))
+            if (sums - np.minimum.accumulate(sums)).max() >= switch:
+                hard.append(i)
+                continue
+        path[end - n : end] = best
     if hard:
         at = np.concatenate([np.arange(ends[i] - lengths[i], ends[i]) for i in hard])
         path[at] = viterbi(scores[at], lengths[hard], switch)
@@ -245,11 +249,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
 def fit_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", rows: int = FIT_ROWS) -> Model:
     """Learns from rows with a language, about `rows` of each (all of rarer ones), chosen by a hash of the id."""
     lang = F.col(label_col)
-    there = {r[0]: r[1] for r in labelled.filter(lang.isNotNull()).groupBy(lang.alias("lang")).count().collect()}
+    there = {r[0]: r[1] for r in labelled.filter(lang.isNotNull()).groupBy(lang.cast("string").alias("lang")).count().collect()}
     if not there:
         return Model([], {}, {}, [])
     share = F.create_map(*[x for k, n in there.items() for x in (F.lit(k), F.lit(min(1.0, rows / n)))])
-    taken = labelled.filter(lang.isNotNull() & (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < share[lang] * (1 << 20))).select(lang.alias("lang"), text_of(labelled, text_col).alias("t"))
+    taken = labelled.filter(lang.isNotNull() & (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < share[lang.cast("string")] * (1 << 20))).select(lang.cast("string").alias("lang"), text_of(labelled, text_col).alias("t"))
 
     def count(batches):
         found: Counter = Counter()
@@ -272,9 +276,9 @@ def fit_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lan
 
     counts = taken.mapInArrow(count, "lang string, g string, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     langs = sorted(there)
-    wide = counts.groupBy("g").pivot("lang", langs).agg(F.sum("n")).fillna(0).withColumn("all", sum((F.coalesce(F.col(f"`{x}`"), F.lit(0)) for x in langs), F.lit(0)))
-    kept = wide.orderBy(F.desc("all"), "g").limit(MODEL_GRAMS).collect()
-    table = {r["g"]: [r[x] or 0 for x in langs] for r in kept}
+    sums = counts.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
+    kept = sums.orderBy(F.desc("n"), "g").limit(MODEL_GRAMS).collect()
+    table = {r.g: [r.by.get(x, 0) for x in langs] for r in kept}
     scripts = {g[1:]: v for g, v in table.items() if g.startswith("\t")}
     words = [max(1, sum(v[k] for v in scripts.values())) for k in range(len(langs))]
     used = {x: [s for s, v in scripts.items() if v[k] > 0.01 * words[k]] or list(scripts) for k, x in enumerate(langs)}
@@ -323,7 +327,8 @@ def _cuts(texts: list[str]):
 def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: float = SWITCH) -> DataFrame:
     """docs with lang_pred (the language of most words; `und` for null texts and those without a letter) and score (0 to 1).
 
-    Columns of those names are replaced. Ties go to the higher total score, then to the first language in order."""
+    Columns of those names are replaced, all others stay. Whole texts count, however long. Ties go to the higher total
+    score, then to the first language in order. Rows that repeat are rows of their own. An empty table gives no rows."""
     data = docs.sparkSession.sparkContext.broadcast(model.to_json())
 
     @F.pandas_udf("lang string, score double")
@@ -333,14 +338,16 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
             found = [x for block in _cuts(texts.tolist()) for x in _predict(one, block, switch)]
             yield pd.DataFrame(found, columns=["lang", "score"])
 
-    both = docs.withColumn("__found", run(text_of(docs, text_col)))
-    return both.withColumn("lang_pred", F.col("__found.lang")).withColumn("score", F.col("__found.score")).drop("__found")
+    found = free_name(docs, "found")
+    both = docs.withColumn(found, run(text_of(docs, text_col)))
+    return both.withColumn("lang_pred", F.col(f"{found}.lang")).withColumn("score", F.col(f"{found}.score")).drop(found)
 
 
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
     """doc_id, first_word, n_words, lang: the runs of words of one language in each text, in order.
 
-    Words are counted as pieces_of() cuts them: a long one, or one of several scripts, is several."""
+    Words are counted as pieces_of() cuts them: a long one, or one of several scripts, is several. Null texts and those
+    without a letter have no run; rows that repeat have their runs each."""
     data = docs.sparkSession.sparkContext.broadcast(model.to_json())
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -76,6 +76,40 @@ def test_viterbi_equals_every_path():
         at += n
 
 
+def path_value(scores, path, switch):
+    return sum(scores[i, k] for i, k in enumerate(path)) - switch * sum(a != b for a, b in zip(path[:-1], path[1:], strict=True))
+
+
+@pytest.mark.parametrize("langs", [1, 2, 3, 4, 5, 6])
+def test_labels_are_worth_what_viterbi_finds(langs):
+    import numpy as np
+
+    rng = np.random.default_rng(langs)
+    shortcut = 0
+    for _ in range(20):
+        lengths = rng.integers(0, 9, 100)
+        bias = np.repeat(rng.normal(size=(100, langs)) * rng.choice((0, 2, 5)), lengths, axis=0)
+        scores = rng.normal(size=(lengths.sum(), langs)) * rng.choice((1.0, 3.0, 6.0)) + bias
+        path, best = language.label_words(scores, lengths, 6.0), language.viterbi(scores, lengths, 6.0)
+        at = 0
+        for n in lengths.tolist():
+            part = slice(at, at + n)
+            assert path_value(scores[part], path[part], 6.0) == pytest.approx(path_value(scores[part], best[part], 6.0))
+            shortcut += len(set(path[part].tolist())) == 1
+            at += n
+    assert shortcut > 100
+    assert language.label_words(np.array([[0, 5, -5.5], [0, -5.5, 5]]), np.array([2]), 6.0).tolist() == [1, 2]
+
+
+def test_language_of_clashing_names(spark):
+    rows = [(i, t, k) for i in range(30) for t, k in (("hello good friend", "g"), ("bonjour mon ami", "all"), ("hallo guter freund", "lang"))]
+    model = language.fit_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    table = docs(spark, [(1, "good friend"), (1, "mon ami"), (1, "mon ami")]).withColumn("found", F.lit("kept")).withColumn("__found", F.lit("kept"))
+    got = language.identify(table, model)
+    assert sorted(r.lang_pred for r in got.collect()) == ["all", "all", "g"]
+    assert {(r.found, r["__found"]) for r in got.collect()} == {("kept", "kept")}
+
+
 def test_language(spark):
     known = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id % 2 = 0")
     model = language.fit_model(known)
