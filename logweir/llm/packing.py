@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .common import batches_of, prefix_sums, stored, text_of
 from .tokens import TEXTS, encoder, widened
 
-#: Tokens that one visit to a queue serves.
-QUANTUM = 256
+#: Tokens that one visit to a queue serves at least; a queue owed less in a window saves its credit for later ones.
+LEAST_VISIT = 16
 #: Bytes of ids that a task hands on at a time.
 BATCH_BYTES = 1 << 23
 
@@ -38,25 +38,28 @@ def tokenised(docs: DataFrame, tokenizer: str, style: str, end_id: int, id_col:
                     yield made(batch, first, ids)
                     ids, first, size = [], first + len(ids), 0
             yield made(batch, first, ids)
+        one.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     source = F.col(source_col).cast("string") if source_col in docs.columns else F.lit(None).cast("string")
     return docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), text_of(docs, text_col).alias("t")).mapInArrow(run, f"doc_id {kind}, source string, ids binary, width int, n long").withColumn("row", F.monotonically_increasing_id())
 
 
-def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int = 1024, quantum: int = QUANTUM) -> DataFrame:
+def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int = 1024, least_visit: int = LEAST_VISIT) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source: each piece of each document's ids, once.
 
-    tokens: what tokenised() gives, already stored (its row numbers must not change between jobs). targets: proportions
-    by source; by default, and for sources they don't name, a source's share of all tokens, so that all queues end
+    tokens: what tokenised() gives, already stored (its row numbers must not change between jobs). targets: weights by
+    source; by default, and for sources they don't name, a source's share of all tokens, so that all queues end
     together. A queue that runs out leaves its turn to the others. A null source is a queue of its own.
 
-    Deficit round-robin: a source's queue is its documents in order of id; each round adds to a queue's credit in
-    proportion to its target, and the queue owed most is served a quantum of tokens, which may cut documents. The state
-    of that loop has a closed form: the i-th quantum of source s is due at round (i + 1/2) * quantum / target(s). So the
-    schedule is a sort by due round, which any partition can do for its own part: no deficit is lost between windows or
-    partitions, and after any number of windows a source is within about a quantum of its target. Sequences are windows
-    of `length` tokens over the scheduled stream, filled to the last token; what is left at the end is cut into
+    Deficit round-robin: a source's queue is its documents in order of id. A round is a window's worth of tokens: each
+    queue's quantum is its target share of `length`, so every round visits every source; what a quantum has beyond whole
+    tokens is carried to the next round, and a source due less than least_visit tokens a round saves its credit until it has
+    them. Documents are cut where a visit ends. The state of that loop has a closed form: the i-th quantum of a source begins
+    at token floor(i * quantum) of its queue and is due at round (i + 1/2) * quantum / (share * length). So the schedule is
+    a sort by due round, which any partition can do for its own part: no deficit is lost between windows or partitions.
+    As long as no queue has run out, any window holds of each source its share of `length`, give or take one token for
+    each source and least_visit for each one that saves its credit, for rounds are that much longer or shorter. Sequences are windows over the scheduled stream, filled to the last token; what is left at the end is cut into
     sequences of powers of two, so nothing is padded. An empty table gives no sequences.
 
     Queues are prefix sums over ranges of (source, id), a hot source over many of them; only row numbers, sources and
@@ -64,26 +67,22 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
     """
     slim = tokens.select("source", "doc_id", "row", "n")
     queued = prefix_sums(slim, ["source"], ["doc_id", "row"], "n", "at", "queues")
+    rates = visits_of(tokens.groupBy("source").agg(F.sum("n").alias("total")), targets, length, least_visit)
     total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    totals = tokens.groupBy("source").agg(F.sum("n").alias("total"))
-    share = F.col("total").cast("double")
-    if targets:
-        named = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v) * total))])
-        share = F.coalesce(named[F.coalesce("source", F.lit(""))], share)
-    share = F.greatest(share, F.lit(1e-9))  # a target of nothing: after all others
-    rates = totals.select(F.col("source").alias("of"), share.alias("rate"))
     rated = queued.join(rates, queued.source.eqNullSafe(rates.of)).drop("of")
-    first = F.floor(F.col("at") / quantum)
-    last = F.floor((F.col("at") + F.col("n") - 1) / quantum)
+    # one visit more on either side, for products of fractions are rounded; those without tokens go
+    first = F.greatest(F.floor(F.col("at") / F.col("quantum")) - 1, F.lit(0))
+    last = F.floor((F.col("at") + F.col("n")) / F.col("quantum")) + 1
     visits = rated.withColumn("visit", F.explode(F.sequence(first, last)))
+    begin, end = (F.floor((F.col("visit") + i) * F.col("quantum")) for i in (0, 1))
     cut = visits.select(
         "row",
         "source",
-        F.greatest(F.col("visit") * quantum - F.col("at"), F.lit(0)).alias("start"),
-        F.least((F.col("visit") + 1) * quantum - F.col("at"), F.col("n")).alias("stop"),
-        ((F.col("visit") + 0.5) * quantum / F.col("rate")).alias("due"),
-        F.greatest(F.col("visit") * quantum, F.col("at")).alias("queue_at"),
-    ).withColumn("size", F.col("stop") - F.col("start"))
+        F.greatest(begin - F.col("at"), F.lit(0)).alias("start"),
+        F.least(end - F.col("at"), F.col("n")).alias("stop"),
+        ((F.col("visit") + 0.5) * F.col("every")).alias("due"),
+        F.greatest(begin, F.col("at")).alias("queue_at"),
+    ).withColumn("size", F.col("stop") - F.col("start")).filter("size > 0")
     placed = prefix_sums(cut, [], ["due", "source", "queue_at"], "size", "place", "schedule")
     pieces = placed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "size", "place"))).alias("pieces"))
     edges = _tail(total, length)
@@ -109,6 +108,20 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
     return met.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
 
 
+def visits_of(totals: DataFrame, targets: dict[str, float] | None, length: int, least_visit: int) -> DataFrame:
+    """of (the source), quantum (tokens of a visit) and every (rounds from one visit to the next) from the sources' totals."""
+    share = F.col("total").cast("double")
+    if targets:
+        named = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
+        whole = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+        share = F.coalesce(named[F.coalesce("source", F.lit(""))] * float(whole) / sum(targets.values()), share)
+    share = F.greatest(share, F.lit(1e-9))  # a target of nothing: after all others
+    shares = totals.select(F.col("source").alias("of"), share.alias("share"))
+    summed = shares.agg(F.coalesce(F.sum("share"), F.lit(1.0))).first()[0]
+    tokens = F.col("share") * (length / summed)
+    return shares.withColumn("quantum", F.greatest(tokens, F.lit(float(least_visit)))).select("of", "quantum", (F.col("quantum") / tokens).alias("every"))
+
+
 def _tail(total: int, length: int) -> list[tuple[int, int]]:
     """(first place, size) of the sequences at the stream's end that aren't whole: powers of two, large ones first."""
     at, out = total - total % length, []

@@ -13,6 +13,8 @@ from .common import held_out, labelled_sample
 #: Weights of the domains that op1_mixing aims at.
 MIXTURE = {"high": 0.75, "low": 0.2, "toxic": 0.05}
 TOXIC_FROM = 0.3
+#: Weights of the sources that op4_packing aims at: the first counts three times; sources not named keep their share.
+SOURCE_TARGETS = {f"src{i}": 1.0 + 2.0 * (i == 0) for i in range(20)}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +69,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), targets=SOURCE_TARGETS)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

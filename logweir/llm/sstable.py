@@ -179,6 +179,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, style: str, end_id:
                     out = system.open_output_stream(draft)
                     writer = ShardWriter(out, one.width)
                 writer.add(key_of(k), one.encode(t) + end)
+        one.forget()
         if writer is not None:
             size = writer.finish()
             out.close()

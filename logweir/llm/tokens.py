@@ -17,8 +17,9 @@ TEXTS = 1_000
 LONGEST = 64
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 _PART_START = re.compile(r"(?=[ \n]\S)")
-#: A part of one word and one run of signs after it, letters and signs such that no tokenizer here normalises or cuts them otherwise.
-_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\[\]^_`{|}~-]*)")
+#: A part of one word of these letters and a run of these signs after it is cut between them, and nowhere else, by all tokenizers here.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SIGNS = "!\"#$%&()*+,./:;<=>?@[]^_`{|}~-"
 #: How byte-level vocabularies write bytes: printable Latin-1 signs as they are, others from 256 on in order.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
 _BYTE_SIGNS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
@@ -75,19 +76,27 @@ class Encoder:
         return self.packed([t.id for t in self.model.tokenize(shown)])
 
     def _after(self, before: str):
+        space = before.replace("\n", "")
+
         def make(part: str) -> bytes | None:
             if before and (not part or part[0].isspace()):
                 return None  # the place before it isn't where a piece starts
-            simple = _SIMPLE.fullmatch(before.replace("\n", "") + part)
-            if simple is None:
+            word = part.rstrip(_SIGNS)
+            blank, letters = (" ", word[1:]) if not space and word[:1] == " " else (space, word)
+            if not (letters.isascii() and letters.isalpha() or _LETTERS.fullmatch(letters)):
                 return self._whole(before + part)
-            space, word, signs = simple.groups()
-            out = self.words[word.lower()] if self.style == "words" else self._word(space + word)
-            out = out + self.words[signs] if signs else out
+            out = self.words[letters.lower()] if self.style == "words" else self._word(blank + letters)
+            if len(word) < len(part):
+                out += self.words[part[len(word) :]]
             return self.words[before] + out if before == "\n" else out
 
         return make
 
+    def forget(self) -> None:
+        """Lets go of what is remembered: a worker's next task may be another operator's."""
+        for held in (self.words, self.first, self.rest, self.lines):
+            held.clear()
+
     def encode(self, text: str) -> bytes:
         if self.style == "whole" or any(s in text for s in self.special):
             return self._whole(text)

@@ -59,15 +59,50 @@ def test_packing(spark):
         part = ids[p.doc_id][p.start : p.start + p.length]
         assert p.doc_tokens == len(ids[p.doc_id]) and len(part) == p.length
         assert p.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
-    order = sorted(got, key=lambda p: (p.sequence_id, p.offset))
-    share = {}
-    for p in order:
-        share[p.source] = share.get(p.source, 0) + p.length
-    whole, served, at = sum(share.values()), dict.fromkeys(share, 0), 0
-    for p in order:
-        served[p.source] += p.length
-        at += p.length
-        assert all(abs(served[s] - at * share[s] / whole) <= 2 * packing.QUANTUM for s in share)
+
+
+def plain_schedule(queues, weights, length, least):
+    """(source, first token, tokens) of visits by a plain loop: the queue that is due first is served, until all are empty."""
+    rate = {s: length * weights[s] / sum(weights.values()) for s in queues}
+    quantum = {s: max(r, least) for s, r in rate.items()}
+    visit, at, out = dict.fromkeys(queues, 0), dict.fromkeys(queues, 0), []
+    while left := [s for s in queues if at[s] < queues[s]]:
+        s = min(left, key=lambda s: ((visit[s] + 0.5) * (quantum[s] / rate[s]), s))
+        visit[s] += 1
+        end = min(int(visit[s] * quantum[s]), queues[s])
+        if end > at[s]:
+            out.append((s, at[s], end - at[s]))
+            at[s] = end
+    return out
+
+
+@pytest.mark.parametrize("targets", [None, {"a": 5, "b": 3, "c": 1.5, "d": 0.45, "e": 0.05}])
+def test_schedule_equals_a_plain_round_robin(spark, targets):
+    rng = random.Random(4)
+    sizes = {"a": 9000, "b": 7000, "c": 4000, "d": 300, "e": 40}
+    rows, i = [], 0
+    for source, left in sizes.items():
+        while left:
+            n = min(left, rng.choice((1, 7, 60, 900)))
+            rows.append((i, source, "", 2, n, i))
+            i, left = i + 1, left - n
+    rng.shuffle(rows)
+    table = spark.createDataFrame([(r[0], r[1], bytes(2 * r[4]), r[3], r[4], r[5]) for r in rows], "doc_id long, source string, ids binary, width int, n long, row long")
+    pieces = sorted(packing.pack(stored(table, "t"), targets).collect(), key=lambda p: (p.sequence_id, p.offset))
+    before, at = {}, dict.fromkeys(sizes, 0)
+    for d, source, *_, n, _ in sorted(rows):
+        before[d], at[source] = at[source], at[source] + n
+    got = [(p.source, before[p.doc_id] + p.start + k) for p in pieces for k in range(p.length)]
+    weights = {s: (targets or sizes)[s] for s in sizes}
+    wanted = [(s, first + k) for s, first, n in plain_schedule(sizes, weights, 1024, packing.LEAST_VISIT) for k in range(n)]
+    assert got == wanted
+    end = min(max(i for i, (s, _) in enumerate(got) if s == source) for source in sizes) // 1024 - 1  # before any queue runs out
+    share = {s: 1024 * w / sum(weights.values()) for s, w in weights.items()}
+    few = sum(x < packing.LEAST_VISIT for x in share.values())
+    assert end > 3 and few
+    for w in range(end):
+        window = [s for s, _ in got[1024 * w : 1024 * (w + 1)]]
+        assert all(abs(window.count(s) - share[s]) <= len(share) + packing.LEAST_VISIT * few for s in share)
 
 
 def test_packing_to_targets_and_nothing(spark):
@@ -75,7 +110,8 @@ def test_packing_to_targets_and_nothing(spark):
     rows = [(i, "word " * 600, "ab"[i % 2]) for i in range(20)]
     got = packing.pack_documents(docs(spark, rows), path, targets={"a": 0.75, "b": 0.25}).collect()
     first = [p for p in got if p.sequence_id < 6]
-    assert abs(sum(p.length for p in first if p.source == "a") / sum(p.length for p in first) - 0.75) < 0.1
+    for w in range(6):
+        assert abs(sum(p.length for p in first if p.source == "a" and p.sequence_id == w) - 768) <= 2
     assert packing.pack_documents(docs(spark, []), path).count() == 0
     bare = docs(spark, rows[:1]).drop("source")
     assert packing.pack_documents(bare, path).agg(F.sum("length")).first()[0] > 0
