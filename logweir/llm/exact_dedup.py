@@ -11,8 +11,10 @@ from .common import free_name, stored, text_of
 PREFIX_CHARS = 64
 
 
-#: Survivors of the prefix step that are broadcast, at most; each is a length and a hash.
+#: Keys that are broadcast, at most: survivors of the prefix step, dropped documents, or groups that hold more than a share
+#: of one in HOT_GROUPS of all rows (there can't be more of those).
 BROADCAST_ROWS = 200_000
+HOT_GROUPS = 10_000
 
 
 def normalised(text):
@@ -20,20 +22,34 @@ def normalised(text):
     return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) -> DataFrame:
-    """doc_id, text_sha256, suspect for each row; without digests the hash is null unless the row is suspect, where that is cheaper."""
+def _met(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows (stored ones, each with its key in table) joined to table, which has a row for each key and the number of its
+    rows. Hot keys are few by their size, so they are broadcast and their rows stay where they are; no other key fills a task."""
+    hot = F.col(size) > total / HOT_GROUPS
+    large = F.broadcast(table.filter(hot))
+    return rows.join(large, keys).unionByName(rows.join(large, keys, "left_anti").join(table.filter(~hot), keys))
+
+
+def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) -> tuple[DataFrame, int]:
+    """doc_id, text_sha256, suspect for each row, stored, and the number of rows. Without digests only suspects have a hash."""
     text = normalised(text_of(docs, text_col))
-    slim = docs.select(F.length(text).alias("len"), F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("prefix"))
-    lengths = slim.groupBy("len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len")
-    suspects = slim.join(lengths, "len", "left_semi").groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len", "prefix", F.lit(True).alias("suspect"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select("doc_id", "text", F.length("text").alias("len"), F.xxhash64(F.substring("text", 1, PREFIX_CHARS)).alias("prefix"))
-    suspect = F.coalesce("suspect", F.lit(False))
-    if not digests:
-        suspects = stored(suspects, "suspects")
-        if suspects.count() <= BROADCAST_ROWS:
-            return rows.join(F.broadcast(suspects), ["len", "prefix"], "left").select("doc_id", F.when(suspect, F.sha2("text", 256)).alias("text_sha256"), suspect.alias("suspect"))
-    # hashes move to the survivors, for texts would be a shuffle of the whole corpus
-    return rows.select("doc_id", "len", "prefix", F.sha2("text", 256).alias("text_sha256")).join(suspects, ["len", "prefix"], "left").select("doc_id", "text_sha256", suspect.alias("suspect"))
+    measured = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select("doc_id", "text", F.length("text").alias("len"), F.xxhash64(F.substring("text", 1, PREFIX_CHARS)).alias("prefix"))
+    sha = F.sha2("text", 256).alias("text_sha256")
+    slim = stored(measured.select("doc_id", "len", "prefix", *[sha] * digests), "lengths")
+    pairs = slim.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    lengths = pairs.groupBy("len").agg(F.sum("n").alias("all")).filter("all > 1").select("len")
+    suspects = stored(pairs.join(lengths, "len", "left_semi").filter("n > 1"), "suspects")
+    total = slim.count()
+    if digests:
+        many = _met(slim, suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
+        alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", "text_sha256", F.lit(False).alias("suspect"))
+        return many.unionByName(alone), total
+    if suspects.count() <= BROADCAST_ROWS:
+        many = measured.join(F.broadcast(suspects), ["len", "prefix"], "left_semi").select("doc_id", sha, F.lit(True).alias("suspect"))
+    else:  # hashes move to the survivors, for texts would be a shuffle of the whole corpus
+        many = _met(stored(measured.select("doc_id", "len", "prefix", sha), "hashes"), suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
+    alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", F.lit(None).cast("string").alias("text_sha256"), F.lit(False).alias("suspect"))
+    return many.unionByName(alone), total
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = True) -> DataFrame:
@@ -44,43 +60,42 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     count in group_size, and one of them is kept. Other columns, whatever their names, aren't read. An empty table
     gives an empty result.
 
-    Three passes, each over fewer rows: lengths that occur twice; among those, (length, prefix hash) that occur twice;
-    only rows that survive both meet their group by the full hash, which others have for themselves alone. With digests
-    every row shows its hash, so every text is read to its end; without, text_sha256 is null for texts that are unique by
-    length or prefix, and survivors few enough to broadcast spare the rest the hash. Group sizes and keepers are
-    pre-aggregated; joins carry ids and hashes, never texts, and a hot group is a skewed join's to split.
+    Refinement over fewer rows each time: lengths that occur twice; among those, (length, prefix hash) that occur twice;
+    only rows that survive both meet their group by the full hash, which others have for themselves alone. One scan of
+    the texts gives lengths and prefix hashes, and with digests, which every row shows, the full hashes too; without,
+    text_sha256 is null for texts that are unique by length or prefix, and a second scan hashes the survivors. Group
+    sizes and keepers are pre-aggregated; joins carry ids and hashes, never texts, and rows of a hot group don't move.
     """
-    full = _full_hashes(docs, id_col, text_col, digests)
+    full, total = _full_hashes(docs, id_col, text_col, digests)
     # copies of one (id, text) become one row with a count, and are dealt out again at the end
-    ids = full.groupBy("text_sha256", "doc_id", "suspect").agg(F.count(F.lit(1)).alias("copies"))
-    groups = ids.filter("suspect").groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    # a unique text without a hash joins by its id, which is no hash: nulls would all meet in one task
-    keyed = ids.withColumn("key", F.coalesce("text_sha256", F.col("doc_id").cast("string"), F.lit("")))
-    met = keyed.join(groups.withColumnRenamed("text_sha256", "key"), "key", "left").select(
-        "doc_id",
-        F.when(F.col("suspect"), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        F.when(F.col("suspect"), F.col("group_size")).otherwise(1).cast("long").alias("group_size"),
-        "text_sha256",
-        "copies",
-    )
+    ids = stored(full.groupBy("text_sha256", "doc_id", "suspect").agg(F.count(F.lit(1)).alias("copies")), "hashed-ids")
+    shared = ids.filter("suspect")
+    groups = stored(shared.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")), "groups")
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256", "copies"]
+    alone = ids.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.col("copies").alias("group_size"), "text_sha256", "copies")
+    met = _met(shared, groups, ["text_sha256"], "group_size", total).select(columns).unionByName(alone)
     dealt = met.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & ((F.col("copy") == 1) | F.col("text_sha256").isNull())
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return dealt.select("doc_id", "keep_id", "group_size", first.alias("kept"), "text_sha256")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that duplicate_groups() doesn't keep, all columns as they were.
 
-    Of rows that repeat id and text but differ elsewhere, any one stays.
+    Of rows that repeat id and text but differ elsewhere, any one stays. Texts are hashed only where length and prefix
+    hash are shared, and once more only where the id is one of those that go.
     """
     sha, doc, key = (free_name(docs, c) for c in ("gone_sha", "gone_doc", "text_sha"))
-    found = duplicate_groups(docs, id_col, text_col).groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    found = duplicate_groups(docs, id_col, text_col, digests=False).filter(F.col("text_sha256").isNotNull())
+    found = found.groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
     gone = stored(found.filter("not kept or n > 1").select(F.col("text_sha256").alias(sha), F.col("doc_id").alias(doc), F.col("kept").alias("again")), "gone")
-    marked = docs.withColumn(key, F.sha2(normalised(text_of(docs, text_col)), 256))
-    on = (F.col(key) == F.col(sha)) & F.col(id_col).eqNullSafe(F.col(doc))
+    # the hash is no key of the join, so only rows whose id is met are hashed
+    hashed = F.sha2(normalised(text_of(docs, text_col)), 256)
+    on = F.col(id_col).eqNullSafe(F.col(doc)) & ((hashed == F.col(sha)) | F.col(sha).isNull())
     small = gone.count() <= BROADCAST_ROWS
-    out = marked.join(F.broadcast(gone) if small else gone, on, "left_anti")
+    out = docs.join(F.broadcast(gone) if small else gone, on, "left_anti")
     again = gone.filter("again").drop("again")
     if again.limit(1).count():  # rows that repeat a keeper: one of each comes back
-        out = out.unionByName(marked.join(F.broadcast(again) if small else again, on, "left_semi").dropDuplicates([key, id_col]))
-    return out.select(docs.columns)
+        back = docs.join(F.broadcast(again) if small else again, on, "left_semi").withColumn(key, hashed)
+        out = out.unionByName(back.dropDuplicates([key, id_col]).drop(key))
+    return out

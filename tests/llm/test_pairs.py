@@ -50,6 +50,22 @@ def test_exact_duplicates_go(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 4, 6, 7, None, 8, 10, 11]))
 
 
+@pytest.mark.parametrize("digests", [True, False])
+def test_hot_groups_and_shuffled_survivors(spark, monkeypatch, digests):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(exact_dedup, "HOT_GROUPS", 10)
+    rows = [(i, "hot  text" if i % 3 else f"text {i // 2} {i}") for i in range(300)] + [(i, "two") for i in (900, 901)]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.duplicate_groups(table(spark, rows), digests=digests).collect()}
+    assert len(got) == 302 and got[1] == (1, 200, True) and got[299] == (1, 200, False) and got[901] == (900, 2, False) and got[3] == (3, 1, True)
+    assert exact_dedup.drop_duplicates(table(spark, rows)).count() == 102
+
+
+def test_only_suspects_are_hashed(spark):
+    rows = [(1, "abc"), (2, "abcd"), (3, "x" * 64 + "1"), (4, "x" * 64 + "2"), (5, "same"), (6, "same")]
+    got = {r.doc_id: r.text_sha256 is not None for r in exact_dedup.duplicate_groups(table(spark, rows), digests=False).collect()}
+    assert got == {1: False, 2: False, 3: True, 4: True, 5: True, 6: True}
+
+
 def test_exact_on_no_rows(spark):
     assert exact_dedup.duplicate_groups(table(spark, [])).count() == 0
     assert exact_dedup.drop_duplicates(table(spark, [])).count() == 0
