@@ -8,28 +8,36 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TOKENS = re.compile(r"[a-z0-9]+")
+from .common import free_name
+
+_TOKENS = re.compile(r"[A-Za-z0-9]+")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule of a host and the beginning of a path, or of a host's pattern. Among rules that fit, the longest name wins, exact ones before patterns."""
+    """A pattern over host, a zero byte, path. tokens: runs of ASCII letters and digits that every url it fits has as runs of
+    their own; a rule without any is tried on every url. Among rules that fit, the longest name wins."""
 
     verdict: str
     name: str
     pattern: str
     tokens: tuple[str, ...]
-    exact: bool = True
 
 
 def host_rule(verdict: str, host: str, path: str = "/") -> Rule:
     """Fits the host and all its subdomains where the path starts with `path`. It is matched against host, a zero byte, path."""
-    return Rule(verdict, host + path, rf"(?:^|\.){re.escape(host)}\x00{re.escape(path)}", tuple(_TOKENS.findall(host)))
+    ended = re.match(r".*(?![A-Za-z0-9]).", path, re.DOTALL)  # a path may go on after what the rule ends with
+    return Rule(verdict, host + path, rf"(?:^|\.){re.escape(host)}\x00{re.escape(path)}", tuple(_TOKENS.findall(host) + _TOKENS.findall(ended[0] if ended else "")))
 
 
 def word_rule(verdict: str, word: str) -> Rule:
     """Fits hosts with a label that has the word or words, such as cheap-pills."""
-    return Rule(verdict, word, rf"(?:^|[.-]){re.escape(word)}(?:[.-][^\x00]*)?\x00", tuple(_TOKENS.findall(word)), False)
+    return Rule(verdict, word, rf"(?:^|[.-]){re.escape(word)}(?:[.-][^\x00]*)?\x00", tuple(_TOKENS.findall(word)))
+
+
+def path_rule(verdict: str, part: str) -> Rule:
+    """Fits paths that have the part between slashes (at the path's end one may be missing), such as wp-admin."""
+    return Rule(verdict, f"/{part}/", rf"\x00(?:[^\x00]*/)?{re.escape(part)}(?:/|$)", tuple(_TOKENS.findall(part)))
 
 
 # Words that hosts of spam and advertising carry.
@@ -51,26 +59,28 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def index_rules(hosts: DataFrame, rules: tuple[Rule, ...], host_col: str = "host") -> dict[str, list[Rule]]:
-    """Token to rules: each rule under the one of its tokens that the fewest hosts have (ties: the first in order).
+def index_rules(pages: DataFrame, rules: tuple[Rule, ...], host_col: str = "host", path_col: str = "path") -> dict[str | None, list[Rule]]:
+    """Token to rules: each rule under the one of its tokens that the fewest urls have (ties: the first in order); under None
+    the rules without tokens, which are always tried.
 
     Counts cover all rows; only tokens that some rule has are counted, so what comes back is bounded by the rules."""
     named = sorted({t for r in rules for t in r.tokens})
-    tokens = F.array_distinct(F.regexp_extract_all(F.col(host_col), F.lit("([a-z0-9]+)"), 1))
-    counts = {r[0]: r[1] for r in hosts.select(F.explode(F.array_intersect(tokens, F.array(*map(F.lit, named)) if named else F.array().cast("array<string>"))).alias("t")).groupBy("t").count().collect()}
-    index: dict[str, list[Rule]] = {}
+    tokens = F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", host_col, path_col), F.lit("([A-Za-z0-9]+)"), 1))
+    counts = {r[0]: r[1] for r in pages.select(F.explode(F.array_intersect(tokens, F.array(*map(F.lit, named)) if named else F.array().cast("array<string>"))).alias("t")).groupBy("t").count().collect()}
+    index: dict[str | None, list[Rule]] = {}
     for r in rules:
-        index.setdefault(min(r.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(r)
+        index.setdefault(min(r.tokens, key=lambda t: (counts.get(t, 0), t), default=None), []).append(r)
     return index
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], defaults: tuple[Rule, ...] = DEFAULT_RULES, url_col: str = "url") -> DataFrame:
     """pages with host, path, rule, verdict, reason; columns of those names are replaced.
 
-    A url's tokens fetch the rules indexed under them, and only these run their patterns. Of `rules` that fit, the one of
+    The tokens of a url's host and path fetch the rules indexed under them, and only these run their patterns. Of `rules` that fit, the one of
     the longest name decides (ties: the first in order of name); rule is its name. Otherwise rule is null and `defaults`
     decide the same way; where none fits the url is allowed. reason: the name of what decided, null for nothing. Null
-    urls have an empty host and path and are allowed. Rows that repeat each have their row; no row moves.
+    urls have an empty host and path, which no rule with tokens fits. Rows that repeat each have their row, whole urls are
+    judged however long, an empty table gives no rows; no row moves.
     """
     url = F.col(url_col)
     held = pages.withColumn("host", host_of(url)).withColumn("path", path_of(url))
@@ -84,7 +94,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], defaults: tuple[Rule, ...]
 
         def decide(host, path):
             best = None
-            for token in set(_TOKENS.findall(host)).intersection(lists):
+            for token in {None, *_TOKENS.findall(host), *_TOKENS.findall(path)}.intersection(lists):
                 for r in lists[token]:
                     p = compiled.get(r.pattern) or compiled.setdefault(r.pattern, re.compile(r.pattern))
                     if p.search(f"{host}\x00{path}"):
@@ -99,5 +109,6 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], defaults: tuple[Rule, ...]
         for hosts, paths in batches:
             yield pd.DataFrame([decide(h, p) for h, p in zip(hosts, paths, strict=True)], columns=["rule", "verdict", "reason"], dtype=object)
 
-    found = held.withColumn("__judged", run("host", "path"))
-    return found.withColumn("rule", F.col("__judged.rule")).withColumn("verdict", F.col("__judged.verdict")).withColumn("reason", F.col("__judged.reason")).drop("__judged")
+    judged = free_name(held, "judged")
+    found = held.withColumn(judged, run("host", "path"))
+    return found.withColumns({c: F.col(f"{judged}.{c}") for c in ("rule", "verdict", "reason")}).drop(judged)

@@ -234,5 +234,20 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages, queries.URL_RULES).collect()}
     assert got == {i: plain_judge(u) for i, u in enumerate(URLS)}
     assert urls.judge(pages.limit(0), queries.URL_RULES).count() == 0
-    index = urls.index_rules(spark.createDataFrame([("a.example.net",), ("b.example.net",), ("c.net",)], "host string"), queries.URL_RULES)
-    assert "example" in index and any(r.name == "example.net/en/" for r in index["example"])
+    index = urls.index_rules(spark.createDataFrame([("a.example.net", "/"), ("b.example.net", "/x"), ("c.net", "/example")], "host string, path string"), queries.URL_RULES)
+    assert any(r.name == "example.net/en/" for r in index["en"]) and any(r.name == "net/" for r in index["net"])
+
+
+def test_every_rule_is_fetched_where_it_fits(spark):
+    """Indexed rules decide as trying every rule does."""
+    rules = (*queries.URL_RULES, urls.host_rule("block", "site.org", "/de/fo"), urls.host_rule("block", "é.ü", "/"), urls.path_rule("block", "wp-admin"), urls.path_rule("allow", "Ünlü"), urls.Rule("block", "long", r"\x00.{60,}", ()), urls.word_rule("allow", "free"))
+    found = [*URLS, "http://site.org/de/foobar", "http://site.org/de/f", "http://é.ü/", "http://x.é.ü/a", "http://a/b/wp-admin", "http://a/wp-admin2/", "http://a/Ünlü/", "http://q/" + "z" * 100_000, "http://my-free.thing/", "http://a.b/wp-admin?x", "http://"]
+    pages = spark.createDataFrame([(i, u, "kept") for i, u in enumerate(found)] + [(0, found[0], "kept")], "page_id long, url string, judged string")
+    got = urls.judge(pages, rules).collect()
+    assert len(got) == len(found) + 1 and {r.judged for r in got} == {"kept"}
+    for r in got:
+        fits = [x for x in rules if re.search(x.pattern, f"{r.host}\x00{r.path}")]
+        best = min(fits, key=lambda x: (-len(x.name), x.name), default=None)
+        assert r.rule == (best.name if best else None), r.url[:60]
+        if best:
+            assert r.verdict == best.verdict
