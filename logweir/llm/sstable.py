@@ -17,6 +17,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ from .tokens import TEXTS, encoder, widened
 
 MAGIC = b"TOKSST02"
 BLOCK_BYTES = 1 << 16
+#: Bytes of text that a shard has on average, at most.
+SHARD_BYTES = 1 << 27
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 _ENTRY, _INDEX, _FOOTER = struct.Struct("<HHI"), struct.Struct("<QIIH"), struct.Struct("<QQQQIQQII8s")
 
@@ -43,9 +46,13 @@ def id_of(key: bytes) -> int | None:
     return None if not key else struct.unpack(">Q", key)[0] - (1 << 63)
 
 
-def _places(key: bytes, bits: int, hashes: int) -> list[int]:
+def _hashes(key: bytes) -> tuple[int, int]:
     h = xxhash.xxh3_128_intdigest(key)
-    a, b = h & ((1 << 64) - 1), (h >> 64) | 1
+    return h & ((1 << 64) - 1), (h >> 64) | 1
+
+
+def _places(key: bytes, bits: int, hashes: int) -> list[int]:
+    a, b = _hashes(key)
     return [(a + i * b) % bits for i in range(hashes)]
 
 
@@ -53,12 +60,14 @@ class ShardWriter:
     """Entries must come in ascending order of key; equal keys may follow each other. Blocks are written as they fill."""
 
     def __init__(self, out, width: int = 4):
-        self.out, self.width, self.at, self.index, self.keys = out, width, 0, [], []
-        self.block, self.first, self.last, self.entries, self.ids = bytearray(), b"", b"", 0, 0
+        self.out, self.width, self.at, self.index, self.keys = out, width, 0, [], array("Q")
+        self.block, self.first, self.last, self.entries, self.ids, self.documents, self.least = bytearray(), b"", b"", 0, 0, 0, b""
 
     def add(self, key: bytes, ids: bytes) -> None:
-        if self.keys and key < self.last:
+        if self.documents and key < self.last:
             raise ValueError("keys must ascend")
+        if not self.documents:
+            self.least = key
         shared = 0 if not self.entries else len(os.path.commonprefix([self.last, key]))
         if not self.entries:
             self.first = key
@@ -66,7 +75,8 @@ class ShardWriter:
         self.last = key
         self.entries += 1
         self.ids += len(ids) // self.width
-        self.keys.append(key)
+        self.documents += 1
+        self.keys.extend(_hashes(key))
         if len(self.block) >= BLOCK_BYTES:
             self._flush()
 
@@ -81,12 +91,13 @@ class ShardWriter:
         """Writes what is left; the size in bytes."""
         self._flush()
         index = b"".join(_INDEX.pack(at, size, n, len(key)) + key for at, size, n, key in self.index)
-        bits = max(64, len(self.keys) * BLOOM_BITS)
+        bits = max(64, self.documents * BLOOM_BITS)
         bloom = bytearray((bits + 7) // 8)
-        for key in self.keys:
-            for p in _places(key, len(bloom) * 8, BLOOM_HASHES):
+        for a, b in zip(self.keys[::2], self.keys[1::2], strict=True):
+            for i in range(BLOOM_HASHES):
+                p = (a + i * b) % (len(bloom) * 8)
                 bloom[p >> 3] |= 1 << (p & 7)
-        footer = _FOOTER.pack(self.at, len(index), self.at + len(index), len(bloom), BLOOM_HASHES, len(self.keys), self.ids, self.width, zlib.crc32(index + bytes(bloom)), MAGIC)
+        footer = _FOOTER.pack(self.at, len(index), self.at + len(index), len(bloom), BLOOM_HASHES, self.documents, self.ids, self.width, zlib.crc32(index + bytes(bloom)), MAGIC)
         self.out.write(index + bytes(bloom) + footer)
         return self.at + len(index) + len(bloom) + len(footer)
 
@@ -154,17 +165,21 @@ def _place(uri: str):
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, style: str, end_id: int, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes docs and writes one shard for each range of ids; the manifest: shard, file, documents, ids, bytes.
+    """Encodes docs and writes one shard for each range of ids; the manifest: shard, file, documents, ids, bytes, and the
+    least and greatest key (see key_of()).
 
-    Rows are dealt by range of (id, hash of the text), so shards ascend and a range is one task's. Within one id, rows
+    shards: by default as many as SHARD_BYTES of text ask for, or as the session has shuffle partitions if those are more. Rows are dealt by range of (id, hash of the text), so shards ascend and a range is one task's. Within one id, rows
     stand in order of that hash. Null texts count as empty. A task writes to a name of its own and renames at its end,
-    so a task that ran twice leaves one shard; the manifest, stored when all are written, says which files count.
+    so a task that ran twice leaves one shard; the manifest, stored when all are written, says which files count. What a
+    task holds of a document once it is written is two hashes for the filter.
     """
     spark = docs.sparkSession
     key = F.col(id_col).cast("long")
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(text_of(docs, text_col)).cast("long"))).first()[0] or 0
+        shards = max(-(-size // SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(key.alias("k"), F.xxhash64(text_of(docs, text_col)).alias("h"), text_of(docs, text_col).alias("t"))
-    dealt = rows.repartitionByRange(n, F.col("k").asc_nulls_first(), F.col("h")).sortWithinPartitions(F.col("k").asc_nulls_first(), "h").select(F.spark_partition_id().alias("p"), "k", "t")
+    dealt = rows.repartitionByRange(shards, F.col("k").asc_nulls_first(), F.col("h")).sortWithinPartitions(F.col("k").asc_nulls_first(), "h").select(F.spark_partition_id().alias("p"), "k", "t")
 
     def run(batches):
         one = encoder(tokenizer, style)
@@ -184,10 +199,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, style: str, end_id:
             size = writer.finish()
             out.close()
             system.move(draft, f"{base}/{final}")
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{path}/{final}"]), *(pa.array([x], pa.int64()) for x in (len(writer.keys), writer.ids, size))], ["shard", "file", "documents", "ids", "bytes"])
+            numbers = (pa.array([x], pa.int64()) for x in (writer.documents, writer.ids, size))
+            keys = (pa.array([x], pa.binary()) for x in (writer.least, writer.last))
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{path}/{final}"]), *numbers, *keys], ["shard", "file", "documents", "ids", "bytes", "least", "greatest"])
 
     with batches_of(spark, TEXTS):
-        return stored(dealt.mapInArrow(run, "shard int, file string, documents long, ids long, bytes long"), "manifest")
+        return stored(dealt.mapInArrow(run, "shard int, file string, documents long, ids long, bytes long, least binary, greatest binary"), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -220,12 +237,14 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
 
 def lookup(manifest_rows: list, doc_id: int | None) -> list[bytes]:
-    """The ids of a document from the shards that can hold it, by filter and binary search."""
-    out = []
-    for row in manifest_rows:
-        system, path = _place(row.file)
-        with system.open_input_file(path) as f:
-            out += ShardReader(f).get(key_of(doc_id))
+    """The ids of each document of that id (null ids have a key too), in the order they are stored; none: an empty list.
+    Only shards whose keys span it are opened, and their filter asked before a block is read."""
+    key, out = key_of(doc_id), []
+    for row in sorted(manifest_rows, key=lambda r: r.shard):
+        if row.least <= key <= row.greatest:
+            system, path = _place(row.file)
+            with system.open_input_file(path) as f:
+                out += ShardReader(f).get(key)
     return out
 
 

@@ -132,6 +132,15 @@ def test_shards_round_trip_and_look_up(spark):
     assert len(sstable.lookup(files, 5001)) == 2 and len(sstable.lookup(files, None)) == 1
     assert np.frombuffer(sstable.lookup(files, 20)[0], "<u4").tolist() == dict(wanted)[20]
     assert sstable.lookup(files, 21) == []
+    assert all(a.greatest <= b.least for a, b in zip(sorted(files, key=lambda r: r.shard), sorted(files, key=lambda r: r.shard)[1:], strict=False))
+    opened = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sstable, "_place", lambda uri: opened.append(uri) or sstable.pafs.FileSystem.from_uri(uri))
+        sstable.lookup(files, 20)
+    assert len(opened) == 1
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sstable, "SHARD_BYTES", 100)
+        assert sstable.write_shards(docs(spark, rows), sstable.shard_folder(spark), path, "words", 2).count() > 10
     assert sstable.read_shards(sstable.write_shards(docs(spark, []), sstable.shard_folder(spark), path, "words", 2)).count() == 0
 
 
