@@ -7,17 +7,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import batches_of, prefix_sums, stored
 
 #: Slices of the components; each has its own score list.
 LISTS = 2
 #: Vectors of a block of candidates and of a block of queries, the bounds of what a task holds of each.
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Candidates within one ball, whose bound decides whether they are scored.
+BALL = 256
+#: Components whose signs put vectors of one direction in neighbouring blocks.
+SIGNS = 16
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0) -> DataFrame:
-    """vec_id and v: floor(scale * component) as longs. Null ids and vectors that are null, or hold null or non-finite components, go."""
+    """vec_id and v: floor(scale * component) as longs, those beyond the range of longs at its ends. Null ids and vectors that
+    are null, or hold null or non-finite components, go."""
     x = F.col("x")
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x")).filter(F.col("vec_id").isNotNull() & x.isNotNull())
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
@@ -25,53 +31,131 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows of (block, vec_id, v, cutoff) packed into at most `size` vectors of one block each: (block, ids, vectors, cutoffs as bytes, width)."""
+    """block, ids, vectors, width, cutoffs (packed, a row for each block) of rows (vec_id, v, cutoff): `size` in each block but
+    the last, in order of the signs of their first components."""
+    signs = sum((F.when(F.coalesce(F.get("v", F.lit(i)), F.lit(0)) > 0, 1 << (SIGNS - 1 - i)).otherwise(0) for i in range(SIGNS)), F.lit(0))
+    made = rows.select("vec_id", "v", "cutoff", signs.alias("signs"), F.xxhash64("v").alias("hash"), F.lit(1).alias("one"))
+    placed = prefix_sums(made, [], ["signs", "vec_id", "hash"], "one", "place", "vectors")
+    held = placed.groupBy(F.floor(F.col("place") / size).alias("block")).agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "v", "cutoff"))).alias("held"))
 
     def run(batches):
         for batch in batches:
-            block, ids, cut = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-            lists = batch.column(2)
-            edges = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]))
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                for i in range(s, e, size):
-                    part = slice(i, min(e, i + size))
-                    some = lists[part]
-                    lengths = np.diff(some.offsets.to_numpy())
-                    width = int(max(1, lengths.max()))
-                    v = np.zeros((len(some), width), np.int64)
-                    v[np.arange(width)[None, :] < lengths[:, None]] = some.flatten().to_numpy(zero_copy_only=False)  # shorter vectors count as if zeros followed
-                    if np.abs(v).max() < 1 << 31:
-                        v = v.astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array([block[s]], pa.int64()), pa.array([ids[part].astype(np.int64).tobytes()]), pa.array([v.tobytes()]), pa.array([cut[part].astype(np.float64).tobytes()]), pa.array([width], pa.int32())], ["block", "ids", "vectors", "cutoffs", "width"])
-
-    return rows.select("block", "vec_id", "v", "cutoff").mapInArrow(run, "block long, ids binary, vectors binary, cutoffs binary, width int")
-
-
-def _matrix(data: bytes, rows: int, width: int, wide: int) -> np.ndarray:
-    v = np.frombuffer(data, np.int64 if len(data) == 8 * rows * width else np.int32).reshape(rows, width).astype(np.int64)
-    return np.pad(v, ((0, 0), (0, wide - width))) if wide > width else v
+            for block, rows in zip(batch.column(0), batch.column(1), strict=True):
+                ids, v, cut = (rows.values.field(n) for n in ("vec_id", "v", "cutoff"))
+                lengths = np.diff(v.offsets.to_numpy())
+                width = int(lengths.max(initial=1))
+                m = np.zeros((len(lengths), width), np.int64)
+                m[np.arange(width)[None, :] < lengths[:, None]] = v.flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()], pa.int64()), pa.array([ids.to_numpy().tobytes()]), pa.array([m.tobytes()]), pa.array([width], pa.int32()), pa.array([cut.to_pylist()], pa.list_(pa.int64()))], ["block", "ids", "vectors", "width", "cutoffs"])
+
+    with batches_of(rows.sparkSession, 4):
+        return stored(held.mapInArrow(run, "block long, ids binary, vectors binary, width int, cutoffs array<long>"), "blocks")
+
+
+class Block:
+    """Vectors by slices, with a ball around each slice's part of every BALL of them."""
+
+    def __init__(self, ids: bytes, vectors: bytes, width: int, cutoffs: list, slices: list[slice]):
+        self.ids, self.cutoffs = np.frombuffer(ids, np.int64), cutoffs
+        whole = np.zeros((len(self.ids), slices[-1].stop), np.int64)
+        whole[:, :width] = np.frombuffer(vectors, np.int64).reshape(-1, width)
+        near = whole.astype(np.float64)
+        fine = np.abs(near).max(initial=0) ** 2 * near.shape[1] < 2.0**52
+        self.parts = [(near if fine else whole.astype(object))[:, s] for s in slices]
+        self.lengths = [np.sqrt((near[:, s] ** 2).sum(1)) for s in slices]
+        self.cuts = [slice(i, min(i + BALL, len(near))) for i in range(0, len(near), BALL)]
+        self.balls = []
+        for s in slices:
+            centres = np.stack([near[c, s].mean(0) for c in self.cuts])
+            self.balls.append((centres, np.array([np.sqrt(((near[c, s] - m) ** 2).sum(1).max()) for c, m in zip(self.cuts, centres, strict=True)])))
+
+    def bounds(self, queries: Block, k: int) -> np.ndarray:
+        """No score of list k is above these, for each query and ball; rounded up by more than doubles lose."""
+        centres, radius = self.balls[k]
+        q, length = queries.parts[k].astype(np.float64), queries.lengths[k][:, None]
+        return q @ centres.T + length * radius + 1 + 1e-9 * length * (radius + np.sqrt((centres**2).sum(1)))
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a times b transposed, exact: in doubles where no sum can pass 2^53, else in Python's integers."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)))
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0**53:
-        return a.astype(np.float64) @ b.astype(np.float64).T
-    return a.astype(object) @ b.astype(object).T
-
-
-def _query_blocks(asked: DataFrame, blocks: int) -> DataFrame:
-    """The queries (vec_id, v, cutoff) in so many numbered blocks, dealt by a hash of the id."""
-    numbered = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long"))
-    return _blocks(numbered.repartition("block").sortWithinPartitions("block"), QUERY_BLOCK)
-
-
-def _paired(queries: DataFrame, candidates: DataFrame, blocks: int) -> DataFrame:
-    """Each block of queries beside each block of candidates, joined by the number of the query block."""
-    c = candidates.select("ids", "vectors", "width", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    q = queries.select("block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "cutoffs", F.col("width").alias("q_width"))
-    return c.join(q, "block")
+    """a times b transposed, exact: in doubles if both are, whose sums stay below 2^53, else in Python's integers."""
+    if a.dtype == b.dtype == np.float64:
+        most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+        if most < 2.0**53:
+            return a @ b.T
+    return _whole_numbers(a) @ _whole_numbers(b).T
+
+
+def _whole_numbers(a: np.ndarray) -> np.ndarray:
+    return a if a.dtype == object else a.astype(np.int64).astype(object)
+
+
+def _resolved(queries: Block, block: Block, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Whole scores of the pairs (r, c)."""
+    out = np.zeros(len(r), object)
+    for q, v in zip(queries.parts, block.parts, strict=True):
+        exact = q.dtype == v.dtype == np.float64 and np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * q.shape[1] < 2.0**53
+        a, b = (q[r], v[c]) if exact else (_whole_numbers(q)[r], _whole_numbers(v)[c])
+        out += [int(x) for x in (a * b).sum(1)]
+    return out
+
+
+def _pairs(queries: Block, block: Block, s: int, least: np.ndarray):
+    """For each ball of the block that may hold scores of `least` or more in list s: its candidates, the queries for which
+    it may, and their scores in that list."""
+    bounds = block.bounds(queries, s)
+    for ball, cut in enumerate(block.cuts):
+        rows = np.flatnonzero(bounds[:, ball] >= least)
+        if len(rows):
+            yield cut, rows, _product(queries.parts[s][rows], block.parts[s][cut]).astype(np.float64)
+
+
+def heads(queries: Block, block: Block, k: int) -> tuple[pa.RecordBatch, int]:
+    """Phase one: each query's k best of each list in the block, resolved, and how many scores of lists that took."""
+    computed, found = 0, []
+    for s in range(len(queries.parts)):
+        score, ids = np.full((len(queries.ids), k), -np.inf), np.full((len(queries.ids), k), -1)
+        bounds = block.bounds(queries, s)
+        for ball in np.argsort(-bounds.max(0)).tolist():  # likely balls first
+            cut = block.cuts[ball]
+            rows = np.flatnonzero(bounds[:, ball] > score.min(1))
+            if not len(rows):
+                continue
+            part = _product(queries.parts[s][rows], block.parts[s][cut]).astype(np.float64)
+            computed += part.size
+            part[queries.ids[rows][:, None] == block.ids[cut][None, :]] = -np.inf
+            both = np.concatenate([score[rows], part], axis=1)
+            at = np.concatenate([ids[rows], np.broadcast_to(np.arange(cut.start, cut.stop), part.shape)], axis=1)
+            best = np.argpartition(-both, k - 1, axis=1)[:, :k]
+            score[rows], ids[rows] = np.take_along_axis(both, best, 1), np.take_along_axis(at, best, 1)
+        r, c = np.nonzero(score > -np.inf)
+        found.append(np.stack([r, ids[r, c]]))
+    r, c = np.unique(np.concatenate(found, axis=1), axis=1)
+    return _rows(queries.ids[r], block.ids[c], _resolved(queries, block, r, c)), computed + r.size * (len(queries.parts) - 1)
+
+
+def entries(queries: Block, block: Block) -> tuple[pa.RecordBatch, int]:
+    """Phases two and three: pairs that reach their query's cutoff, and how many scores of lists that took. Such a pair has
+    its share of the cutoff in some list; the other lists' scores are computed only for pairs that have it."""
+    lists, computed, found = len(queries.parts), 0, [np.zeros((2, 0), np.int64)]
+    cutoffs = [None if c == LEAST else c for c in queries.cutoffs]  # at the end of the range scores below count as it
+    least = np.array([-np.inf if c is None else float(c // lists) for c in cutoffs])
+    least -= np.where(np.isfinite(least), np.abs(least), 0) * 1e-15  # as a double the share may have been rounded up
+    for s in range(lists):
+        for cut, rows, part in _pairs(queries, block, s, least):
+            computed += part.size
+            r, c = np.nonzero(part + np.abs(part) * 1e-15 >= least[rows][:, None])
+            found.append(np.stack([rows[r], c + cut.start]))
+    r, c = np.unique(np.concatenate(found, axis=1), axis=1)
+    other = queries.ids[r] != block.ids[c]
+    r, c = r[other], c[other]
+    whole = _resolved(queries, block, r, c)
+    keep = np.array([cutoffs[i] is None or w >= cutoffs[i] for i, w in zip(r.tolist(), whole, strict=True)], bool)
+    return _rows(queries.ids[r[keep]], block.ids[c[keep]], whole[keep]), computed + r.size * (lists - 1)
+
+
+def _rows(query_ids, ids, scores) -> pa.RecordBatch:
+    held = [min(max(int(x), LEAST), MOST) for x in scores]
+    return pa.RecordBatch.from_arrays([pa.array(query_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(held, pa.int64())], ["query_id", "vec_id", "score"])
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, lists: int = LISTS) -> DataFrame:
@@ -79,68 +163,49 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, lists: int = LI
 
     Both tables have vec_id and v (longs). Ties go to the smaller id. Fewer candidates: all of them. Ids that repeat
     with one vector count once; with several, each is a candidate and an id can take several ranks. Vectors of unequal
-    length: the missing components are zero. No queries or no candidates: no rows.
+    length: the missing components are zero. Scores beyond the range of longs count as its ends. No queries or no
+    candidates: no rows.
 
     The components are cut into `lists` slices, each of which scores candidates in a list of its own; a score is the sum
-    over lists. Phase one gathers the k best of every local list and scores them whole: the k-th best of these is a safe
+    over lists. Phase one gathers the k best of every local list and resolves these: the k-th best whole score is a safe
     cutoff t, for the answer can't be lower. Phase two hands t to all lists: a candidate of score t or more has at least
-    t / lists in some list, so only entries of that height are collected. Phase three resolves their remaining
-    lists' scores where the vectors lie, keeps what reaches t, and ranks. Queries meet candidates in blocks; of
-    candidates with one vector, the k + 1 smallest ids suffice.
+    t / lists in some list, so only entries of that height are collected. Phase three resolves their scores in the other
+    lists where the vectors lie, keeps what reaches t, and ranks.
+
+    Candidates are dealt into full blocks in order of their first components' signs, and a ball around every few of them
+    bounds their scores in a list: phase one passes over balls that can't better a list's k best so far, phase two those
+    that don't reach t / lists. Vectors without any structure leave nothing to pass over, so their lists are scored in both
+    phases, the other lists for entries alone. Blocks of queries visit blocks of candidates, which stay where they lie.
+    Of candidates with one vector, the k + 1 smallest ids suffice.
     """
-    free = F.lit(float("-inf"))
-    spread = candidates.dropDuplicates(["vec_id", "v"]).withColumn("copy", F.expr("row_number() over (partition by v order by vec_id)")).filter(F.col("copy") <= k + 1)
-    held = stored(_blocks(spread.select(F.lit(0).cast("long").alias("block"), "vec_id", "v", free.alias("cutoff")), CANDIDATE_BLOCK), "candidate-blocks")
-    asked = stored(queries.dropDuplicates(["vec_id", "v"]), "queries")
-    n, wide = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    width = max(1, wide or 1, held.agg(F.max("width")).first()[0] or 1)
+    schema, best = "query_id long, vec_id long, score long", "row_number() over (partition by query_id order by score desc, vec_id)"
+    free = F.lit(None).cast("long").alias("cutoff")
+    distinct = candidates.dropDuplicates(["vec_id", "v"]).withColumn("copy", F.expr("row_number() over (partition by v order by vec_id)")).filter(F.col("copy") <= k + 1)
+    held = _blocks(distinct.select("vec_id", "v", free), CANDIDATE_BLOCK)
+    asked = stored(queries.dropDuplicates(["vec_id", "v"]).select("vec_id", "v"), "queries")
+    q_blocks = _blocks(asked.select("vec_id", "v", free), QUERY_BLOCK)
+    width = max([1, *(t.agg(F.max("width")).first()[0] or 1 for t in (held, q_blocks))])
     edges = [width * i // lists for i in range(lists + 1)]
     slices = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
-
-    def scored(batch, i):
-        row = {n: batch.column(c)[i].as_py() for c, n in enumerate(batch.schema.names)}
-        ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-        q, c = _matrix(row["q_vectors"], len(q_ids), row["q_width"], width), _matrix(row["vectors"], len(ids), row["width"], width)
-        parts = [_product(q[:, s], c[:, s]) for s in slices]
-        return ids, q_ids, parts, np.frombuffer(row["cutoffs"], np.float64)
-
-    def heads(batches):
-        """Phase one: each list's best, with their whole scores."""
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, q_ids, parts, _ = scored(batch, i)
-                whole = sum(parts)
-                own = q_ids[:, None] == ids[None, :]
-                found = set()
-                for part in parts:
-                    ranked = np.where(own, -np.inf, part.astype(np.float64))
-                    at = np.argpartition(-ranked, min(k, len(ids)) - 1, axis=1)[:, :k] if len(ids) else np.zeros((len(q_ids), 0), int)
-                    found |= {(r, c) for r in range(len(q_ids)) for c in at[r].tolist() if not own[r, c]}
-                yield _rows(found, q_ids, ids, whole)
-
-    def entries(batches):
-        """Phases two and three: entries of a list at or above the uniform threshold, resolved."""
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, q_ids, parts, cut = scored(batch, i)
-                high = np.zeros((len(q_ids), len(ids)), bool)
-                for part in parts:
-                    high |= part.astype(np.float64) >= np.floor(cut / len(slices))[:, None]  # the floor, so that rounding drops nothing
-                high &= q_ids[:, None] != ids[None, :]
-                whole = np.where(high, sum(parts), 0)
-                high &= whole.astype(np.float64) >= cut[:, None]
-                yield _rows(zip(*(x.tolist() for x in np.nonzero(high)), strict=True), q_ids, ids, whole)
-
-    def _rows(at, q_ids, ids, whole):
-        at = list(at)
-        r, c = [x[0] for x in at], [x[1] for x in at]
-        return pa.RecordBatch.from_arrays([pa.array(q_ids[r].astype(np.int64)), pa.array(ids[c].astype(np.int64)), pa.array([int(x) for x in whole[r, c]], pa.int64())], ["query_id", "vec_id", "score"])
-
-    schema = "query_id long, vec_id long, score long"
-    best = "row_number() over (partition by query_id order by score desc, vec_id)"
-    first = _paired(_query_blocks(asked.withColumn("cutoff", free), blocks), held, blocks).mapInArrow(heads, schema).distinct()
-    cutoffs = first.withColumn("rank", F.expr(best)).filter(F.col("rank") == k).select(F.col("query_id"), F.col("score").cast("double").alias("cutoff"))
-    cut = asked.join(cutoffs, asked.vec_id == cutoffs.query_id, "left").select("vec_id", "v", F.coalesce("cutoff", free).alias("cutoff"))
-    second = _paired(stored(_query_blocks(cut, blocks), "query-blocks"), held, blocks).mapInArrow(entries, schema)
+    n = held.count()
+
+    def met(asking: DataFrame, phase) -> DataFrame:
+        """phase for each block of queries beside each block of candidates."""
+
+        def run(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    q = Block(row["q_ids"], row["q_vectors"], row["q_width"], row["q_cutoffs"], slices)
+                    yield phase(q, Block(row["ids"], row["vectors"], row["width"], row["cutoffs"], slices))[0]
+
+        visiting = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "width", "cutoffs")])
+        return held.join(visiting, "block").mapInArrow(run, schema)
+
+    if not n:
+        return asked.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    with batches_of(asked.sparkSession, 4):
+        first = stored(met(q_blocks, lambda q, c: heads(q, c, k)), "heads").distinct()
+        cutoffs = first.withColumn("rank", F.expr(best)).filter(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
+        cut = asked.join(cutoffs, asked.vec_id == cutoffs.query_id, "left").select("vec_id", "v", "cutoff")
+        second = stored(met(_blocks(cut, QUERY_BLOCK), entries), "entries")
     return second.withColumn("rank", F.expr(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

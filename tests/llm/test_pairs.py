@@ -234,6 +234,41 @@ def test_top_k(spark):
     assert topk.top_k(v.filter("vec_id = 0"), v.limit(0), 5).count() == 0
 
 
+def blocked(vectors, first_id, slices, cutoffs):
+    v = np.array(vectors, np.int64)
+    return topk.Block(np.arange(first_id, first_id + len(v)).tobytes(), v.tobytes(), v.shape[1], cutoffs, slices)
+
+
+def test_clustered_vectors_spare_scores(monkeypatch):
+    """Both phases together compute fewer scores of lists than there are, and lose none of the best."""
+    monkeypatch.setattr(topk, "BALL", 32)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 24)) * 200
+    rows = np.concatenate([np.floor(c + rng.normal(size=(32, 24)) * 20) for c in centres])
+    asked = np.floor(centres[rng.integers(0, 40, 30)] + rng.normal(size=(30, 24)) * 20)
+    slices = [slice(0, 12), slice(12, 24)]
+    block = blocked(rows, 1000, slices, [None] * len(rows))
+    first, one = topk.heads(blocked(asked, 0, slices, [None] * 30), block, 5)
+    best = {}
+    for q, _, s in zip(*(c.to_pylist() for c in first.columns), strict=True):
+        best.setdefault(q, []).append(s)
+    whole = asked @ rows.T
+    cutoffs = [sorted(set(best[q]))[-5] if len(set(best[q])) > 4 else None for q in range(30)]
+    assert all(c is None or c <= sorted(w)[-5] for c, w in zip(cutoffs, whole, strict=True))
+    second, two = topk.entries(blocked(asked, 0, slices, cutoffs), block)
+    assert one + two < 2 * whole.size
+    got = {(q, i - 1000) for q, i in zip(second.column(0).to_pylist(), second.column(1).to_pylist(), strict=True)}
+    assert got >= {(q, int(i)) for q in range(30) for i in np.argsort(-whole[q], kind="stable")[:5]}
+
+
+def test_scores_beyond_longs_count_as_the_ends(spark):
+    rows = [(0, [1e18, 1e18]), (1, [1e18, 1e18]), (2, [-1e18, -1e18]), (3, [0.0, 0.5]), (4, [0.0, 0.25])]
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = topk.top_k(v.filter("vec_id in (0, 3)"), v, 4).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == 0] == [(1, topk.MOST), (3, topk.MOST), (4, topk.MOST), (2, topk.LEAST)]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == 3] == [0, 1, 4, 2]
+
+
 def test_large_components_stay_exact(spark):
     rows = [(0, [4e9, 1.0]), (1, [4e9, 0.5]), (2, [4e9, 0.25]), (3, [1.0, 1.0])]
     v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1.0)
