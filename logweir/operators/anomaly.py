@@ -50,22 +50,24 @@ class LinearAutoencoder:
         """Sums of x and x x' over all windows, added up per partition; what comes back is bounded by the width of a window."""
 
         def run(batches):
-            n, s, q = 0, None, None
+            added = None
             for pdf in batches:
-                x = np.stack([np.concatenate(w) for w in pdf["w"]]) if len(pdf) else None
-                if x is not None:
-                    n, s, q = n + len(x), x.sum(0) + (0 if s is None else s), x.T @ x + (0 if q is None else q)
-            if n:
-                yield pd.DataFrame({"n": [n], "s": [s.tolist()], "q": [q.ravel().tolist()]})
-
-        parts = windows.select(F.col(window).alias("w")).mapInPandas(run, "n long, s array<double>, q array<double>")
-        added = parts.agg(F.sum("n").alias("n")).first().n or 0
-        if not added:
+                if len(pdf):
+                    x = np.stack([np.concatenate(w) for w in pdf["w"]])
+                    part = np.concatenate([[len(x)], x.sum(0), (x.T @ x).ravel()])
+                    added = part if added is None else added + part
+            if added is not None:
+                yield pd.DataFrame({"v": [added]})
+
+        parts = windows.select(F.col(window).alias("w")).mapInPandas(run, "v array<double>")
+        sums = parts.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas().sort_values("i")["x"].to_numpy()
+        if not len(sums):
             raise ValueError("no windows to fit on")
-        sums = {k: {r.i: r.x for r in parts.select(F.posexplode(k).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()} for k in ("s", "q")}
-        d = len(sums["s"])
-        mean = np.array([sums["s"][i] for i in range(d)]) / added
-        cov = np.array([sums["q"][i] for i in range(d * d)]).reshape(d, d) / added - np.outer(mean, mean)
+        d = int(len(sums) ** 0.5)
+        while 1 + d + d * d > len(sums):
+            d -= 1
+        mean = sums[1 : 1 + d] / sums[0]
+        cov = sums[1 + d :].reshape(d, d) / sums[0] - np.outer(mean, mean)
         values, vectors = np.linalg.eigh(cov)
         return cls(mean, vectors[:, np.argsort(values)[::-1][:k]])
 

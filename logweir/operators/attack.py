@@ -173,6 +173,29 @@ def predict_attack(model, rows: DataFrame, features: list[str], out: str = "prob
     return model.transform(_vectors(rows, features)).withColumn(out, vector_to_array("probability")).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def attack_scorer(model, features: list[str], classes: list[str], worms: float | None, shellcode: float | None, shellcode_model=None, vector: str = "features"):
+    """What classify() takes: rows of 42-feature vectors get their named and derived columns, the model's class
+    probabilities, the decision with its overrides (the second model's score for Shellcode where there is one) as label,
+    and one less the label's probability as anomaly_score. `normal` where the decision is Normal."""
+
+    def run(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c != vector]
+        named = rows.select(*kept, F.explode(F.array(F.struct(*features42_to_row(F.col(vector))))).alias("__row"))
+        clear = [c for c in kept if c not in NAMED42.values()]
+        held = engineer_features(named.select(*clear, "__row.*"))
+        held = predict_attack(model, held, features, "__p")
+        score = None
+        if shellcode_model is not None:
+            held = predict_attack(shellcode_model, held, features, "__s")
+            score = F.col("__s")[1]
+        label = override_decision(F.col("__p"), classes, worms, shellcode, score)
+        held = held.withColumn("label", label)
+        sure, _ = confidence(F.col("__p"), classes, F.col("label"))
+        return held.withColumn("anomaly_score", 1 - sure).withColumn("label", F.when(F.col("label") == "Normal", "normal").otherwise(F.col("label"))).drop("__p", "__s")
+
+    return run
+
+
 def pr_points(scores: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
     """threshold, precision, recall, f1 at each distinct score. Scores are counted first; running sums go over distinct ones."""
     by = scores.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count(F.lit(1)).alias("n"))

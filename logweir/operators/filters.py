@@ -43,10 +43,12 @@ def unwrapped(value: Column) -> Column:
 
 
 def extract_uid(value: Column) -> Column:
-    """The top-level uid if the key is there, else that of the first child log; null where it is empty or nowhere."""
-    keys = F.json_object_keys(value)
-    child = F.coalesce(*[F.get_json_object(value, f"$['{p}{t}'].uid") for p in ("zeek-",) for t in LOG_TYPES])
-    return F.nullif(F.when(F.array_contains(keys, "uid"), F.get_json_object(value, "$.uid")).otherwise(child), F.lit(""))
+    """The top-level uid if the key is there, else that of the first child log that has the key; null where it is null, empty or nowhere."""
+    has = lambda x: F.coalesce(F.array_contains(F.json_object_keys(x), "uid"), F.lit(False))
+    found = F.when(has(value), F.get_json_object(value, "$.uid"))
+    for t in LOG_TYPES:
+        found = found.when(has(F.get_json_object(value, f"$['zeek-{t}']")), F.get_json_object(value, f"$['zeek-{t}'].uid"))
+    return F.nullif(found, F.lit(""))
 
 
 def infer_log_type(value: Column) -> Column:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import anomaly, batches
+from ..sources.scratch import stored
+from . import anomaly, batches, registry
 
 LEAST_ROWS = 10
 
@@ -24,18 +26,39 @@ class Trained:
 
 def train_job(store: DataFrame, log_type: str, sigma: float = 3.0, timesteps: int = batches.TIMESTEPS, components: int = 16) -> Trained | None:
     """Loads a type's vectors, cuts windows, splits by time, scales on the training part, fits a linear autoencoder and sets
-    the threshold on held-out windows. None if there are fewer than ten rows. The caller saves the row, adds the total and clears the type (registry)."""
+    the threshold on held-out windows. None if there are fewer than ten rows. run_training() does the whole job."""
     rows = store.filter(F.col("log_type") == log_type).select("id", "features")
     n = rows.count()
     if n < max(LEAST_ROWS, timesteps):
         return None
-    split = batches.chrono_split(batches.train_windows(rows, [], ["id"], timesteps=timesteps), [], timesteps=timesteps)
+    split = stored(batches.chrono_split(batches.train_windows(rows, [], ["id"], timesteps=timesteps), [], timesteps=timesteps), "windows")
     fit = anomaly.minmax_fit(split.filter("split = 'train'"))
     scaled = split.withColumn("row", F.col("place")).select("row", "split", F.posexplode("window").alias("step", "features"))
     scaled = anomaly.minmax_apply_fit(scaled, fit)
-    windows = scaled.groupBy("row", "split").agg(F.transform(F.sort_array(F.collect_list(F.struct("step", "features"))), lambda s: s["features"]).alias("window"))
+    windows = stored(scaled.groupBy("row", "split").agg(F.transform(F.sort_array(F.collect_list(F.struct("step", "features"))), lambda s: s["features"]).alias("window")), "scaled-windows")
     model = anomaly.LinearAutoencoder.fit(windows.filter("split = 'train'"), k=components)
     rebuilt = anomaly.reconstruct(windows, model)
     mae, _ = anomaly.window_error(F.col("window"), F.col("rebuilt"))
     found = anomaly.static_threshold(rebuilt.select("split", mae.alias("mae")), sigma).first()
     return Trained(log_type, fit, model, found.threshold, found.basis, n)
+
+
+@dataclass
+class Registry:
+    """The tables that a training job reads and replaces."""
+
+    store: DataFrame
+    models: DataFrame
+    totals: DataFrame
+
+
+def run_training(tables: Registry, log_type: str, model_path: str, created_at: datetime, **options) -> tuple[Trained | None, Registry]:
+    """The whole job of one type: trains, saves the model's row, adds the rows to the type's total and clears its store.
+    With too few rows nothing is trained and all tables stay. The tables given back replace the old ones once they are written."""
+    found = train_job(tables.store, log_type, **options)
+    if found is None:
+        return None, tables
+    spark = tables.store.sparkSession
+    row = spark.createDataFrame([(log_type, model_path, created_at, found.threshold)], "log_type string, model_path string, created_at timestamp, anomaly_threshold double")
+    added = spark.createDataFrame([(log_type, found.rows)], "log_type string, count long")
+    return found, Registry(registry.clear_type(tables.store, log_type), registry.save_model_row(tables.models, row), registry.add_total_rows(tables.totals, added))

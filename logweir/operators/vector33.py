@@ -85,18 +85,20 @@ def tcp_flags(history: Column, ssl_history: Column | None = None) -> list[Column
     return [S.count_of(h, c) for c in "SFRPA"]
 
 
-def vector33(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
-    """records with src, epoch and `out`, the 33 features in the order of NAMES.
+#: Columns that other log types lack, and their kinds.
+OPTIONAL = {"rtt": "double", "ssl_history": "string"}
 
-    Needs us (whole microseconds), ts, orig_h, resp_h, orig_p, resp_p and the numbers of a connection; columns that other
-    log types lack may be null. The order must be total within a source."""
-    for name, kind in (("rtt", "double"), ("ssl_history", "string")):
-        if name not in records.columns:
-            records = records.withColumn(name, F.lit(None).cast(kind))
-    held = iat_stats(interaction(records, order), order)
+
+def completed(records: DataFrame) -> DataFrame:
+    """records with null columns for those that their log type lacks."""
+    return records.withColumns({name: F.lit(None).cast(kind) for name, kind in OPTIONAL.items() if name not in records.columns})
+
+
+def features() -> Column:
+    """The 33 features in the order of NAMES, from a record's columns and its source's flow_count, distinct_ports, iat_mean and iat_std."""
     c = F.col
     duration = flow_duration(c("duration"), c("rtt"))
-    features = [
+    return F.array(
         *time_cyclic(c("ts")),
         *ip_octets4(c("orig_h")),
         *ip_octets4(c("resp_h")),
@@ -104,8 +106,16 @@ def vector33(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: st
         port_index(c("resp_p")),
         c("flow_count").cast("double"),
         c("distinct_ports").cast("double"),
-        c("port_ratio"),
+        c("distinct_ports") / c("flow_count"),
         *flow_dynamics(duration, c("iat_mean"), c("iat_std"), c("orig_pkts"), c("resp_pkts"), c("orig_bytes"), c("resp_bytes")),
         *tcp_flags(c("history"), c("ssl_history")),
-    ]
-    return held.withColumn(out, F.array(*features)).drop("iat_mean", "iat_std", "flow_count", "distinct_ports", "port_ratio")
+    )
+
+
+def vector33(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
+    """records with src, epoch and `out`, the 33 features in the order of NAMES.
+
+    Needs us (whole microseconds), ts, orig_h, resp_h, orig_p, resp_p and the numbers of a connection; columns that other
+    log types lack may be null. The order must be total within a source."""
+    held = iat_stats(interaction(completed(records), order), order)
+    return held.withColumn(out, features()).drop("iat_mean", "iat_std", "flow_count", "distinct_ports", "port_ratio")

@@ -168,9 +168,7 @@ SQL["infer_log_type"] = "SELECT event_type AS topic, 'conn' AS found, count(*) A
 SQL["supervised_sink"] = _with(FLOWS, """SELECT seq, '["' || uid || '","{\\"h\\":\\"' || orig_h || '\\"}",' || (seq % 3) || ',' || (seq % 4) || ',' || (seq % 5) || ']' AS message FROM flows WHERE conn_state = 'REJ'""")
 SQL["topic_counts"] = "SELECT event_type AS topic, count(*) AS records FROM events GROUP BY ALL"
 SQL["dedup_keep_first"] = "SELECT min(doc_id) AS offset, arg_min(source, doc_id) AS source, CAST(length(text) AS INTEGER) AS chars FROM documents GROUP BY text"
-SQL["feature_store_append"] = "SELECT count(*) AS rows, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS first, round(sum(CAST(embedding[33] AS DOUBLE)), 4) AS last FROM embeddings WHERE vec_id % 7 <> 0"
 SQL["feature_store_load"] = "SELECT vec_id AS id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, round(CAST(embedding[33] AS DOUBLE), 6) AS last FROM embeddings WHERE label < 5"
-SQL["read_labelled"] = "SELECT CASE WHEN doc_id % 3 = 0 THEN 'test' ELSE 'train' END AS split, quality, count(*) AS n FROM labels GROUP BY ALL"
 SQL["load_ip_list"] = "SELECT DISTINCT '10.0.' || (c_custkey % 3) || '.' || (c_custkey % 200) AS ip FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0"
 
 # ------------------------------------------------------------------ filters
@@ -440,7 +438,6 @@ _PROBS = {
 SQL["override_decision"] = _with(_PROBS, "SELECT event_id, label FROM dec")
 _CONF = "CASE label " + " ".join(f"WHEN '{n}' THEN p{i}" for i, n in enumerate(_CLASSES)) + " END"
 SQL["confidence"] = _with(_PROBS, f"SELECT event_id, round({_CONF}, 6) AS confidence, round(1 - {_CONF}, 6) AS anomaly_score FROM dec")
-SQL["write_predictions"] = _with(_PROBS, "SELECT label AS predicted_attack_type, count(*) AS rows FROM dec GROUP BY ALL")
 SQL["features42_to_row"] = _with(
     _F42,
     "SELECT seq, floor(100 * (ln(1 + greatest(duration, 0.001))) + 0.5) / 100 AS dur, floor(100 * (CAST(orig_pkts AS DOUBLE)) + 0.5) / 100 AS spkts, floor(100 * (ln(1 + CAST(orig_bytes AS DOUBLE))) + 0.5) / 100 AS sbytes, floor(100 * (CAST(orig_pkts - resp_pkts AS DOUBLE)) + 0.5) / 100 AS pkt_diff, floor(100 * (orig_bytes / (resp_bytes + 1.0)) + 0.5) / 100 AS byte_ratio, floor(1000 * ln(1 + orig_pkts / (greatest(duration, 0.001) + 0.001)) + 0.5) / 1000 AS pkt_rate, floor(100 * (CASE WHEN orig_pkts > 0 THEN orig_bytes / orig_pkts ELSE 0.0 END + CASE WHEN resp_pkts > 0 THEN resp_bytes / resp_pkts ELSE 0.0 END) + 0.5) / 100 AS total_mean_pkt, floor(100 * (CAST(ct_srv_src AS DOUBLE)) + 0.5) / 100 AS ct_srv_src, floor(100 * (CAST(" + flag("service = 'ftp'") + " AS DOUBLE)) + 0.5) / 100 AS is_ftp_login FROM g",
@@ -464,7 +461,6 @@ s AS (SELECT event_type AS log_type, max(event_id) % 2 = 0 AS enabled, max(ts) A
 SELECT * FROM c UNION ALL SELECT * FROM s WHERE log_type NOT IN (SELECT log_type FROM c)"""
 SQL["get_learning"] = _with(_STATUS, "SELECT e.log_type, coalesce(enabled, false) AS enabled FROM (SELECT DISTINCT event_type AS log_type FROM events) e LEFT JOIN status USING (log_type)")
 SQL["add_total_rows"] = "SELECT event_type AS log_type, count(*) + count(*) FILTER (value > 300) AS count FROM events GROUP BY ALL"
-SQL["save_model_row"] = _with(_MODELS, "SELECT log_type, count(*) AS n FROM models GROUP BY ALL")
 SQL["clear_type"] = "SELECT event_type AS log_type, count(*) AS n FROM events WHERE event_type <> 'click' GROUP BY ALL"
 SQL["set_threshold"] = _with(_MODELS, "SELECT log_type, round(sum(CASE WHEN log_type = 't2' THEN 0.25 ELSE anomaly_threshold END), 3) AS s FROM models GROUP BY ALL")
 SQL["buffer_status"] = """WITH c AS (SELECT event_type AS log_type, arg_max(event_id, ts) AS buffer_size, max(ts) AS last_updated FROM events WHERE event_id % 7 = 1 GROUP BY ALL)
@@ -488,3 +484,41 @@ SQL["monitor_log_parse"] = _with(_TICKS, """SELECT NULL AS container, count(*) A
 UNION ALL SELECT topic, count(*), NULL, NULL, NULL, NULL, round(CAST(sum(ingested * 3.5) AS DOUBLE), 6), round(CAST(sum(stored) AS DOUBLE), 6) FROM ticks GROUP BY topic""")
 SQL["bottleneck_report"] = _with(_TICKS | {"r": "SELECT CAST(trunc(avg(ingested)) AS BIGINT) AS avg_ingest, max(ingested) AS max_ingest, CAST(trunc(avg(stored)) AS BIGINT) AS avg_processing, max(stored) AS max_processing, CAST(trunc(avg(buffered)) AS BIGINT) AS avg_lag, max(buffered) AS max_lag, CAST(trunc(avg(stored * 2)) AS BIGINT) AS avg_efficiency FROM ticks"}, "SELECT *, avg_ingest - avg_processing AS gap, avg_ingest - avg_processing > 1000 AS bottleneck FROM r")
 SQL["container_load"] = _with(_TICKS, "SELECT topic AS container, round(avg(ingested * 3.5), 6) AS avg_cpu, CAST(max(ingested * 3.5) AS DOUBLE) AS peak_cpu, CASE WHEN avg(ingested * 3.5) > 80 THEN 'bottleneck' WHEN avg(ingested * 3.5) > 50 THEN 'high' ELSE 'normal' END AS level FROM ticks GROUP BY ALL")
+
+# ------------------------------------------------------------------ written and read back
+
+_RAW = FLOWS | {"raw": "SELECT *, seq % 10 = 9 AS broken FROM flows"}
+SQL["read_logs"] = _with(_RAW, "SELECT uid, orig_h, orig_p, round(duration, 6) AS duration FROM raw WHERE NOT broken AND log_type = 'click'")
+SQL["replay"] = _with(FLOWS, """SELECT log_type, CASE WHEN log_type IN ('view', 'error') THEN true ELSE max(seq) % 2 = 0 END AS enabled,
+  CASE WHEN log_type IN ('view', 'error') THEN count(*) ELSE 0 END AS records FROM flows GROUP BY log_type""")
+SQL["malicious_sink"] = _with(FLOWS, "SELECT 'malicious-' || log_type AS topic, log_type, seq, uid, orig_bytes FROM flows WHERE orig_bytes > 30000")
+SQL["export_topics"] = _with(FLOWS, """SELECT topic, value FROM (SELECT topic, value, row_number() OVER (PARTITION BY topic ORDER BY seq) AS n FROM
+  (SELECT arg_min(log_type, seq) AS topic, min(seq) AS seq, value FROM (SELECT log_type, seq, concat_ws('|', conn_state, resp_p, seq % 40) AS value FROM flows) GROUP BY value)) WHERE n <= 25""")
+SQL["decode_packed"] = """SELECT vec_id, CASE WHEN vec_id % 7 <> 0 THEN len(embedding) ELSE -1 END AS width, CASE WHEN vec_id % 7 <> 0 THEN round(CAST(embedding[1] AS DOUBLE), 6) END AS first,
+  CASE WHEN vec_id % 7 <> 0 THEN round(CAST(embedding[64] AS DOUBLE), 6) END AS last FROM embeddings"""
+SQL["feature_store_append"] = """SELECT CASE WHEN vec_id % 3 = 1 THEN 'dns' ELSE 'conn' END AS log_type, count(*) AS rows, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS first,
+  round(sum(CAST(embedding[33] AS DOUBLE)), 4) AS last FROM embeddings WHERE vec_id % 7 <> 0 GROUP BY 1"""
+SQL["read_labelled"] = "SELECT CASE WHEN doc_id % 3 = 0 THEN 'test' ELSE 'train' END AS split, CAST(doc_id AS BIGINT) AS doc_id, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic FROM labels"
+SQL["write_predictions"] = _with(_PROBS, "SELECT label AS predicted_attack_type, count(*) AS rows, count(*) AS read_back FROM dec GROUP BY ALL")
+SQL["save_model_row"] = _with(_MODELS, """SELECT log_type, count(*) + 1 AS n, arg_max(model_path, struct_pack(a := created_at, b := model_path)) || '-new' AS newest,
+  round(sum(anomaly_threshold) + 2 * arg_max(anomaly_threshold, struct_pack(a := created_at, b := model_path)), 3) AS s, count(*) AS with_loss FROM models GROUP BY log_type""")
+SQL["trusted_reload"] = _with(FLOWS, """SELECT orig_h, seq % 2 AS part, count(*) AS n FROM flows WHERE NOT (seq % 2 = 0 AND orig_h = '10.0.0.1') AND NOT (seq % 2 = 1 AND orig_h = '10.0.0.3') GROUP BY ALL""")
+
+# ------------------------------------------------------------------ streams give what tables give
+
+SQL["stateful_vector33"] = SQL["vector33"]
+SQL["stateful_session"] = SQL["session_assemble"]
+SQL["classify_stream_with_models"] = "SELECT 0 AS differ, 0 AS out_of_range, 0 AS lacking"
+
+# ------------------------------------------------------------------ properties of models
+
+_LABELS = "SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_returnflag = 'A' THEN 'Other' WHEN l_returnflag = 'R' THEN 'Fuzzer' ELSE 'Normal' END AS label FROM lineitem"
+SQL["attack_model_quality"] = f"SELECT label, count(*) AS rows, true AS better_than_chance FROM ({_LABELS}) GROUP BY label"
+SQL["predict_attack"] = f"SELECT id, 3 AS classes, 1.0 AS whole, true AS fine FROM ({_LABELS})"
+SQL["shellcode_model_quality"] = f"SELECT count(*) AS rows, count(*) FILTER (label = 'Other') AS positives, true AS apart FROM ({_LABELS})"
+SQL["quantile_fit"] = f"SELECT unnest(range(100)) AS i, round(unnest(quantile_cont(l_extendedprice, {[i / 99 for i in range(100)]})), 4) AS value FROM lineitem"
+_W = """WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS n, list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+w AS (SELECT a.n, list_concat(list_concat(a.e, b.e), c.e) AS x FROM v a JOIN v b ON b.n = a.n + 1 JOIN v c ON c.n = a.n + 2), u AS (SELECT n, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM w)"""
+SQL["reconstruct"] = f"{_W} SELECT (SELECT count(*) FROM w) AS windows, round(sum(s) / 24, 6) AS by_mean, true AS closer, true AS whole_with_all FROM (SELECT i, var_pop(x) AS s FROM u GROUP BY i)"
+SQL["train_job"] = _with(_MODELS, """SELECT 'conn' AS log_type, 1 AS models, 'conn-new' AS newest, true AS fine, 2 * count(*) AS count, 0 AS "left", 'validation' AS basis FROM embeddings WHERE label < 5
+  UNION ALL SELECT 'dns', (SELECT count(*) FROM models WHERE log_type = 't1'), NULL, true, count(*), count(*), 'validation' FROM embeddings WHERE label >= 5""")

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import frames
 from ..functions import scalar as S
 from ..operators import anomaly, attack, batches, filters, monitor, registry, sessions, summary, typed, unsw, vector33
+from ..operators import training
 from ..sources import logs
+from ..sources.scratch import scratch_path, stored
+from ..streaming import stateful
 from .views import flows, table, web
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,11 +57,75 @@ def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("seq", c("log_type").alias("topic"), c("seq").alias("offset"), F.when(c("seq") % 10 == 9, F.substring(whole, 1, 20)).otherwise(whole).alias("value"))
 
 
+def topic_files(records: DataFrame, log_type: Column) -> str:
+    """A folder with the values of each log type as text files of its topic."""
+    folder = scratch_path(records.sparkSession, "topics")
+    records.select(F.concat(F.lit("zeek-"), log_type).alias("topic"), "value").write.partitionBy("topic").text(f"{folder}/all")
+    return folder
+
+
+def read_back(spark, folder, log_types, reader):
+    """What the topics' folders hold, by one of the readers of logs."""
+    files = f"{folder}/all"
+    at = spark._jvm.org.apache.hadoop.fs.Path(files)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for t in log_types:  # topics lie in folders of their names
+        system.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{files}/topic=zeek-{t}"), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zeek-{t}"))
+    return reader(folder)
+
+
+@query
+def q_read_logs(spark, d):
+    """One topic written as text, read back and decoded."""
+    folder = topic_files(raw_json(spark, d), c("topic"))
+    found = read_back(spark, folder, ["click"], lambda f: logs.read_logs(spark, " click ", folder=f, stream=False))
+    return logs.typed_logs(found, "conn").select("uid", "orig_h", "orig_p", r6(c("duration")).alias("duration"))
+
+
 @query
 def q_read_multi_topic(spark, d):
-    o = table(spark, d, "orders").select(F.lit("orders").alias("topic"), c("o_orderkey").alias("key"), c("o_totalprice").alias("amount"))
-    i = table(spark, d, "lineitem").select(F.lit("lineitem").alias("topic"), c("l_orderkey").alias("key"))
-    return o.unionByName(i, allowMissingColumns=True).groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("n_keys"), F.round(F.sum("amount"), 2).alias("amount"))
+    o = table(spark, d, "orders").select(F.lit("orders").alias("t"), F.to_json(F.struct(c("o_orderkey").alias("key"), c("o_totalprice").alias("amount"))).alias("value"))
+    i = table(spark, d, "lineitem").select(F.lit("lineitem").alias("t"), F.to_json(F.struct(c("l_orderkey").alias("key"))).alias("value"))
+    found = read_back(spark, topic_files(o.unionByName(i), c("t")), ["orders", "lineitem"], lambda f: logs.read_topics(spark, ["orders", "lineitem"], folder=f, stream=False))
+    rows = found.select(F.regexp_replace("topic", "^zeek-", "").alias("topic"), F.from_json("value", "key long, amount double").alias("r"))
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("r.key").alias("n_keys"), F.round(F.sum("r.amount"), 2).alias("amount"))
+
+
+@query
+def q_replay(spark, d):
+    """Two types read again from their beginning, with learning on for them."""
+    folder = topic_files(raw_json(spark, d), c("topic"))
+    records, learning = read_back(spark, folder, ["view", "error"], lambda f: logs.replay(spark, ["view", "error"], status(spark, d), folder=f))
+    n = records.groupBy(F.regexp_replace("topic", "^zeek-", "").alias("log_type")).agg(F.count(F.lit(1)).alias("records"))
+    return learning.select("log_type", "enabled").join(n, "log_type", "left").select("log_type", "enabled", F.coalesce("records", F.lit(0)).alias("records"))
+
+
+@query
+def q_malicious_sink(spark, d):
+    folder = scratch_path(spark, "malicious")
+    bad = flows(spark, d).filter("orig_bytes > 30000")
+    logs.write_malicious(bad.filter("seq % 2 = 0"), folder)
+    logs.write_malicious(bad.filter("seq % 2 = 1"), folder)  # appends
+    return spark.read.parquet(folder).select("topic", "log_type", "seq", "uid", "orig_bytes")
+
+
+@query
+def q_export_topics(spark, d):
+    folder = scratch_path(spark, "export")
+    values = flows(spark, d).select(c("log_type").alias("topic"), c("seq").alias("offset"), F.concat_ws("|", "conn_state", "resp_p", c("seq") % 40).alias("value"))
+    logs.export_topics(values, folder, most=25, dedup=True)
+    return spark.read.text(folder).select("topic", "value")
+
+
+@query
+def q_decode_packed(spark, d):
+    @F.pandas_udf("binary")
+    def pack(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: np.asarray(x, "<f8").tobytes())
+
+    held = vectors(spark, d).select("vec_id", F.when(c("vec_id") % 7 == 0, F.lit(b"odd")).otherwise(pack("features")).alias("packed"))
+    v = held.withColumn("v", logs.decode_packed("packed"))
+    return v.select("vec_id", F.coalesce(F.size("v"), F.lit(-1)).alias("width"), r6(c("v")[0]).alias("first"), r6(c("v")[63]).alias("last"))
 
 
 @query
@@ -106,10 +176,11 @@ def q_dedup_keep_first(spark, d):
 
 @query
 def q_feature_store_append(spark, d):
-    rows = table(spark, d, "embeddings").select("vec_id", c("embedding").cast("array<double>").alias("features"))
-    rows = rows.withColumn("features", F.when(c("vec_id") % 7 == 0, F.slice("features", 1, 32)).otherwise(F.slice("features", 1, 33)))
-    kept = logs.feature_rows(rows, "conn")
-    return kept.agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(c("features")[0]), 4).alias("first"), F.round(F.sum(c("features")[32]), 4).alias("last"))
+    rows = vectors(spark, d).select(c("vec_id").alias("id"), F.when(c("vec_id") % 7 == 0, F.slice("features", 1, 32)).otherwise(F.slice("features", 1, 33)).alias("features"), F.lit(None).cast("timestamp").alias("timestamp"))
+    folder = scratch_path(spark, "store")
+    for part, log_type in ((0, "conn"), (1, "dns"), (2, "conn")):
+        logs.append_features(rows.filter(c("id") % 3 == part), folder, log_type)
+    return spark.read.parquet(folder).groupBy("log_type").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(c("features")[0]), 4).alias("first"), F.round(F.sum(c("features")[32]), 4).alias("last"))
 
 
 @query
@@ -120,9 +191,11 @@ def q_feature_store_load(spark, d):
 
 @query
 def q_read_labelled(spark, d):
-    l = table(spark, d, "labels")
-    both = l.filter("doc_id % 3 <> 0").withColumn("split", F.lit("train")).unionByName(l.filter("doc_id % 3 = 0").withColumn("split", F.lit("test")))
-    return both.groupBy("split", "quality").agg(F.count(F.lit(1)).alias("n"))
+    """Two CSV files written and read back as one labelled table."""
+    folder, labels = scratch_path(spark, "labelled"), table(spark, d, "labels")
+    labels.filter("doc_id % 3 <> 0").write.option("header", True).csv(f"{folder}/train")
+    labels.filter("doc_id % 3 = 0").write.option("header", True).csv(f"{folder}/test")
+    return logs.read_labelled(spark, f"{folder}/train", f"{folder}/test").select("split", c("doc_id").cast("long").alias("doc_id"), c("quality").cast("long").alias("quality"), c("toxic").cast("long").alias("toxic"))
 
 
 @query
@@ -144,6 +217,28 @@ def trusted(spark, d):
     return table(spark, d, "nation").filter("n_nationkey < 2").select(F.concat(F.lit(" 10.0.0."), c("n_nationkey").cast("string")).alias("ip"))
 
 
+@query
+def q_trusted_reload(spark, d):
+    """A stream of two micro-batches; the list file is written anew between them, and counts from the second on."""
+    folder = scratch_path(spark, "reload")
+    rows = flows(spark, d).select("seq", "orig_h")
+    rows.limit(0).write.parquet(f"{folder}/in")
+    seen = []
+
+    def listed() -> DataFrame:
+        seen.append(len(seen))
+        if len(seen) > 1:
+            spark.createDataFrame([("10.0.0.3",), ("# 10.0.0.2",)], "value string").write.mode("overwrite").text(f"{folder}/ips")
+        return stored(logs.load_ip_list(spark, f"{folder}/ips"), "ips")
+
+    spark.createDataFrame([("10.0.0.1",)], "value string").write.text(f"{folder}/ips")
+    for part in (0, 1):
+        rows.filter(c("seq") % 2 == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        stateful.score_stream(source, listed, lambda b: b, f"{folder}/out", f"{folder}/check").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("orig_h", (c("seq") % 2).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def q_drop_trusted(spark, d):
     return filters.drop_trusted(flows(spark, d), trusted(spark, d)).groupBy("orig_h").agg(F.count(F.lit(1)).alias("n"))
@@ -242,6 +337,22 @@ def q_vector33(spark, d):
     return features33(spark, d).select("seq", *[F.round(c("features")[i], 4).alias(f"f{i + 1:02d}") for i in range(33)])
 
 
+def streamed(rows: DataFrame, name: str, start) -> DataFrame:
+    """What a stream over rows, written to files, leaves in its folder."""
+    spark, folder = rows.sparkSession, scratch_path(rows.sparkSession, name)
+    rows.write.parquet(f"{folder}/in")
+    source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    start(source, f"{folder}/out", f"{folder}/check").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def q_stateful_vector33(spark, d):
+    """The 33 values from a stream with state for each source: what vector33 gives for the table."""
+    found = streamed(flows(spark, d), "vector33", lambda s, out, check: stateful.write_batches(stateful.stateful_vector33(s), out, check))
+    return found.select("seq", *[F.round(c("features")[i], 4).alias(f"f{i + 1:02d}") for i in range(33)])
+
+
 # ---------------------------------------------------------------- typed vectors
 
 
@@ -373,6 +484,15 @@ def q_session_assemble(spark, d):
     return sessions.session_assemble(t, malicious_talk(t)).select("uid", "arrival", F.length("conn").alias("conn_chars"), "n_dns", "n_http", "n_ssl")
 
 
+@query
+def q_stateful_session(spark, d):
+    """Sessions from one stream of records and triggers: what session_assemble gives for the tables."""
+    t = talk(spark, d)
+    tagged = t.withColumn("trigger", F.lit(0)).unionByName(malicious_talk(t).withColumn("trigger", F.lit(1))).withColumn("arrival", c("arrival").cast("long"))
+    found = streamed(tagged.coalesce(1), "sessions", lambda s, out, check: stateful.write_batches(stateful.stateful_session(s), out, check))
+    return found.select("uid", "arrival", F.length("conn").alias("conn_chars"), "n_dns", "n_http", "n_ssl")
+
+
 @query
 def q_session_assemble_dedup(spark, d):
     t = talk(spark, d)
@@ -666,9 +786,14 @@ def q_evaluate(spark, d):
     return e.select("class", *[r6(c(x)).alias(x) for x in ("precision", "recall", "f1")], "support")
 
 
+CANDIDATES = ["spkts", "dpkts", "sbytes", "sload", "dload", "dur", "sinpkt", "dinpkt", "dmean", "pkt_rate", "mean_pkt_size", "pkt_diff", "byte_per_pkt", "mean_pkt_asymmetry", "total_mean_pkt"]
+
+
 def _forest(spark, d):
+    """Derived rows, the columns that mutual information selects, numbered and weighted training rows, classes in order."""
     i = attack.engineer_features(items(spark, d)).withColumn("label", attack.clean_labels(c("attack_cat")))
-    names = ["spkts", "sbytes", "sload", "dur", "pkt_rate", "mean_pkt_size"]
+    best = attack.mi_select(i, CANDIDATES, "label", 6, ("mean_pkt_asymmetry", "total_mean_pkt"))
+    names = sorted(r.feature for r in best.select("feature").collect())
     train = attack.label_encode(i.withColumn("y", c("label")), ("y",)).join(attack.class_weights(i, "label"), "label")
     return i, names, train, sorted(r[0] for r in i.select("label").distinct().collect())
 
@@ -676,24 +801,66 @@ def _forest(spark, d):
 @query
 def q_attack_model(spark, d):
     i, names, train, classes = _forest(spark, d)
-    p = attack.predict_attack(attack.attack_model(train, names, trees=8, depth=4), i, names)
+    p = attack.predict_attack(attack.attack_model(train, names), i, names)
     return p.select("id", "label", attack.override_decision(c("probabilities"), classes, None, None).alias("predicted_attack_type"))
 
 
+@query
+def q_attack_model_quality(spark, d):
+    """Whether the forest, on the rows it saw, finds every class more often than the weights alone would."""
+    p = q_attack_model(spark, d)
+    hit = F.avg((c("label") == c("predicted_attack_type")).cast("double"))
+    return p.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), (hit > 1 / 3).alias("better_than_chance"))
+
+
+@query
+def q_predict_attack(spark, d):
+    """Class probabilities are one for each class and sum to one."""
+    i, names, train, classes = _forest(spark, d)
+    p = attack.predict_attack(attack.attack_model(train, names), i, names)
+    whole = F.aggregate("probabilities", F.lit(0.0), lambda s, x: s + x)
+    return p.select("id", F.size("probabilities").alias("classes"), F.round(whole, 6).alias("whole"), (F.array_min("probabilities") >= 0).alias("fine"))
+
+
 @query
 def q_write_predictions(spark, d):
-    p = probabilities(spark, d).select(attack.override_decision(c("p"), CLASSES, 0.2, 0.25).alias("predicted_attack_type"))
-    return summary.class_distribution(p, "predicted_attack_type")
+    """Predictions written as CSV with their counts, and read back."""
+    p = probabilities(spark, d).select("event_id", attack.override_decision(c("p"), CLASSES, 0.2, 0.25).alias("predicted_attack_type"))
+    folder = scratch_path(spark, "predictions")
+    counts = logs.write_predictions(p, folder)
+    back = spark.read.option("header", True).csv(folder).groupBy("predicted_attack_type").agg(F.count(F.lit(1)).alias("read_back"))
+    return counts.join(back, "predicted_attack_type", "left")
 
 
 @query
 def q_shellcode_model(spark, d):
     i, names, _, _ = _forest(spark, d)
     rows = i.withColumn("y", F.when(c("label") == "Other", 1.0).otherwise(0.0))
-    p = attack.predict_attack(attack.shellcode_model(rows, names, rounds=4), rows, names)
+    p = attack.predict_attack(attack.shellcode_model(rows, names), rows, names)
     return p.select("id", "y", r6(c("probabilities")[1]).alias("p"))
 
 
+@query
+def q_shellcode_model_quality(spark, d):
+    """Whether the class that the boosted trees look for scores above the rest on average."""
+    p = q_shellcode_model(spark, d)
+    return p.agg(F.count(F.lit(1)).alias("rows"), F.count_if(c("y") == 1).alias("positives"), (F.avg(F.when(c("y") == 1, c("p"))) > F.avg(F.when(c("y") == 0, c("p")))).alias("apart"))
+
+
+@query
+def q_classify_stream_with_models(spark, d):
+    """A stream of connections, encoded and classified by the forest and its overrides; its labels are those of the same
+    decision over the table."""
+    i, names, train, classes = _forest(spark, d)
+    scorer = attack.attack_scorer(attack.attack_model(train, names, trees=10, depth=6), names, classes, None, None)
+    keep = ["seq", "orig_h", "features"]
+    encode = lambda rows: unsw.unsw_conn42(rows).select(*keep)
+    found = streamed(flows(spark, d), "classified", lambda s, out, check: stateful.classified_stream(s, lambda: trusted(spark, d), scorer, encode, out, check))
+    plain = filters.attack_only(attack.classify(encode(flows(spark, d)), scorer, trusted(spark, d)), "label")
+    both = found.select("seq", c("label").alias("streamed"), "anomaly_score").join(plain.select("seq", "label"), "seq", "full")
+    return both.agg(F.count_if(~c("streamed").eqNullSafe(c("label"))).alias("differ"), F.count_if(~c("anomaly_score").between(0, 1)).alias("out_of_range"), F.count_if(c("label").isNull()).alias("lacking"))
+
+
 @query
 def q_classify_stream(spark, d):
     def scorer(rows):
@@ -729,9 +896,44 @@ def q_add_total_rows(spark, d):
 
 @query
 def q_save_model_row(spark, d):
+    """Each type's newest model saved once more under a new path, with a threshold of its own."""
     m = models(spark, d)
-    new = m.filter("log_type = 't1'").limit(0).select("log_type", "model_path", "created_at", "anomaly_threshold")
-    return registry.save_model_row(m, new).groupBy("log_type").agg(F.count(F.lit(1)).alias("n"))
+    new = batches.latest_model(m).select("log_type", F.concat("model_path", F.lit("-new")).alias("model_path"), F.lit("2030-01-01 00:00:00").cast("timestamp").alias("created_at"), (c("anomaly_threshold") * 2).alias("anomaly_threshold"))
+    held = registry.save_model_row(m, new)
+    return held.groupBy("log_type").agg(F.count(F.lit(1)).alias("n"), F.max_by("model_path", F.struct(c("created_at").cast("timestamp"), "model_path")).alias("newest"), F.round(F.sum("anomaly_threshold"), 3).alias("s"), F.count("training_loss").alias("with_loss"))
+
+
+@query
+def q_reconstruct(spark, d):
+    """Windows rebuilt by an autoencoder fitted on them: closer than by their mean, farther than by more components."""
+    rows = vectors(spark, d).select(c("vec_id").alias("id"), F.slice("features", 1, 8).alias("features"))
+    w = stored(batches.train_windows(rows, [], ["id"], timesteps=3).select("place", "window"), "windows")
+    errors = []
+    for k in (0, 4, 24):
+        model = anomaly.LinearAutoencoder.fit(w, k=k)
+        _, mse = anomaly.window_error(c("window"), c("rebuilt"))
+        errors.append(anomaly.reconstruct(w, model).agg(F.count(F.lit(1)).alias("windows"), F.avg(mse).alias(f"e{k}")))
+    one = errors[0].crossJoin(errors[1].drop("windows")).crossJoin(errors[2].drop("windows"))  # one row each
+    return one.select("windows", F.round("e0", 6).alias("by_mean"), (c("e4") < c("e0")).alias("closer"), (c("e24") < 1e-12).alias("whole_with_all"))
+
+
+@query
+def q_train_job(spark, d):
+    """The whole job of one type: its model's row, its total and the store afterwards."""
+    held = vectors(spark, d).select(c("vec_id").alias("id"), "log_type", F.slice("features", 1, 12).alias("features"))
+    kept = models(spark, d).filter("log_type = 't1'").select(F.lit("dns").alias("log_type"), "model_path", c("created_at").cast("timestamp").alias("created_at"), "anomaly_threshold")
+    before = training.Registry(held, kept, held.groupBy("log_type").agg(F.count(F.lit(1)).alias("count")))
+    trained, after = training.run_training(before, "conn", "conn-new", datetime(2030, 1, 1, tzinfo=UTC))
+    n = after.models.groupBy("log_type").agg(F.count(F.lit(1)).alias("models"), F.max_by("model_path", "created_at").alias("newest"), F.bool_and(c("anomaly_threshold") > 0).alias("fine"))
+    left = after.store.groupBy("log_type").agg(F.count(F.lit(1)).alias("left"))
+    return n.join(after.totals, "log_type", "full").join(left, "log_type", "full").select("log_type", "models", F.when(c("log_type") == "conn", c("newest")).alias("newest"), "fine", "count", F.coalesce("left", F.lit(0)).alias("left"), F.lit(trained.basis).alias("basis"))
+
+
+@query
+def q_quantile_fit(spark, d):
+    """Values of a column at evenly spaced ranks."""
+    q = attack.quantile_fit(items(spark, d), "sbytes", 100)
+    return spark.createDataFrame(list(enumerate(q)), "i long, value double").select("i", F.round("value", 4).alias("value"))
 
 
 @query

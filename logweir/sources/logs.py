@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import registry
 from ..operators.filters import unwrapped
 
 # The fields of the four record types.
@@ -47,6 +48,13 @@ def read_topics(spark: SparkSession, log_types: list[str], servers: str | None =
     return out
 
 
+def replay(spark: SparkSession, log_types: list[str], status: DataFrame, servers: str | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, status): the topics of the types from their beginning once more, and the learning status with learning on
+    for them, so that what is read again is stored."""
+    on = spark.createDataFrame([(t.strip(), True) for t in log_types], "log_type string, enabled boolean").withColumn("last_updated", F.current_timestamp())
+    return read_topics(spark, log_types, servers, folder, stream=False), registry.set_learning(status, on)
+
+
 def decode_json(records: DataFrame, column: str = "value") -> DataFrame:
     """Rows whose value is a JSON object; see bad_records() for the others."""
     return records.filter(F.json_object_keys(F.col(column)).isNotNull())

@@ -1,65 +1,101 @@
 """Long-running streams: features with state for each source, sessions with state for each uid, sinks by batch."""
 
 from collections.abc import Callable, Iterator
-from math import sqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators import filters, vector33
+from ..operators import attack, filters, vector33
 from ..operators.vector33 import FLOWS_PER_EPOCH, GAPS
 
 HOUR_US = 3_600_000_000
-HISTORY_SCHEMA = "seq long, src string, flow_count long, distinct_ports long, iat_mean double, iat_std double"
+#: What a record needs beside its history for the 33 features.
+CARRIED = {
+    "ts": "string", "orig_h": "string", "resp_h": "string", "orig_p": "long", "resp_p": "long", "duration": "double", "rtt": "double", "orig_pkts": "long",
+    "resp_pkts": "long", "orig_bytes": "long", "resp_bytes": "long", "history": "string", "ssl_history": "string",
+}
+HISTORY = {"flow_count": "long", "distinct_ports": "long", "iat_mean": "double", "iat_std": "double"}
+HISTORY_SCHEMA = ", ".join(f"{k} {v}" for k, v in {"seq": "long", "src": "string", "us": "long", **CARRIED, **HISTORY}.items())
+#: Rows whose windows of gaps are laid out at a time.
+ROWS = 4096
+
+
+def last_gaps(gaps: np.ndarray, before: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population deviation of the last GAPS gaps for each row: of before and the first upto[i] of gaps."""
+    line = np.concatenate([np.full(GAPS, np.nan), before, gaps])
+    ends = GAPS + len(before) + upto
+    mean, std = np.zeros(len(upto)), np.zeros(len(upto))
+    for i in range(0, len(upto), ROWS):
+        held = np.lib.stride_tricks.sliding_window_view(line, GAPS)[ends[i : i + ROWS] - GAPS]
+        some = ~np.isnan(held[:, -1])  # the last of the window is there if any is
+        mean[i : i + ROWS][some], std[i : i + ROWS][some] = np.nanmean(held[some], axis=1), np.nanstd(held[some], axis=1)
+    return mean, std
 
 
 class SourceHistory(StatefulProcessor):
     """Per source: flows and distinct ports of the epoch, the last time, the last 100 valid gaps. State is bounded by the epoch;
-    the time to live ends that of sources gone quiet."""
+    with a time to live it ends for sources that have been quiet so long. A micro-batch's rows are worked on in arrays, an
+    epoch's part at a time."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.flows = handle.getValueState("flows", "n long, last_us long")
-        self.ports = handle.getMapState("ports", "port long", "n long")
-        self.gaps = handle.getListState("gaps", "us long")
+        ttl = {"ttlDurationMs": self.ttl_ms} if self.ttl_ms else {}
+        self.flows = handle.getValueState("flows", "n long, last_us long", **ttl)
+        self.ports = handle.getMapState("ports", "port long", "n long", **ttl)
+        self.gaps = handle.getListState("gaps", "us long", **ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         (src,) = key
         held = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
         n, last = self.flows.get() if self.flows.exists() else (0, 0)
-        gaps = [g for (g,) in self.gaps.get()]
+        gaps = np.array([g for (g,) in self.gaps.get()], float)
         ports = {k for ((k,), _) in self.ports.iterator()}
-        out = []
-        for seq, us, port, orig_h in held[["seq", "us", "resp_p", "orig_h"]].itertuples(index=False):
+        at = 0
+        while at < len(held):
             if n == FLOWS_PER_EPOCH:
-                n, last, gaps = 0, 0, []
-                ports = set()
+                n, last, gaps, ports = 0, 0, gaps[:0], set()
                 self.ports.clear()
-            n += 1
-            if port not in ports:
+            part = held.iloc[at : at + FLOWS_PER_EPOCH - n]
+            us = part["us"].to_numpy(np.int64)
+            before = np.concatenate(([last], us[:-1]))
+            gap = us - before
+            valid = (before > 0) & (gap > 0) & (gap < HOUR_US)
+            mean, std = last_gaps(gap[valid].astype(float), gaps, np.cumsum(valid))
+            seen = part["resp_p"].to_numpy()
+            fresh = ~pd.Series(seen).duplicated().to_numpy() & ~np.isin(seen, list(ports))
+            named = (part["orig_h"].fillna("") != "").to_numpy()
+            out = part.assign(src=src, flow_count=n + 1 + np.arange(len(part)), distinct_ports=len(ports) + np.cumsum(fresh), iat_mean=np.where(named, mean, 0) / 1e6, iat_std=np.where(named, std, 0) / 1e6)
+            for port in seen[fresh].tolist():
                 ports.add(port)
                 self.ports.updateValue((int(port),), (1,))
-            gap = us - last
-            if last > 0 and 0 < gap < HOUR_US:
-                gaps = [*gaps, int(gap)][-GAPS:]
-            last = int(us)
-            mean = sum(gaps) / len(gaps) if gaps and orig_h else 0.0
-            std = sqrt(sum((g - mean) ** 2 for g in gaps) / len(gaps)) if gaps and orig_h else 0.0
-            out.append((int(seq), src, n, len(ports), mean / 1e6, std / 1e6))
+            n, last, at = n + len(part), int(us[-1]), at + len(part)
+            gaps = np.concatenate([gaps, gap[valid]])[-GAPS:]
+            yield out[["seq", "src", "us", *CARRIED, *HISTORY]]
         self.flows.update((n, last))
-        self.gaps.put([(g,) for g in gaps])
-        yield pd.DataFrame(out, columns=["seq", "src", "flow_count", "distinct_ports", "iat_mean", "iat_std"])
+        self.gaps.put([(int(g),) for g in gaps])
 
     def close(self) -> None:
         pass
 
 
-def stateful_history(records: DataFrame) -> DataFrame:
-    """The history columns of vector33 for a stream of connections. Within a micro-batch a source's rows go in order of
-    (us, seq); across batches, in order of arrival. On a table in that order it gives what the windows of vector33 give."""
-    keyed = records.withColumn("src", filters.source_key(F.col("orig_h"))).select("src", "seq", "us", F.col("resp_p").cast("long").alias("resp_p"), F.coalesce("orig_h", F.lit("")).alias("orig_h"))
-    return keyed.groupBy("src").transformWithStateInPandas(SourceHistory(), HISTORY_SCHEMA, "Append", "None")
+def stateful_history(records: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
+    """Records of a stream of connections with the history columns of vector33. Within a micro-batch a source's rows go in
+    order of (us, seq); across batches, in order of arrival. On a table in that order it gives what the windows of vector33
+    give. A missing port counts as port -1. ttl_seconds: a source's state ends so long after its last record; by default it stays."""
+    held = vector33.completed(records).withColumn("src", filters.source_key(F.col("orig_h")))
+    keyed = held.select("src", "seq", "us", *[(F.coalesce(c, F.lit(-1)) if c == "resp_p" else F.col(c)).cast(kind).alias(c) for c, kind in CARRIED.items()])
+    processor = SourceHistory(ttl_seconds * 1000 if ttl_seconds else None)
+    return keyed.groupBy("src").transformWithStateInPandas(processor, HISTORY_SCHEMA, "Append", "ProcessingTime" if ttl_seconds else "None")
+
+
+def stateful_vector33(records: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
+    """seq, src, us and features: the 33 values for each record of a stream, with the history of its source."""
+    return stateful_history(records, ttl_seconds).select("seq", "src", "us", vector33.features().alias("features"))
 
 
 class SessionState(StatefulProcessor):
@@ -96,6 +132,20 @@ def stateful_session(tagged: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
     return tagged.groupBy("uid").transformWithStateInPandas(SessionState(ttl_seconds * 1000), "uid string, arrival long, conn string, n_dns long, n_http long, n_ssl long", "Append", "ProcessingTime")
 
 
+def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool):
+    """Starts the query; with once it ends when what is there is read. Batches without data would then never end for state
+    that has a time to live, so there are none."""
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    try:
+        if once:
+            conf.set(key, "false")
+        return (writer.trigger(availableNow=True) if once else writer).start()
+    finally:
+        conf.set(key, before)
+
+
 def write_batches(stream: DataFrame, folder: str, checkpoint: str, partition: str | None = None, once: bool = True):
     """Starts a query that writes each micro-batch to a folder of its number, over what an earlier attempt left there."""
 
@@ -103,8 +153,7 @@ def write_batches(stream: DataFrame, folder: str, checkpoint: str, partition: st
         writer = batch.write.mode("overwrite")
         (writer.partitionBy(partition) if partition else writer).parquet(f"{folder}/batch={number}")
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return _start(stream, write, checkpoint, once)
 
 
 def score_stream(records: DataFrame, trusted: Callable[[], DataFrame], score: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str, once: bool = True):
@@ -114,11 +163,15 @@ def score_stream(records: DataFrame, trusted: Callable[[], DataFrame], score: Ca
     def write(batch: DataFrame, number: int) -> None:
         score(filters.drop_trusted(batch, trusted())).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return _start(records, write, checkpoint, once)
 
 
-def live_features(records: DataFrame) -> DataFrame:
-    """The part of vector33 that needs no history, for rows of a stream."""
-    c = F.col
-    return records.select("seq", F.array(*vector33.time_cyclic(c("ts")), *vector33.ip_octets4(c("orig_h")), *vector33.ip_octets4(c("resp_h")), vector33.port_index(c("orig_p")), vector33.port_index(c("resp_p"))).alias("features"))
+def classified_stream(records: DataFrame, trusted: Callable[[], DataFrame], scorer: Callable[[DataFrame], DataFrame], encode: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str, once: bool = True):
+    """Starts a query that encodes each micro-batch, labels it with `scorer` (attack.attack_scorer) and keeps the attacks. Trusted
+    sources are normal; the list is read anew for each batch."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        found = attack.classify(encode(batch), scorer, trusted())
+        filters.attack_only(found, "label").write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return _start(records, write, checkpoint, once)
