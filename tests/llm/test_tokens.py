@@ -76,8 +76,11 @@ def plain_schedule(queues, weights, length, least):
     return out
 
 
+@pytest.mark.parametrize("most", [1_000, 2])
 @pytest.mark.parametrize("targets", [None, {"a": 5, "b": 3, "c": 1.5, "d": 0.45, "e": 0.05}])
-def test_schedule_equals_a_plain_round_robin(spark, targets):
+def test_schedule_equals_a_plain_round_robin(spark, monkeypatch, targets, most):
+    """By either way: each task's own arithmetic, or a sort where there are more sources than `most`."""
+    monkeypatch.setattr(packing, "SOURCES", most)
     rng = random.Random(4)
     sizes = {"a": 9000, "b": 7000, "c": 4000, "d": 300, "e": 40}
     rows, i = [], 0
