@@ -38,22 +38,102 @@ def running_count(keys: list[str], order: list[str], most: int | None = None) ->
     return n if most is None else F.least(n, F.lit(most))
 
 
+#: Valid gaps that one task's frames cover, beside those just before them.
+BLOCK = 2000
+
+
+def _first(names: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in names]
+
+
+def _same(a: str, b: str, names: list[str]) -> Column:
+    on = F.col(f"{a}.__pid") == F.col(f"{b}.__pid")
+    for k in names:
+        on = on & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+    return on
+
+
+def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """df with __pid, its range of (keys, order), stored: a range partitioner samples anew in each job."""
+    return stored(df.repartitionByRange(*_first(keys + order)).withColumn("__pid", F.spark_partition_id()), "ranges")
+
+
+def sums_before(df: DataFrame, keys: list[str], order: list[str], values: list[str], name: str = "before") -> DataFrame:
+    """Adds {name}_{value} for each value: its sum over the rows of the same keys that stand before, where a key may hold most
+    of all rows.
+
+    Rows are dealt by range over (keys, order); a range sums its own, and a table with a row for each range and key carries
+    the offsets. A window over the key alone would put a hot key in one task. The order must be total within keys."""
+    r = ranged(df, keys, order)
+    own = Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.withColumns({f"{name}_{v}": F.coalesce(F.sum(v).over(own), F.lit(0)) for v in values})
+    span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = r.groupBy("__pid", *keys).agg(*[F.sum(v).alias(f"__{v}") for v in values])
+    offsets = offsets.select("__pid", *keys, *[F.coalesce(F.sum(f"__{v}").over(span), F.lit(0)).alias(f"__{v}") for v in values])
+    met = local.alias("a").join(offsets.alias("b"), _same("a", "b", keys))
+    return met.select(*[F.col(f"a.{c}") for c in df.columns], *[(F.col(f"a.{name}_{v}") + F.col(f"b.__{v}")).alias(f"{name}_{v}") for v in values])
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
-    """Adds out: the row's number (from 1) within its keys, where a key may hold most of all rows.
-
-    Rows are dealt by range over (keys, order); a range numbers its own, and a table with a row for each range and key
-    carries the offsets. A window over the key alone would put a hot key in one task. The ranges are stored before they
-    are numbered, for a range partitioner samples anew in each job.
-    """
-    pid = "__pid"
-    cols = [F.col(c).asc_nulls_first() for c in keys + order]
-    ranged = stored(df.repartitionByRange(*cols).withColumn(pid, F.spark_partition_id()), "ranges")
-    local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy(pid, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])))
-    totals = ranged.groupBy(pid, *keys).agg(F.count(F.lit(1)).alias("__n"))
-    span = Window.partitionBy(*keys).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__before", F.coalesce(F.sum("__n").over(span), F.lit(0))).drop("__n")
-    a, b = local.alias("a"), offsets.alias("b")
-    on = F.col(f"a.{pid}") == F.col(f"b.{pid}")
-    for k in keys:
-        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    return a.join(b, on).select(*[F.col(f"a.{c}") for c in df.columns], (F.col("__local") + F.col("__before")).alias(out))
+    """Adds out: the row's number (from 1) within its keys, where a key may hold most of all rows (see sums_before)."""
+    held = sums_before(df.withColumn("__one", F.lit(1)), keys, order, ["__one"], "__before")
+    return held.withColumn(out, F.col("__before___one") + 1).drop("__one", "__before___one")
+
+
+def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int) -> DataFrame:
+    """Adds for each counter the number of rows of its keys so far, this one included, at most `most`. rows: what ranged()
+    gives over the first of each counter's keys. Ranges count their own rows; those of keys that began in an earlier range
+    get what it counted."""
+    held = rows.repartition("__pid")  # every counter's windows are within a range, so rows move once
+    held = held.withColumns({name: F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) for name, keys in counters.items()})
+    for name, keys in counters.items():
+        span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        n = rows.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__more", F.sum("__n").over(span)).filter("__more > 0")
+        met = held.alias("a").join(n.alias("b"), _same("a", "b", keys), "left")
+        held = met.select(*[F.col(f"a.{c}") for c in held.columns if c != name], F.least(F.col(f"a.{name}") + F.coalesce(F.col("b.__more"), F.lit(0)), F.lit(most)).alias(name))
+    return held
+
+
+def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str) -> DataFrame:
+    """What last_gaps() adds, but mean and deviation only in rows whose gap is valid; a key may hold most of all rows. rows:
+    what ranged() gives over the key.
+
+    The row before a range's first is carried from the ranges before it. Valid gaps are numbered in the same way, and cut
+    into blocks of BLOCK with the `gaps` - 1 before each, so that a frame never needs more than its block."""
+    own = Window.partitionBy("__pid", key).orderBy(*order)
+    span = Window.partitionBy(key).orderBy("__pid")
+    last = rows.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(span)).drop("__us")
+    met = rows.alias("a").join(last.alias("b"), _same("a", "b", [key])).select(*[F.col(f"a.{c}") for c in rows.columns], "__carried")
+    before = F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own))
+    held = met.withColumn("__gap", valid_gap(F.col("us"), before)).drop("__carried")
+    valid = F.when(F.col("__gap").isNotNull(), 1).otherwise(0)
+    sums = held.groupBy("__pid", key).agg(F.sum(valid).alias("__n")).withColumn("__more", F.coalesce(F.sum("__n").over(span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    local = held.withColumn("__nth", F.sum(valid).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    nth = local.alias("a").join(sums.alias("b"), _same("a", "b", [key])).select(*[F.col(f"a.{c}") for c in held.columns], (F.col("__nth") + F.col("__more") - 1).alias("__nth"))
+    some = nth.filter("__gap is not null").withColumn("__block", F.floor(F.col("__nth") / BLOCK)).withColumn("__own", F.lit(True))
+    tail = some.filter(F.col("__nth") % BLOCK > BLOCK - gaps).withColumn("__block", F.col("__block") + 1).withColumn("__own", F.lit(False))
+    frame = Window.partitionBy(key, "__block").orderBy("__nth").rowsBetween(-(gaps - 1), 0)
+    framed = some.unionByName(tail).withColumns({f"{name}_mean": F.avg("__gap").over(frame) / 1e6, f"{name}_std": F.stddev_pop("__gap").over(frame) / 1e6, f"{name}_gap": F.col("__gap") / 1e6})
+    none = F.lit(None).cast("double")
+    rest = nth.filter("__gap is null").withColumns({f"{name}_mean": none, f"{name}_std": none, f"{name}_gap": none})
+    return framed.filter("__own").drop("__block", "__own", "__gap", "__nth").unionByName(rest.drop("__gap", "__nth"))
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float]:
+    """Values at shares of the ranks, linear between neighbours, null and NaN left out; no rows: an empty list. Values are
+    counted first, their ranks come from sums over ranges, and two rows for each share come back."""
+    x = F.col(column).cast("double")
+    counted = df.select(x.alias("x")).filter("x is not null and not isnan(x)").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    ranks = stored(sums_before(counted, [], ["x"], ["n"]), "ranks")
+    whole = ranks.agg(F.sum("n")).first()[0]
+    if not whole:
+        return []
+    wanted = sorted({min(int((whole - 1) * s) + k, whole - 1) for s in shares for k in (0, 1)})
+    at = F.filter(F.array(*[F.lit(w).cast("long") for w in wanted]), lambda w: (w >= F.col("before_n")) & (w < F.col("before_n") + F.col("n")))
+    found = {r.w: r.x for r in ranks.select("x", F.explode(at).alias("w")).collect()}
+    out = []
+    for s in shares:
+        place = (whole - 1) * s
+        low, high = found[int(place)], found[min(int(place) + 1, whole - 1)]
+        out.append(low + (high - low) * (place - int(place)))
+    return out

@@ -9,6 +9,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import frames
+
 # How classes merge, which columns are logarithms, where the 42 features have names.
 RENAMED = {"Backdoors": "Backdoor", "Fuzzers": "Fuzzer"}
 MERGED = ("Analysis", "Backdoor", "DoS")
@@ -74,13 +76,13 @@ def label_encode(rows: DataFrame, columns: tuple[str, ...] = ("proto", "service"
 def mutual_information(rows: DataFrame, features: list[str], label: str, bins: int = 32) -> DataFrame:
     """feature, mi: between the class and `bins` rank bins (floor(bins * (rank - 1) / n), ties share a rank).
 
-    Ranks come from counts of distinct values: values are counted first, and running sums over distinct values follow.
-    Long columns of distinct values are numbered by range (see frames); here features are separate keys."""
+    Ranks come from counts of distinct values: values are counted first, and sums over ranges of distinct values follow, so
+    that a feature of many values is many tasks' work."""
     n = rows.count()
     long = rows.select(F.col(label).alias("y"), F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])).alias("e")).select("y", "e.*")
     by = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n"))
     values = by.groupBy("feature", "x").agg(F.sum("n").alias("n"))
-    before = values.withColumn("rank", F.coalesce(F.sum("n").over(Window.partitionBy("feature").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = frames.sums_before(values, ["feature"], ["x"], ["n"]).withColumnRenamed("before_n", "rank")
     binned = by.join(before.select("feature", "x", F.floor(F.lit(bins) * F.col("rank") / F.lit(n)).alias("bin")), ["feature", "x"]).groupBy("feature", "bin", "y").agg(F.sum("n").alias("n"))
     px = binned.groupBy("feature", "bin").agg(F.sum("n").alias("nx"))
     py = binned.groupBy("feature", "y").agg(F.sum("n").alias("ny"))
@@ -108,7 +110,7 @@ def standardize(rows: DataFrame, fit: DataFrame, columns: list[str]) -> DataFram
 
 def quantile_fit(rows: DataFrame, column: str, quantiles: int = 1000) -> list[float]:
     """Values at evenly spaced ranks, exact."""
-    return rows.agg(F.percentile(F.col(column).cast("double"), F.array(*[F.lit(i / (quantiles - 1)) for i in range(quantiles)]))).first()[0] or []
+    return frames.exact_quantiles(rows, column, [i / (quantiles - 1) for i in range(quantiles)])
 
 
 def quantile_normal(values: Column, quantiles: list[float]) -> Column:
@@ -197,10 +199,11 @@ def attack_scorer(model, features: list[str], classes: list[str], worms: float |
 
 
 def pr_points(scores: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
-    """threshold, precision, recall, f1 at each distinct score. Scores are counted first; running sums go over distinct ones."""
+    """threshold, precision, recall, f1 at each distinct score. Scores are counted first; sums go over ranges of distinct ones."""
     by = scores.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count(F.lit(1)).alias("n"))
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    held = by.withColumn("tp", F.sum("p").over(down)).withColumn("all", F.sum("n").over(down)).crossJoin(F.broadcast(by.agg(F.sum("p").alias("pos"))))  # one row
+    above = frames.sums_before(by.withColumn("down", -F.col("threshold")), [], ["down", "threshold"], ["p", "n"], "above")
+    summed = above.withColumn("tp", F.col("above_p") + F.col("p")).withColumn("all", F.col("above_n") + F.col("n"))
+    held = summed.crossJoin(F.broadcast(by.agg(F.sum("p").alias("pos"))))  # one row
     precision, recall = F.col("tp") / F.col("all"), F.when(F.col("pos") > 0, F.col("tp") / F.col("pos")).otherwise(0.0)
     return held.select("threshold", precision.alias("precision"), recall.alias("recall"), (2 * precision * recall / (precision + recall + 1e-10)).alias("f1"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import frames
+
 
 def store_summary(store: DataFrame, time: str = "timestamp") -> DataFrame:
     return store.groupBy("log_type").agg(F.count(F.lit(1)).alias("rows"), F.min(time).alias("first"), F.max(time).alias("last")).orderBy("log_type")
@@ -29,12 +31,13 @@ def class_distribution(rows: DataFrame, label: str) -> DataFrame:
 
 
 def score_stats(scores: DataFrame, score: str = "score", anomaly: str = "is_anomaly") -> DataFrame:
-    """One row: count, anomalies, rate, mean, population deviation, extremes and percentiles (linear between ranks)."""
+    """One row: count, anomalies, rate, mean, population deviation, extremes and percentiles (linear between ranks, which come
+    from counts of values by range: no buffer holds all of them)."""
     s = F.col(score)
     hits = F.count_if(F.col(anomaly))
-    p = F.percentile(s, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    held = scores.agg(F.count(s).alias("count"), hits.alias("anomalies"), F.try_divide(hits, F.count(s)).alias("anomaly_rate"), F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"), F.min(s).alias("min"), F.max(s).alias("max"), p.alias("p"))
-    return held.select("count", "anomalies", "anomaly_rate", "mean", "std", "min", "max", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), F.col("p")[2].alias("p99"))
+    p = frames.exact_quantiles(scores, score, [0.5, 0.95, 0.99]) or [None] * 3
+    held = scores.agg(F.count(s).alias("count"), hits.alias("anomalies"), F.try_divide(hits, F.count(s)).alias("anomaly_rate"), F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"), F.min(s).alias("min"), F.max(s).alias("max"))
+    return held.select("*", *[F.lit(x).cast("double").alias(n) for x, n in zip(p, ("p50", "p95", "p99"), strict=True)])
 
 
 def entropy_of_texts(texts: DataFrame, key: str, text: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import frames
 from ..functions import scalar as S
+from ..sources.scratch import stored
 
 # Codes of services and states; all else is 0 (protocols: null 0, others 3).
 PROTO_CODES = {"tcp": 0, "udp": 1, "icmp": 2}
@@ -42,20 +43,27 @@ def history_acks(history: Column) -> list[Column]:
     return [F.length(F.regexp_replace(h, f"[^{letters}]", "")).cast("double") for letters in ("SA", "AD")]
 
 
-def iat50(conns: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> DataFrame:
-    """Adds sinpkt and dinpkt: mean and population deviation of the source's last 50 valid gaps where this row's gap is
-    valid (the deviation from two gaps on), else the duration and 0."""
-    held = frames.last_gaps(conns, ["src"], list(order), GAPS, "iat")
+def _iat50(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    held = frames.hot_gaps(rows, "src", list(order), GAPS, "iat")
     valid = F.col("iat_gap").isNotNull() & (F.coalesce(F.col("orig_h"), F.lit("")) != "")
     dur = F.greatest(S.number(F.col("duration")), F.lit(0.001))
     return held.withColumn("sinpkt", F.when(valid, F.col("iat_mean")).otherwise(dur)).withColumn("dinpkt", F.when(valid, F.col("iat_std")).otherwise(0.0)).drop("iat_mean", "iat_std", "iat_gap")
 
 
+def iat50(conns: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> DataFrame:
+    """Adds sinpkt and dinpkt: mean and population deviation of the source's last 50 valid gaps where this row's gap is
+    valid (the deviation from two gaps on), else the duration and 0. A source may hold most of all rows."""
+    return _iat50(frames.ranged(conns, ["src"], list(order)), order).drop("__pid")
+
+
+def _keys(scope: str) -> dict[str, list[str]]:
+    return {name: [scope, *[k for k in keys if k != scope]] for name, keys in COUNTERS.items()}
+
+
 def ct_counters(conns: DataFrame, scope: str = "src", order: tuple[str, ...] = ("us", "seq")) -> DataFrame:
-    """Adds the eight running counts within a scope (the source, or the uid for sessions), at most 255 each."""
-    for name, keys in COUNTERS.items():
-        conns = conns.withColumn(name, frames.running_count([scope, *[k for k in keys if k != scope]], list(order), MOST))
-    return conns
+    """Adds the eight running counts within a scope (the source, or the uid for sessions), at most 255 each. A scope may
+    hold most of all rows."""
+    return frames.hot_counts(frames.ranged(conns, [scope], list(order)), _keys(scope), list(order), MOST).drop("__pid")
 
 
 def _features(jitter: Column | None, http: dict[str, Column] | None, ftp: Column | None) -> list[Column]:
@@ -115,8 +123,9 @@ def _features(jitter: Column | None, http: dict[str, Column] | None, ftp: Column
 def unsw_conn42(conns: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
     """conns with the 42 features; counters and gaps belong to the source (missing: 'unknown')."""
     held = conns.withColumn("src", F.coalesce(F.nullif(F.col("orig_h"), F.lit("")), F.lit("unknown")))
-    held = ct_counters(iat50(held, order), "src", order)
-    return held.withColumn(out, F.array(*_features(None, None, None))).drop(*COUNTERS, "sinpkt", "dinpkt")
+    rows = stored(_iat50(frames.ranged(held, ["src"], list(order)), order), "gaps")  # ranged already, for the counters too
+    held = frames.hot_counts(rows, _keys("src"), list(order), MOST)
+    return held.withColumn(out, F.array(*_features(None, None, None))).drop(*COUNTERS, "sinpkt", "dinpkt", "__pid")
 
 
 def session_http(http: DataFrame, uid: str = "uid") -> DataFrame:
