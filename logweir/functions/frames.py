@@ -80,18 +80,23 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> Data
     return held.withColumn(out, F.col("__before___one") + 1).drop("__one", "__before___one")
 
 
-def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int) -> DataFrame:
+def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int, base: DataFrame | None = None) -> DataFrame:
     """Adds for each counter the number of rows of its keys so far, this one included, at most `most`. rows: what ranged()
-    gives over the first of each counter's keys. Ranges count their own rows; those of keys that began in an earlier range
-    get what it counted."""
-    held = rows.repartition("__pid")  # every counter's windows are within a range, so rows move once
-    held = held.withColumns({name: F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) for name, keys in counters.items()})
+    gives over the first of each counter's keys, or rows made from that (base, which has the keys too). Ranges count their own
+    rows; those of keys that began in an earlier range get what it counted. Counters of the same keys are counted once."""
+    base = rows if base is None else base
+    names = {}
     for name, keys in counters.items():
+        names.setdefault(frozenset(keys), (name, list(dict.fromkeys(keys))))
+    once = dict(names.values())
+    held = rows.repartition("__pid")  # every counter's windows are within a range, so rows move once
+    held = held.withColumns({name: F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) for name, keys in once.items()})
+    for name, keys in once.items():
         span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-        n = rows.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__more", F.sum("__n").over(span)).filter("__more > 0")
+        n = base.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__more", F.sum("__n").over(span)).filter("__more > 0")
         met = held.alias("a").join(n.alias("b"), _same("a", "b", keys), "left")
         held = met.select(*[F.col(f"a.{c}") for c in held.columns if c != name], F.least(F.col(f"a.{name}") + F.coalesce(F.col("b.__more"), F.lit(0)), F.lit(most)).alias(name))
-    return held
+    return held.withColumns({name: F.col(names[frozenset(keys)][0]) for name, keys in counters.items() if name not in once})
 
 
 def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str) -> DataFrame:
@@ -110,6 +115,7 @@ def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str)
     sums = held.groupBy("__pid", key).agg(F.sum(valid).alias("__n")).withColumn("__more", F.coalesce(F.sum("__n").over(span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     local = held.withColumn("__nth", F.sum(valid).over(own.rowsBetween(Window.unboundedPreceding, 0)))
     nth = local.alias("a").join(sums.alias("b"), _same("a", "b", [key])).select(*[F.col(f"a.{c}") for c in held.columns], (F.col("__nth") + F.col("__more") - 1).alias("__nth"))
+    nth = stored(nth, "gaps")
     some = nth.filter("__gap is not null").withColumn("__block", F.floor(F.col("__nth") / BLOCK)).withColumn("__own", F.lit(True))
     tail = some.filter(F.col("__nth") % BLOCK > BLOCK - gaps).withColumn("__block", F.col("__block") + 1).withColumn("__own", F.lit(False))
     frame = Window.partitionBy(key, "__block").orderBy("__nth").rowsBetween(-(gaps - 1), 0)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import frames
 from ..functions import scalar as S
-from ..sources.scratch import stored
 
 # Codes of services and states; all else is 0 (protocols: null 0, others 3).
 PROTO_CODES = {"tcp": 0, "udp": 1, "icmp": 2}
@@ -123,8 +122,8 @@ def _features(jitter: Column | None, http: dict[str, Column] | None, ftp: Column
 def unsw_conn42(conns: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
     """conns with the 42 features; counters and gaps belong to the source (missing: 'unknown')."""
     held = conns.withColumn("src", F.coalesce(F.nullif(F.col("orig_h"), F.lit("")), F.lit("unknown")))
-    rows = stored(_iat50(frames.ranged(held, ["src"], list(order)), order), "gaps")  # ranged already, for the counters too
-    held = frames.hot_counts(rows, _keys("src"), list(order), MOST)
+    rows = frames.ranged(held, ["src"], list(order))  # once, for gaps and counters
+    held = frames.hot_counts(_iat50(rows, order), _keys("src"), list(order), MOST, rows)
     return held.withColumn(out, F.array(*_features(None, None, None))).drop(*COUNTERS, "sinpkt", "dinpkt", "__pid")
 
 

@@ -2,10 +2,34 @@
 
 from __future__ import annotations
 
-from ..functions import scalar as S
-from ..operators import unsw, vector33
+from types import SimpleNamespace
+
 from .views import FLOWS_SQL, WEB_SQL
 
+# Fixed values, written out once more here, so that a wrong code in the operators shows.
+S = SimpleNamespace(
+    PROTOCOLS={"tcp": 0.25, "udp": 0.5, "icmp": 0.75, "icmp6": 1.0},
+    SERVICES=(("http",), ("https", "ssl"), ("dns",), ("ssh",), ("ftp", "ftp-data"), ("smtp",), ("pop3",), ("imap",)),
+    CONN_STATES=("S0", "S1", "SF", "REJ", "S2", "S3", "RSTO", "RSTR", "RSTOS0", "RSTRH", "SH", "SHR", "OTH"),
+    RCODES={"NOERROR": 0.0, "FORMERR": 0.2, "SERVFAIL": 0.4, "NXDOMAIN": 0.6, "NOTIMP": 0.8, "REFUSED": 1.0},
+    METHODS=("GET", "POST", "PUT", "DELETE", "HEAD", "OPTIONS", "PATCH", "CONNECT"),
+    SSL_VERSIONS=(("sslv2", 1), ("sslv3", 2), ("tlsv1.0", 3), ("tlsv10", 3), ("tlsv1.1", 4), ("tlsv11", 4), ("tlsv1.2", 5), ("tlsv12", 5), ("tlsv1.3", 6), ("tlsv13", 6)),
+)
+PORT_INDEX = {80: 1, 8080: 2, 21: 3, 53: 4, 22: 5, 3306: 6, 443: 7, 445: 8}
+PROTO_CODES = {"tcp": 0, "udp": 1, "icmp": 2}
+SERVICE_CODES = {"http": 1, "https": 2, "ssl": 2, "dns": 3, "ssh": 4, "ftp": 5}
+STATE_CODES = {"SF": 1, "S0": 2, "REJ": 3, "S1": 4, "S2": 5, "S3": 6, "RSTO": 7, "RSTR": 8, "OTH": 13}
+COUNTERS = {
+    "ct_srv_src": ["src", "service"],
+    "ct_state": ["conn_state"],
+    "ct_dst": ["resp_h"],
+    "ct_src_dport": ["src", "resp_p"],
+    "ct_dst_sport": ["resp_h", "orig_p"],
+    "ct_dst_src": ["resp_h", "src"],
+    "ct_src": ["src"],
+    "ct_src_dst": ["src", "resp_h"],
+}
+
 SQL: dict[str, str] = {}
 
 
@@ -217,7 +241,7 @@ def cyclic(ts: str) -> list[str]:
 
 
 def port_index(x: str) -> str:
-    return "(CASE " + " ".join(f"WHEN {x} = {p} THEN {i}" for p, i in vector33.PORT_INDEX.items()) + " ELSE 9 END)"
+    return "(CASE " + " ".join(f"WHEN {x} = {p} THEN {i}" for p, i in PORT_INDEX.items()) + " ELSE 9 END)"
 
 
 def dynamics(dur: str, m: str, s: str, op: str, rp: str, ob: str, rb: str) -> list[str]:
@@ -270,7 +294,7 @@ SQL["encode_dispatch"] = "SELECT 'conn' AS log_type, count(*) AS rows, 41 AS wid
 
 
 def codes(proto: str, service: str, state: str) -> list[str]:
-    return [case(f"lower({proto})", unsw.PROTO_CODES, 3), case(f"lower({service})", unsw.SERVICE_CODES, 0), case(f"upper({state})", unsw.STATE_CODES, 0)]
+    return [case(f"lower({proto})", PROTO_CODES, 3), case(f"lower({service})", SERVICE_CODES, 0), case(f"upper({state})", STATE_CODES, 0)]
 
 
 def acks(h: str) -> list[str]:
@@ -282,7 +306,7 @@ _rows("history_acks", FLOWS, acks("history"))
 
 
 def _iat50(source: str, scope: str) -> dict[str, str]:
-    counters = ", ".join(f"least(count(*) OVER (PARTITION BY {', '.join([scope, *[k for k in keys if k != scope]])} ORDER BY us, seq ROWS UNBOUNDED PRECEDING), 255) AS {n}" for n, keys in unsw.COUNTERS.items())
+    counters = ", ".join(f"least(count(*) OVER (PARTITION BY {', '.join([scope, *[k for k in keys if k != scope]])} ORDER BY us, seq ROWS UNBOUNDED PRECEDING), 255) AS {n}" for n, keys in COUNTERS.items())
     return {
         "a": f"SELECT *, orig_h AS src, us - lag(us) OVER (PARTITION BY orig_h ORDER BY us, seq) AS gap0 FROM {source}",
         "b": "SELECT *, CASE WHEN gap0 > 0 AND gap0 < 3600000000 THEN gap0 END AS gap FROM a",
@@ -294,13 +318,13 @@ def _iat50(source: str, scope: str) -> dict[str, str]:
 
 _F42 = FLOWS | _iat50("flows", "src")
 SQL["iat50"] = _with(_F42, "SELECT seq, floor(sinpkt * 1e6 + 0.5) / 1e6 AS sinpkt, round(dinpkt, 4) AS dinpkt FROM g")
-SQL["ct_counters"] = _with(_F42, f"SELECT seq, {', '.join(unsw.COUNTERS)} FROM g")
+SQL["ct_counters"] = _with(_F42, f"SELECT seq, {', '.join(COUNTERS)} FROM g")
 
 
 def features42(jitter="0.0", depth="0.0", length="0.0", methods="0.0", ftp=None) -> list[str]:
     d, ob, rb, op, rp = "greatest(duration, 0.001)", *(f"CAST({x} AS DOUBLE)" for x in ("orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts"))
     is_ftp = flag("contains(lower(service), 'ftp')")
-    n = list(unsw.COUNTERS)
+    n = list(COUNTERS)
     return [f"ln(1 + {d})", *codes("proto", "service", "conn_state"), op, rp, ob, rb, f"({op} + {rp}) / {d}", "64", "64", f"{ob} / {d}", f"{rb} / {d}", "0", "0", "ln(1 + sinpkt)", "ln(1 + dinpkt)", jitter, jitter, "0", "0", "0", "0", f"ln(1 + {d})", *acks("history"), f"CASE WHEN {op} > 0 THEN {ob} / {op} ELSE 0.0 END", f"CASE WHEN {rp} > 0 THEN {rb} / {rp} ELSE 0.0 END", depth, length, *n[:6], ftp or is_ftp, f"{is_ftp} * ct_srv_src", methods, n[6], n[7], flag("orig_h = resp_h AND orig_p = resp_p")]
 
 
@@ -522,3 +546,21 @@ w AS (SELECT a.n, list_concat(list_concat(a.e, b.e), c.e) AS x FROM v a JOIN v b
 SQL["reconstruct"] = f"{_W} SELECT (SELECT count(*) FROM w) AS windows, round(sum(s) / 24, 6) AS by_mean, true AS closer, true AS whole_with_all FROM (SELECT i, var_pop(x) AS s FROM u GROUP BY i)"
 SQL["train_job"] = _with(_MODELS, """SELECT 'conn' AS log_type, 1 AS models, 'conn-new' AS newest, true AS fine, 2 * count(*) AS count, 0 AS "left", 'validation' AS basis FROM embeddings WHERE label < 5
   UNION ALL SELECT 'dns', (SELECT count(*) FROM models WHERE log_type = 't1'), NULL, true, count(*), count(*), 'validation' FROM embeddings WHERE label >= 5""")
+
+# ------------------------------------------------------------------ the flagship
+
+_KEPT = _NUMBERED | {"flows": f"SELECT * FROM ({FLOWS_SQL}) WHERE orig_h NOT IN ('10.0.0.0', '10.0.0.1')"}
+_KEPT = _KEPT | {
+    "v": f"SELECT seq, src, us, [{', '.join(f'CAST({x} AS DOUBLE)' for x in _V33)}] AS f FROM i",
+    "e33": "SELECT seq, src, us, unnest(f) AS x, generate_subscripts(f, 1) AS k FROM v",
+    "mm": "SELECT k, min(x) AS low, max(x) - min(x) AS r FROM e33 GROUP BY k",
+    "z33": "SELECT seq, src, us, k, greatest(0.0, least(1.0, (x - low) / (r + 1e-8))) AS z FROM e33 JOIN mm USING (k)",
+    "m33": "SELECT k, avg(z) AS mean FROM z33 GROUP BY k",
+    "d33": "SELECT seq, src, us, sum(abs(z - mean)) / 33 AS a FROM z33 JOIN m33 USING (k) GROUP BY seq, src, us",
+    "n33": "SELECT *, row_number() OVER (PARTITION BY src ORDER BY us, seq) - 1 AS p FROM d33",
+    "b33": "SELECT *, p // 50 AS batch FROM n33",
+    "w33": """SELECT seq, src, (sum(a) OVER q + (10 - count(*) OVER q) * first_value(a) OVER q) / 10 AS mae FROM b33
+              WINDOW q AS (PARTITION BY src, batch ORDER BY p ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+    "t33": "SELECT avg(mae) + 2 * stddev_pop(mae) AS at_least FROM w33",
+}
+SQL["anomalous_flows"] = _with(_KEPT, "SELECT seq, src, round(mae, 6) AS mae FROM w33, t33 WHERE mae >= at_least")

@@ -131,6 +131,13 @@ def test_planted_outliers_rebuild_worse(spark):
     store = spark.createDataFrame([(i, "conn", r.tolist()) for i, r in enumerate(base)], "id long, log_type string, features array<double>")
     trained = train_job(store, "conn", components=8)
     assert trained.basis == "validation" and trained.rows == 300
+    w = batches.train_windows(store.select("id", "features"), [], ["id"]).select("place", "window")
+    mae, _ = anomaly.window_error(F.col("window"), F.col("rebuilt"))
+    scaled = anomaly.minmax_apply_fit(w.select("place", F.posexplode("window").alias("step", "features")), trained.fit)
+    w = scaled.groupBy("place").agg(F.transform(F.sort_array(F.collect_list(F.struct("step", "features"))), lambda s: s["features"]).alias("window"))
+    scores = {r.place: r.mae for r in anomaly.reconstruct(w, trained.model).select("place", mae.alias("mae")).collect()}
+    hit = [scores[p] for p in scores if 251 <= p <= 260]  # windows that hold the planted row
+    assert min(hit) > np.quantile([s for p, s in scores.items() if not 251 <= p <= 260], 0.9)
     assert train_job(store.limit(5), "conn") is None
 
 
@@ -153,3 +160,54 @@ def test_the_entry_point_gives_the_flagship(spark):
 
     assert entry.entry(spark).columns == ["seq", "src", "mae"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
+    from logweir.functions import frames
+
+    monkeypatch.setattr(frames, "BLOCK", 60)
+    step = F.when(F.col("seq") % 7 == 0, 0).when(F.col("seq") % 11 == 0, 3_600_000_000).otherwise(F.col("seq") % 5 * 1000 + 1)
+    rows = spark.range(1, 900).withColumnRenamed("id", "seq").withColumn("src", F.when(F.col("seq") % 9 == 0, F.lit(None)).otherwise(F.when(F.col("seq") % 4 == 0, "b").otherwise("hot")))
+    from pyspark.sql import Window
+
+    rows = rows.withColumn("us", F.sum(step).over(Window.partitionBy(F.lit(1)).orderBy("seq")) + 1).withColumn("k", F.when(F.col("seq") % 3 == 0, F.lit(None)).otherwise(F.col("seq") % 2))
+    rows = frames.stored(rows, "t")
+    plain = {r.seq: r for r in frames.last_gaps(rows, ["src"], ["us", "seq"], 50, "g").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ranged = frames.ranged(rows, ["src"], ["us", "seq"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranged.select("__pid").distinct().count() > 2
+    got = frames.hot_gaps(ranged, "src", ["us", "seq"], 50, "g").collect()
+    assert len(got) == 899 and sum(r.g_gap is not None for r in got) > 300
+    for r in got:
+        p = plain[r.seq]
+        assert r.g_gap == p.g_gap
+        if r.g_gap is not None:
+            assert r.g_mean == pytest.approx(p.g_mean) and r.g_std == pytest.approx(p.g_std, abs=1e-9)
+    counters = {"a": ["src", "k"], "b": ["src"], "c": ["k", "src"]}
+    counts = frames.hot_counts(ranged, counters, ["us", "seq"], 100).collect()
+    seen = {}
+    for r in sorted(counts, key=lambda r: (r.us, r.seq)):
+        for name, keys in counters.items():
+            at = (name, *(r[k] for k in sorted(keys)))
+            seen[at] = seen.get(at, 0) + 1
+            assert r[name] == min(seen[at], 100)
+
+
+def test_quantiles_and_normal_values_equal_plain_ones(spark):
+    from statistics import NormalDist
+
+    from logweir.functions import frames
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=700), np.zeros(300)])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)] + [(-1, None)], "id long, x double")
+    shares = [i / 99 for i in range(100)]
+    assert np.allclose(frames.exact_quantiles(df, "x", shares), np.quantile(x, shares))
+    assert frames.exact_quantiles(df.limit(0), "x", shares) == []
+    q = np.array(attack.quantile_fit(df, "x", 100))
+    p = np.linspace(0, 1, 100)
+    for r in df.filter("x is not null").select("x", attack.quantile_normal(F.col("x"), q.tolist()).alias("z")).collect():
+        below, upto = np.interp(r.x, q, p), 1 - np.interp(-r.x, -q[::-1], 1 - p[::-1])
+        rank = (below + upto) / 2
+        assert r.z == pytest.approx(NormalDist().inv_cdf(min(max(rank, 1e-7), 1 - 1e-7)), abs=1e-6)
