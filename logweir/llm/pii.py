@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import free_name, text_of
 
 # The patterns. Each starts where the leftmost match can (a run's start, or where the last match ended) and
 # gives nothing back once taken, so that a long run without a match is read once (account numbers: a bounded number of signs).
@@ -42,18 +42,40 @@ CONTEXT_CHARS, CONTEXT_GAIN, KEEP_FROM = 40, 0.3, 0.5
 _MARK, _OTHER = "\x01", "\x02"
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value worked out once; a lambda's body would work it out for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _matches(text: Column, pattern: str) -> Column:
-    """(start, end, value) of the leftmost matches that don't overlap, in code points from 0."""
+    """(start, end, value, near) of the leftmost matches that don't overlap, in code points from 0. near: up to CONTEXT_CHARS
+    characters before the match, from as far back as three matches, a blank, and up to as many after it.
+
+    Marks around the matches cut the text into parts, every second of them a match. Starts are sums of lengths: first for
+    blocks of about the square root of all parts, then within each, so that no long array is copied for each match."""
     marked = F.regexp_replace(F.translate(text, _MARK, _OTHER), f"({pattern})", f"{_MARK}$1{_MARK}")
-    parts = F.split(marked, _MARK, -1)
-    empty = F.expr("named_struct('at', 0, 'odd', false, 'found', cast(array() as array<struct<start:int,end:int,value:string>>))")
 
-    def step(s: Column, part: Column) -> Column:
-        end = s["at"] + F.length(part)
-        one = F.array(F.struct(s["at"].alias("start"), end.alias("end"), part.alias("value")))
-        return F.struct(end.alias("at"), (~s["odd"]).alias("odd"), F.when(s["odd"], F.concat(s["found"], one)).otherwise(s["found"]).alias("found"))
+    def of(parts: Column) -> Column:
+        block = (F.ceil(F.sqrt(F.size(parts)) / 2) * 2).cast("int")  # even, so that matches stand at odd places of each block
+        begins = F.sequence(F.lit(0), F.size(parts) - 1, block)
+        return _let(F.transform(parts, lambda p: F.length(p)), lambda lengths: _let(block, lambda n: _let(_sums(F.transform(begins, lambda b: F.aggregate(F.slice(lengths, b + 1, n), F.lit(0), lambda s, x: s + x))), lambda starts: F.flatten(F.transform(begins, lambda b, i: within(parts, lengths, b, n, starts[i]))))))
+
+    def within(parts: Column, lengths: Column, b: Column, n: Column, start: Column) -> Column:
+        found = _let(_sums(F.slice(lengths, b + 1, n)), lambda at: F.transform(F.slice(parts, b + 1, n), lambda p, i: F.when(i % 2 == 1, F.struct((start + at[i]).alias("start"), (start + at[i] + F.length(p)).alias("end"), p.alias("value"), near(parts, b + i).alias("near")))))
+        return F.filter(found, lambda m: m.isNotNull())
 
-    return F.aggregate(parts, empty, step, lambda s: s["found"])
+    def near(parts: Column, i: Column) -> Column:
+        before = F.concat(*[F.right(F.coalesce(F.get(parts, i - k), F.lit("")), F.lit(CONTEXT_CHARS)) for k in range(7, 0, -1)])
+        after = F.concat(*[F.left(F.coalesce(F.get(parts, i + k), F.lit("")), F.lit(CONTEXT_CHARS)) for k in range(1, 8)])
+        return F.concat(F.right(before, F.lit(CONTEXT_CHARS)), F.lit(" "), F.left(after, F.lit(CONTEXT_CHARS)))
+
+    return _let(F.split(marked, _MARK, -1), of)
+
+
+def _sums(lengths: Column) -> Column:
+    """The sum of what stands before each element of a short array."""
+    step = lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all"))
+    return F.aggregate(lengths, F.expr("named_struct('at', 0, 'all', cast(array() as array<int>))"), step, lambda s: s["all"])
 
 
 def _digits(value: Column) -> Column:
@@ -108,9 +130,7 @@ def spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFram
         checked = F.filter(_matches(text, patterns[kind]), lambda m: _checks(kind, m["value"]))
 
         def scored(m: Column) -> Column:
-            from_ = F.greatest(m["start"] - CONTEXT_CHARS, F.lit(0))
-            near = F.concat(F.substring(text, from_ + 1, m["start"] - from_), F.lit(" "), F.substring(text, m["end"] + 1, F.lit(CONTEXT_CHARS)))
-            gain = F.when(F.lower(near).rlike(rf"\b({CONTEXT[kind]})\b"), CONTEXT_GAIN).otherwise(0.0)
+            gain = F.when(F.lower(m["near"]).rlike(rf"\b({CONTEXT[kind]})\b"), CONTEXT_GAIN).otherwise(0.0)
             return F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("rank"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), F.least(F.lit(1.0), F.lit(BASE_SCORES[kind]) + gain).alias("score"))
 
         found = F.transform(checked, scored)
@@ -131,14 +151,23 @@ def listed(found: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with each span that doesn't begin inside an earlier one replaced by its kind in angle brackets. A null text stays null."""
-    out = "__pii"
+    """docs with each span that doesn't begin inside an earlier one replaced by its kind in angle brackets. A null text stays
+    null; all other columns stay. Pieces between spans are cut once each and joined at the end."""
+    out = free_name(docs, "pii")
     held = spans(docs, text_col, out)
     text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    start = F.expr("named_struct('at', 0, 'kept', cast(array() as array<int>), 'n', 0)")
 
     def step(s: Column, m: Column) -> Column:
-        return F.when(m["start"] < s["at"], s).otherwise(F.struct(m["end"].alias("at"), F.concat(s["text"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), F.lit("<"), m["kind"], F.lit(">")).alias("text")))
+        """The spans that stay, by their number."""
+        kept = F.when(m["start"] < s["at"], s["kept"]).otherwise(F.concat(s["kept"], F.array(s["n"])))
+        return F.struct(F.when(m["start"] < s["at"], s["at"]).otherwise(m["end"]).alias("at"), kept.alias("kept"), (s["n"] + 1).alias("n"))
+
+    def rebuilt(spans_: Column) -> Column:
+        ends = lambda i: F.when(i > 0, F.get(spans_, i - 1)["end"]).otherwise(0)
+        pieces = F.transform(spans_, lambda m, i: F.concat(F.substring(text, ends(i) + 1, m["start"] - ends(i)), F.lit("<"), m["kind"], F.lit(">")))
+        last = F.coalesce(F.get(spans_, F.size(spans_) - 1)["end"], F.lit(0))
+        return F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
 
-    new = F.aggregate(F.col(out), start, step, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))
+    new = _let(F.aggregate(F.col(out), start, step, lambda s: s["kept"]), lambda kept: _let(F.transform(kept, lambda k: F.col(out)[k]), rebuilt))
     return held.withColumn(text_col, F.when(text.isNull(), text).otherwise(new)).drop(out)

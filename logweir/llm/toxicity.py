@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, free_name, text_of
+from .common import bounded, forget, free_name, stored, text_of
 
 # Letters that look like Latin ones, and the signs that stand in for letters.
 LOOK_ALIKES = {
@@ -110,14 +110,21 @@ class Lexicon:
         if not self.weights and not self.exceptions:
             return 0.0, 0.0
         heaviest: dict[int, float] = {}
-        excused = []
+        excused: list[tuple[int, int]] = []
         for end, (n, weight) in self.machine().iter(folded):
             start = end - n + 1
             if weight is None:
                 excused.append((start, end))
             else:
                 heaviest[start] = max(weight, heaviest.get(start, 0.0))
-        total = sum(w for at, w in heaviest.items() if not any(s <= at < e for s, e in excused))
+        total, upto, i = 0.0, -1, 0
+        excused.sort()
+        for at in sorted(heaviest):
+            while i < len(excused) and excused[i][0] <= at:  # phrases that begin here or before, and the farthest end of any
+                upto = max(upto, excused[i][1])
+                i += 1
+            if at >= upto:
+                total += heaviest[at]
         words = folded.count(" ") - 1
         return log1p(total), 100 * total / (100 + words)
 
@@ -154,11 +161,12 @@ def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "t
     def _counted(found):
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([v * k[1] for k, v in found.items()], pa.int64()), pa.array([v * (1 - k[1]) for k, v in found.items()], pa.int64())], ["entry", "bad", "good"])
 
-    counts = sample.mapInArrow(count, "entry string, bad long, good long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).cache()
+    counts = sample.mapInArrow(count, "entry string, bad long, good long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = stored(counts, "entries")
     whole = {r.entry: (r.bad, r.good) for r in counts.filter("entry = ''").collect()}
     n1, n0 = whole.get("", (0, 0))
     if not n1 or not n0:
-        counts.unpersist()
+        forget(counts)
         return Lexicon({}, list(exceptions), (-3.0, 0.0, 0.0))
     ratio = F.log((F.col("bad") + 0.5) / (n1 + 1.0)) - F.log((F.col("good") + 0.5) / (n0 + 1.0))
     strong = counts.filter((F.col("entry") != "") & (F.col("bad") >= 4)).withColumn("w", ratio).filter(F.col("w") >= 3).orderBy(F.desc(F.col("w") * F.col("bad")), "entry").limit(LEXICON_ENTRIES).collect()
@@ -173,7 +181,7 @@ def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "t
         mild = counts.filter(F.col("entry").endswith(" ") & (F.col("good") >= 4)).withColumn("w", ratio).filter(F.col("w") <= 0)
         mild = mild.filter(F.substring("entry", 1, min(map(len, stems))).isin(sorted({e[: min(map(len, stems))] for e in stems})))
         found += [r.entry.strip() for r in mild.orderBy(F.desc("good"), "entry").limit(LEXICON_ENTRIES).collect() if any(r.entry.startswith(e) for e in stems)]
-    counts.unpersist()
+    forget(counts)
     lexicon = Lexicon(kept, found)
     data = lexicon.to_json()
 
@@ -229,6 +237,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", out: str
 
 
 def reject_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """docs whose score is below the threshold."""
+    """docs whose score is below the threshold, columns as they were. Null and empty texts score as texts without a match;
+    rows that repeat are judged each; no rows give no rows."""
     name = free_name(docs, "toxicity")
     return toxicity(docs, lexicon, text_col, name).filter(F.col(name) < threshold).drop(name)

@@ -36,6 +36,34 @@ def test_lexicon():
     assert toxicity.Lexicon.from_json(lexicon.to_json()).score("idiot") == lexicon.score("idiot")
 
 
+def plain_features(lexicon, text):
+    """Every entry tried at every place, every phrase against every match (the blank at its end begins the next word)."""
+    folded = toxicity.fold(text)
+    excused = [(i, i + len(p) - 1) for p in map(toxicity.fold, lexicon.exceptions) for i in range(len(folded)) if folded.startswith(p, i)]
+    total = 0.0
+    for i in range(len(folded)):
+        fits = [w for e, w in lexicon.weights.items() if folded.startswith(e, i)]
+        if fits and not any(a <= i < b for a, b in excused):
+            total += max(fits)
+    return total, 100 * total / (100 + folded.count(" ") - 1)
+
+
+def test_features_equal_a_naive_matcher():
+    import math
+    import time
+
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " iow": 4.0, " iowe": 4.5, " bad": 1.0, " badiy ": 3.0}, ["idiot proof", "lowest of", "bad idiot"], (-4.0, 1.5, 1.0))
+    rng = random.Random(6)
+    words = ["idiot", "1d10t", "proof", "lowest", "of", "lower", "bad", "badly", "good", "the"]
+    for _ in range(400):
+        text = " ".join(rng.choices(words, k=rng.randrange(0, 15)))
+        total, dense = plain_features(lexicon, text)
+        assert lexicon.features(text) == (pytest.approx(math.log1p(total)), pytest.approx(dense)), text
+    began = time.time()
+    lexicon.score("lowest of badly " * 40_000)
+    assert time.time() - began < 5
+
+
 def test_learning_and_scoring(spark):
     rng = random.Random(0)
     words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "mnprst"]
@@ -186,6 +214,25 @@ def test_base_spans(spark):
         assert r.spans == ",".join(plain_spans(texts[r.doc_id])), texts[r.doc_id][:200]
 
 
+def test_many_matches_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (2_000, 16_000):
+        text = " ".join(f"user{i}@host{i}.example.org" for i in range(n))
+        table = docs(spark, [(0, text)]).cache()
+        table.count()
+        began = time.time()
+        assert pii.spans(table).select(F.size("pii").alias("n")).first().n == n
+        took.append(time.time() - began)
+    assert took[1] < 30 * max(took[0], 0.5)
+
+
+def test_context_reaches_over_other_matches(spark):
+    found = {(s.kind, s.value): s.score for s in pii.spans(docs(spark, [(0, "ssn 123-45-6789, 987-65-4321 and " + "x" * 40 + " 555-44-3333")])).first().pii}
+    assert ("id", "123-45-6789") in found and ("id", "987-65-4321") in found and ("id", "555-44-3333") not in found
+
+
 def test_more_spans(spark):
     found = {(s.kind, s.value) for s in pii.spans(docs(spark, [(0, PII[6] + " " * 60 + "nothing 987-65-4321")])).first().pii}
     assert ("iban", "DE89370400440532013000") in found and ("iban", "DE88370400440532013000") not in found
