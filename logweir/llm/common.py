@@ -10,11 +10,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A key with more than a share of one in so many of all rows is hot; there can't be more hot keys than that.
+HOT_KEYS = 10_000
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session (spark.checkpoint.dir). Only where none is set, as in tests, a local one is made."""
+    """The shared folder of the session (spark.checkpoint.dir). Only where none is set and the session is local, as in
+    tests, a local one is made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = getattr(spark, "_corpus_scratch", None)
+        if not root and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         if not root:
             root = f"file://{tempfile.mkdtemp(prefix='spark-corpus-')}"
             spark._corpus_scratch = root
@@ -95,6 +102,15 @@ def bounded(df: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < int((1 << 20) * rows / n))
 
 
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows (stored ones, `total` in all, each with its key in table) joined to table (stored too), which has a row for each
+    key with the number of its rows as `size`. Hot keys are few by their size, so they are broadcast and their rows stay where
+    they are; no other key fills a task."""
+    hot = F.col(size) > total / HOT_KEYS
+    large = F.broadcast(table.filter(hot))
+    return rows.join(large, keys).unionByName(rows.join(large, keys, "left_anti").join(table.filter(~hot), keys))
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
     """Adds column out: the sum of value over the rows of the same keys that stand before in the given order.
 
@@ -102,15 +118,16 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, ou
     ranges; each range sums its own rows, and one small table with a row for each range and key carries the offsets.
     The ranges are stored before they are numbered, for a range partitioner samples anew in each job.
     """
-    pid, before = "__pid", "__before"
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in keys + order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys + order])
-    at = ", ".join(f"`{c}`" for c in ["__pid", *keys])
+    pid, before, total = (free_name(df, n) for n in ("pid", "before", "total"))
+    cols = [F.col(c).asc_nulls_first() for c in keys + order]
+    ranged = stored(df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn(pid, F.spark_partition_id()), name)
+    quoted = lambda names: ", ".join(f"`{c}`" for c in names)
     by = ", ".join(f"`{c}` asc nulls first" for c in order)
-    ranged = stored(ranged.withColumn(pid, F.spark_partition_id()), name)
-    running = ranged.withColumn(out, F.expr(f"coalesce(sum(`{value}`) over (partition by {at} order by {by} rows between unbounded preceding and 1 preceding), 0)"))
-    totals = ranged.groupBy(pid, *keys).agg(F.sum(value).alias("__total"))
-    over = f"partition by {', '.join(f'`{c}`' for c in keys)} " if keys else ""
-    offsets = totals.withColumn(before, F.expr(f"coalesce(sum(`__total`) over ({over}order by `__pid` rows between unbounded preceding and 1 preceding), 0)"))
+    upto = "rows between unbounded preceding and 1 preceding"
+    running = ranged.withColumn(out, F.expr(f"coalesce(sum(`{value}`) over (partition by {quoted([pid, *keys])} order by {by} {upto}), 0)"))
+    totals = ranged.groupBy(pid, *keys).agg(F.sum(value).alias(total))
+    over = f"partition by {quoted(keys)} " if keys else ""
+    offsets = totals.withColumn(before, F.expr(f"coalesce(sum(`{total}`) over ({over}order by `{pid}` {upto}), 0)"))
     r, o = running.alias("r"), offsets.alias("o")
     on = F.col(f"r.{pid}") == F.col(f"o.{pid}")
     for c in keys:

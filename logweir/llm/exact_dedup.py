@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import free_name, join_hot, stored, text_of
 
 #: Characters of the prefix that the second step hashes.
 PREFIX_CHARS = 64
 
 
-#: Keys that are broadcast, at most: survivors of the prefix step, dropped documents, or groups that hold more than a share
-#: of one in HOT_GROUPS of all rows (there can't be more of those).
+#: Keys that are broadcast, at most: survivors of the prefix step, or dropped documents.
 BROADCAST_ROWS = 200_000
-HOT_GROUPS = 10_000
 
 
 def normalised(text):
@@ -22,14 +20,6 @@ def normalised(text):
     return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def _met(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
-    """rows (stored ones, each with its key in table) joined to table, which has a row for each key and the number of its
-    rows. Hot keys are few by their size, so they are broadcast and their rows stay where they are; no other key fills a task."""
-    hot = F.col(size) > total / HOT_GROUPS
-    large = F.broadcast(table.filter(hot))
-    return rows.join(large, keys).unionByName(rows.join(large, keys, "left_anti").join(table.filter(~hot), keys))
-
-
 def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) -> tuple[DataFrame, int]:
     """doc_id, text_sha256, suspect for each row, stored, and the number of rows. Without digests only suspects have a hash."""
     text = normalised(text_of(docs, text_col))
@@ -41,13 +31,13 @@ def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) ->
     suspects = stored(pairs.join(lengths, "len", "left_semi").filter("n > 1"), "suspects")
     total = slim.count()
     if digests:
-        many = _met(slim, suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
+        many = join_hot(slim, suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
         alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", "text_sha256", F.lit(False).alias("suspect"))
         return many.unionByName(alone), total
     if suspects.count() <= BROADCAST_ROWS:
         many = measured.join(F.broadcast(suspects), ["len", "prefix"], "left_semi").select("doc_id", sha, F.lit(True).alias("suspect"))
     else:  # hashes move to the survivors, for texts would be a shuffle of the whole corpus
-        many = _met(stored(measured.select("doc_id", "len", "prefix", sha), "hashes"), suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
+        many = join_hot(stored(measured.select("doc_id", "len", "prefix", sha), "hashes"), suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
     alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", F.lit(None).cast("string").alias("text_sha256"), F.lit(False).alias("suspect"))
     return many.unionByName(alone), total
 
@@ -73,7 +63,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = stored(shared.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")), "groups")
     columns = ["doc_id", "keep_id", "group_size", "text_sha256", "copies"]
     alone = ids.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.col("copies").alias("group_size"), "text_sha256", "copies")
-    met = _met(shared, groups, ["text_sha256"], "group_size", total).select(columns).unionByName(alone)
+    met = join_hot(shared, groups, ["text_sha256"], "group_size", total).select(columns).unionByName(alone)
     dealt = met.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return dealt.select("doc_id", "keep_id", "group_size", first.alias("kept"), "text_sha256")

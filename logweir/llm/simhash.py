@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, text_of
+from .common import free_name, join_hot, stored, text_of
 from .components import connected_components
 
 SEED = 42
@@ -484,12 +484,17 @@ def _similar_groups(docs: DataFrame, words: int, similarity: float, id_col: str,
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
     prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, bands array<long>"), "bands")
-    classes = prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    classes = stored(prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "classes")
     roots = connected_components(similar_links(classes, plain, words, similarity))
-    rooted = classes.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(named, "root").select("key", "component_id")
-    return prints.select("doc_id", "key").join(of, "key").select("doc_id", F.col("key").alias("fp"), "component_id")
+    return _named(prints, classes, roots, "key").select("doc_id", F.col("key").alias("fp"), "component_id")
+
+
+def _named(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """doc_id, key, component_id for each row of prints. classes: key, least id, rows; roots: node, root of those that are linked."""
+    rooted = stored(classes.join(roots.withColumnRenamed("node", key), key, "left").select(key, "least", "rows", F.coalesce("root", key).alias("root")), "rooted")
+    components = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes")), "components")
+    of = stored(join_hot(rooted, components, ["root"], "classes", rooted.count()).select(key, "rows", "component_id"), "named")
+    return join_hot(prints.select("doc_id", key), of, [key], "rows", prints.count())
 
 
 def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -506,13 +511,10 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, s
     if similarity is not None:
         return _similar_groups(docs, words, similarity, id_col, text_col)
     prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("s1", "s2")).alias("s"))
-    reps = stored(least.select("fp", "least", "s.s1", "s.s2"), "reps")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("s1", "s2")).alias("s"), F.count(F.lit(1)).alias("rows"))
+    reps = stored(least.select("fp", "least", "rows", "s.s1", "s.s2"), "reps")
     roots = connected_components(fingerprint_links(reps.select("fp", "s1", "s2"), max_bits))
-    rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(named, "root").select("fp", "component_id")
-    return prints.select("doc_id", "fp").join(of, "fp").select("doc_id", "fp", "component_id")
+    return _named(prints, reps, roots, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from logweir.llm import exact_dedup, simhash, topk
+from logweir.llm import common, exact_dedup, simhash, topk
 from logweir.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, keep_id string, text_sha string"
@@ -53,7 +53,7 @@ def test_exact_duplicates_go(spark):
 @pytest.mark.parametrize("digests", [True, False])
 def test_hot_groups_and_shuffled_survivors(spark, monkeypatch, digests):
     monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(exact_dedup, "HOT_GROUPS", 10)
+    monkeypatch.setattr(common, "HOT_KEYS", 10)
     rows = [(i, "hot  text" if i % 3 else f"text {i // 2} {i}") for i in range(300)] + [(i, "two") for i in (900, 901)]
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.duplicate_groups(table(spark, rows), digests=digests).collect()}
     assert len(got) == 302 and got[1] == (1, 200, True) and got[299] == (1, 200, False) and got[901] == (900, 2, False) and got[3] == (3, 1, True)
@@ -149,7 +149,9 @@ def test_views_miss_no_pair():
             assert any(x & m == 0 for m in masks)
 
 
-def test_near_duplicates(spark):
+@pytest.mark.parametrize("hot", [10_000, 3])
+def test_near_duplicates(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_KEYS", hot)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(4000)]
     base = [" ".join(rng.choices(words, k=200)) for _ in range(6)]
