@@ -288,7 +288,9 @@ _rows("vec_dns38", WEB, [*_ENDS, "0.5", *time4("ts"), *dns5("host"), "least(n %
 
 _HTTP = WEB | {"v": f"SELECT *, {pick(('GET', 'POST', 'TRACE'))} AS method, coalesce(CASE WHEN seq % 2 = 0 THEN 'Mozilla/5.0' WHEN seq % 3 = 0 THEN 'GoogleBot' END, '') AS agent, coalesce(CASE WHEN seq % 4 = 0 THEN url END, '') AS referrer FROM web"}
 _rows("vec_http52", _HTTP, [*_ENDS, *time4("ts"), *method9("method"), *uri6("uri"), *status6("(n % 600)"), "CASE WHEN n > 0 THEN ln(1 + n * 10.0) / ln(1 + 1e9) ELSE 0.0 END", "CASE WHEN n > 0 THEN ln(1 + n * 33.0) / ln(1 + 1e9) ELSE 0.0 END", "least(n % 30, 20) / 20.0", "length(agent) / 500.0", entropy("agent"), flag("contains(lower(agent), 'bot')"), flag("referrer <> ''"), entropy("referrer"), entropy("host"), "CASE WHEN n > 0 THEN n * 10 / (n * 43.0) ELSE 0.5 END", flag("seq % 9 = 0"), flag("seq % 2 = 0"), "1.0", "0.0", "0.0"])
-SQL["encode_dispatch"] = "SELECT 'conn' AS log_type, count(*) AS rows, 41 AS width FROM events UNION ALL SELECT 'ssl', count(*), 33 FROM pages UNION ALL SELECT 'dns', count(*), 38 FROM pages UNION ALL SELECT 'http', count(*), 52 FROM pages"
+SQL["encode_dispatch"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS log_type, count(*) AS rows, {n} AS width, round(avg({' + '.join(f'f{i + 1:02d}' for i in range(n))}), 2) AS mean FROM ({SQL[f'vec_{t}{n}']})" for t, n in (("conn", 41), ("ssl", 33), ("dns", 38), ("http", 52))
+)
 
 # ------------------------------------------------------------------ 42 features
 
@@ -339,8 +341,8 @@ _SESSION = _TALK | {
 SQL["session_http"] = _with(_SESSION, "SELECT uid, depth, length, methods, CAST(login AS DOUBLE) AS login FROM http")
 SQL["session_jitter"] = _with(_SESSION, "SELECT uid, round(CAST(jitter AS DOUBLE), 6) AS jitter FROM dns")
 SQL["session_ftp"] = _with(_SESSION, "SELECT uid, CAST(ftp AS DOUBLE) AS ftp FROM ssl")
-_CONNS = "SELECT uid, arrival AS seq, arrival * 1000000 + 5 AS us, '10.0.0.' || (n % 4) AS orig_h, '8.8.8.8' AS resp_h, n % 3 + 1024 AS orig_p, n % 2 + 80 AS resp_p, 'tcp' AS proto, CASE WHEN n % 2 = 0 THEN 'ftp' ELSE 'http' END AS service, 'SF' AS conn_state, 'ShAD' AS history, n % 50 / 10.0 AS duration, n AS orig_bytes, n * 2 AS resp_bytes, n % 9 AS orig_pkts, n % 5 AS resp_pkts FROM (SELECT *, length(record) AS n FROM talk WHERE log_type = 'conn')"
-_WANTED = (0, 8, 17, 18, 28, 29, 30, 31, 36, 37, 38, 39)
+_CONNS = "SELECT uid, arrival AS seq, arrival * 1000000 + 5 + CAST(substr(uid, 2) AS BIGINT) AS us, '10.0.0.' || (n % 4) AS orig_h, '8.8.8.8' AS resp_h, n % 3 + 1024 AS orig_p, n % 2 + 80 AS resp_p, 'tcp' AS proto, CASE WHEN n % 2 = 0 THEN 'ftp' ELSE 'http' END AS service, 'SF' AS conn_state, 'ShAD' AS history, n % 50 / 10.0 AS duration, n AS orig_bytes, n * 2 AS resp_bytes, n % 9 AS orig_pkts, n % 5 AS resp_pkts FROM (SELECT *, length(record) AS n FROM talk WHERE log_type = 'conn')"
+_WANTED = range(42)
 _F9 = features42("coalesce(jitter, 0)", "coalesce(depth, 0)", "coalesce(length, 0)", "coalesce(methods, 0)", flag("login > 0 OR ftp > 0"))
 SQL["unsw_session42"] = _with(_SESSION | {"conns": _CONNS} | _iat50("conns", "uid"), "SELECT g.uid, seq, " + ", ".join(f"round(CAST({_F9[i]} AS DOUBLE), 4) AS f{i + 1:02d}" for i in _WANTED) + " FROM g LEFT JOIN http USING (uid) LEFT JOIN dns USING (uid) LEFT JOIN ssl USING (uid)")
 

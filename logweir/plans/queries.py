@@ -400,7 +400,7 @@ def q_encode_dispatch(spark, d):
     parts = [("conn", flows), ("ssl", ssl_view), ("dns", dns_view), ("http", http_view)]
     out = None
     for name, view in parts:
-        one = typed.encode_dispatch(view(spark, d), name.upper()).agg(F.lit(name).alias("log_type"), F.count(F.lit(1)).alias("rows"), F.max(F.size("features")).alias("width"))
+        one = typed.encode_dispatch(view(spark, d), name.upper()).agg(F.lit(name).alias("log_type"), F.count(F.lit(1)).alias("rows"), F.max(F.size("features")).alias("width"), F.round(F.avg(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)), 2).alias("mean"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -466,9 +466,9 @@ def q_session_ftp(spark, d):
 def q_unsw_session42(spark, d):
     t = talk(spark, d)
     n = F.length("record").cast("long")
-    conns = t.filter("log_type = 'conn'").select("uid", c("arrival").alias("seq"), (c("arrival") * 1000000 + 5).alias("us"), F.concat(F.lit("10.0.0."), (n % 4).cast("string")).alias("orig_h"), F.lit("8.8.8.8").alias("resp_h"), (n % 3 + 1024).cast("int").alias("orig_p"), (n % 2 + 80).cast("int").alias("resp_p"), F.lit("tcp").alias("proto"), F.when(n % 2 == 0, "ftp").otherwise("http").alias("service"), F.lit("SF").alias("conn_state"), F.lit("ShAD").alias("history"), (n % 50 / 10.0).alias("duration"), n.alias("orig_bytes"), (n * 2).alias("resp_bytes"), (n % 9).alias("orig_pkts"), (n % 5).alias("resp_pkts"))
+    conns = t.filter("log_type = 'conn'").select("uid", c("arrival").alias("seq"), (c("arrival") * 1000000 + 5 + F.substring("uid", 2, 20).cast("long")).alias("us"), F.concat(F.lit("10.0.0."), (n % 4).cast("string")).alias("orig_h"), F.lit("8.8.8.8").alias("resp_h"), (n % 3 + 1024).cast("int").alias("orig_p"), (n % 2 + 80).cast("int").alias("resp_p"), F.lit("tcp").alias("proto"), F.when(n % 2 == 0, "ftp").otherwise("http").alias("service"), F.lit("SF").alias("conn_state"), F.lit("ShAD").alias("history"), (n % 50 / 10.0).alias("duration"), n.alias("orig_bytes"), (n * 2).alias("resp_bytes"), (n % 9).alias("orig_pkts"), (n % 5).alias("resp_pkts"))
     found = unsw.unsw_session42(conns.dropDuplicates(["uid", "seq"]), http_of_talk(t), dns_of_talk(t), ssl_of_talk(t))
-    return found.select("uid", "seq", *[F.round(c("features")[i], 4).alias(f"f{i + 1:02d}") for i in (0, 8, 17, 18, 28, 29, 30, 31, 36, 37, 38, 39)])
+    return found.select("uid", "seq", *[F.round(c("features")[i], 4).alias(f"f{i + 1:02d}") for i in range(42)])
 
 
 # ---------------------------------------------------------------- sessions
@@ -1026,12 +1026,12 @@ def q_container_load(spark, d):
 def q_anomalous_flows(spark, d):
     """Which flows are anomalous: sources, trusted list, features, batches, windows, scaling, distance from the mean, threshold."""
     kept = filters.drop_trusted(flows(spark, d), trusted(spark, d))
-    b = batches.score_batches(vector33.vector33(kept), ["src"], ["us", "seq"])
+    b = stored(batches.score_batches(vector33.vector33(kept).select("seq", "src", "us", "features"), ["src"], ["us", "seq"]), "batches")
     scaled = anomaly.minmax_apply_live(b, anomaly.minmax_fit(b))
     mean = scaled.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("mean"))
     w = batches.edge_windows(scaled.select("seq", "src", "batch_id", "place", "features"), ["src"])
     held = w.crossJoin(F.broadcast(mean)).withColumn("rebuilt", F.flatten(F.array_repeat("mean", 10)))  # one row
     mae, _ = anomaly.window_error(c("window"), c("rebuilt"))
-    s = held.select("seq", "src", mae.alias("mae")).withColumn("split", F.lit("train"))
+    s = stored(held.select("seq", "src", mae.alias("mae")).withColumn("split", F.lit("train")), "scores")
     limit = anomaly.static_threshold(s, 2.0).select(c("threshold").alias("at_least"))
     return filters.over_threshold(s.crossJoin(F.broadcast(limit)), "mae", c("at_least")).select("seq", "src", F.round("mae", 6).alias("mae"))  # one row
