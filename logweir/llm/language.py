@@ -5,7 +5,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from math import exp, log
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -194,23 +194,29 @@ def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nd
     languages has over it. A path is `best` but for some runs of words; a run gives its words' gains at most, and each run
     comes with a change of language, unless it is the whole text in one other language, which gains nothing since
     `best` has the highest total. So if no run of words gains `switch`, no path is better than staying."""
-    path = np.zeros(len(scores), np.int64)
-    hard, ends = [], np.cumsum(lengths)
-    for i, (end, n) in enumerate(zip(ends.tolist(), lengths.tolist(), strict=True)):
-        if not n:
-            continue
-        s = scores[end - n : end]
-        best = int(s.sum(0).argmax())
-        if s.shape[1] > 1:
-            gain = np.delete(s, best, axis=1).max(1) - s[:, best]
-            sums = np.concatenate(([0.0], np.cumsum(gain)))
-            if (sums - np.minimum.accumulate(sums)).max() >= switch:
-                hard.append(i)
-                continue
-        path[end - n : end] = best
-    if hard:
-        at = np.concatenate([np.arange(ends[i] - lengths[i], ends[i]) for i in hard])
-        path[at] = viterbi(scores[at], lengths[hard], switch)
+    if not len(scores):
+        return np.zeros(0, np.int64)
+    some = np.flatnonzero(lengths)
+    n = lengths[some]
+    starts = np.cumsum(n) - n
+    best = np.add.reduceat(scores, starts, axis=0).argmax(1)
+    path = np.repeat(best, n)
+    if scores.shape[1] == 1:
+        return path
+    own = scores[np.arange(len(scores)), path]
+    rest = scores.copy()
+    rest[np.arange(len(scores)), path] = -np.inf
+    gain = rest.max(1) - own
+    # sums so far less the least of those before, for all texts at once: each text lies so far below the one before it that
+    # the least begins anew
+    far = np.repeat(np.arange(len(some)) * (2 * np.abs(gain).sum() + 1), n)
+    upto = np.cumsum(gain) - far
+    runs = upto - np.minimum.accumulate(upto - gain)
+    # sums of many texts are rounded: what is near the penalty goes the long way
+    hard = np.maximum.reduceat(runs, starts) >= switch - 1e-6 * (1 + far[-1] * 1e-9)
+    if hard.any():
+        at = np.repeat(hard, n)
+        path[at] = viterbi(scores[at], n[hard], switch)
     return path
 
 
@@ -296,18 +302,23 @@ def _predict(model: Model, texts: list[str], switch: float):
         return [(UNKNOWN, 0.0)] * len(texts)
     scores, lengths = model.score_rows(texts)
     path = label_words(scores, lengths, switch)
-    out, at = [], 0
-    for n in lengths.tolist():
-        if not n:
-            out.append((UNKNOWN, 0.0))
-            continue
-        held = np.bincount(path[at : at + n], minlength=len(model.langs))
-        total = scores[at : at + n].sum(0)
-        best = max(range(len(model.langs)), key=lambda k: (held[k], total[k]))
-        rest = max((total[k] for k in range(len(model.langs)) if k != best), default=-1e9)
-        sure = 1 / (1 + exp(-max(-30.0, min(30.0, (total[best] - rest) / n**0.5))))
-        out.append((model.langs[best], float(held[best] / n * sure)))
-        at += n
+    out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+    some = np.flatnonzero(lengths)
+    if not len(some):
+        return out
+    n, k = lengths[some], len(model.langs)
+    starts = np.cumsum(n) - n
+    held = np.bincount(np.repeat(np.arange(len(some)), n) * k + path, minlength=len(some) * k).reshape(-1, k)
+    total = np.add.reduceat(scores, starts, axis=0)
+    # the most words, then the highest total, then the first in order
+    best = np.where(held == held.max(1, keepdims=True), total, -np.inf).argmax(1)
+    rows = np.arange(len(some))
+    top, rest = total[rows, best], total.copy()
+    rest[rows, best] = -1e9
+    sure = 1 / (1 + np.exp(-np.clip((top - rest.max(1)) / np.sqrt(n), -30, 30)))
+    score = held[rows, best] / n * sure
+    for i, lang, value in zip(some.tolist(), best.tolist(), score.tolist(), strict=True):
+        out[i] = (model.langs[lang], value)
     return out
 
 
