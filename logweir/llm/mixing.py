@@ -3,6 +3,7 @@
 import re
 import warnings
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -30,10 +31,22 @@ TEXTS, SLICE, MEMORY = 1_000, 256, 300_000
 _SIGNS = re.compile(r"[^\w\s]+")
 
 
+def _slot(feature: str) -> int:
+    return xxhash.xxh32_intdigest(feature.encode("utf-8", "surrogatepass")) % SLOTS
+
+
+@lru_cache(maxsize=1 << 14)
+def _sign_slot(signs: str) -> int:
+    return _slot(f"\x01{signs}")
+
+
+_CAPITALS, _OTHERS = _slot("\x00U"), _slot("\x00l")
+
+
 def slots_of(token: str) -> list[int]:
     """Slots of a token's features: the token in lower case, its runs of signs, and whether it is all capitals."""
-    features = [token.lower(), *(f"\x01{s}" for s in _SIGNS.findall(token)), "\x00U" if token.isupper() and len(token) > 1 else "\x00l"]
-    return [xxhash.xxh32_intdigest(f.encode("utf-8", "surrogatepass")) % SLOTS for f in features]
+    out = [_slot(token.lower()), _CAPITALS if len(token) > 1 and token.isupper() else _OTHERS]
+    return out if token.isalnum() else out + [_sign_slot(s) for s in _SIGNS.findall(token)]
 
 
 class Classifier:

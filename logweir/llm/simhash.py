@@ -25,6 +25,8 @@ FANOUT = 16
 PAIR_BLOCK = 1 << 20
 #: A node of a view that holds more rows is cut into blocks along the Gray order, and pairs of blocks become tasks.
 NODE_ROWS = 8192
+#: Blocks of such a node: twice as many as it holds NODE_ROWS, between these.
+LEAST_BLOCKS, MOST_BLOCKS = 32, 1024
 #: Minimum hashes of the sketch that a verified search carries beside the fingerprint, of 8 bits each.
 SKETCH = 16
 #: Ids of dropped documents that are broadcast, at most; beyond that they meet the documents in a shuffle.
@@ -299,12 +301,12 @@ def fingerprint_links(reps: DataFrame, max_bits: int, min_same: int = 0) -> Data
     views = F.array(*[F.struct(F.lit(v).alias("view"), F.lit(m).alias("mask")) for v, m in enumerate(masks)])
     rows = reps.select("fp", "s1", "s2", F.explode(views).alias("v")).select("fp", "s1", "s2", F.xxhash64(F.col("v.view"), F.col("fp").bitwiseAND(F.col("v.mask"))).alias("node"))
     # two patterns with one 64-bit node key only share a node; no link depends on it
-    large = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > NODE_ROWS).select("node")
-    large = stored(large, "large-nodes")
+    large = stored(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > NODE_ROWS), "large-nodes")
     side0 = F.lit(0).cast("byte").alias("side")
-    if large.limit(1).count():
+    if most := large.agg(F.max("n")).first()[0]:
         small = rows.join(large, "node", "left_anti").select("node", "fp", "s1", "s2", side0)
-        nodes = small.unionByName(_cut(rows.join(large, "node", "left_semi"), max_bits))
+        blocks = min(max(LEAST_BLOCKS, 2 * most // NODE_ROWS), MOST_BLOCKS)
+        nodes = small.unionByName(_cut(rows.join(large, "node", "left_semi"), max_bits, blocks))
     else:
         nodes = rows.select("node", "fp", "s1", "s2", side0)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -312,7 +314,7 @@ def fingerprint_links(reps: DataFrame, max_bits: int, min_same: int = 0) -> Data
     return dealt.mapInArrow(_links_of_sorted(max_bits, min_same), "a long, b long").distinct()
 
 
-def _cut(rows: DataFrame, max_bits: int, blocks: int = 32) -> DataFrame:
+def _cut(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     """The rows of large nodes, as nodes for each pair of blocks that the blocks' shared bits don't rule out."""
     rank = F.col("fp")
     for s in (1, 2, 4, 8, 16, 32):

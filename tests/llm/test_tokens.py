@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import io
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.llm import mixing, packing, queries, sstable
+from logweir.llm import mixing, packing, queries, simhash, sstable
 from logweir.llm.common import stored
 from logweir.llm.tokens import Encoder, widened
 from tests.conftest import SMALL
@@ -282,22 +283,69 @@ def test_targets_out_of_reach_are_reported(spark):
     assert len({r.miss for r in got}) == 1 and got[0].miss == pytest.approx(0.48, abs=0.01)
 
 
+def plain_kept(texts: dict[int, str]) -> set[int]:
+    """The smallest id of each group that pairs of Jaccard similarity of 0.8 or more connect, by all pairs."""
+    sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        for j in sets:
+            if i < j and (len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i for i in sets if find(i) == i}
+
+
 def test_pipeline(spark):
+    """Each stage against brute force over its own input."""
     import corpus_pipeline as pipeline
 
     sf = SMALL
-    start = spark.read.parquet(f"{sf}/documents.parquet")
-    at, kept = start, []
-    for _, stage in pipeline.STAGES[:-1]:
-        before = {r.doc_id for r in at.select("doc_id").collect()}
+    at = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, kept = at.columns, {}
+    for name, stage in pipeline.STAGES[:-1]:
+        before = {r.doc_id: r.text or "" for r in at.collect()}
+        if name == "toxicity":
+            lexicon = queries.learned_lexicon(at, spark.read.parquet(f"{sf}/labels.parquet"))
+            wanted = {i for i, t in before.items() if lexicon.score(t) < queries.TOXIC_FROM}
+        elif name == "exact_dedup":
+            least = {}
+            for i in sorted(before):
+                least.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", before[i]), i)
+            wanted = set(least.values())
+        else:
+            wanted = plain_kept(before) if name == "near_dedup" else set(before)
         at = stored(stage(spark, at, sf), "t")
-        assert at.columns == start.columns
-        kept.append({r.doc_id for r in at.select("doc_id").collect()})
-        assert kept[-1] <= before
-    assert kept[2] == kept[3]  # the mixture loses none
-    texts = [r.text for r in at.dropDuplicates(["doc_id"]).collect()]
-    assert len(set(texts)) == len(texts)
+        assert at.columns == columns
+        kept[name] = [r.doc_id for r in at.select("doc_id").collect()]
+        assert set(kept[name]) == wanted and (name == "mixing" or len(kept[name]) == len(wanted)), name
+    assert len(kept["toxicity"]) < 200 and len(kept["near_dedup"]) < len(kept["toxicity"])
     packed = pipeline.pack_sequences(spark, at, sf)
     e = Encoder(queries._tokenizer("byte_bpe_50k.json"), "bytes")
     check_packing(packed.collect(), [[*e.tokenizer.encode(r.text, add_special_tokens=False).ids, 0] for r in at.collect()])
-    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept[3]
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(kept["mixing"])
+
+
+def test_pipeline_on_odd_rows(spark):
+    import corpus_pipeline as pipeline
+
+    base = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source").limit(40)
+    odd = [(None, None, None, None), (None, "only", None, "s"), (9001, None, "en", None), (9002, "", "en", "s"), (9003, "same text here", "en", "s"), (9003, "same text here", "en", "s"), (9003, "other", "en", "s"), (9004, "word " * 60_000, "en", "s"), (9005, "x" * 200_000, None, "s")]
+    at = base.unionByName(spark.createDataFrame(odd, base.schema)).withColumn("membership", F.lit("kept")).withColumn("rate", F.lit(1))
+    columns = at.columns
+    for name, stage in pipeline.STAGES:
+        at = stored(stage(spark, at, SMALL), "odd")
+        if name != "packing":
+            assert at.columns == columns
+            ids = {r.doc_id for r in at.select("doc_id").collect()}
+            assert ids >= {None, 9003, 9004, 9005}, name
+    assert at.agg(F.sum("length")).first()[0] > 60_000
+    at = base.limit(0)
+    for _, stage in pipeline.STAGES:
+        at = stored(stage(spark, at, SMALL), "none")
+        assert at.count() == 0
