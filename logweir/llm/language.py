@@ -48,6 +48,9 @@ LONG, PIECE, CONTEXT = 40, 10, 3
 #: Stands where a piece goes on in its word; str.split() takes it for white space, so no word has it.
 _JOIN = "\x1f"
 UNKNOWN = "und"
+#: Words whose runs are looked up at a time.
+WORDS = 4096
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1 << 14)
@@ -96,35 +99,44 @@ def pieces_of(token: str) -> list[str]:
     return out
 
 
-def tokens_of(text: str, known: dict[str, list[str]]) -> list[str]:
-    """White-space tokens in lower case, cut by pieces_of(); known remembers what short ones are cut into."""
-    tokens = text.lower().split()
-    if text.isascii() and max(map(len, tokens), default=0) <= LONG:
-        return tokens
-    out = []
-    for t in tokens:
-        if len(t) <= LONG:
-            if t.isascii():
-                out.append(t)
-                continue
-            cut = known.get(t)
-            if cut is None:
-                cut = known[t] = pieces_of(t)
-            out += cut
-        else:
-            out += pieces_of(t)
-    return out
+def words_of_token(token: str) -> list[str]:
+    """The words of a lower-case token, whole or in pieces."""
+    return [w for w in map(word_of, pieces_of(token)) if w]
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in map(word_of, tokens_of(text, {})) if w]
+    return [w for t in text.lower().split() for w in words_of_token(t)]
 
 
 _EDGES = "".join(map(chr, (*range(33, 65), *range(91, 97), *range(123, 127), 0xAB, 0xBB, 0xBF, 0xA1, 0x2018, 0x2019, 0x201C, 0x201D, 0x2026)))
 
 
+def framed(word: str) -> str:
+    """The word with its ends marked, where it doesn't go on in another piece."""
+    return ("" if word[0] == _JOIN else "_") + word.strip(_JOIN) + ("" if word[-1] == _JOIN else "_")
+
+
+def _keys_at(codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit key of the run of `size` letters at each place."""
+    key = np.full(len(at), size, np.uint64)
+    for k in range(size):
+        key = (key ^ codes[at + k]) * _FACTOR
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def gram_keys(line: str, lengths: np.ndarray) -> np.ndarray:
+    """The keys of runs of letters that stand end to end in line."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    starts, out = np.cumsum(lengths) - lengths, np.zeros(len(lengths), np.uint64)
+    for size in np.unique(lengths).tolist():
+        some = np.flatnonzero(lengths == size)
+        out[some] = _keys_at(codes, starts[some], size)
+    return out
+
+
 def grams_of(word: str) -> list[str]:
-    w = ("" if word[0] == _JOIN else "_") + word.strip(_JOIN) + ("" if word[-1] == _JOIN else "_")
+    w = framed(word)
     return [w[i : i + n] for n in LENGTHS for i in range(len(w) - n + 1)]
 
 
@@ -133,10 +145,12 @@ class Model:
 
     def __init__(self, langs, grams, scripts, floor):
         self.langs, self.grams, self.scripts, self.floor = list(langs), grams, {k: set(v) for k, v in scripts.items()}, list(floor)
-        self._memory: dict[str, int] = {}
-        self._cuts: dict[str, list[str]] = {}
+        self._memory: dict[str, int] = {}  # the row of a token's word; none: -1; several words: -2 less their place below
+        self._several: list[np.ndarray] = []
         self._table = np.zeros((0, len(self.langs)))
-        self._row = {g: i + 1 for i, g in enumerate(grams)}
+        keys = gram_keys("".join(grams), np.array([len(g) for g in grams], np.int64))
+        self._order = np.argsort(keys, kind="stable")
+        self._keys = keys[self._order]
         self._logs = np.array([self.floor, *grams.values()], float).reshape(len(grams) + 1, len(self.langs))
         self._ascii = all("latin" in x for x in self.scripts.values())
 
@@ -147,12 +161,29 @@ class Model:
     def from_json(cls, text: str) -> "Model":
         return cls(*json.loads(text))
 
+    def _sums(self, line: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the log probabilities of all runs of each framed word, and how many they are. line: the words end to end."""
+        ends = np.cumsum(lengths)
+        left = np.repeat(ends, lengths) - np.arange(len(line))  # letters from here to the word's end
+        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        sums, n = np.zeros((len(line), len(self.langs))), np.zeros(len(line))
+        for size in LENGTHS:
+            at = np.flatnonzero(left >= size)
+            keys = _keys_at(codes, at, size)
+            found = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
+            row = np.where(self._keys[found] == keys, self._order[found] + 1, 0) if len(self._keys) else np.zeros(len(at), np.int64)
+            sums[at] += self._logs[row]
+            n[at] += 1
+        starts = ends - lengths
+        return np.add.reduceat(sums, starts, axis=0), np.add.reduceat(n, starts)
+
     def _score(self, words: list[str]) -> np.ndarray:
         """A log score for each word and language; languages not written in the word's script are far below, unless none is."""
-        runs = [grams_of(w) for w in words]
-        n = np.array([len(r) for r in runs], np.int64)
-        at = np.fromiter((self._row.get(g, 0) for r in runs for g in r), np.int64, int(n.sum()))
-        total = np.add.reduceat(self._logs[at], np.cumsum(n) - n, axis=0)
+        total, n = np.zeros((len(words), len(self.langs))), np.zeros(len(words))
+        for first in range(0, len(words), WORDS):
+            some = [framed(w) for w in words[first : first + WORDS]]
+            part = slice(first, first + len(some))
+            total[part], n[part] = self._sums("".join(some), np.array([len(w) for w in some], np.int64))
         length = np.array([len(w) for w in words], float)
         out = total * (4.0 / n * np.clip(length / 3, 1.0, 3.0))[:, None]
         for i, w in enumerate(words):
@@ -166,25 +197,41 @@ class Model:
     def score_rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(scores, number of words of each text): a row for each word of the texts, laid end to end."""
         if len(self._memory) > MEMORY:
-            self._memory, self._table = {}, self._table[:0]
-        if len(self._cuts) > MEMORY:
-            self._cuts = {}
-        tokens = [tokens_of(t, self._cuts) for t in texts]
+            self._memory, self._several, self._table = {}, [], self._table[:0]
+        tokens = [t.lower().split() for t in texts]
         new = set().union(*tokens).difference(self._memory)
         if new:
-            named = {t: word_of(t) for t in new}
-            words = sorted({w for w in named.values() if w})
+            named = {t: words_of_token(t) for t in new}
+            words = sorted(set().union(*named.values()))
             if words:
                 first = len(self._table)
                 self._table = np.concatenate([self._table, self._score(words)])
                 place = {w: first + i for i, w in enumerate(words)}
-            self._memory.update({t: place[w] if w else -1 for t, w in named.items()})
+            for t, found in named.items():
+                if len(found) < 2:
+                    self._memory[t] = place[found[0]] if found else -1
+                else:
+                    self._memory[t] = -2 - len(self._several)
+                    self._several.append(np.array([place[w] for w in found], np.int64))
         lengths = np.array([len(t) for t in tokens], np.int64)
         rows = np.fromiter((r for t in tokens for r in map(self._memory.__getitem__, t)), np.int64, int(lengths.sum()))
-        real = rows >= 0
-        sums = np.concatenate(([0], np.cumsum(real)))
         ends = np.cumsum(lengths)
-        return self._table[rows[real]], sums[ends] - sums[ends - lengths]
+        counts = (rows >= 0).astype(np.int64)
+        several = np.flatnonzero(rows < -1)
+        if len(several):
+            held = [self._several[-2 - r] for r in rows[several].tolist()]
+            counts[several] = [len(x) for x in held]
+            out, upto = np.empty(int(counts.sum()), np.int64), np.cumsum(counts)
+            one = rows >= 0
+            out[upto[one] - 1] = rows[one]
+            for x, end in zip(held, upto[several].tolist(), strict=True):
+                out[end - len(x) : end] = x
+            for t in {t for t in new if len(t) > LONG}:  # long ones are seldom seen again
+                del self._memory[t]
+        else:
+            out, upto = rows[rows >= 0], np.cumsum(counts)
+        sums = np.concatenate(([0], upto))
+        return self._table[out], sums[ends] - sums[ends - lengths]
 
 
 def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
@@ -266,12 +313,13 @@ def fit_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lan
         for batch in batches:
             words: dict[str, Counter] = {}
             for code, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words.setdefault(code, Counter()).update(words_of(text))
+                words.setdefault(code, Counter()).update(text.lower().split())
             for code, counted in words.items():
-                for w, n in counted.items():
-                    for g in grams_of(w):
-                        found[(code, g)] += n
-                    found[(code, "\t" + word_script(w))] += n
+                for token, n in counted.items():
+                    for w in words_of_token(token):
+                        for g in grams_of(w):
+                            found[(code, g)] += n
+                        found[(code, "\t" + ("latin" if w.isascii() else word_script(w)))] += n
             if len(found) > 500_000:
                 yield _counted(found)
                 found = Counter()

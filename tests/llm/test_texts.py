@@ -129,6 +129,21 @@ def test_labels_are_worth_what_viterbi_finds(langs):
     assert language.label_words(np.array([[0, 5, -5.5], [0, -5.5, 5]]), np.array([2]), 6.0).tolist() == [1, 2]
 
 
+def test_word_scores_equal_plain_sums():
+    import numpy as np
+
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcé日ж", k=rng.randrange(1, 14))) for _ in range(3000)] + [f"{language._JOIN}abcab{language._JOIN}", "a"]
+    grams = {g: [rng.uniform(-9, -1), rng.uniform(-9, -1)] for g in sorted({g for w in words[::3] for g in language.grams_of(w)})}
+    model = language.Model(["x", "y"], grams, {"x": ["latin", "han", "cyrillic"], "y": ["latin", "han", "cyrillic"]}, [-10.0, -10.0])
+    got = model._score(words)
+    for w, row in zip(words, got, strict=True):
+        runs = language.grams_of(w)
+        plain = np.sum([grams.get(g, [-10.0, -10.0]) for g in runs], axis=0) * 4.0 / len(runs) * min(max(len(w) / 3, 1.0), 3.0)
+        assert np.allclose(row, plain), w
+    assert language.Model(["x"], {}, {"x": ["latin"]}, [-1.0])._score(["abc"]).shape == (1, 1)
+
+
 def test_language_of_clashing_names(spark):
     rows = [(i, t, k) for i in range(30) for t, k in (("hello good friend", "g"), ("bonjour mon ami", "all"), ("hallo guter freund", "lang"))]
     model = language.fit_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
