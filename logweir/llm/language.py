@@ -258,9 +258,14 @@ def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nd
     # the least begins anew
     far = np.repeat(np.arange(len(some)) * (2 * np.abs(gain).sum() + 1), n)
     upto = np.cumsum(gain) - far
-    runs = upto - np.minimum.accumulate(upto - gain)
-    # sums of many texts are rounded: what is near the penalty goes the long way
-    hard = np.maximum.reduceat(runs, starts) >= switch - 1e-6 * (1 + far[-1] * 1e-9)
+    before = upto - gain
+    ends = np.cumsum(n) - 1
+    first = np.maximum.reduceat(upto, starts) - before[starts]
+    last = upto[ends] - np.minimum.reduceat(before, starts)
+    middle = np.maximum.reduceat(upto - np.minimum.accumulate(before), starts)
+    # sums of many texts are rounded: what is near a cost goes the long way
+    near = 1e-6 * (1 + far[-1] * 1e-9)
+    hard = (np.maximum(first, last) >= switch - near) | (middle >= 2 * switch - near)
     if hard.any():
         at = np.repeat(hard, n)
         path[at] = viterbi(scores[at], n[hard], switch)

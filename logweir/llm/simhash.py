@@ -6,7 +6,6 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,8 +26,6 @@ PAIR_BLOCK = 1 << 20
 NODE_ROWS = 8192
 #: Blocks of such a node: twice as many as it holds NODE_ROWS, between these.
 LEAST_BLOCKS, MOST_BLOCKS = 32, 1024
-#: Minimum hashes of the sketch that a verified search carries beside the fingerprint, of 8 bits each.
-SKETCH = 16
 #: Ids of dropped documents that are broadcast, at most; beyond that they meet the documents in a shuffle.
 BROADCAST_ROWS = 200_000
 #: Bands that propose pairs by similarity, and minimum hashes in each.
@@ -58,41 +55,25 @@ def shingle_hashes(text: str, words: int):
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str, words: int, sketch: bool = False) -> tuple[int, int, int]:
-    """The SimHash of the text as a signed long, and two longs of minimum hashes (zeros unless asked for)."""
-    votes, total, least = np.zeros(BITS, np.int64), 0, None
+def fingerprint(text: str, words: int) -> int:
+    """The SimHash of the text as a signed long."""
+    votes, total = np.zeros(BITS, np.int64), 0
     for hashes in shingle_hashes(text, words):
         votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         total += len(hashes)
-        if sketch:
-            now = _minimum_hashes(hashes)
-            least = now if least is None else np.minimum(least, now)
-    bits = np.packbits(votes * 2 > total, bitorder="little").view(np.int64)[0]
-    low = (least >> np.uint64(40)).astype(np.uint8).view(np.int64) if least is not None else np.zeros(2, np.int64)
-    return int(bits), int(low[0]), int(low[1])
+    return int(np.packbits(votes * 2 > total, bitorder="little").view(np.int64)[0])
 
 
-#: Odd multipliers of the minimum hashes: multiples of the golden ratio's 64 bits.
-_MULTIPLIERS = (np.arange(1, 2 * SKETCH, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def _minimum_hashes(hashes: np.ndarray) -> np.ndarray:
-    distinct = np.unique(hashes)
-    mixed = distinct ^ (distinct >> np.uint64(29))
-    return np.array([(mixed * m).min() for m in _MULTIPLIERS], np.uint64)
-
-
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", sketch: bool = False) -> DataFrame:
-    """doc_id, fp, s1, s2 for each row. Null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp for each row. Null and empty texts have fingerprint zero."""
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t or "", words, sketch) for t in batch.column(1).to_pylist()]
-            columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "fp", "s1", "s2"])
+            found = [fingerprint(t or "", words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, s1 long, s2 long")
+    return docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 # ---------------------------------------------------------------------------------------------------- the views
@@ -197,7 +178,7 @@ class GrayIndex:
         return (inner, rest) if first else (rest, inner)
 
 
-def node_links(fp: np.ndarray, side: np.ndarray, sketch: np.ndarray, max_bits: int, min_same: int) -> tuple[np.ndarray, np.ndarray]:
+def node_links(fp: np.ndarray, side: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the components of one node: fewer than rows, never a pair list. side 0: within; 1 and 2: across."""
     parts = [np.flatnonzero(side == s) for s in (0, 1, 2)]
     label = np.arange(len(fp))  # of each row, the row that stands for its component
@@ -211,9 +192,6 @@ def node_links(fp: np.ndarray, side: np.ndarray, sketch: np.ndarray, max_bits: i
             i, j = p[i], q[j]
             new = label[i] != label[j]  # most pairs of a family are connected already
             i, j = i[new], j[new]
-            if min_same:
-                same = (sketch[i] == sketch[j]).sum(1) >= min_same
-                i, j = i[same], j[same]
             if len(i):
                 _, first = np.unique(np.stack([label[i], label[j]]), axis=1, return_index=True)
                 _join(label, i[first], j[first], a, b)
@@ -241,19 +219,17 @@ def _join(label: np.ndarray, i: np.ndarray, j: np.ndarray, a: list, b: list) ->
     label[:] = to[label]
 
 
-def _links_of_sorted(max_bits: int, min_same: int):
+def _links_of_sorted(max_bits: int):
     """Reads rows sorted by node and yields each node's links. A node's rows may span batches."""
 
     def flush(parts):
-        names = ("fp", "s1", "s2", "side")
-        fp, s1, s2, side = (np.concatenate([p[k] for p in parts]) for k in names)
+        fp, side = (np.concatenate([p[k] for p in parts]) for k in ("fp", "side"))
         node = np.concatenate([p["node"] for p in parts])
         starts = np.concatenate(([0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]))
-        sketch = np.stack([s1, s2], 1).view(np.uint8)
         a, b = [], []
         for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=False):
             if e - s > 1:
-                x, y = node_links(fp[s:e].view(np.uint64), side[s:e], sketch[s:e], max_bits, min_same)
+                x, y = node_links(fp[s:e].view(np.uint64), side[s:e], max_bits)
                 a.append(x)
                 b.append(y)
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
@@ -282,11 +258,10 @@ def _links_of_sorted(max_bits: int, min_same: int):
 # --------------------------------------------------------------------------------------------------- the search
 
 
-def fingerprint_links(reps: DataFrame, max_bits: int, min_same: int = 0) -> DataFrame:
+def fingerprint_links(reps: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): links that connect what pairs of distinct fingerprints at max_bits or fewer differing bits connect.
 
-    reps has one row for each distinct fingerprint: fp, s1, s2 (the sketch; compared only if min_same is set, when a
-    pair must agree in so many of its 16 minimum hashes).
+    reps has one row for each distinct fingerprint: fp.
 
     Two near fingerprints agree in some blocks of bits whole (choose_views). Each view puts such blocks foremost: the
     top node of a fingerprint is its pattern under the view's mask, where near pairs have no difference yet, so a pair
@@ -299,19 +274,19 @@ def fingerprint_links(reps: DataFrame, max_bits: int, min_same: int = 0) -> Data
     blocks, matched = choose_views(reps.count(), max_bits)
     masks = [_signed(m) for m in view_masks(blocks, matched)]
     views = F.array(*[F.struct(F.lit(v).alias("view"), F.lit(m).alias("mask")) for v, m in enumerate(masks)])
-    rows = reps.select("fp", "s1", "s2", F.explode(views).alias("v")).select("fp", "s1", "s2", F.xxhash64(F.col("v.view"), F.col("fp").bitwiseAND(F.col("v.mask"))).alias("node"))
+    rows = reps.select("fp", F.explode(views).alias("v")).select("fp", F.xxhash64(F.col("v.view"), F.col("fp").bitwiseAND(F.col("v.mask"))).alias("node"))
     # two patterns with one 64-bit node key only share a node; no link depends on it
     large = stored(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > NODE_ROWS), "large-nodes")
     side0 = F.lit(0).cast("byte").alias("side")
     if most := large.agg(F.max("n")).first()[0]:
-        small = rows.join(large, "node", "left_anti").select("node", "fp", "s1", "s2", side0)
+        small = rows.join(large, "node", "left_anti").select("node", "fp", side0)
         blocks = min(max(LEAST_BLOCKS, 2 * most // NODE_ROWS), MOST_BLOCKS)
         nodes = small.unionByName(_cut(rows.join(large, "node", "left_semi"), max_bits, blocks))
     else:
-        nodes = rows.select("node", "fp", "s1", "s2", side0)
+        nodes = rows.select("node", "fp", side0)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = nodes.repartition(n, "node").sortWithinPartitions("node")
-    return dealt.mapInArrow(_links_of_sorted(max_bits, min_same), "a long, b long").distinct()
+    return dealt.mapInArrow(_links_of_sorted(max_bits), "a long, b long").distinct()
 
 
 def _cut(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
@@ -328,7 +303,7 @@ def _cut(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     apart = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low")).bitwiseAND(F.col("p.fixed")).bitwiseAND(F.col("q.fixed")))
     pairs = p.join(q, (F.col("p.node") == F.col("q.node")) & (F.col("p.block") <= F.col("q.block")) & (apart <= max_bits)).select(F.col("p.node").alias("node"), F.col("p.block").alias("x"), F.col("q.block").alias("y"))
     ends = pairs.select("node", "x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(0).cast("byte").alias("side")))).otherwise(F.array(F.struct(F.col("x").alias("block"), F.lit(1).cast("byte").alias("side")), F.struct(F.col("y").alias("block"), F.lit(2).cast("byte").alias("side"))))).alias("e")).select("node", "x", "y", "e.block", "e.side")
-    return placed.join(ends, ["node", "block"]).select(F.xxhash64("node", "x", "y").alias("node"), "fp", "s1", "s2", "side")
+    return placed.join(ends, ["node", "block"]).select(F.xxhash64("node", "x", "y").alias("node"), "fp", "side")
 
 
 # ------------------------------------------------------------------------------------- pairs by exact similarity
@@ -513,9 +488,9 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, s
     if similarity is not None:
         return _similar_groups(docs, words, similarity, id_col, text_col)
     prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("s1", "s2")).alias("s"), F.count(F.lit(1)).alias("rows"))
-    reps = stored(least.select("fp", "least", "rows", "s.s1", "s.s2"), "reps")
-    roots = connected_components(fingerprint_links(reps.select("fp", "s1", "s2"), max_bits))
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    reps = stored(least, "reps")
+    roots = connected_components(fingerprint_links(reps.select("fp"), max_bits))
     return _named(prints, reps, roots, "fp").select("doc_id", "fp", "component_id")
 
 
