@@ -181,7 +181,6 @@ def safe_log(x: str) -> str:
 
 # ------------------------------------------------------------------ sources
 
-_BODY = """to_json({'ts': ts, 'uid': uid, 'id.orig_h': orig_h, 'id.orig_p': orig_p, 'id.resp_h': resp_h, 'id.resp_p': resp_p, 'proto': proto, 'conn_state': conn_state, 'duration': duration, 'orig_bytes': orig_bytes})"""
 SQL["read_multi_topic"] = """SELECT 'orders' AS topic, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys, round(sum(o_totalprice), 2) AS amount FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(DISTINCT l_orderkey), NULL FROM lineitem"""
 SQL["decode_json"] = "SELECT event_type AS topic, count(*) AS n, CASE WHEN event_id % 10 = 9 THEN 'bad' ELSE 'good' END AS kind FROM events GROUP BY ALL"
