@@ -88,7 +88,9 @@ def stateful_history(records: DataFrame, ttl_seconds: int | None = None) -> Data
     order of (us, seq); across batches, in order of arrival. On a table in that order it gives what the windows of vector33
     give. A missing port counts as port -1. ttl_seconds: a source's state ends so long after its last record; by default it stays."""
     held = vector33.completed(records).withColumn("src", filters.source_key(F.col("orig_h")))
-    keyed = held.select("src", "seq", "us", *[(F.coalesce(c, F.lit(-1)) if c == "resp_p" else F.col(c)).cast(kind).alias(c) for c, kind in CARRIED.items()])
+    there = {c: F.col(c) if c in held.columns else F.lit(None) for c in CARRIED}  # what a log type lacks is null
+    there["resp_p"] = F.coalesce(there["resp_p"], F.lit(-1))
+    keyed = held.select("src", "seq", "us", *[there[c].cast(kind).alias(c) for c, kind in CARRIED.items()])
     processor = SourceHistory(ttl_seconds * 1000 if ttl_seconds else None)
     return keyed.groupBy("src").transformWithStateInPandas(processor, HISTORY_SCHEMA, "Append", "ProcessingTime" if ttl_seconds else "None")
 
