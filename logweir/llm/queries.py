@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, mixing, packing, pii, simhash, sstable, topk, toxicity, urls
+from . import bpe, exact_dedup, language, mixing, negatives, packing, pii, simhash, spelling, sstable, topk, toxicity, urls
 from .common import held_out, labelled_sample
 
 #: Weights of the domains that op1_mixing aims at.
@@ -126,8 +126,42 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, rows.filter(F.col("vec_id") % 50 == 0), positives=5, negatives=3, low=50, high=95)
+
+
+OP11_SQL = """
+WITH q AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+    FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.nth <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(_table(spark, sf_dir, "documents"))
+    hashed = found.select("run", F.crc32(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "run")).alias("h"))
+    damaged = F.when(F.col("h") % 97 == 0, spelling.without(F.col("run"), F.col("h") % F.length("run"))).otherwise(F.col("run"))
+    return spelling.variant_groups(hashed.select(damaged.alias("word")), least_length=5, least_n=3, times=2)
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _tokenizer("word_bpe_49k.json")
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    told = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(told, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_topk, op3_toxicity, op4_packing, op5_exact_dedup, op6_language, op7_pii, op8_url_filter, op9_simhash, op10_sstable)
+    f.__name__: f for f in (op1_mixing, op2_topk, op3_toxicity, op4_packing, op5_exact_dedup, op6_language, op7_pii, op8_url_filter, op9_simhash, op10_sstable, op11_negatives, op12_spelling, op13_bpe)
 }
-SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op8_url_filter": OP8_SQL}
+SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op8_url_filter": OP8_SQL, "op11_negatives": OP11_SQL}
 
