@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,12 @@ from tokenizers import Tokenizer
 
 from .common import text_of
 
-#: Words, and pieces between spaces, that a worker remembers; beyond that it starts anew. Longer ones are never kept.
-WORDS, PIECES, LONGEST = 600_000, 200_000, 48
+#: Words that a worker remembers; beyond that it starts anew. Longer ones are never kept.
+WORDS, LONGEST = 300_000, 48
 #: Pairs of tokens whose compatibility a worker remembers.
-PAIRS = 1_000_000
+PAIRS = 500_000
 #: Bytes of texts, and ids, that are turned into one batch of ids, unless one row alone has more.
-UNITS = 4_000_000
+UNITS = 2_000_000
 NEVER = 1 << 60
 #: How the tokenizer's pattern cuts texts of Latin-1 in lower case; white space goes.
 _LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
@@ -37,7 +38,7 @@ _BEYOND = re.compile("[^\x00-\xff]")
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
 _SIGNS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 _BYTES = {sign: b for b, sign in _SIGNS.items()}
-_CODECS: dict[str, Codec] = {}
+_HELD: dict[tuple[type, str], object] = {}
 
 
 class SuffixAutomaton:
@@ -149,109 +150,138 @@ class Vocabulary:
         self.endings[state] = found
         return found
 
-    def ids(self, word: str) -> list[int]:
-        """The encoding of a word of the tokenizer's byte signs: for each prefix its last token, then back from the end."""
-        if not word:
-            return []
-        symbol, auto, endings, known = self.symbol, self.automaton, self.endings, self.known
+    def ids_of(self, words: list[str]) -> Iterator[list[int]]:
+        """The encoding of each word of the tokenizer's byte signs: for each prefix its last token, then back from the end.
+        What is stored for a prefix holds for all words that begin with it, so of sorted words each goes on where it parts
+        from the one before; only a word's last symbol is another one, that of a word's end."""
+        symbol, auto, endings, known, end = self.symbol, self.automaton, self.endings, self.known, self.end
         at, links, lengths = auto.at, auto.links, auto.length
-        symbols = [*map(symbol.__getitem__, word)]
-        symbols[-1] = symbol[word[-1] + self.end]
-        last, back, held, state, length, i = [-1], [0], at[0], 0, 0, 0
-        for s in symbols:
-            i += 1
-            while s not in held:
-                state = links[state]
-                length, held = lengths[state], at[state]
-            state = held[s]
-            held = at[state]
-            length += 1
-            full = state if length == lengths[state] else links[state]
-            for token, size in endings[full] or self._ending(full):
-                before = last[i - size]
-                if before < 0:
-                    break
-                fits = known[before].get(token)
-                if fits or fits is None and self.follows(before, token):
-                    break
-            last.append(token)
-            back.append(size)
-        out = []
-        while i:
-            out.append(last[i])
-            i -= back[i]
-        return out[::-1]
-
-
-class _Remembered(dict):
-    def __init__(self, make, most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key: str) -> bytes:
-        made = self.make(key)
-        if len(key) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = made
-        return made
-
-
-class Codec:
-    """Encodes and decodes as the tokenizers library does with a file of word-wise BPE (lower case, white space dropped, signs
-    for the ends of words), its truncation and padding aside. The library's normaliser and pattern cut texts into words;
-    ids come from Vocabulary."""
+        last, back, reached, read, before = [-1], [0], [0], [0], ""
+        for word in words:
+            most, i = min(len(word), len(before)) - 1, 0
+            while i < most and word[i] == before[i]:
+                i += 1
+            del last[i + 1 :], back[i + 1 :], reached[i + 1 :], read[i + 1 :]
+            symbols = [*map(symbol.__getitem__, word[i:-1])]
+            if word:
+                symbols.append(symbol[word[-1] + end])
+            state, length = reached[i], read[i]
+            held, before = at[state], word
+            for s in symbols:
+                i += 1
+                while s not in held:
+                    state = links[state]
+                    length, held = lengths[state], at[state]
+                state = held[s]
+                held = at[state]
+                length += 1
+                full = state if length == lengths[state] else links[state]
+                for token, size in endings[full] or self._ending(full):
+                    left = last[i - size]
+                    if left < 0:
+                        break
+                    fits = known[left].get(token)
+                    if fits or fits is None and self.follows(left, token):
+                        break
+                last.append(token)
+                back.append(size)
+                reached.append(state)
+                read.append(length)
+            out = []
+            while i:
+                out.append(last[i])
+                i -= back[i]
+            yield out[::-1]
+
+
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    if model["type"] != "BPE" or not model["end_of_word_suffix"] or model["continuing_subword_prefix"] or model["ignore_merges"] or spec["decoder"]:
+        raise ValueError("only word-wise BPE with signs for the ends of words, whose tokens decode as they are")
+    return spec
+
+
+class Encoder:
+    """Encodes as the tokenizers library does with a file of word-wise BPE (lower case, white space dropped, signs for the
+    ends of words), its truncation and padding aside. The library's normaliser and pattern cut texts into words; ids come
+    from Vocabulary."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = _spec(path)
         model, self.tokenizer = spec["model"], Tokenizer.from_file(path)
-        if model["type"] != "BPE" or not model["end_of_word_suffix"] or model["continuing_subword_prefix"] or model["ignore_merges"] or spec["decoder"]:
-            raise ValueError("only word-wise BPE with signs for the ends of words, whose tokens decode as they are")
         self.vocabulary = Vocabulary(model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.shown = {i: w for w, i in model["vocab"].items()} | {i: w for w, i in self.special.items()}
-        self.words, self.pieces = _Remembered(self._word, WORDS), _Remembered(self._piece, PIECES)
-
-    def _word(self, word: str) -> bytes:
-        signs = word if word.isascii() and word.isprintable() else "".join(map(_SIGNS.__getitem__, word.encode()))
-        return array("i", self.vocabulary.ids(signs)).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not _BEYOND.search(piece):
-            words = _WORDS.findall(piece.lower())
-        else:
-            signs = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(piece))
-            words = [bytes(map(_BYTES.__getitem__, w)).decode(errors="surrogateescape") for w, _ in signs]
-        return b"".join(map(self.words.__getitem__, words))
-
-    def _plain(self, text: str) -> bytes:
-        """Latin-1 has no signs that join others, so the pattern alone cuts it; else the library cuts pieces between spaces."""
+        self.words: dict[str, bytes] = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
+
+    def _cut(self, text: str) -> list[str]:
+        """Words in order. Latin-1 has no signs that join others, so the pattern alone cuts it; else the library cuts."""
         if not _BEYOND.search(text):
-            return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
-        return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+            return _WORDS.findall(text.lower())
+        found = []
+        for piece in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
+            if not _BEYOND.search(piece):
+                found += _WORDS.findall(piece.lower())
+            else:
+                signs = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(piece))
+                found += [bytes(map(_BYTES.__getitem__, w)).decode(errors="surrogateescape") for w, _ in signs]
+        return found
 
-    def encode(self, text: str) -> bytes:
-        """The ids as signed numbers of four bytes. Special tokens in the text are those tokens."""
+    def _words_of(self, text: str) -> list[str]:
+        """The same with special tokens, which are words of their own. No word has a special token in it: it would be one."""
         if not self.special or "<|" not in text and not any(s in text for s in self.special):
-            return self._plain(text)
-        return b"".join(array("i", [self.special[part]]).tobytes() if part in self.special else self._plain(part) for part in self.cuts.split(text))
+            return self._cut(text)
+        return [w for part in self.cuts.split(text) for w in ([part] if part in self.special else self._cut(part))]
+
+    def _learn(self, words: set[str]) -> None:
+        """Encodes words that aren't remembered, in order, so that they share their beginnings."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > WORDS:
+            self.words = {s: array("i", [i]).tobytes() for s, i in self.special.items()}
+            new = words.difference(self.words)
+        signs = sorted((w if w.isascii() and w.isprintable() else "".join(map(_SIGNS.__getitem__, w.encode(errors="surrogateescape"))), w) for w in new)
+        for (_, w), ids in zip(signs, self.vocabulary.ids_of([s for s, _ in signs]), strict=True):
+            self.words[w] = array("i", ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as signed numbers of four bytes. Special tokens in a text are those tokens."""
+        cut = [self._words_of(t) for t in texts]
+        self._learn({w for words in cut for w in words})
+        out = [b"".join(map(self.words.__getitem__, words)) for words in cut]
+        for w in [w for words in cut for w in words if len(w) > LONGEST]:
+            if w not in self.special:
+                self.words.pop(w, None)
+        return out
+
+
+class Decoder:
+    """Decodes as the library does: tokens as the vocabulary writes them with a space between, special tokens too. Ids that
+    aren't in the vocabulary are left out."""
+
+    def __init__(self, path: str):
+        spec = _spec(path)
+        shown = {i: w for w, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.shown = pa.array([shown.get(i) for i in range(max(shown) + 1)], pa.string())
 
-    def decode(self, ids: list[int]) -> str:
-        """Tokens with a space between them; ids that aren't in the vocabulary are left out."""
-        shown = self.shown
-        try:
-            return " ".join(map(shown.__getitem__, ids))
-        except KeyError:
-            return " ".join(shown[i] for i in ids if i in shown)
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """A text for each list."""
+        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+        flat, offsets = flat[offsets[0] : offsets[-1]], offsets - offsets[0]
+        known = (flat >= 0) & (flat < len(self.shown))
+        if not known.all() or self.shown.null_count:
+            known[known] = self.shown.is_valid().to_numpy(zero_copy_only=False)[flat[known]]
+            offsets = np.concatenate(([0], np.cumsum(known)))[offsets].astype(np.int32)
+            flat = flat[known]
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.shown.take(pa.array(flat))), " ")
 
 
-def codec(path: str) -> Codec:
-    """One for each worker process."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def _held(kind: type, path: str):
+    """One of each kind and file for each worker process."""
+    if (kind, path) not in _HELD:
+        _HELD[kind, path] = kind(path)
+    return _HELD[kind, path]
 
 
 def _cuts(sizes: np.ndarray, most: int):
@@ -288,8 +318,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids")
     time and memory in proportion to its length. Rows that repeat are rows of their own; other columns pass; no rows: none."""
 
     def convert(texts: pa.Array) -> pa.Array:
-        one = codec(path)
-        found = [one.encode(t) for t in texts.to_pylist()]
+        found = _held(Encoder, path).encode(texts.to_pylist())
         offsets = np.concatenate(([0], np.cumsum([len(f) // 4 for f in found]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
@@ -301,8 +330,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "text")
     vocabulary writes them, with a space between. Null ids and null lists count as none; unknown ids are left out."""
 
     def convert(ids: pa.Array) -> pa.Array:
-        one = codec(path)
-        return pa.array([one.decode(x) for x in ids.to_pylist()], pa.string())
+        return _held(Decoder, path).decode(ids)
 
     value = F.filter(F.coalesce(F.col(ids_col), F.array().cast("array<int>")), lambda i: i.isNotNull())
     return _replaced(rows, ids_col, value, StructField(out, StringType()), convert, lambda ids: np.diff(ids.offsets.to_numpy()))
