@@ -538,9 +538,16 @@ SQL["classify_stream_with_models"] = "SELECT 0 AS differ, 0 AS out_of_range, 0 A
 # ------------------------------------------------------------------ properties of models
 
 _LABELS = "SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_returnflag = 'A' THEN 'Other' WHEN l_returnflag = 'R' THEN 'Fuzzer' ELSE 'Normal' END AS label FROM lineitem"
-SQL["attack_model_quality"] = f"SELECT label, count(*) AS rows, true AS better_than_chance FROM ({_LABELS}) GROUP BY label"
+_HELD_OUT = f"SELECT label, CAST(floor(count(*) * 0.15) AS BIGINT) AS rows FROM ({_LABELS}) GROUP BY label"
+SQL["attack_model_quality"] = f"SELECT CAST(sum(rows) AS BIGINT) AS rows, true AS better_than_majority, true AS every_class FROM ({_HELD_OUT})"
+SQL["predict_attack_saved"] = f"""WITH a AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_returnflag AS proto, l_linestatus AS service, l_returnflag || l_linestatus AS state FROM lineitem)
+SELECT id, {", ".join(f"dense_rank() OVER (ORDER BY {x}) - 1 AS {x}" for x in ("proto", "service", "state"))}, 3 AS classes, 1.0 AS whole, true AS same FROM a"""
 SQL["predict_attack"] = f"SELECT id, 3 AS classes, 1.0 AS whole, true AS fine FROM ({_LABELS})"
-SQL["shellcode_model_quality"] = f"SELECT count(*) AS rows, count(*) FILTER (label = 'Other') AS positives, true AS apart FROM ({_LABELS})"
+SQL["shellcode_model_quality"] = f"SELECT CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(rows) FILTER (label = 'Other') AS BIGINT) AS positives, true AS better_than_majority, true AS apart FROM ({_HELD_OUT})"
+SQL["quantile_ranks"] = f"""WITH q AS (SELECT unnest(range(100)) AS i, unnest(quantile_cont(l_extendedprice, {[i / 99 for i in range(100)]})) AS v FROM lineitem),
+x AS (SELECT DISTINCT l_extendedprice AS x FROM lineitem),
+b AS (SELECT x, max(i) FILTER (v <= x) AS j, min(i) FILTER (v >= x) AS k, max(v) FILTER (v <= x) AS low, min(v) FILTER (v >= x) AS high FROM x, q GROUP BY x)
+SELECT x AS sbytes, round(CASE WHEN low = high THEN (j + k) / 2 ELSE j + (x - low) / (high - low) END / 99, 5) AS rank FROM b"""
 SQL["quantile_fit"] = f"SELECT unnest(range(100)) AS i, round(unnest(quantile_cont(l_extendedprice, {[i / 99 for i in range(100)]})), 4) AS value FROM lineitem"
 _W = """WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS n, list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 w AS (SELECT a.n, list_concat(list_concat(a.e, b.e), c.e) AS x FROM v a JOIN v b ON b.n = a.n + 1 JOIN v c ON c.n = a.n + 2), u AS (SELECT n, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM w)"""
@@ -548,6 +555,26 @@ SQL["reconstruct"] = f"{_W} SELECT (SELECT count(*) FROM w) AS windows, round(su
 SQL["train_job"] = _with(_MODELS, """SELECT 'conn' AS log_type, 1 AS models, 'conn-new' AS newest, true AS fine, 2 * count(*) AS count, 0 AS "left", 'validation' AS basis FROM embeddings WHERE label < 5
   UNION ALL SELECT 'dns', (SELECT count(*) FROM models WHERE log_type = 't1'), NULL, true, count(*), count(*), 'validation' FROM embeddings WHERE label >= 5""")
 
+# ------------------------------------------------------------------ streams by the clock
+
+SQL["score_batches_stream"] = SQL["score_batches"]
+SQL["adaptive_threshold_stream"] = SQL["adaptive_threshold"]
+SQL["session_join_stream"] = SQL["session_join"]
+SQL["learning_batches_stream"] = _with(_SCORED | {"n": "SELECT *, count(*) OVER (PARTITION BY log_type) AS all_rows FROM scored"}, "SELECT log_type, (place - 1) // 500 AS batch_id, count(*) AS n, min(event_id) AS first, max(all_rows) > 500 AS failed_once, 0 AS dropped FROM n GROUP BY ALL")
+SQL["dedup_stream"] = "SELECT md5(text) AS digest, 1 AS n FROM documents GROUP BY text"
+SQL["seeded_vector33"] = _with(_NUMBERED, f"SELECT seq, {_columns(_V33, places=4)} FROM i WHERE us > (SELECT (min(us) + max(us)) // 2 FROM flows)")
+SQL["trusted_clock"] = _with(FLOWS, "SELECT orig_h, seq % 3 AS part, count(*) AS n FROM flows WHERE CASE WHEN seq % 3 < 2 THEN orig_h <> '10.0.0.1' ELSE orig_h NOT IN ('10.0.0.0', '10.0.0.3') END GROUP BY ALL")
+SQL["mode_route_stream"] = _with(_STATUS, "SELECT log_type, route, part, count(*) AS n, count(*) FILTER (route = 'score' AND value / 500 > 0.9) AS hot FROM (SELECT e.event_type AS log_type, e.event_id % 2 AS part, e.value, CASE WHEN coalesce(CASE WHEN e.event_id % 2 = 0 THEN enabled ELSE NOT enabled END, false) THEN 'store' ELSE 'score' END AS route FROM events e LEFT JOIN status s ON e.event_type = s.log_type) GROUP BY ALL")
+SQL["train_job_reloaded"] = _with(_VECS, "SELECT vec_id AS id, true AS same_score, true AS same_verdict, true AS same_limit FROM vecs WHERE log_type = 'conn' AND place >= 10")
+_GIVEN = FLOWS | {
+    "raw": "SELECT seq, (seq % 13) / 13 AS shell, " + ", ".join(f"CAST(floor(seq * 37 / {m}) AS BIGINT) % 11 + 1 AS r{i}" for i, m in enumerate((1, 7, 49, 343, 2401))) + " FROM flows WHERE orig_h NOT IN ('10.0.0.0', '10.0.0.1')",
+    "pr": _PROBS["pr"].replace("event_id", "seq, shell"),
+    "am": _PROBS["am"],
+    "wm": _PROBS["wm"],
+    "dec": _PROBS["dec"].replace("p3 >=", "shell >="),
+}
+SQL["classify_stream_overrides"] = _with(_GIVEN, f"SELECT seq, label, floor((1 - {_CONF}) * 1e6 + 0.5) / 1e6 AS anomaly_score FROM dec")
+
 # ------------------------------------------------------------------ the flagship
 
 _KEPT = _NUMBERED | {"flows": f"SELECT * FROM ({FLOWS_SQL}) WHERE orig_h NOT IN ('10.0.0.0', '10.0.0.1')"}

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import UTC, datetime
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import frames
 from ..functions import scalar as S
-from ..operators import anomaly, attack, batches, filters, monitor, registry, sessions, summary, typed, unsw, vector33
+from ..operators import anomaly, attack, attack_pipeline, batches, filters, monitor, registry, sessions, summary, typed, unsw, vector33
 from ..operators import training
 from ..sources import logs
-from ..sources.scratch import scratch_path, stored
-from ..streaming import stateful
+from ..sources.scratch import path_exists, scratch_path, stored
+from ..streaming import reload, stateful, timed
 from .views import flows, table, web
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -731,6 +734,15 @@ def q_quantile_normal(spark, d):
     return i.select("id", r6(attack.quantile_normal(c("sbytes"), q)).alias("z"))
 
 
+@query
+def q_quantile_ranks(spark, d):
+    """quantile_normal's values taken back to ranks by the normal distribution."""
+    i = items(spark, d)
+    rank = F.pandas_udf(lambda z: z.map(NormalDist().cdf), "double")
+    q = attack.quantile_fit(i, "sbytes", 100)
+    return i.select("sbytes").distinct().select("sbytes", F.round(rank(attack.quantile_normal(c("sbytes"), q)), 5).alias("rank"))
+
+
 @query
 def q_class_weights(spark, d):
     w = attack.class_weights(items(spark, d).withColumn("y", attack.clean_labels(c("attack_cat"))), "y")
@@ -805,12 +817,23 @@ def q_attack_model(spark, d):
     return p.select("id", "label", attack.override_decision(c("probabilities"), classes, None, None).alias("predicted_attack_type"))
 
 
+def split_items(spark, d):
+    """Labelled line items, derived and coded, split by class; the columns that a model may see."""
+    i = attack.label_encode(attack.engineer_features(items(spark, d)).withColumn("label", attack.clean_labels(c("attack_cat"))))
+    held = attack.stratified_split(i.join(attack.class_weights(i, "label"), "label"), "label", "id")
+    return attack.label_encode(held.withColumn("y", c("label")), ("y",)), [*CANDIDATES, "proto", "service", "state"]
+
+
 @query
 def q_attack_model_quality(spark, d):
-    """Whether the forest, on the rows it saw, finds every class more often than the weights alone would."""
-    p = q_attack_model(spark, d)
-    hit = F.avg((c("label") == c("predicted_attack_type")).cast("double"))
-    return p.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), (hit > 1 / 3).alias("better_than_chance"))
+    """Whether the forest finds more of the held-out rows than naming their most frequent class would, and each class at all."""
+    held, names = split_items(spark, d)
+    held = stored(held, "split-items")
+    classes = sorted(r[0] for r in held.select("label").distinct().collect())
+    p = attack.predict_attack(attack.attack_model(held.filter("split = 'train'"), names, trees=10, depth=6), held.filter("split = 'validation'"), names)
+    p = p.select("label", attack.override_decision(c("probabilities"), classes, None, None).alias("pred"))
+    by = p.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.count_if(c("label") == c("pred")).alias("hits"))
+    return by.agg(F.sum("rows").alias("rows"), (F.sum("hits") > F.max("rows")).alias("better_than_majority"), (F.min("hits") > 0).alias("every_class"))
 
 
 @query
@@ -822,6 +845,21 @@ def q_predict_attack(spark, d):
     return p.select("id", F.size("probabilities").alias("classes"), F.round(whole, 6).alias("whole"), (F.array_min("probabilities") >= 0).alias("fine"))
 
 
+@query
+def q_predict_attack_saved(spark, d):
+    """A pipeline from columns to class probabilities, saved and loaded: its codes, and whether it gives what it gave before."""
+    i = items(spark, d).withColumn("label", attack.clean_labels(c("attack_cat")))
+    i = i.withColumn("row", F.md5(F.to_json(F.struct(*i.columns))))
+    train = attack.label_encode(i.join(attack.class_weights(i, "label"), "label").withColumn("y", c("label")), ("y",))
+    made = attack_pipeline.attack_pipeline([*CANDIDATES[:6], "proto", "service", "state"], scaled=("spkts", "sttl"), trees=5, depth=4).fit(train)
+    at = f"{scratch_path(spark, 'pipelines')}/attack"
+    made.write().overwrite().save(at)
+    before = stored(attack_pipeline.predict_with(made, i).select("row", c("probabilities").alias("before")).distinct(), "before")
+    after = attack_pipeline.predict_with(attack_pipeline.PipelineModel.load(at), i).select("row", "id", "proto", "service", "state", "probabilities")
+    whole = F.aggregate("probabilities", F.lit(0.0), lambda s, x: s + x)
+    return after.join(before, "row").select("id", *[c(x).cast("long").alias(x) for x in ("proto", "service", "state")], F.size("probabilities").alias("classes"), F.round(whole, 6).alias("whole"), (c("probabilities") == c("before")).alias("same"))
+
+
 @query
 def q_write_predictions(spark, d):
     """Predictions written as CSV with their counts, and read back."""
@@ -842,9 +880,14 @@ def q_shellcode_model(spark, d):
 
 @query
 def q_shellcode_model_quality(spark, d):
-    """Whether the class that the boosted trees look for scores above the rest on average."""
-    p = q_shellcode_model(spark, d)
-    return p.agg(F.count(F.lit(1)).alias("rows"), F.count_if(c("y") == 1).alias("positives"), (F.avg(F.when(c("y") == 1, c("p"))) > F.avg(F.when(c("y") == 0, c("p")))).alias("apart"))
+    """Whether the boosted trees decide more of the held-out rows rightly than naming the more frequent side would, and
+    whether the class they look for scores above the rest on average."""
+    held, names = split_items(spark, d)
+    held = stored(held.withColumn("y", F.when(c("label") == "Other", 1.0).otherwise(0.0)), "split-items")
+    p = attack.predict_attack(attack.shellcode_model(held.filter("split = 'train'"), names, rounds=5), held.filter("split = 'validation'"), names).select("y", c("probabilities")[1].alias("p"))
+    right, positive = F.count_if((c("p") >= 0.5) == (c("y") == 1)), F.count_if(c("y") == 1)
+    rows = F.count(F.lit(1))
+    return p.agg(rows.alias("rows"), positive.alias("positives"), (right > F.greatest(positive, rows - positive)).alias("better_than_majority"), (F.avg(F.when(c("y") == 1, c("p"))) > F.avg(F.when(c("y") == 0, c("p")))).alias("apart"))
 
 
 @query
@@ -861,6 +904,29 @@ def q_classify_stream_with_models(spark, d):
     return both.agg(F.count_if(~c("streamed").eqNullSafe(c("label"))).alias("differ"), F.count_if(~c("anomaly_score").between(0, 1)).alias("out_of_range"), F.count_if(c("label").isNull()).alias("lacking"))
 
 
+class GivenProbabilities:
+    """Stands where a model stands: class probabilities worked out from the row's number, so that SQL can work them out too."""
+
+    def __init__(self, values: list[Column]):
+        self.values = values
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        none = F.lit(None).cast("double")
+        return rows.withColumns({"probability": array_to_vector(F.array(*self.values)), "rawPrediction": none, "prediction": none})
+
+
+@query
+def q_classify_stream_overrides(spark, d):
+    """A stream decided with both overrides and a second model for Shellcode, trusted sources left out."""
+    raw = [F.floor(c("seq") * 37 / m) % 11 + 1 for m in (1, 7, 49, 343, 2401)]
+    total = sum(raw[1:], raw[0])
+    shell = (c("seq") % 13) / 13
+    scorer = attack.attack_scorer(GivenProbabilities([x / total for x in raw]), ["sbytes", "dur"], CLASSES, 0.2, 0.25, GivenProbabilities([1 - shell, shell]))
+    encode = lambda rows: unsw.unsw_conn42(rows).select("seq", "orig_h", "features")
+    found = streamed(flows(spark, d), "overrides", lambda s, out, check: stateful.classified_stream(s, lambda: trusted(spark, d), scorer, encode, out, check))
+    return found.select("seq", "label", nearest(c("anomaly_score"), 6).alias("anomaly_score"))
+
+
 @query
 def q_classify_stream(spark, d):
     def scorer(rows):
@@ -923,12 +989,31 @@ def q_train_job(spark, d):
     held = vectors(spark, d).select(c("vec_id").alias("id"), "log_type", F.slice("features", 1, 12).alias("features"))
     kept = models(spark, d).filter("log_type = 't1'").select(F.lit("dns").alias("log_type"), "model_path", c("created_at").cast("timestamp").alias("created_at"), "anomaly_threshold")
     before = training.Registry(held, kept, held.groupBy("log_type").agg(F.count(F.lit(1)).alias("count")))
-    trained, after = training.run_training(before, "conn", "conn-new", datetime(2030, 1, 1, tzinfo=UTC))
-    n = after.models.groupBy("log_type").agg(F.count(F.lit(1)).alias("models"), F.max_by("model_path", "created_at").alias("newest"), F.bool_and(c("anomaly_threshold") > 0).alias("fine"))
+    trained, after = training.run_training(before, "conn", f"{scratch_path(spark, 'models')}/conn-new", datetime(2030, 1, 1, tzinfo=UTC))
+    newest = F.element_at(F.split(F.max_by("model_path", "created_at"), "/"), -1)
+    n = after.models.groupBy("log_type").agg(F.count(F.lit(1)).alias("models"), newest.alias("newest"), F.bool_and(c("anomaly_threshold") > 0).alias("fine"))
     left = after.store.groupBy("log_type").agg(F.count(F.lit(1)).alias("left"))
     return n.join(after.totals, "log_type", "full").join(left, "log_type", "full").select("log_type", "models", F.when(c("log_type") == "conn", c("newest")).alias("newest"), "fine", "count", F.coalesce("left", F.lit(0)).alias("left"), F.lit(trained.basis).alias("basis"))
 
 
+@query
+def q_train_job_reloaded(spark, d):
+    """The model of a training job, loaded by the newest row of its type, scores every window as the one in memory did: the
+    error that either gives, by the windows' last row."""
+    held = stored(vectors(spark, d).select(c("vec_id").alias("id"), "log_type", F.slice("features", 1, 12).alias("features")), "held")
+    kept = models(spark, d).filter("log_type = 't1'").select(F.lit("conn").alias("log_type"), "model_path", c("created_at").cast("timestamp").alias("created_at"), "anomaly_threshold")
+    before = training.Registry(held, kept, held.groupBy("log_type").agg(F.count(F.lit(1)).alias("count")))
+    trained, after = training.run_training(before, "conn", f"{scratch_path(spark, 'models')}/conn", datetime(2030, 1, 1, tzinfo=UTC))
+    conn = held.filter("log_type = 'conn'")
+    first = stored(training.score_rows(conn, trained, [], ["id"]).select("id", "mae", c("is_anomaly").alias("was")), "scores")
+    limit = trained.threshold
+    del trained
+    loaded = training.load_latest(after.models, "conn")
+    again = training.score_rows(conn, loaded, [], ["id"]).select("id", c("mae").alias("again"), "is_anomaly")
+    both = first.join(again, "id", "full").select("id", F.abs(c("mae") - c("again")).alias("gap"), (c("was") == c("is_anomaly")).alias("alike"))
+    return both.select("id", (F.coalesce("gap", F.lit(1.0)) < 1e-9).alias("same_score"), F.coalesce("alike", F.lit(False)).alias("same_verdict"), F.lit(loaded.threshold == limit).alias("same_limit"))
+
+
 @query
 def q_quantile_fit(spark, d):
     """Values of a column at evenly spaced ranks."""
@@ -1019,6 +1104,125 @@ def q_container_load(spark, d):
     return p.select("container", r6(c("avg_cpu")).alias("avg_cpu"), "peak_cpu", "level")
 
 
+# ---------------------------------------------------------------- streams by the clock
+
+
+def ticking(rows: DataFrame, name: str, make: Callable[[DataFrame], DataFrame], done: Callable[[DataFrame], bool], every: str = "200 milliseconds", seconds: int = 300) -> DataFrame:
+    """What a stream with timers has written once `done` says so of it; it runs on without new rows until then."""
+    spark, folder = rows.sparkSession, scratch_path(rows.sparkSession, name)
+    rows.write.parquet(f"{folder}/in")
+    made = make(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+    running = stateful.write_batches(made, f"{folder}/out", f"{folder}/check", once=False, every=every)
+    try:
+        ends = time.monotonic() + seconds
+        while time.monotonic() < ends:
+            if running.exception():
+                raise running.exception()
+            if path_exists(spark, f"{folder}/out") and done(spark.read.schema(made.schema).parquet(f"{folder}/out")):
+                break
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    return stored(spark.read.schema(made.schema).parquet(f"{folder}/out"), name)
+
+
+@query
+def q_score_batches_stream(spark, d):
+    """Batches from a stream: full ones at once, the last of each type when its time is up."""
+    rows = stored(scored(spark, d), "scored")
+    n = rows.count()
+    b = ticking(rows, "batches", lambda s: timed.batches_by_time(s, ["log_type"], ["event_id"]), lambda out: out.count() == n)
+    return b.groupBy("log_type", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+
+
+@query
+def q_adaptive_threshold_stream(spark, d):
+    """Thresholds from a stream's last 1000 scores of each type: what adaptive_threshold gives for the table."""
+    found = streamed(batched(spark, d), "thresholds", lambda s, out, check: stateful.write_batches(timed.adaptive_stream(s, 0.6, ["log_type"]), out, check))
+    return found.select("log_type", c("batch_id").cast("long").alias("batch_id"), nearest(c("threshold"), 4).alias("threshold"), "drift_clamped").distinct()
+
+
+@query
+def q_learning_batches_stream(spark, d):
+    """Rows collected from a stream into files by batch; the first attempt at each type's second batch fails, and is made
+    up for when the timer comes due."""
+    rows, folder = stored(scored(spark, d), "scored"), scratch_path(spark, "collected")
+    n = rows.count()
+    sink = logs.BatchFiles(folder, fails_first=1)
+    told = ticking(rows, "collect", lambda s: timed.collected(s, ["log_type"], ["event_id"], sink, size=500, keep=1000, wait_ms=500), lambda out: (out.filter("stored").agg(F.sum("rows")).first()[0] or 0) == n)
+    back = spark.read.schema("log_type string, number long, event_id long").json(folder).groupBy("log_type", c("number").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+    failed = told.groupBy("log_type").agg(F.count_if(~c("stored")).alias("failures"), F.sum("dropped").alias("dropped"))
+    return back.join(failed, "log_type").select("log_type", "batch_id", "n", "first", (c("failures") > 0).alias("failed_once"), "dropped")
+
+
+@query
+def q_dedup_stream(spark, d):
+    """Values that are new in a stream of two micro-batches with repeats within and across them."""
+    folder = scratch_path(spark, "dedup")
+    rows = table(spark, d, "documents").select(c("text").alias("value"), "doc_id", F.timestamp_seconds(c("doc_id") + 1_000_000_000).alias("time"))  # not before the first watermark
+    for part in (0, 1):
+        rows.filter(c("doc_id") % 2 == part).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        stateful.write_batches(reload.dedup_stream(source, ["value"], "30 days"), f"{folder}/out", f"{folder}/check").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy(F.md5("value").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_session_join_stream(spark, d):
+    """Malicious and raw records of a uid joined between two streams, with watermarks on both sides."""
+    folder = scratch_path(spark, "join")
+    t = talk(spark, d).withColumn("time", F.timestamp_seconds(c("arrival") * 60))
+    sides = []
+    for name, rows in (("raw", t), ("malicious", malicious_talk(t))):
+        rows.write.parquet(f"{folder}/{name}")
+        sides.append(spark.readStream.schema(rows.schema).parquet(f"{folder}/{name}"))
+    stateful.write_batches(reload.session_join_stream(sides[1], sides[0], 120, "1 day"), f"{folder}/out", f"{folder}/check").awaitTermination()
+    found = spark.read.parquet(f"{folder}/out")
+    return found.groupBy("uid", F.unix_seconds("at").alias("at")).agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("raw_at")).alias("first"))
+
+
+@query
+def q_seeded_vector33(spark, d):
+    """The earlier half of the time from a table, the later from a stream that goes on where the table ends."""
+    f = flows(spark, d)
+    cut = f.agg(F.expr("(min(us) + max(us)) div 2")).first()[0]
+    found = streamed(f.filter(c("us") > cut), "seeded", lambda s, out, check: stateful.write_batches(stateful.stateful_vector33(s, history=f.filter(c("us") <= cut)), out, check))
+    return found.select("seq", *[F.round(c("features")[i], 4).alias(f"f{i + 1:02d}") for i in range(33)])
+
+
+@query
+def q_trusted_clock(spark, d):
+    """A list of trusted addresses that is looked at every ten seconds: changed after the first micro-batch, seen from the third on."""
+    folder, rows, now = scratch_path(spark, "clock"), flows(spark, d).select("seq", "orig_h"), [0.0]
+    write = lambda ips: spark.createDataFrame([(x,) for x in ips], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/ips")
+    write(["10.0.0.1"])
+    listed = reload.reloaded_list(spark, f"{folder}/ips", lambda: logs.load_ip_list(spark, f"{folder}/ips"), lambda: now[0])
+    for part in (0, 1, 2):
+        now[0] = (0.0, 9.0, 19.5)[part]
+        rows.filter(c("seq") % 3 == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        stateful.score_stream(source, listed, lambda b: b, f"{folder}/out", f"{folder}/check").awaitTermination()
+        if part == 0:
+            write(["10.0.0.3", "10.0.0.0"])
+    return spark.read.parquet(f"{folder}/out").groupBy("orig_h", (c("seq") % 3).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_mode_route_stream(spark, d):
+    """A stream whose rows go to the store or to scoring by a switch, turned for every type between its two micro-batches."""
+    folder, turned = scratch_path(spark, "route"), []
+    rows, held = scored(spark, d), stored(status(spark, d), "status")
+    for part in (0, 1):
+        rows.filter(c("event_id") % 2 == part).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        switch = lambda: held if not turned else held.withColumn("enabled", ~c("enabled"))  # noqa: E731, B023
+        reload.routed_stream(source, switch, lambda b: b.withColumn("hot", c("mae") > 0.9), f"{folder}/stored", f"{folder}/scored", f"{folder}/check").awaitTermination()
+        turned.append(part)
+    both = spark.read.parquet(f"{folder}/stored").select("log_type", "event_id", F.lit("store").alias("route"), F.lit(None).cast("boolean").alias("hot"))
+    both = both.unionByName(spark.read.parquet(f"{folder}/scored").select("log_type", "event_id", F.lit("score").alias("route"), "hot"))
+    return both.groupBy("log_type", "route", (c("event_id") % 2).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.count_if("hot").alias("hot"))
+
+
 # ---------------------------------------------------------------- the flagship
 
 

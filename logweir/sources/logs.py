@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import numpy as np
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import frames
 from ..operators import registry
 from ..operators.filters import unwrapped
 
@@ -103,10 +108,34 @@ def export_topics(records: DataFrame, folder: str, most: int | None = None, dedu
     """Writes each topic's values as text lines in a folder of its name, in order; at most `most` of each."""
     rows = dedup_keep_first(records.select("topic", "value", order)) if dedup else records
     if most is not None:
-        rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy("topic").orderBy(order))).filter(F.col("__n") <= most)
+        rows = frames.numbered(rows.select("topic", "value", order), ["topic"], [order], "__n").filter(F.col("__n") <= most)
     rows.repartitionByRange("topic", order).sortWithinPartitions("topic", order).select("topic", "value").write.mode("overwrite").partitionBy("topic").text(folder)
 
 
+class BatchFiles:
+    """A store for streaming.timed.collected: each batch is a file of JSON lines named by key and number, with both in each
+    line. A file is written under a draft name first, so that a batch is there whole or not at all, and replaced by a
+    repetition. fails_first: a batch number whose first attempt for each key raises, to see what is done about it."""
+
+    def __init__(self, folder: str, key_col: str = "log_type", fails_first: int | None = None):
+        self.folder, self.key_col, self.fails_first = folder, key_col, fails_first
+
+    def __call__(self, key: tuple, number: int, rows: list[str]) -> None:
+        system, root = pafs.FileSystem.from_uri(self.folder)
+        system.create_dir(root, recursive=True)
+        name = f"{root}/{'-'.join(map(str, key))}-{number}.json"
+        if number == self.fails_first:
+            tried = name.rpartition("/")[0] + "/_tried-" + name.rpartition("/")[2]
+            if system.get_file_info(tried).type == pafs.FileType.NotFound:
+                system.open_output_stream(tried).close()
+                raise OSError("the store is away")
+        head = json.dumps({self.key_col: key[0], "number": number})[:-1]
+        draft = f"{root}/_draft-{uuid.uuid4().hex}"
+        with system.open_output_stream(draft) as out:
+            out.write("".join(f"{head}, {r[1:]}\n" if r != "{}" else f"{head}}}\n" for r in rows).encode())
+        system.move(draft, name)
+
+
 def feature_rows(features: DataFrame, log_type: str, width: int = 33, column: str = "features") -> DataFrame:
     """log_type, features for the vectors of the right width."""
     return features.filter(F.size(column) == width).select(F.lit(log_type).alias("log_type"), F.col(column).alias("features"))

@@ -23,6 +23,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df and reads it again: cuts the lineage, survives lost executors, is computed once."""
     spark = df.sparkSession

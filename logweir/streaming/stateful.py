@@ -4,10 +4,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions import frames
 from ..operators import attack, filters, vector33
 from ..operators.vector33 import FLOWS_PER_EPOCH, GAPS
 
@@ -49,6 +50,14 @@ class SourceHistory(StatefulProcessor):
         self.ports = handle.getMapState("ports", "port long", "n long", **ttl)
         self.gaps = handle.getListState("gaps", "us long", **ttl)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Takes up what source_state() found for a source in a table of history."""
+        (held,) = initialState.itertuples(index=False)
+        self.flows.update((int(held.n), int(held.last_us)))
+        self.gaps.put([(int(g),) for g in held.gaps])
+        for port in held.ports:
+            self.ports.updateValue((int(port),), (1,))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         (src,) = key
         held = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
@@ -83,21 +92,40 @@ class SourceHistory(StatefulProcessor):
         pass
 
 
-def stateful_history(records: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
+def source_state(records: DataFrame) -> DataFrame:
+    """src, n, last_us, ports, gaps: what SourceHistory would hold of each source after these records, from a table. Only a
+    source's last epoch counts, so no list is longer than an epoch; sources are numbered by range, a hot one in many tasks."""
+    held = vector33.interaction(vector33.completed(records).withColumn("resp_p", F.coalesce(F.col("resp_p").cast("long"), F.lit(-1))))
+    last = held.groupBy("src").agg(F.max("epoch").alias("epoch"))
+    rows = held.join(last, ["src", "epoch"]).select("src", "us", "seq", "resp_p")
+    gap = frames.valid_gap(F.col("us"), F.lag("us").over(Window.partitionBy("src").orderBy("us", "seq")))
+    rows = rows.withColumn("gap", gap)
+    valid = F.collect_list(F.when(F.col("gap").isNotNull(), F.struct("us", "seq", "gap")))
+    found = rows.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.max("us").alias("last_us"), F.collect_set("resp_p").alias("ports"), F.sort_array(valid).alias("gaps"))
+    return found.withColumn("gaps", F.transform(F.slice("gaps", F.greatest(F.lit(1), F.size("gaps") - GAPS + 1), F.lit(GAPS)), lambda g: g["gap"]))
+
+
+def stateful_history(records: DataFrame, ttl_seconds: int | None = None, history: DataFrame | None = None) -> DataFrame:
     """Records of a stream of connections with the history columns of vector33. Within a micro-batch a source's rows go in
     order of (us, seq); across batches, in order of arrival. On a table in that order it gives what the windows of vector33
-    give. A missing port counts as port -1. ttl_seconds: a source's state ends so long after its last record; by default it stays."""
+    give. A missing port counts as port -1. ttl_seconds: a source's state ends so long after its last record; by default it
+    stays. history: a table of earlier records (or of source_state()), which the stream goes on from; it is read once, when a
+    query starts with a new checkpoint. A source's rows of one micro-batch are held by one task, so bound micro-batches where
+    the stream is read (maxFilesPerTrigger, maxOffsetsPerTrigger)."""
     held = vector33.completed(records).withColumn("src", filters.source_key(F.col("orig_h")))
     there = {c: F.col(c) if c in held.columns else F.lit(None) for c in CARRIED}  # what a log type lacks is null
     there["resp_p"] = F.coalesce(there["resp_p"], F.lit(-1))
     keyed = held.select("src", "seq", "us", *[there[c].cast(kind).alias(c) for c, kind in CARRIED.items()])
     processor = SourceHistory(ttl_seconds * 1000 if ttl_seconds else None)
-    return keyed.groupBy("src").transformWithStateInPandas(processor, HISTORY_SCHEMA, "Append", "ProcessingTime" if ttl_seconds else "None")
+    seed = None
+    if history is not None:
+        seed = (history if {"n", "last_us", "ports", "gaps"} <= set(history.columns) else source_state(history)).groupBy("src")
+    return keyed.groupBy("src").transformWithStateInPandas(processor, HISTORY_SCHEMA, "Append", "ProcessingTime" if ttl_seconds else "None", seed)
 
 
-def stateful_vector33(records: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
-    """seq, src, us and features: the 33 values for each record of a stream, with the history of its source."""
-    return stateful_history(records, ttl_seconds).select("seq", "src", "us", vector33.features().alias("features"))
+def stateful_vector33(records: DataFrame, ttl_seconds: int | None = None, history: DataFrame | None = None) -> DataFrame:
+    """seq, src, us and features: the 33 values for each record of a stream, with the history of its source (see stateful_history)."""
+    return stateful_history(records, ttl_seconds, history).select("seq", "src", "us", vector33.features().alias("features"))
 
 
 class SessionState(StatefulProcessor):
@@ -134,28 +162,40 @@ def stateful_session(tagged: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
     return tagged.groupBy("uid").transformWithStateInPandas(SessionState(ttl_seconds * 1000), "uid string, arrival long, conn string, n_dns long, n_http long, n_ssl long", "Append", "ProcessingTime")
 
 
-def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool):
+#: State in columns, lists and timers needs this store.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool, every: str | None = None):
     """Starts the query; with once it ends when what is there is read. Batches without data would then never end for state
-    that has a time to live, so there are none."""
-    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(key)
+    that has a time to live, so there are none. every: the time between micro-batches otherwise. The session's settings
+    stay as they were: a query takes those of the moment it starts."""
+    conf, wanted = stream.sparkSession.conf, dict(STATE_STORE)
+    if once:
+        wanted["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {key: conf.get(key) for key in wanted}
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     try:
-        if once:
-            conf.set(key, "false")
-        return (writer.trigger(availableNow=True) if once else writer).start()
+        for key, value in wanted.items():
+            conf.set(key, value)
+        return writer.start()
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
-def write_batches(stream: DataFrame, folder: str, checkpoint: str, partition: str | None = None, once: bool = True):
+def write_batches(stream: DataFrame, folder: str, checkpoint: str, partition: str | None = None, once: bool = True, every: str | None = None):
     """Starts a query that writes each micro-batch to a folder of its number, over what an earlier attempt left there."""
 
     def write(batch: DataFrame, number: int) -> None:
         writer = batch.write.mode("overwrite")
         (writer.partitionBy(partition) if partition else writer).parquet(f"{folder}/batch={number}")
 
-    return _start(stream, write, checkpoint, once)
+    return _start(stream, write, checkpoint, once, every)
 
 
 def score_stream(records: DataFrame, trusted: Callable[[], DataFrame], score: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str, once: bool = True):
