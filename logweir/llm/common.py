@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: A key with more than a share of one in so many of all rows is hot; there can't be more hot keys than that.
 HOT_KEYS = 10_000
+#: Rows that are broadcast whole, at most; beyond that a filter of at most FILTER_BITS bits is (8 MB).
+BROADCAST_ROWS, FILTER_BITS = 200_000, 1 << 26
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -111,6 +113,66 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], size: str, tota
     return rows.join(large, keys).unionByName(rows.join(large, keys, "left_anti").join(table.filter(~hot), keys))
 
 
+class Filter:
+    """A Bloom filter over 64-bit hashes, as one broadcast row of words. Its size is bounded; beyond what it can hold apart it
+    lets more rows through, never fewer."""
+
+    def __init__(self, keys: DataFrame, hashed, count: int):
+        self.bits = 64
+        while self.bits < min(16 * count, FILTER_BITS):
+            self.bits *= 2
+        slots = keys.select(F.explode(F.array(*self._slots(hashed))).alias("slot"))
+        words = slots.groupBy(F.floor(F.col("slot") / 64).alias("id")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("word"))
+        all_words = keys.sparkSession.range(self.bits // 64).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+        line = F.transform(F.sort_array(F.collect_list(F.struct("id", "word"))), lambda w: w["word"])
+        self.row = F.broadcast(stored(all_words.agg(line.alias("filter_words")), "filter"))
+
+    def _slots(self, hashed):
+        return F.pmod(hashed, F.lit(self.bits)), F.pmod(F.shiftright(hashed, 32), F.lit(self.bits))
+
+    def _hit(self, hashed):
+        one, two = (F.getbit(F.get(F.col("filter_words"), F.floor(slot / 64).cast("int")), (slot % 64).cast("int")) == 1 for slot in self._slots(hashed))
+        return one & two
+
+    def maybe(self, rows: DataFrame, hashed) -> DataFrame:
+        """Rows that may be among the keys; rows without a hash aren't."""
+        return rows.join(self.row, self._hit(hashed), "left_semi")
+
+    def never(self, rows: DataFrame, hashed) -> DataFrame:
+        """The other rows."""
+        return rows.join(self.row, self._hit(hashed), "left_anti")
+
+
+def text_mark(df: DataFrame, text_col: str = "text"):
+    """A hash of the text as it stands (null as empty): with the id it names rows that are alike."""
+    return F.xxhash64(text_of(df, text_col))
+
+
+def drop_cells(docs: DataFrame, cells: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without all rows but one of each group. cells: doc_id, mark (text_mark), n rows of both, kept (one cell of a group,
+    with one of its rows). Cells that stay whole needn't be there. Null ids are ids.
+
+    Few cells are broadcast. Of more, a filter is, so that only rows which it lets through are shuffled; the others stay
+    where they lie."""
+    doc, mark, again = (free_name(docs, n) for n in ("gone_doc", "gone_mark", "gone_again"))
+    gone = stored(cells.filter("not kept or n > 1").select(F.col("doc_id").alias(doc), F.col("mark").alias(mark), F.col("kept").alias(again)), "gone")
+    count = gone.count()
+    own = text_mark(docs, text_col)
+    on = docs[id_col].eqNullSafe(F.col(doc)) & (own == F.col(mark))
+    if count <= BROADCAST_ROWS:
+        out, held, dealt = docs.join(F.broadcast(gone), on, "left_anti"), docs, F.broadcast
+    else:
+        seen, of_row = Filter(gone, F.xxhash64(doc, mark), count), F.xxhash64(docs[id_col], own)
+        held, dealt = seen.maybe(docs, of_row), lambda t: t
+        out = seen.never(docs, of_row).unionByName(held.join(gone, on, "left_anti"))
+    back = gone.filter(again).drop(again)
+    if back.limit(1).count():  # of rows alike one comes back
+        key = free_name(docs, "text_mark")
+        twice = held.join(dealt(back), on, "left_semi").withColumn(key, own)
+        out = out.unionByName(twice.dropDuplicates([id_col, key]).drop(key))
+    return out
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
     """Adds column out: the sum of value over the rows of the same keys that stand before in the given order.
 

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, join_hot, stored, text_of
+from . import common
+from .common import Filter, drop_cells, join_hot, stored, text_mark, text_of
 
 #: Characters of the prefix that the second step hashes.
 PREFIX_CHARS = 64
 
 
-#: Keys that are broadcast, at most: survivors of the prefix step, or dropped documents.
-BROADCAST_ROWS = 200_000
-
-
 def normalised(text):
     """Runs of white space as one space. Only runs that change are matched, so single spaces cost nothing."""
     return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
@@ -34,12 +31,21 @@ def _full_hashes(docs: DataFrame, id_col: str, text_col: str, digests: bool) ->
         many = join_hot(slim, suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
         alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", "text_sha256", F.lit(False).alias("suspect"))
         return many.unionByName(alone), total
-    if suspects.count() <= BROADCAST_ROWS:
-        many = measured.join(F.broadcast(suspects), ["len", "prefix"], "left_semi").select("doc_id", sha, F.lit(True).alias("suspect"))
-    else:  # hashes move to the survivors, for texts would be a shuffle of the whole corpus
-        many = join_hot(stored(measured.select("doc_id", "len", "prefix", sha), "hashes"), suspects, ["len", "prefix"], "n", total).select("doc_id", "text_sha256", F.lit(True).alias("suspect"))
-    alone = slim.join(suspects, ["len", "prefix"], "left_anti").select("doc_id", F.lit(None).cast("string").alias("text_sha256"), F.lit(False).alias("suspect"))
-    return many.unionByName(alone), total
+    some, alone = survivors(measured, slim, suspects)
+    many = some.select("doc_id", sha, F.lit(True).alias("suspect"))
+    return many.unionByName(alone.select("doc_id", F.lit(None).cast("string").alias("text_sha256"), F.lit(False).alias("suspect"))), total
+
+
+def survivors(measured: DataFrame, slim: DataFrame, suspects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of measured (with texts) whose length and prefix hash are among the suspects, and those of slim whose aren't. Of
+    more suspects than can be broadcast a filter is: it lets some rows more through, in both tables alike, whose full hash
+    then tells them apart, and no text moves."""
+    keys, count = ["len", "prefix"], suspects.count()
+    if count <= common.BROADCAST_ROWS:
+        few = F.broadcast(suspects.select(keys))
+        return measured.join(few, keys, "left_semi"), slim.join(few, keys, "left_anti")
+    seen = Filter(suspects, F.xxhash64(*keys), count)
+    return seen.maybe(measured, F.xxhash64(*keys)), seen.never(slim, F.xxhash64(*keys))
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = True) -> DataFrame:
@@ -72,20 +78,21 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that duplicate_groups() doesn't keep, all columns as they were.
 
-    Of rows that repeat id and text but differ elsewhere, any one stays. Texts are hashed only where length and prefix
-    hash are shared, and once more only where the id is one of those that go.
-    """
-    sha, doc, key = (free_name(docs, c) for c in ("gone_sha", "gone_doc", "text_sha"))
-    found = duplicate_groups(docs, id_col, text_col, digests=False).filter(F.col("text_sha256").isNotNull())
-    found = found.groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
-    gone = stored(found.filter("not kept or n > 1").select(F.col("text_sha256").alias(sha), F.col("doc_id").alias(doc), F.col("kept").alias("again")), "gone")
-    # the hash is no key of the join, so only rows whose id is met are hashed
-    hashed = F.sha2(normalised(text_of(docs, text_col)), 256)
-    on = F.col(id_col).eqNullSafe(F.col(doc)) & ((hashed == F.col(sha)) | F.col(sha).isNull())
-    small = gone.count() <= BROADCAST_ROWS
-    out = docs.join(F.broadcast(gone) if small else gone, on, "left_anti")
-    again = gone.filter("again").drop("again")
-    if again.limit(1).count():  # rows that repeat a keeper: one of each comes back
-        back = docs.join(F.broadcast(again) if small else again, on, "left_semi").withColumn(key, hashed)
-        out = out.unionByName(back.dropDuplicates([key, id_col]).drop(key))
-    return out
+    Of rows that repeat id and text but differ elsewhere, any one stays; of rows of one id whose texts differ in white space
+    alone, one. The refinement is the same, and texts that are unique by length or prefix hash are never hashed whole. Of
+    equal texts a row for each id and spelling meets the group's keeper, hot groups without a shuffle; then rows go by id and
+    spelling (drop_cells), texts staying where they lie."""
+    raw = text_of(docs, text_col)
+    text = normalised(raw)
+    measured = docs.select(F.col(id_col).alias("doc_id"), text_mark(docs, text_col).alias("mark"), text.alias("text"))
+    measured = measured.select("doc_id", "mark", "text", F.length("text").alias("len"), F.xxhash64(F.substring("text", 1, PREFIX_CHARS)).alias("prefix"))
+    pairs = measured.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    suspects = stored(pairs.filter("n > 1"), "suspects")
+    some, _ = survivors(measured, measured, suspects)
+    hashed = some.select("doc_id", "mark", F.sha2("text", 256).alias("text_sha256"))
+    cells = stored(hashed.groupBy("text_sha256", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n")), "cells")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    groups = stored(cells.groupBy("text_sha256").agg(first, F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows"), "groups")
+    met = join_hot(cells, groups, ["text_sha256"], "cells", cells.count())
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    return drop_cells(docs, met.select("doc_id", "mark", "n", kept.alias("kept")), id_col, text_col)

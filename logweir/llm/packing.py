@@ -53,7 +53,7 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
 
     tokens: what tokenised() gives, already stored (its row numbers must not change between jobs). targets: weights by
     source; by default, and for sources they don't name, a source's share of all tokens, so that all queues end
-    together. A queue that runs out leaves its turn to the others. A null source is a queue of its own.
+    together; so too where all weights are zero. A queue that runs out leaves its turn to the others. A null source is a queue of its own.
 
     Deficit round-robin: a source's queue is its documents in order of id. A round is a window's worth of tokens: each
     queue's quantum is its target share of `length`, so every round visits every source; what a quantum has beyond whole
@@ -194,7 +194,9 @@ def cut_at(doc, start, size, place, length, whole, edges):
 def visits_of(totals: DataFrame, targets: dict[str, float] | None, length: int, least_visit: int) -> DataFrame:
     """of (the source), quantum (tokens of a visit), every (rounds from one visit to the next) and total from the sources' totals."""
     share = F.col("total").cast("double")
-    if targets:
+    if targets and min(targets.values()) < 0:
+        raise ValueError("a weight can't be negative")
+    if targets and sum(targets.values()):
         named = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
         whole = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
         share = F.coalesce(named[F.coalesce("source", F.lit(""))] * float(whole) / sum(targets.values()), share)

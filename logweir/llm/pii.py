@@ -27,6 +27,8 @@ _BY_LENGTH = "|".join(f"(?:{x.replace(' ', '|')})[0-9]{{2}}(?:[\\x20]?[A-Z0-9]){
 IBAN = rf"(?<![A-Za-z0-9])(?:{_BY_LENGTH}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!{_LISTED}))?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])"
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 KINDS = ("email", "ip", "card", "phone", "iban", "id")
+#: Spans whose numbers redact() keeps in one list.
+REDACT_BLOCK = 256
 #: Score of a span by kind before its context is looked at, and what a word nearby adds.
 BASE_SCORES = {"email": 0.8, "ip": 0.7, "card": 0.8, "phone": 0.6, "iban": 0.8, "id": 0.3}
 CONTEXT = {
@@ -156,12 +158,23 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = free_name(docs, "pii")
     held = spans(docs, text_col, out)
     text = F.col(text_col)
-    start = F.expr("named_struct('at', 0, 'kept', cast(array() as array<int>), 'n', 0)")
+    none = F.expr("cast(array() as array<int>)")
+    many = F.expr("cast(array() as array<array<int>>)")
 
-    def step(s: Column, m: Column) -> Column:
-        """The spans that stay, by their number."""
-        kept = F.when(m["start"] < s["at"], s["kept"]).otherwise(F.concat(s["kept"], F.array(s["n"])))
-        return F.struct(F.when(m["start"] < s["at"], s["at"]).otherwise(m["end"]).alias("at"), kept.alias("kept"), (s["n"] + 1).alias("n"))
+    def step(s: Column, k: Column) -> Column:
+        """The spans of a block that stay, by their number."""
+        m = F.get(F.col(out), k)
+        free = m["start"] >= s["at"]
+        return F.struct(F.when(free, m["end"]).otherwise(s["at"]).alias("at"), F.when(free, F.concat(s["kept"], F.array(k))).otherwise(s["kept"]).alias("kept"))
+
+    def block(s: Column, b: Column) -> Column:
+        """Lists of numbers stay short, for each step copies one: those of a block, and the list of blocks."""
+        numbers = F.sequence(b * REDACT_BLOCK, F.least((b + 1) * REDACT_BLOCK, F.size(out)) - 1)
+        own = F.aggregate(numbers, F.struct(s["at"].alias("at"), none.alias("kept")), step)
+        return _let(own, lambda o: F.struct(o["at"].alias("at"), F.concat(s["kept"], F.array(o["kept"])).alias("kept")))
+
+    blocks = F.when(F.size(out) > 0, F.sequence(F.lit(0), F.floor((F.size(out) - 1) / REDACT_BLOCK).cast("int"))).otherwise(none)
+    stay = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), many.alias("kept")), block, lambda s: F.flatten(s["kept"]))
 
     def rebuilt(spans_: Column) -> Column:
         ends = lambda i: F.when(i > 0, F.get(spans_, i - 1)["end"]).otherwise(0)
@@ -169,5 +182,5 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         last = F.coalesce(F.get(spans_, F.size(spans_) - 1)["end"], F.lit(0))
         return F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
 
-    new = _let(F.aggregate(F.col(out), start, step, lambda s: s["kept"]), lambda kept: _let(F.transform(kept, lambda k: F.col(out)[k]), rebuilt))
+    new = _let(stay, lambda kept: _let(F.transform(kept, lambda k: F.col(out)[k]), rebuilt))
     return held.withColumn(text_col, F.when(text.isNull(), text).otherwise(new)).drop(out)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, join_hot, stored, text_of
+from .common import drop_cells, join_hot, stored, text_mark, text_of
 from .components import connected_components
 
 SEED = 42
@@ -26,8 +26,6 @@ PAIR_BLOCK = 1 << 20
 NODE_ROWS = 8192
 #: Blocks of such a node: twice as many as it holds NODE_ROWS, between these.
 LEAST_BLOCKS, MOST_BLOCKS = 32, 1024
-#: Ids of dropped documents that are broadcast, at most; beyond that they meet the documents in a shuffle.
-BROADCAST_ROWS = 200_000
 #: Bands that propose pairs by similarity, and minimum hashes in each.
 BANDS, BAND_HASHES = 20, 5
 #: Rows of a node that are held against each other in one piece, and rows of a larger node that are in all of its pieces.
@@ -64,16 +62,17 @@ def fingerprint(text: str, words: int) -> int:
     return int(np.packbits(votes * 2 > total, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp for each row. Null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", marks: bool = False) -> DataFrame:
+    """doc_id, fp for each row, and with marks its text_mark. Null and empty texts have fingerprint zero."""
 
     def run(batches):
         for batch in batches:
             found = [fingerprint(t or "", words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    mark = [text_mark(docs, text_col).alias("mark")] * marks
+    return docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"), *mark).mapInArrow(run, f"doc_id {kind}, fp long" + ", mark long" * marks)
 
 
 # ---------------------------------------------------------------------------------------------------- the views
@@ -330,7 +329,7 @@ def _set_key(hashes: np.ndarray) -> int:
 
 
 def _banded(words: int):
-    """Batches of (doc_id, text) to doc_id, key (a hash of the shingle set), bands (hashes of some minimum hashes each; none for an empty set)."""
+    """Batches of (doc_id, text, mark) to doc_id, key (a hash of the shingle set), bands (hashes of some minimum hashes each; none for an empty set), mark."""
 
     def run(batches):
         for batch in batches:
@@ -340,7 +339,7 @@ def _banded(words: int):
                 keys.append(_set_key(hashes))
                 least = minimum_hashes(hashes).reshape(BANDS, -1)
                 bands.append([_signed(xxhash.xxh64_intdigest(b.tobytes(), SEED)) for b in least] if len(hashes) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), batch.column(2)], ["doc_id", "key", "bands", "mark"])
 
     return run
 
@@ -459,19 +458,29 @@ def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: f
 
 def _similar_groups(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
-    prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, bands array<long>"), "bands")
+    plain = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"), text_mark(docs, text_col).alias("mark"))
+    prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, bands array<long>, mark long"), "bands")
     classes = stored(prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "classes")
     roots = connected_components(similar_links(classes, plain, words, similarity))
-    return _named(prints, classes, roots, "key").select("doc_id", F.col("key").alias("fp"), "component_id")
+    return _named(prints, classes, roots, "key")
 
 
 def _named(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
-    """doc_id, key, component_id for each row of prints. classes: key, least id, rows; roots: node, root of those that are linked."""
+    """doc_id, fp (the key), mark, root, component_id for each row of prints. classes: key, least id, rows; roots: node, root of
+    those that are linked. Components of one least id are told apart by their root."""
     rooted = stored(classes.join(roots.withColumnRenamed("node", key), key, "left").select(key, "least", "rows", F.coalesce("root", key).alias("root")), "rooted")
     components = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes")), "components")
-    of = stored(join_hot(rooted, components, ["root"], "classes", rooted.count()).select(key, "rows", "component_id"), "named")
-    return join_hot(prints.select("doc_id", key), of, [key], "rows", prints.count())
+    of = stored(join_hot(rooted, components, ["root"], "classes", rooted.count()).select(key, "rows", "root", "component_id"), "named")
+    return join_hot(prints.select("doc_id", key, *[c for c in prints.columns if c == "mark"]), of, [key], "rows", prints.count()).withColumnRenamed(key, "fp")
+
+
+def _grouped(docs: DataFrame, words: int, max_bits: int, similarity: float | None, id_col: str, text_col: str, marks: bool = False) -> DataFrame:
+    if similarity is not None:
+        return _similar_groups(docs, words, similarity, id_col, text_col)
+    prints = stored(fingerprints(docs, words, id_col, text_col, marks), "fingerprints")
+    reps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "reps")
+    roots = connected_components(fingerprint_links(reps.select("fp"), max_bits))
+    return _named(prints, reps, roots, "fp")
 
 
 def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -485,28 +494,20 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, s
     Rows that repeat an id each get a row. Null ids name no component unless no other is in it. An empty table gives an
     empty result.
     """
-    if similarity is not None:
-        return _similar_groups(docs, words, similarity, id_col, text_col)
-    prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
-    reps = stored(least, "reps")
-    roots = connected_components(fingerprint_links(reps.select("fp"), max_bits))
-    return _named(prints, reps, roots, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, words, max_bits, similarity, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each near-duplicate group: the one with the smallest id; of rows that repeat it, any one."""
-    gone_id = free_name(docs, "gone_id")
-    groups = near_duplicate_groups(docs, words, max_bits, similarity, id_col, text_col)
-    ids = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
-    gone = stored(ids.filter("not kept or n > 1").select(F.col("doc_id").alias(gone_id), F.col("kept").alias("again")), "gone")
-    on = docs[id_col].eqNullSafe(F.col(gone_id))
-    small = gone.count() <= BROADCAST_ROWS
-    out = docs.join(F.broadcast(gone) if small else gone, on, "left_anti")
-    again = gone.filter("again").drop("again")
-    if again.limit(1).count():  # rows that repeat a keeper: one of each comes back
-        out = out.unionByName(docs.join(F.broadcast(again) if small else again, on, "left_semi").dropDuplicates([id_col]))
-    return out
+    """docs with one row of each near-duplicate group: the one with the smallest id (null ids last; of its rows with several
+    texts the one whose text has the least hash, of rows alike any one). A group is that of a text, so rows that share an id
+    but not a text are looked at each for itself. Rows go by id and text (drop_cells)."""
+    rows = _grouped(docs, words, max_bits, similarity, id_col, text_col, marks=True)
+    cells = stored(rows.groupBy("root", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n")), "cells")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    groups = stored(cells.groupBy("root").agg(first, F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows"), "keepers")
+    met = join_hot(cells, groups, ["root"], "cells", cells.count())
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    return drop_cells(docs, met.select("doc_id", "mark", "n", kept.alias("kept")), id_col, text_col)
 
 
 def as_hex(fp):

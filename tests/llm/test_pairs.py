@@ -52,7 +52,7 @@ def test_exact_duplicates_go(spark):
 
 @pytest.mark.parametrize("digests", [True, False])
 def test_hot_groups_and_shuffled_survivors(spark, monkeypatch, digests):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(common, "HOT_KEYS", 10)
     rows = [(i, "hot  text" if i % 3 else f"text {i // 2} {i}") for i in range(300)] + [(i, "two") for i in (900, 901)]
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.duplicate_groups(table(spark, rows), digests=digests).collect()}
@@ -60,6 +60,34 @@ def test_hot_groups_and_shuffled_survivors(spark, monkeypatch, digests):
     assert exact_dedup.drop_duplicates(table(spark, rows)).count() == 102
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_a_filter_lets_all_keys_through(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    keys = spark.range(0, 3000, 3).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
+    seen = common.Filter(keys, F.xxhash64("k"), 1000)
+    rows = spark.range(6000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("filter_word"))
+    maybe, never = seen.maybe(rows, F.xxhash64("k")), seen.never(rows, F.xxhash64("k"))
+    assert maybe.columns == rows.columns and maybe.join(keys, maybe.k.eqNullSafe(keys.k), "left_semi").count() == 1000
+    assert maybe.count() + never.count() == 6000 and never.count() > (4000 if bits > 64 else -1)
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_texts_stay_where_they_lie(spark, monkeypatch, few):
+    """Rows that share an id, or have none, are told apart by their texts; what goes is found by id and text on either way."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", few)
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(f"{x}{rng.getrandbits(30)}" for _ in range(60)) for x in "abcd")
+    near = lambda t: t.replace(t.split()[30], "zz")
+    rows = [(1, a), (1, b), (None, c), (None, d), (2, near(a)), (0, near(b)), (None, near(c)), (3, near(d)), (1, a), (4, None), (4, ""), (None, None)]
+    kept = [(r.doc_id, r.text) for r in simhash.drop_near_duplicates(table(spark, rows)).collect()]
+    assert (1, a) in kept and kept.count((1, a)) == 1 and (0, near(b)) in kept and (3, near(d)) in kept
+    assert sum(t in (c, near(c)) for _, t in kept) == 1 and sum(not t for _, t in kept) == 1 and len(kept) == 5
+    assert sorted((str(r.doc_id), r.text) for r in simhash.drop_near_duplicates(table(spark, rows[:4])).collect()) == sorted([("1", a), ("1", b), ("None", c), ("None", d)])
+    same = [(1, "x  y"), (1, "x y"), (1, "z"), (None, "z"), (None, "w"), (None, "v"), (0, "x\ty"), (5, "u"), (5, "u"), (6, "u")]
+    kept = sorted((str(r.doc_id), r.text) for r in exact_dedup.drop_duplicates(table(spark, same)).collect())
+    assert kept == sorted([("0", "x\ty"), ("1", "z"), ("None", "w"), ("None", "v"), ("5", "u")])
+
+
 def test_only_suspects_are_hashed(spark):
     rows = [(1, "abc"), (2, "abcd"), (3, "x" * 64 + "1"), (4, "x" * 64 + "2"), (5, "same"), (6, "same")]
     got = {r.doc_id: r.text_sha256 is not None for r in exact_dedup.duplicate_groups(table(spark, rows), digests=False).collect()}

@@ -313,3 +313,33 @@ def test_every_rule_is_fetched_where_it_fits(spark):
         assert r.rule == (best.name if best else None), r.url[:60]
         if best:
             assert r.verdict == best.verdict
+
+
+def test_redaction_of_many_spans(spark):
+    """Spans that stay are those that don't begin inside one that stays; time grows little faster than their number."""
+    import time
+
+    text = "a@b.cd 4111 1111 1111 1111 x " * 700
+    found = pii.spans(docs(spark, [(0, text)])).first().pii
+    at, want = 0, ""
+    for s in found:
+        if s.start >= at:
+            want, at = f"{want}{text[at : s.start]}<{s.kind}>", s.end
+    want += text[at:]
+    assert len(found) > pii.REDACT_BLOCK * 5 and pii.redact(docs(spark, [(0, text)])).first().text == want
+    took = []
+    for n in (6_000, 24_000):
+        many = docs(spark, [(0, "a@b.cd " * n)])
+        began = time.time()
+        assert pii.redact(many).first().text == "<email> " * n
+        took.append(time.time() - began)
+    assert took[1] < 10 * took[0] + 5
+
+
+def test_overlaps_are_redacted_once(spark):
+    for text in ("", "x", "1.2.3.4@b.cd", "+1.2.3.4 5 6 7 8 9", "a@1.2.3.4 4111-1111-1111-1111@x.yz"):
+        found, at, want = pii.spans(docs(spark, [(0, text)])).first().pii, 0, ""
+        for s in found:
+            if s.start >= at:
+                want, at = f"{want}{text[at : s.start]}<{s.kind}>", s.end
+        assert pii.redact(docs(spark, [(0, text)])).first().text == want + text[at:]

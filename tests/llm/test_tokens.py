@@ -47,6 +47,18 @@ def check_packing(pieces, ids, length=1024):
     assert sum(p.length for p in pieces) == total
 
 
+def test_weights_of_nothing(spark):
+    rows = [(i, "alpha beta gamma " * 40, f"s{i % 3}") for i in range(12)]
+    path = queries._tokenizer("byte_bpe_50k.json")
+    plain = sorted(map(tuple, packing.pack_documents(docs(spark, rows), path).collect()))
+    assert sorted(map(tuple, packing.pack_documents(docs(spark, rows), path, targets={"s0": 0.0, "s1": 0.0}).collect())) == plain
+    one = packing.pack_documents(docs(spark, rows), path, targets={"s0": 0.0, "s1": 1.0, "s2": 1.0}).collect()
+    assert sum(r.length for r in one) == sum(r[2] for r in plain)
+    assert min((r.sequence_id, r.offset) for r in one if r.source == "s0") > max((r.sequence_id, r.offset) for r in one if r.source == "s1")
+    with pytest.raises(ValueError):
+        packing.pack_documents(docs(spark, rows), path, targets={"s0": -1.0}).collect()
+
+
 def test_packing(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices(("alpha", "beta.", "gamma", "δ"), k=rng.randrange(1, 400))), "hot" if i % 3 else f"s{i % 7}") for i in range(60)]
