@@ -38,10 +38,6 @@ def running_count(keys: list[str], order: list[str], most: int | None = None) ->
     return n if most is None else F.least(n, F.lit(most))
 
 
-#: Valid gaps that one task's frames cover, beside those just before them.
-BLOCK = 2000
-
-
 def _first(names: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in names]
 
@@ -80,22 +76,38 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> Data
     return held.withColumn(out, F.col("__before___one") + 1).drop("__one", "__before___one")
 
 
+def _going_on(rows: DataFrame, key: str) -> DataFrame:
+    """__pid, key where a range goes on with a key of an earlier one. That is the first key of a range, so there are no more
+    such rows than ranges, and they can be broadcast."""
+    pairs = rows.select("__pid", key).distinct()
+    return pairs.withColumn("__nth", F.row_number().over(Window.partitionBy(key).orderBy("__pid"))).filter("__nth > 1").drop("__nth")
+
+
 def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int, base: DataFrame | None = None) -> DataFrame:
     """Adds for each counter the number of rows of its keys so far, this one included, at most `most`. rows: what ranged()
-    gives over the first of each counter's keys, or rows made from that (base, which has the keys too). Ranges count their own
-    rows; those of keys that began in an earlier range get what it counted. Counters of the same keys are counted once."""
+    gives over the first of each counter's keys, or rows made from that (base, which has the keys too). Counters of the same
+    keys are counted once.
+
+    Ranges count their own rows. What earlier ranges counted of keys that a range has too comes into it as rows of that
+    weight, ahead of its own, so that full rows are dealt once and never joined."""
     base = rows if base is None else base
     names = {}
     for name, keys in counters.items():
         names.setdefault(frozenset(keys), (name, list(dict.fromkeys(keys))))
-    once = dict(names.values())
-    held = rows.repartition("__pid")  # every counter's windows are within a range, so rows move once
-    held = held.withColumns({name: F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) for name, keys in once.items()})
-    for name, keys in once.items():
-        span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-        n = base.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__more", F.sum("__n").over(span)).filter("__more > 0")
-        met = held.alias("a").join(n.alias("b"), _same("a", "b", keys), "left")
-        held = met.select(*[F.col(f"a.{c}") for c in held.columns if c != name], F.least(F.col(f"a.{name}") + F.coalesce(F.col("b.__more"), F.lit(0)), F.lit(most)).alias(name))
+    once, lead = dict(names.values()), next(iter(counters.values()))[0]
+    columns = list(dict.fromkeys(k for keys in once.values() for k in keys))
+    kinds = dict(base.dtypes)
+    hot = _going_on(base, lead).select(F.col(lead).alias("__lead")).distinct()
+    some = base.join(F.broadcast(hot), F.col(lead).eqNullSafe(F.col("__lead")), "left_semi")
+    each = [F.struct(F.lit(i).alias("__i"), *[(F.col(k) if k in keys else F.lit(None).cast(kinds[k])).alias(k) for k in columns]) for i, keys in enumerate(once.values())]
+    counted = some.select("__pid", F.explode(F.array(*each)).alias("e")).select("__pid", "e.*").groupBy("__pid", "__i", *columns).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__i", *columns).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
+    carried = counted.withColumn("__more", F.least(F.coalesce(before, F.lit(0)), F.lit(most))).filter("__more > 0")
+    carried = carried.select("__pid", *columns, F.lit(False).alias("__own"), *[F.when(F.col("__i") == i, F.col("__more")).otherwise(0).alias(f"__w{i}") for i in range(len(once))])
+    own = rows.withColumns({"__own": F.lit(True), **{f"__w{i}": F.lit(1).cast("long") for i in range(len(once))}})
+    held = own.unionByName(carried, allowMissingColumns=True).repartition("__pid")  # carried rows have no order: they come first
+    upto = {name: F.sum(f"__w{i}").over(Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, 0)) for i, (name, keys) in enumerate(once.items())}
+    held = held.withColumns({name: F.least(n, F.lit(most)) for name, n in upto.items()}).filter("__own").drop("__own", *[f"__w{i}" for i in range(len(once))])
     return held.withColumns({name: F.col(names[frozenset(keys)][0]) for name, keys in counters.items() if name not in once})
 
 
@@ -103,26 +115,37 @@ def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str)
     """What last_gaps() adds, but mean and deviation only in rows whose gap is valid; a key may hold most of all rows. rows:
     what ranged() gives over the key.
 
-    The row before a range's first is carried from the ranges before it. Valid gaps are numbered in the same way, and cut
-    into blocks of BLOCK with the `gaps` - 1 before each, so that a frame never needs more than its block."""
-    own = Window.partitionBy("__pid", key).orderBy(*order)
-    span = Window.partitionBy(key).orderBy("__pid")
-    last = rows.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(span)).drop("__us")
-    met = rows.alias("a").join(last.alias("b"), _same("a", "b", [key])).select(*[F.col(f"a.{c}") for c in rows.columns], "__carried")
-    before = F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own))
-    held = met.withColumn("__gap", valid_gap(F.col("us"), before)).drop("__carried")
-    valid = F.when(F.col("__gap").isNotNull(), 1).otherwise(0)
-    sums = held.groupBy("__pid", key).agg(F.sum(valid).alias("__n")).withColumn("__more", F.coalesce(F.sum("__n").over(span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    local = held.withColumn("__nth", F.sum(valid).over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    nth = local.alias("a").join(sums.alias("b"), _same("a", "b", [key])).select(*[F.col(f"a.{c}") for c in held.columns], (F.col("__nth") + F.col("__more") - 1).alias("__nth"))
-    nth = stored(nth, "gaps")
-    some = nth.filter("__gap is not null").withColumn("__block", F.floor(F.col("__nth") / BLOCK)).withColumn("__own", F.lit(True))
-    tail = some.filter(F.col("__nth") % BLOCK > BLOCK - gaps).withColumn("__block", F.col("__block") + 1).withColumn("__own", F.lit(False))
-    frame = Window.partitionBy(key, "__block").orderBy("__nth").rowsBetween(-(gaps - 1), 0)
-    framed = some.unionByName(tail).withColumns({f"{name}_mean": F.avg("__gap").over(frame) / 1e6, f"{name}_std": F.stddev_pop("__gap").over(frame) / 1e6, f"{name}_gap": F.col("__gap") / 1e6})
-    none = F.lit(None).cast("double")
-    rest = nth.filter("__gap is null").withColumns({f"{name}_mean": none, f"{name}_std": none, f"{name}_gap": none})
-    return framed.filter("__own").drop("__block", "__own", "__gap", "__nth").unionByName(rest.drop("__gap", "__nth"))
+    Ranges work on their own rows; the row before a range's first is carried from earlier ones. Only the first valid gaps of
+    a range that goes on with a key need gaps of earlier ranges: their frames are worked out once more, from the few gaps on
+    either side of where ranges meet. What is carried or worked out so is a few rows for each range, and is broadcast."""
+    own, spans = Window.partitionBy("__pid", key).orderBy(*order), Window.partitionBy(key).orderBy("__pid")
+    last = rows.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(spans)).filter("__carried is not null").drop("__us")
+
+    def with_gaps(these: DataFrame) -> DataFrame:
+        met = these.repartition("__pid").alias("a").join(F.broadcast(last).alias("b"), _same("a", "b", [key]), "left").select(*[F.col(f"a.{c}") for c in these.columns], "__carried")
+        before = F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own))
+        valid = F.sum(F.when(F.col("__gap").isNotNull(), 1).otherwise(0)).over(own.rowsBetween(Window.unboundedPreceding, 0))
+        return met.withColumn("__gap", valid_gap(F.col("us"), before)).withColumn("__nth", valid).drop("__carried")
+
+    # of valid gaps alone: how many ranges held before, and those near where ranges meet
+    slim = with_gaps(rows.select("__pid", key, *dict.fromkeys(["us", *order]))).filter("__gap is not null").select("__pid", key, "__nth", "__gap")
+    slim = stored(slim, "gaps")
+    held = slim.groupBy("__pid", key).agg(F.max("__nth").alias("__n"))
+    starts = held.withColumn("__start", F.sum("__n").over(spans.rowsBetween(Window.unboundedPreceding, -1))).filter("__start > 0").drop("__n")
+    starts = stored(starts, "starts")
+    placed = slim.alias("a").join(F.broadcast(starts).alias("b"), _same("a", "b", [key]), "left").select("a.*", (F.col("a.__nth") + F.coalesce("b.__start", F.lit(0))).alias("__at"))
+    bucket = lambda x: F.floor(x / gaps)
+    wanted = starts.select(F.col("__pid").alias("__for"), F.col(key).alias("__of"), "__start", F.explode(F.sequence(bucket(F.greatest(F.col("__start") - gaps, F.lit(0))), bucket(F.col("__start") + gaps))).alias("__bucket"))
+    near = placed.join(F.broadcast(wanted), F.col(key).eqNullSafe(F.col("__of")) & (bucket(F.col("__at")) == F.col("__bucket")) & (F.col("__at") > F.col("__start") - gaps) & (F.col("__at") < F.col("__start") + gaps))
+    over = Window.partitionBy("__for", "__of").orderBy("__at").rowsBetween(-(gaps - 1), 0)
+    mended = near.withColumns({"__mean": F.avg("__gap").over(over), "__std": F.stddev_pop("__gap").over(over)}).filter("__pid = __for").select("__pid", key, F.col("__nth").alias("__m"), "__mean", "__std")
+
+    frame = Window.partitionBy("__pid", key).orderBy("__nth").rangeBetween(-(gaps - 1), 0)
+    full = with_gaps(rows).withColumns({"__own_mean": F.avg("__gap").over(frame), "__own_std": F.stddev_pop("__gap").over(frame)})
+    on = _same("a", "b", [key]) & (F.col("a.__nth") == F.col("b.__m")) & F.col("a.__gap").isNotNull()
+    met = full.alias("a").join(F.broadcast(mended).alias("b"), on, "left")
+    mine = lambda kind: F.when(F.col("a.__gap").isNotNull(), F.coalesce(f"b.__{kind}", f"a.__own_{kind}")) / 1e6
+    return met.select(*[F.col(f"a.{c}") for c in rows.columns], mine("mean").alias(f"{name}_mean"), mine("std").alias(f"{name}_std"), (F.col("a.__gap") / 1e6).alias(f"{name}_gap"))
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float]:

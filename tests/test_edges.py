@@ -165,7 +165,6 @@ def test_the_entry_point_gives_the_flagship(spark):
 def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
     from logweir.functions import frames
 
-    monkeypatch.setattr(frames, "BLOCK", 60)
     step = F.when(F.col("seq") % 7 == 0, 0).when(F.col("seq") % 11 == 0, 3_600_000_000).otherwise(F.col("seq") % 5 * 1000 + 1)
     rows = spark.range(1, 900).withColumnRenamed("id", "seq").withColumn("src", F.when(F.col("seq") % 9 == 0, F.lit(None)).otherwise(F.when(F.col("seq") % 4 == 0, "b").otherwise("hot")))
     from pyspark.sql import Window
