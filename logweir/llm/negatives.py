@@ -7,12 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, prefix_sums, stored
+from .common import batches_of, stored
+from .tiles import blocks_of_a_group, meetings, packed, placed, unpacked
 
 #: Vectors of a block of candidates and of a block of anchors, and candidates of one tile.
 CANDIDATE_BLOCK, ANCHOR_BLOCK, TILE = 4096, 1024, 512
-#: Bytes of packed candidates that one task holds while anchors pass by, at most.
-GROUP_BYTES = 1 << 25
 #: A tile with a side of this size or less is multiplied without further recursion.
 LEAF = 32
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -118,67 +117,14 @@ class Heaps:
 
 
 class Block:
-    """Vectors in order of their ids, so that the first of equal scores is the one that counts."""
+    """Vectors in order of their ids, so that the first of equal scores is the one that counts; packed until they are needed."""
 
     def __init__(self, row: dict):
+        self.row = row
         self.ids, self.labels, self.places = (np.frombuffer(row[c], np.int64) for c in ("ids", "labels", "places"))
-        self.vectors = np.frombuffer(row["vectors"], row["kind"]).reshape(len(self.ids), -1)
 
     def whole(self, width: int) -> np.ndarray:
-        out = np.zeros((len(self.ids), width), np.int64)
-        out[:, : self.vectors.shape[1]] = self.vectors
-        return out
-
-
-_PACKED = "block long, ids binary, labels binary, places binary, vectors binary, kind string, width int, rows int, held array<long>"
-
-
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """rows (place, vec_id, label, v) packed in blocks of `size` by place, vectors in the narrowest kind of number that holds
-    them; held: the labels of a block."""
-
-    def run(batches):
-        for batch in batches:
-            for block, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, labels, places, v = (held.values.field(n) for n in ("vec_id", "label", "place", "v"))
-                lengths = np.diff(v.offsets.to_numpy())
-                m = np.zeros((len(lengths), max(1, int(lengths.max(initial=1)))), np.int64)
-                m[np.arange(m.shape[1])[None, :] < lengths[:, None]] = v.flatten().to_numpy(zero_copy_only=False)
-                kind = next(k for k in ("<i2", "<i4", "<i8") if m.min() >= np.iinfo(k).min and m.max() <= np.iinfo(k).max)
-                labels = labels.to_numpy()
-                row = (block, ids.to_numpy().tobytes(), labels.tobytes(), places.to_numpy().tobytes(), m.astype(kind).tobytes(), kind, m.shape[1], len(lengths), np.unique(labels).tolist())
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), *[pa.binary()] * 4, pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True)], [c.split()[0] for c in _PACKED.split(", ")])
-
-    held = rows.groupBy(F.floor(F.col("place") / size).cast("long").alias("block")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "place", "label", "v"))).alias("held"))
-    with batches_of(rows.sparkSession, 4):
-        return stored(held.mapInArrow(run, _PACKED), name)
-
-
-def _placed(rows: DataFrame, name: str) -> DataFrame:
-    """rows with place: their number from 0 in order of label and id, which puts a label's rows in neighbouring blocks."""
-    made = rows.withColumns({"one": F.lit(1), "hash": F.xxhash64("v")})
-    return prefix_sums(made, [], ["label", "vec_id", "hash"], "one", "place", name).drop("one", "hash")
-
-
-def _meetings(held: DataFrame, asking: DataFrame, schema: str, meet, per_group: int) -> DataFrame:
-    """meet(block of anchors' row, blocks of the group) for each row of `asking` that goes to a group of candidate blocks. A
-    task gets a group's blocks first and keeps them packed, then anchors pass by: candidates move once."""
-    group = F.floor(F.col("block") / per_group)
-    blocks = held.select(group.alias("group"), F.lit(0).alias("asks"), F.struct(*held.columns).alias("r"), F.lit(None).cast(dict(asking.dtypes)["extra"]).alias("extra"))
-    visits = asking.select("group", F.lit(1).alias("asks"), F.struct(*held.columns).alias("r"), "extra")
-
-    def run(batches):
-        at, there = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["group"] != at:
-                    at, there = row["group"], []
-                if row["asks"]:
-                    yield from meet(row, there)
-                else:
-                    there.append(Block(row["r"]))
-
-    return blocks.unionByName(visits).repartition("group").sortWithinPartitions("group", "asks").mapInArrow(run, schema)
+        return unpacked(self.row, width)
 
 
 def _positive_entries(width: int, k: int):
@@ -261,29 +207,28 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
     blocks that hold its label, the second to all, and blocks of no other label are passed over. A block of anchors meets a
     tile of candidates in Strassen's product, and the scores go into heaps: of positives first, then one for each
     positive's window, whose place is only known when the heaps of positives of all tasks have been merged. A task keeps
-    a group of candidate blocks of at most GROUP_BYTES while blocks of anchors pass by, and gives a heap for each anchor."""
+    a group of candidate blocks of bounded size while blocks of anchors pass by, and gives a heap for each anchor."""
     spark, keys = rows.sparkSession, ["vec_id", "label", "v"]
     free = spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-    held = _blocks(_placed(rows.select(keys).dropDuplicates(keys), "vectors"), CANDIDATE_BLOCK, "candidates")
-    asked = stored(_placed(anchors.select(keys).dropDuplicates(keys), "anchors"), "anchors")
-    a_blocks = _blocks(asked, ANCHOR_BLOCK, "anchor-blocks")
-    n, width, most = held.agg(F.count(F.lit(1)), F.max("width"), F.max(F.length("vectors"))).first()
-    m, a_width = a_blocks.agg(F.count(F.lit(1)), F.max("width")).first()
+    held = packed(placed(rows.select(keys).dropDuplicates(keys), "vectors"), CANDIDATE_BLOCK, "candidates")
+    asked = stored(placed(anchors.select(keys).dropDuplicates(keys), "anchors"), "anchors")
+    a_blocks = packed(asked, ANCHOR_BLOCK, "anchor-blocks")
+    n, width, per_group = blocks_of_a_group(held)
+    m, a_width, _ = blocks_of_a_group(a_blocks)
     if not n or not m:
         return free
-    width, tasks = max(width, a_width), 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    per_group = max(1, min(GROUP_BYTES // most, n // tasks))
+    width = max(width, a_width)
     group = F.floor(F.col("block") / per_group).alias("group")
     ranked = "row_number() over (partition by {} order by score desc, vec_id)"
     with batches_of(spark, 4):
         own = a_blocks.select("block", F.explode("held").alias("label")).join(held.select(group, F.explode("held").alias("label")).distinct(), "label").select("block", "group").distinct()
         first = a_blocks.join(own, "block").withColumn("extra", F.lit(None).cast("int"))
-        best = stored(_meetings(held, first, "place long, vec_id long, score long", _positive_entries(width, positives), per_group), "positive-heaps")
+        best = stored(meetings(held, first, "place long, vec_id long, score long", Block, _positive_entries(width, positives), per_group), "positive-heaps")
         best = stored(best.withColumn("rank", F.expr(ranked.format("place"))).filter(F.col("rank") <= positives), "positives")
         windows = best.groupBy(F.floor(F.col("place") / ANCHOR_BLOCK).cast("long").alias("block")).agg(F.collect_list(F.struct("place", "rank", "score")).alias("extra"))
         all_groups = F.explode(F.sequence(F.lit(0).cast("long"), F.lit((n - 1) // per_group).cast("long"))).alias("group")
         second = a_blocks.join(windows, "block").select("*", all_groups)
-        kept = stored(_meetings(held, second, "place long, positive_rank long, vec_id long, score long", _window_entries(width, negatives, low, high), per_group), "window-heaps")
+        kept = stored(meetings(held, second, "place long, positive_rank long, vec_id long, score long", Block, _window_entries(width, negatives, low, high), per_group), "window-heaps")
     kept = kept.withColumn("rank", F.expr(ranked.format("place, positive_rank"))).filter(F.col("rank") <= negatives)
     named = best.join(asked.select("place", F.col("vec_id").alias("anchor_id")), "place").select("place", F.col("rank").alias("positive_rank"), "anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     out = kept.join(named, ["place", "positive_rank"])

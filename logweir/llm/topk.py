@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, prefix_sums, stored
+from .common import batches_of, stored
+from .tiles import blocks_of_a_group, meetings, packed, placed, unpacked
 
 #: Slices of the components; each has its own score list.
 LISTS = 2
@@ -30,35 +31,20 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return rows.filter(fine).select("vec_id", F.transform(x, lambda c: F.floor(c * F.lit(scale))).alias("v"))
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """block, ids, vectors, width, cutoffs (packed, a row for each block) of rows (vec_id, v, cutoff): `size` in each block but
-    the last, in order of the signs of their first components."""
+def _signed_order(rows: DataFrame) -> DataFrame:
+    """vec_id, label, v: the signs of the first components as label, which puts vectors of one direction in neighbouring blocks."""
     signs = sum((F.when(F.coalesce(F.get("v", F.lit(i)), F.lit(0)) > 0, 1 << (SIGNS - 1 - i)).otherwise(0) for i in range(SIGNS)), F.lit(0))
-    made = rows.select("vec_id", "v", "cutoff", signs.alias("signs"), F.xxhash64("v").alias("hash"), F.lit(1).alias("one"))
-    placed = prefix_sums(made, [], ["signs", "vec_id", "hash"], "one", "place", "vectors")
-    held = placed.groupBy(F.floor(F.col("place") / size).alias("block")).agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "v", "cutoff"))).alias("held"))
-
-    def run(batches):
-        for batch in batches:
-            for block, rows in zip(batch.column(0), batch.column(1), strict=True):
-                ids, v, cut = (rows.values.field(n) for n in ("vec_id", "v", "cutoff"))
-                lengths = np.diff(v.offsets.to_numpy())
-                width = int(lengths.max(initial=1))
-                m = np.zeros((len(lengths), width), np.int64)
-                m[np.arange(width)[None, :] < lengths[:, None]] = v.flatten().to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()], pa.int64()), pa.array([ids.to_numpy().tobytes()]), pa.array([m.tobytes()]), pa.array([width], pa.int32()), pa.array([cut.to_pylist()], pa.list_(pa.int64()))], ["block", "ids", "vectors", "width", "cutoffs"])
-
-    with batches_of(rows.sparkSession, 4):
-        return stored(held.mapInArrow(run, "block long, ids binary, vectors binary, width int, cutoffs array<long>"), "blocks")
+    return rows.select("vec_id", signs.cast("long").alias("label"), "v")
 
 
 class Block:
-    """Vectors by slices, with a ball around each slice's part of every BALL of them."""
+    """Vectors by slices, with a ball around each slice's part of every BALL of them. cutoffs: of vectors that ask, None where
+    there is none."""
 
-    def __init__(self, ids: bytes, vectors: bytes, width: int, cutoffs: list, slices: list[slice]):
-        self.ids, self.cutoffs = np.frombuffer(ids, np.int64), cutoffs
-        whole = np.zeros((len(self.ids), slices[-1].stop), np.int64)
-        whole[:, :width] = np.frombuffer(vectors, np.int64).reshape(-1, width)
+    def __init__(self, row: dict, slices: list[slice], cutoffs: dict[int, int] | None = None):
+        self.ids = np.frombuffer(row["ids"], np.int64)
+        self.cutoffs = [(cutoffs or {}).get(p) for p in np.frombuffer(row["places"], np.int64).tolist()]
+        whole = unpacked(row, slices[-1].stop)
         near = whole.astype(np.float64)
         fine = np.abs(near).max(initial=0) ** 2 * near.shape[1] < 2.0**52
         self.parts = [(near if fine else whole.astype(object))[:, s] for s in slices]
@@ -174,38 +160,49 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, lists: int = LI
 
     Candidates are dealt into full blocks in order of their first components' signs, and a ball around every few of them
     bounds their scores in a list: phase one passes over balls that can't better a list's k best so far, phase two those
-    that don't reach t / lists. Vectors without any structure leave nothing to pass over, so their lists are scored in both
-    phases, the other lists for entries alone. Blocks of queries visit blocks of candidates, which stay where they lie.
-    Of candidates with one vector, the k + 1 smallest ids suffice.
+    that don't reach t / lists. Phase one also tells how high the scores of a block of queries can be in each group of
+    candidate blocks at all, so that in phase two queries move only to groups that may hold what they need. A task builds
+    the blocks of its group once, and blocks of queries pass by. Vectors without any structure leave nothing to pass over,
+    so their lists are scored in both phases, the other lists for entries alone. Of candidates with one vector, the k + 1
+    smallest ids suffice.
     """
     schema, best = "query_id long, vec_id long, score long", "row_number() over (partition by query_id order by score desc, vec_id)"
-    free = F.lit(None).cast("long").alias("cutoff")
-    distinct = candidates.dropDuplicates(["vec_id", "v"]).withColumn("copy", F.expr("row_number() over (partition by v order by vec_id)")).filter(F.col("copy") <= k + 1)
-    held = _blocks(distinct.select("vec_id", "v", free), CANDIDATE_BLOCK)
-    asked = stored(queries.dropDuplicates(["vec_id", "v"]).select("vec_id", "v"), "queries")
-    q_blocks = _blocks(asked.select("vec_id", "v", free), QUERY_BLOCK)
-    width = max([1, *(t.agg(F.max("width")).first()[0] or 1 for t in (held, q_blocks))])
+    spark = candidates.sparkSession
+    distinct = candidates.select("vec_id", "v").dropDuplicates(["vec_id", "v"]).withColumn("copy", F.expr("row_number() over (partition by v order by vec_id)")).filter(F.col("copy") <= k + 1)
+    held = packed(placed(_signed_order(distinct), "vectors"), CANDIDATE_BLOCK, "candidates")
+    asked = stored(placed(_signed_order(queries.select("vec_id", "v").dropDuplicates(["vec_id", "v"])), "queries"), "queries")
+    q_blocks = packed(asked, QUERY_BLOCK, "query-blocks")
+    n, width, per_group = blocks_of_a_group(held)
+    m, q_width, _ = blocks_of_a_group(q_blocks)
+    if not n or not m:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    width = max(width, q_width)
     edges = [width * i // lists for i in range(lists + 1)]
     slices = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
-    n = held.count()
-
-    def met(asking: DataFrame, phase) -> DataFrame:
-        """phase for each block of queries beside each block of candidates."""
-
-        def run(batches):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    q = Block(row["q_ids"], row["q_vectors"], row["q_width"], row["q_cutoffs"], slices)
-                    yield phase(q, Block(row["ids"], row["vectors"], row["width"], row["cutoffs"], slices))[0]
-
-        visiting = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "width", "cutoffs")])
-        return held.join(visiting, "block").mapInArrow(run, schema)
-
-    if not n:
-        return asked.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    with batches_of(asked.sparkSession, 4):
-        first = stored(met(q_blocks, lambda q, c: heads(q, c, k)), "heads").distinct()
+    build = lambda row: Block(row, slices)
+
+    def local(row, there):
+        q = Block(row["r"], slices)
+        highest = max(float(block.bounds(q, s).max(initial=-np.inf)) for block in there for s in range(len(slices)))
+        for block in there:
+            found = heads(q, block, k)[0]
+            yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(found.num_rows, pa.float64())], [*found.schema.names, "bound"])
+        yield pa.RecordBatch.from_arrays([pa.array([row["r"]["block"]]), pa.array([row["group"]]), pa.nulls(1, pa.int64()), pa.array([highest])], ["query_id", "vec_id", "score", "bound"])
+
+    def collect(row, there):
+        q = Block(row["r"], slices, {x["place"]: x["cutoff"] for x in row["extra"] or []})
+        for block in there:
+            yield entries(q, block)[0]
+
+    with batches_of(spark, 4):
+        everywhere = q_blocks.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((n - 1) // per_group).cast("long"))).alias("group"), F.lit(None).cast("int").alias("extra"))
+        told = stored(meetings(held, everywhere, f"{schema}, bound double", build, local, per_group), "heads")
+        first = told.filter("bound is null").drop("bound").distinct()
         cutoffs = first.withColumn("rank", F.expr(best)).filter(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
-        cut = asked.join(cutoffs, asked.vec_id == cutoffs.query_id, "left").select("vec_id", "v", "cutoff")
-        second = stored(met(_blocks(cut, QUERY_BLOCK), entries), "entries")
+        cut = asked.join(cutoffs, asked.vec_id == cutoffs.query_id, "left").select(F.floor(F.col("place") / QUERY_BLOCK).cast("long").alias("block"), "place", "cutoff")
+        extra = stored(cut.groupBy("block").agg(F.collect_list(F.when(F.col("cutoff").isNotNull(), F.struct("place", "cutoff"))).alias("extra"), F.min(F.coalesce("cutoff", F.lit(LEAST))).alias("least")), "cutoffs")
+        groups = told.filter("bound is not null").select(F.col("query_id").alias("block"), F.col("vec_id").alias("group"), "bound")
+        # a bound is rounded up by more than the share of a cutoff can be, as a double
+        near = groups.join(extra, "block").filter((F.col("least") == LEAST) | (F.col("bound") >= F.floor(F.col("least") / lists) - F.abs(F.col("least").cast("double")) * 1e-15 - 1))
+        second = stored(meetings(held, q_blocks.join(near.select("block", "group", "extra"), "block"), schema, build, collect, per_group), "entries")
     return second.withColumn("rank", F.expr(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

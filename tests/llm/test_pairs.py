@@ -266,7 +266,8 @@ def test_top_k(spark):
 
 def blocked(vectors, first_id, slices, cutoffs):
     v = np.array(vectors, np.int64)
-    return topk.Block(np.arange(first_id, first_id + len(v)).tobytes(), v.tobytes(), v.shape[1], cutoffs, slices)
+    row = {"ids": np.arange(first_id, first_id + len(v)).tobytes(), "places": np.arange(len(v)).tobytes(), "vectors": v.tobytes(), "kind": "<i8", "rows": len(v)}
+    return topk.Block(row, slices, dict(enumerate(cutoffs)))
 
 
 def test_clustered_vectors_spare_scores(monkeypatch):
@@ -291,6 +292,21 @@ def test_clustered_vectors_spare_scores(monkeypatch):
     assert got >= {(q, int(i)) for q in range(30) for i in np.argsort(-whole[q], kind="stable")[:5]}
 
 
+def test_queries_move_only_to_groups_that_may_hold_what_they_need(spark, monkeypatch):
+    """Clusters far apart: phase two asks few of the groups that phase one asked, and the result is that of brute force."""
+    for name, value in (("CANDIDATE_BLOCK", 32), ("QUERY_BLOCK", 8), ("BALL", 8)):
+        monkeypatch.setattr(topk, name, value)
+    rng, visits = np.random.default_rng(4), []
+    centres = rng.choice((-1, 1), size=(12, 16)) * 3000
+    rows = [(i, [int(x) for x in centres[i % 12] + rng.integers(-40, 40, 16)]) for i in range(480)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    plain = topk.meetings
+    monkeypatch.setattr(topk, "meetings", lambda held, asking, *rest: visits.append(asking.count()) or plain(held, asking, *rest))
+    got = topk.top_k(v.filter("vec_id % 5 = 0"), v, 4)
+    assert sorted(tuple(r) for r in got.collect()) == plain_top([r for r in rows if r[0] % 5 == 0], rows, 4)
+    assert visits[1] < visits[0] / 2
+
+
 def test_scores_beyond_longs_count_as_the_ends(spark):
     rows = [(0, [1e18, 1e18]), (1, [1e18, 1e18]), (2, [-1e18, -1e18]), (3, [0.0, 0.5]), (4, [0.0, 0.25])]
     v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
