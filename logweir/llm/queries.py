@@ -112,7 +112,8 @@ r AS (SELECT *, CASE
     WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
     WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN regexp_matches(host, '(^|[.-])(spam|spam-farm|cheap-pills|pills|casino|poker|viagra|ads|adserver|doubleclick|tracker|porn|xxx|warez|phishing|malware)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r
+    WHEN regexp_matches(host, '(^|[.-])(spam|spam-farm|linkfarm|clickbait|cashback|payday-loans|getrichquick|freegift|giveaway|cheap-pills|pills|viagra|cialis|levitra|tramadol|xanax|steroids|casino|casinos|poker|roulette|blackjack|slots|betting|bookmaker|jackpot|lottery|sportsbook|porn|porno|xxx|sex|sexcams|hentai|escorts|camgirls|adultdating|hookup|milf|ads|adserver|adservice|adsystem|adnetwork|doubleclick|popads|popunder|tracker|tracking|pixel|telemetry|beacon|affiliate|affiliates|warez|torrent|torrents|keygen|cracks|nulled|serialz|phishing|malware|ransomware|botnet|exploit|spyware|stealer|carding|fakelogin)([.-]|$)') THEN 'block'
+    WHEN regexp_matches(path, '(^|/)(wp-admin|wp-login\\.php|phpmyadmin|cpanel|administrator|login|signin|signup|register|cgi-bin|xmlrpc\\.php|feed|rss|trackback|cart|checkout|basket|wishlist|order-status|adclick|adserve|banner|banners|popunder|outgoing|redirect\\.php|goto\\.php)(/|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 
 

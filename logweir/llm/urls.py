@@ -40,9 +40,25 @@ def path_rule(verdict: str, part: str) -> Rule:
     return Rule(verdict, f"/{part}/", rf"\x00(?:[^\x00]*/)?{re.escape(part)}(?:/|$)", tuple(_TOKENS.findall(part)))
 
 
-# Words that hosts of spam and advertising carry.
-SPAM_WORDS = ("spam", "spam-farm", "cheap-pills", "pills", "casino", "poker", "viagra", "ads", "adserver", "doubleclick", "tracker", "porn", "xxx", "warez", "phishing", "malware")
-DEFAULT_RULES = tuple(word_rule("block", w) for w in SPAM_WORDS)
+#: Words of hosts, by what such hosts offer; rules of the method, beside those that a caller gives.
+# Labels that sites of these kinds put into their names (categories as public block lists have them).
+HOST_WORDS = {
+    "spam and unsolicited offers": "spam spam-farm linkfarm clickbait cashback payday-loans getrichquick freegift giveaway",
+    "medicine without prescription": "cheap-pills pills viagra cialis levitra tramadol xanax steroids",
+    "gambling": "casino casinos poker roulette blackjack slots betting bookmaker jackpot lottery sportsbook",
+    "adult": "porn porno xxx sex sexcams hentai escorts camgirls adultdating hookup milf",
+    "advertising and tracking": "ads adserver adservice adsystem adnetwork doubleclick popads popunder tracker tracking pixel telemetry beacon affiliate affiliates",
+    "unlicensed copies": "warez torrent torrents keygen cracks nulled serialz",
+    "fraud and attacks": "phishing malware ransomware botnet exploit spyware stealer carding fakelogin",
+}
+# Parts of paths that lead to no text worth reading.
+PATH_PARTS = {
+    "administration and sign-in": "wp-admin wp-login.php phpmyadmin cpanel administrator login signin signup register",
+    "programs and feeds": "cgi-bin xmlrpc.php feed rss trackback",
+    "shops and sessions": "cart checkout basket wishlist order-status",
+    "advertising and redirects": "adclick adserve banner banners popunder outgoing redirect.php goto.php",
+}
+DEFAULT_RULES = (*(word_rule("block", w) for words in HOST_WORDS.values() for w in words.split()), *(path_rule("block", x) for parts in PATH_PARTS.values() for x in parts.split()))
 
 
 def host_of(url: Column) -> Column:

@@ -277,7 +277,7 @@ def test_digests_of_no_spans(spark):
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
-URLS = ["https://A.Example.NET/en/x?q#f", "http://net", "http://net/", "http://x.net?y", "http://notnet/", "http://example.com/de/1", "http://example.com/de", "http://sub.org/fr/#x", "http://spam-farm.example.org/en/", "http://spamfarm.example.org/", "no scheme", None, "", "://", "ftp://h.É.net/p", "http://a.net/ http://b.org/fr/", "x://net:80/"]
+URLS = ["https://A.Example.NET/en/x?q#f", "http://net", "http://net/", "http://x.net?y", "http://notnet/", "http://example.com/de/1", "http://example.com/de", "http://sub.org/fr/#x", "http://spam-farm.example.org/en/", "http://spamfarm.example.org/", "no scheme", None, "", "://", "ftp://h.É.net/p", "http://a.net/ http://b.org/fr/", "x://net:80/", "http://my-casino.shop/x", "http://mycasino.shop/x", "http://a.b/wp-login.php", "http://a.b/wp-loginxphp", "http://a.b/x/Cart/", "http://a.b/x/cart/y?z", "http://cart.b/feedback", "http://a.b/feed"]
 
 
 def plain_judge(url):
@@ -287,7 +287,8 @@ def plain_judge(url):
     host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
     fits = [(h + p, v) for v, h, p in (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")) if (host == h or host.endswith("." + h)) and path.startswith(p)]
     rule = max(fits, key=lambda x: len(x[0]), default=(None, None))
-    spam = re.search(r"(^|[.-])(" + "|".join(urls.SPAM_WORDS) + r")([.-]|$)", host)
+    spam = any(re.search(rf"(^|[.-]){re.escape(w)}([.-]|$)", host) for words in urls.HOST_WORDS.values() for w in words.split())
+    spam = spam or any(x in path.split("/") for parts in urls.PATH_PARTS.values() for x in parts.split())
     return host, path, rule[0], rule[1] or ("block" if spam else "allow")
 
 
@@ -337,9 +338,12 @@ def test_redaction_of_many_spans(spark):
 
 
 def test_overlaps_are_redacted_once(spark):
-    for text in ("", "x", "1.2.3.4@b.cd", "+1.2.3.4 5 6 7 8 9", "a@1.2.3.4 4111-1111-1111-1111@x.yz"):
-        found, at, want = pii.spans(docs(spark, [(0, text)])).first().pii, 0, ""
-        for s in found:
+    texts = ["", "x", "1.2.3.4@b.cd", "+1.2.3.4 5 6 7 8 9", "a@1.2.3.4 4111-1111-1111-1111@x.yz"]
+    rows = docs(spark, list(enumerate(texts)))
+    red = {r.doc_id: r.text for r in pii.redact(rows).collect()}
+    for r in pii.spans(rows).collect():
+        at, want = 0, ""
+        for s in r.pii:
             if s.start >= at:
-                want, at = f"{want}{text[at : s.start]}<{s.kind}>", s.end
-        assert pii.redact(docs(spark, [(0, text)])).first().text == want + text[at:]
+                want, at = f"{want}{r.text[at : s.start]}<{s.kind}>", s.end
+        assert red[r.doc_id] == want + r.text[at:]
