@@ -58,16 +58,18 @@ def sums_before(df: DataFrame, keys: list[str], order: list[str], values: list[s
     """Adds {name}_{value} for each value: its sum over the rows of the same keys that stand before, where a key may hold most
     of all rows.
 
-    Rows are dealt by range over (keys, order); a range sums its own, and a table with a row for each range and key carries
-    the offsets. A window over the key alone would put a hot key in one task. The order must be total within keys."""
+    Rows are dealt by range over (keys, order); a range sums its own. Only the first key of a range can have been in an
+    earlier one, so the offsets are a row for each range at most, and are broadcast. A window over the key alone would put a
+    hot key in one task. The order must be total within keys."""
     r = ranged(df, keys, order)
     own = Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, -1)
     local = r.withColumns({f"{name}_{v}": F.coalesce(F.sum(v).over(own), F.lit(0)) for v in values})
     span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = r.groupBy("__pid", *keys).agg(*[F.sum(v).alias(f"__{v}") for v in values])
-    offsets = offsets.select("__pid", *keys, *[F.coalesce(F.sum(f"__{v}").over(span), F.lit(0)).alias(f"__{v}") for v in values])
-    met = local.alias("a").join(offsets.alias("b"), _same("a", "b", keys))
-    return met.select(*[F.col(f"a.{c}") for c in df.columns], *[(F.col(f"a.{name}_{v}") + F.col(f"b.__{v}")).alias(f"{name}_{v}") for v in values])
+    offsets = offsets.select("__pid", *keys, *[F.sum(f"__{v}").over(span).alias(f"__{v}") for v in values])
+    offsets = offsets.filter(F.coalesce(*[F.col(f"__{v}") for v in values]).isNotNull())  # null where nothing stands before
+    met = local.alias("a").join(F.broadcast(offsets).alias("b"), _same("a", "b", keys), "left")
+    return met.select(*[F.col(f"a.{c}") for c in df.columns], *[(F.col(f"a.{name}_{v}") + F.coalesce(F.col(f"b.__{v}"), F.lit(0))).alias(f"{name}_{v}") for v in values])
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
