@@ -64,6 +64,23 @@ def test_features_equal_a_naive_matcher():
     assert time.time() - began < 5
 
 
+def test_rows_score_as_the_naive_matcher_says(spark):
+    """Repeated ids, rows alike, null ids and a text of very many matches, each by the weights of its own features."""
+    import math
+
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " iow": 4.0, " bad": 1.0}, ["bad idiot"], (-4.0, 0.8, 0.2))
+    texts = ["an idiot", "an idiot", "good", "bad idiot and 1d10t", "idiot bad " * 3000, "bad idiot " * 3000, None, "lower " * 2000]
+    rows = [(i // 2, t) for i, t in enumerate(texts)] + [(None, "idiot"), (None, "idiot"), (0, "fine")]
+    got = sorted((str(r.doc_id), r.text or "", r.score) for r in toxicity.toxicity(docs(spark, rows), lexicon, out="score").collect())
+    bias, a, b = lexicon.calibration
+
+    def wanted(text):
+        total, dense = plain_features(lexicon, text)
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, bias + a * math.log1p(total) + b * math.log1p(dense)))))
+
+    assert got == [(i, t, pytest.approx(wanted(t), abs=1e-9)) for i, t in sorted((str(i), t or "") for i, t in rows)]
+
+
 def test_learning_and_scoring(spark):
     rng = random.Random(0)
     words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "mnprst"]
