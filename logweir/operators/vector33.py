@@ -57,6 +57,7 @@ def interaction(records: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> D
     epochs, which are small."""
     held = frames.numbered(records.withColumn("src", source_key(F.col("orig_h"))), ["src"], list(order), "__rn")
     held = held.withColumn("epoch", F.floor((F.col("__rn") - 1) / FLOWS_PER_EPOCH)).withColumn("flow_count", (F.col("__rn") - 1) % FLOWS_PER_EPOCH + 1)
+    held = held.repartition("src", "epoch")  # serves all windows that follow, also those over a port within an epoch
     first = F.row_number().over(Window.partitionBy("src", "epoch", "resp_p").orderBy(*order)) == 1
     so_far = Window.partitionBy("src", "epoch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return held.withColumn("__first", F.when(first, 1).otherwise(0)).withColumn("distinct_ports", F.sum("__first").over(so_far)).withColumn("port_ratio", F.col("distinct_ports") / F.col("flow_count")).drop("__first", "__rn")
