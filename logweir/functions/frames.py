@@ -54,6 +54,17 @@ def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return stored(df.repartitionByRange(*_first(keys + order)).withColumn("__pid", F.spark_partition_id()), "ranges")
 
 
+def _ranges(base: DataFrame) -> int:
+    """How many ranges there are in what ranged() gave."""
+    return (base.agg(F.max("__pid")).first()[0] or 0) + 1
+
+
+def _apart(rows: DataFrame, ranges: int) -> DataFrame:
+    """rows with each range in a task of its own. By the hash of __pid some tasks would get several ranges, in large tables
+    half a dozen, and a third of the tasks none."""
+    return rows.repartitionById(ranges, F.col("__pid"))
+
+
 def sums_before(df: DataFrame, keys: list[str], order: list[str], values: list[str], name: str = "before") -> DataFrame:
     """Adds {name}_{value} for each value: its sum over the rows of the same keys that stand before, where a key may hold most
     of all rows.
@@ -107,7 +118,7 @@ def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str]
     carried = counted.withColumn("__more", F.least(F.coalesce(before, F.lit(0)), F.lit(most))).filter("__more > 0")
     carried = carried.select("__pid", *columns, F.lit(False).alias("__own"), *[F.when(F.col("__i") == i, F.col("__more")).otherwise(0).alias(f"__w{i}") for i in range(len(once))])
     own = rows.withColumns({"__own": F.lit(True), **{f"__w{i}": F.lit(1).cast("long") for i in range(len(once))}})
-    held = own.unionByName(carried, allowMissingColumns=True).repartition("__pid")  # carried rows have no order: they come first
+    held = _apart(own.unionByName(carried, allowMissingColumns=True), _ranges(base))  # carried rows have no order: they come first
     upto = {name: F.sum(f"__w{i}").over(Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, 0)) for i, (name, keys) in enumerate(once.items())}
     held = held.withColumns({name: F.least(n, F.lit(most)) for name, n in upto.items()}).filter("__own").drop("__own", *[f"__w{i}" for i in range(len(once))])
     return held.withColumns({name: F.col(names[frozenset(keys)][0]) for name, keys in counters.items() if name not in once})
@@ -120,11 +131,12 @@ def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str)
     Ranges work on their own rows; the row before a range's first is carried from earlier ones. Only the first valid gaps of
     a range that goes on with a key need gaps of earlier ranges: their frames are worked out once more, from the few gaps on
     either side of where ranges meet. What is carried or worked out so is a few rows for each range, and is broadcast."""
+    ranges = _ranges(rows)
     own, spans = Window.partitionBy("__pid", key).orderBy(*order), Window.partitionBy(key).orderBy("__pid")
     last = rows.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(spans)).filter("__carried is not null").drop("__us")
 
     def with_gaps(these: DataFrame) -> DataFrame:
-        met = these.repartition("__pid").alias("a").join(F.broadcast(last).alias("b"), _same("a", "b", [key]), "left").select(*[F.col(f"a.{c}") for c in these.columns], "__carried")
+        met = _apart(these, ranges).alias("a").join(F.broadcast(last).alias("b"), _same("a", "b", [key]), "left").select(*[F.col(f"a.{c}") for c in these.columns], "__carried")
         before = F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own))
         valid = F.sum(F.when(F.col("__gap").isNotNull(), 1).otherwise(0)).over(own.rowsBetween(Window.unboundedPreceding, 0))
         return met.withColumn("__gap", valid_gap(F.col("us"), before)).withColumn("__nth", valid).drop("__carried")

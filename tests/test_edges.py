@@ -184,7 +184,10 @@ def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
         if r.g_gap is not None:
             assert r.g_mean == pytest.approx(p.g_mean) and r.g_std == pytest.approx(p.g_std, abs=1e-9)
     counters = {"a": ["src", "k"], "b": ["src"], "c": ["k", "src"]}
-    counts = frames.hot_counts(ranged, counters, ["us", "seq"], 100).collect()
+    counted = frames.hot_counts(ranged, counters, ["us", "seq"], 100)
+    tasks = counted.select("__pid", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == len({r.task for r in tasks}) == len({r["__pid"] for r in tasks})  # a task for each range
+    counts = counted.collect()
     seen = {}
     for r in sorted(counts, key=lambda r: (r.us, r.seq)):
         for name, keys in counters.items():
