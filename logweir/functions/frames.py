@@ -96,70 +96,96 @@ def _going_on(rows: DataFrame, key: str) -> DataFrame:
     return pairs.withColumn("__nth", F.row_number().over(Window.partitionBy(key).orderBy("__pid"))).filter("__nth > 1").drop("__nth")
 
 
-def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int, base: DataFrame | None = None) -> DataFrame:
+def hot_counts(rows: DataFrame, counters: dict[str, list[str]], order: list[str], most: int) -> DataFrame:
     """Adds for each counter the number of rows of its keys so far, this one included, at most `most`. rows: what ranged()
-    gives over the first of each counter's keys, or rows made from that (base, which has the keys too). Counters of the same
-    keys are counted once.
+    gives over the first of each counter's keys. Counters of the same keys are counted once. The result lies in tasks by __pid.
 
     Ranges count their own rows. What earlier ranges counted of keys that a range has too comes into it as rows of that
     weight, ahead of its own, so that full rows are dealt once and never joined."""
-    base = rows if base is None else base
     names = {}
     for name, keys in counters.items():
         names.setdefault(frozenset(keys), (name, list(dict.fromkeys(keys))))
     once, lead = dict(names.values()), next(iter(counters.values()))[0]
     columns = list(dict.fromkeys(k for keys in once.values() for k in keys))
-    kinds = dict(base.dtypes)
-    hot = _going_on(base, lead).select(F.col(lead).alias("__lead")).distinct()
-    some = base.join(F.broadcast(hot), F.col(lead).eqNullSafe(F.col("__lead")), "left_semi")
+    kinds = dict(rows.dtypes)
+    hot = _going_on(rows, lead).select(F.col(lead).alias("__lead")).distinct()
+    some = rows.join(F.broadcast(hot), F.col(lead).eqNullSafe(F.col("__lead")), "left_semi")
     each = [F.struct(F.lit(i).alias("__i"), *[(F.col(k) if k in keys else F.lit(None).cast(kinds[k])).alias(k) for k in columns]) for i, keys in enumerate(once.values())]
     counted = some.select("__pid", F.explode(F.array(*each)).alias("e")).select("__pid", "e.*").groupBy("__pid", "__i", *columns).agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("__i", *columns).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
     carried = counted.withColumn("__more", F.least(F.coalesce(before, F.lit(0)), F.lit(most))).filter("__more > 0")
     carried = carried.select("__pid", *columns, F.lit(False).alias("__own"), *[F.when(F.col("__i") == i, F.col("__more")).otherwise(0).alias(f"__w{i}") for i in range(len(once))])
     own = rows.withColumns({"__own": F.lit(True), **{f"__w{i}": F.lit(1).cast("long") for i in range(len(once))}})
-    held = _apart(own.unionByName(carried, allowMissingColumns=True), _ranges(base))  # carried rows have no order: they come first
+    held = _apart(own.unionByName(carried, allowMissingColumns=True), _ranges(rows))  # carried rows have no order: they come first
     upto = {name: F.sum(f"__w{i}").over(Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, 0)) for i, (name, keys) in enumerate(once.items())}
     held = held.withColumns({name: F.least(n, F.lit(most)) for name, n in upto.items()}).filter("__own").drop("__own", *[f"__w{i}" for i in range(len(once))])
     return held.withColumns({name: F.col(names[frozenset(keys)][0]) for name, keys in counters.items() if name not in once})
 
 
-def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str) -> DataFrame:
+def _gaps_carried(rows: DataFrame, key: str, order: list[str], gaps: int) -> DataFrame:
+    """__pid, key, us, tails where a range goes on with a key: the time of the key's last row in an earlier range, and mean and
+    population variance of the last 1, 2, ... (at most gaps - 1) valid gaps that earlier ranges hold, null where none do or
+    the range itself has no valid gap. Stored: a row for each range at most.
+
+    Only rows of keys that several ranges share are looked at, without their other columns. Each range gives the end of its
+    gaps. Ranges without any are left out, so the gaps - 1 ranges before one have all the gaps that its first rows need."""
+    slim = rows.select("__pid", key, *dict.fromkeys(["us", *order]))
+    hot = _going_on(rows, key).select(F.col(key).alias("__key")).distinct()
+    some = slim.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    own, spans = Window.partitionBy("__pid", key), Window.partitionBy(key).orderBy("__pid")
+    last = some.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(spans)).filter("__carried is not null").drop("__us")
+    last = stored(last, "last-times")
+    gap = _gap_of(own.orderBy(*order))
+    valid = _met(_apart(some, _ranges(rows)), last, key).withColumn("__gap", gap).filter("__gap is not null")
+    ends = valid.withColumn("__back", F.row_number().over(own.orderBy(*[F.desc(o) for o in order]))).filter(F.col("__back") < gaps)
+    ends = ends.groupBy("__pid", key).agg(F.transform(F.sort_array(F.collect_list(F.struct("__back", "__gap"))), lambda e: e["__gap"].cast("double")).alias("__ends"))
+    # newest first: the ends of the range just before, then of the one before that
+    before = F.flatten(F.reverse(F.collect_list("__ends").over(spans.rowsBetween(-(gaps - 1), -1))))
+    newest = ends.withColumn("__newest", F.slice(before, 1, gaps - 1)).filter("size(__newest) > 0").drop("__ends")
+    part = lambda k: F.slice("__newest", 1, k)
+    mean = lambda k: F.aggregate(part(k), F.lit(0.0), lambda x, g: x + g) / k
+    with_mean = F.transform(F.sequence(F.lit(1), F.size("__newest")), lambda k: F.struct(k.alias("n"), mean(k).alias("mean")))
+    tails = F.transform(with_mean, lambda t: F.struct(t["mean"].alias("mean"), (F.aggregate(part(t["n"]), F.lit(0.0), lambda x, g: x + (g - t["mean"]) * (g - t["mean"])) / t["n"]).alias("var")))
+    newest = newest.select("__pid", key, tails.alias("__tails"))
+    met = last.alias("a").join(newest.alias("b"), _same("a", "b", [key]), "left")
+    return stored(met.select("a.*", "b.__tails"), "gaps-carried")
+
+
+def _met(rows: DataFrame, carried: DataFrame, key: str) -> DataFrame:
+    """rows with what is carried into their range for their key."""
+    return rows.alias("a").join(F.broadcast(carried.alias("b")), _same("a", "b", [key]), "left").select("a.*", *[F.col(f"b.{c}") for c in carried.columns if c not in ("__pid", key)])
+
+
+def _gap_of(own) -> Column:
+    """The valid gap before the row, where __carried is the time before a range's first row of the key."""
+    return valid_gap(F.col("us"), F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own)))
+
+
+def hot_gaps(rows: DataFrame, key: str, order: list[str], gaps: int, name: str, dealt: DataFrame | None = None) -> DataFrame:
     """What last_gaps() adds, but mean and deviation only in rows whose gap is valid; a key may hold most of all rows. rows:
-    what ranged() gives over the key.
-
-    Ranges work on their own rows; the row before a range's first is carried from earlier ones. Only the first valid gaps of
-    a range that goes on with a key need gaps of earlier ranges: their frames are worked out once more, from the few gaps on
-    either side of where ranges meet. What is carried or worked out so is a few rows for each range, and is broadcast."""
-    ranges = _ranges(rows)
-    own, spans = Window.partitionBy("__pid", key).orderBy(*order), Window.partitionBy(key).orderBy("__pid")
-    last = rows.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(spans)).filter("__carried is not null").drop("__us")
-
-    def with_gaps(these: DataFrame) -> DataFrame:
-        met = _apart(these, ranges).alias("a").join(F.broadcast(last).alias("b"), _same("a", "b", [key]), "left").select(*[F.col(f"a.{c}") for c in these.columns], "__carried")
-        before = F.when(F.row_number().over(own) == 1, F.col("__carried")).otherwise(F.lag("us").over(own))
-        valid = F.sum(F.when(F.col("__gap").isNotNull(), 1).otherwise(0)).over(own.rowsBetween(Window.unboundedPreceding, 0))
-        return met.withColumn("__gap", valid_gap(F.col("us"), before)).withColumn("__nth", valid).drop("__carried")
-
-    # of valid gaps alone: how many ranges held before, and those near where ranges meet
-    slim = with_gaps(rows.select("__pid", key, *dict.fromkeys(["us", *order]))).filter("__gap is not null").select("__pid", key, "__nth", "__gap")
-    slim = stored(slim, "gaps")
-    held = slim.groupBy("__pid", key).agg(F.max("__nth").alias("__n"))
-    starts = held.withColumn("__start", F.sum("__n").over(spans.rowsBetween(Window.unboundedPreceding, -1))).filter("__start > 0").drop("__n")
-    starts = stored(starts, "starts")
-    placed = slim.alias("a").join(F.broadcast(starts).alias("b"), _same("a", "b", [key]), "left").select("a.*", (F.col("a.__nth") + F.coalesce("b.__start", F.lit(0))).alias("__at"))
-    bucket = lambda x: F.floor(x / gaps)
-    wanted = starts.select(F.col("__pid").alias("__for"), F.col(key).alias("__of"), "__start", F.explode(F.sequence(bucket(F.greatest(F.col("__start") - gaps, F.lit(0))), bucket(F.col("__start") + gaps))).alias("__bucket"))
-    near = placed.join(F.broadcast(wanted), F.col(key).eqNullSafe(F.col("__of")) & (bucket(F.col("__at")) == F.col("__bucket")) & (F.col("__at") > F.col("__start") - gaps) & (F.col("__at") < F.col("__start") + gaps))
-    over = Window.partitionBy("__for", "__of").orderBy("__at").rowsBetween(-(gaps - 1), 0)
-    mended = near.withColumns({"__mean": F.avg("__gap").over(over), "__std": F.stddev_pop("__gap").over(over)}).filter("__pid = __for").select("__pid", key, F.col("__nth").alias("__m"), "__mean", "__std")
-
+    what ranged() gives over the key. dealt: those rows with more columns, if they lie in tasks by __pid already, as
+    hot_counts() leaves them; they aren't shuffled again.
+
+    Ranges work on their own rows. Into a range that goes on with a key come the time before its first row and mean and
+    variance of the gaps that earlier ranges end with (_gaps_carried), a row for each range at most, which is broadcast. The
+    range's first valid gaps, whose frames reach back, add those to their own by count."""
+    carried = _gaps_carried(rows, key, order, gaps)
+    these = _apart(rows, _ranges(rows)) if dealt is None else dealt
+    own = Window.partitionBy("__pid", key).orderBy(*order)
+    met = _met(these, carried, key).withColumn("__gap", _gap_of(own))
+    met = met.withColumn("__nth", F.sum(F.when(F.col("__gap").isNotNull(), 1).otherwise(0)).over(own.rowsBetween(Window.unboundedPreceding, 0)))
     frame = Window.partitionBy("__pid", key).orderBy("__nth").rangeBetween(-(gaps - 1), 0)
-    full = with_gaps(rows).withColumns({"__own_mean": F.avg("__gap").over(frame), "__own_std": F.stddev_pop("__gap").over(frame)})
-    on = _same("a", "b", [key]) & (F.col("a.__nth") == F.col("b.__m")) & F.col("a.__gap").isNotNull()
-    met = full.alias("a").join(F.broadcast(mended).alias("b"), on, "left")
-    mine = lambda kind: F.when(F.col("a.__gap").isNotNull(), F.coalesce(f"b.__{kind}", f"a.__own_{kind}")) / 1e6
-    return met.select(*[F.col(f"a.{c}") for c in rows.columns], mine("mean").alias(f"{name}_mean"), mine("std").alias(f"{name}_std"), (F.col("a.__gap") / 1e6).alias(f"{name}_gap"))
+    met = met.withColumns({"__own_mean": F.avg("__gap").over(frame), "__own_std": F.stddev_pop("__gap").over(frame)})
+    n = F.col("__nth")
+    k = F.least(gaps - n, F.size("__tails"))
+    tail = F.get("__tails", (k - 1).cast("int"))
+    apart = F.col("__own_mean") - tail["mean"]
+    both = (F.col("__own_std") * F.col("__own_std") * n + tail["var"] * k + apart * apart * n * k / (n + k)) / (n + k)
+    reaches = (n < gaps) & F.col("__tails").isNotNull()
+    valid = F.col("__gap").isNotNull()
+    mean = F.when(valid & reaches, (F.col("__own_mean") * n + tail["mean"] * k) / (n + k)).when(valid, F.col("__own_mean"))
+    std = F.when(valid & reaches, F.sqrt(both)).when(valid, F.col("__own_std"))
+    return met.select(*these.columns, (mean / 1e6).alias(f"{name}_mean"), (std / 1e6).alias(f"{name}_std"), (F.col("__gap") / 1e6).alias(f"{name}_gap"))
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float]:

@@ -42,8 +42,8 @@ def history_acks(history: Column) -> list[Column]:
     return [F.length(F.regexp_replace(h, f"[^{letters}]", "")).cast("double") for letters in ("SA", "AD")]
 
 
-def _iat50(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    held = frames.hot_gaps(rows, "src", list(order), GAPS, "iat")
+def _iat50(rows: DataFrame, order: tuple[str, ...], dealt: DataFrame | None = None) -> DataFrame:
+    held = frames.hot_gaps(rows, "src", list(order), GAPS, "iat", dealt)
     valid = F.col("iat_gap").isNotNull() & (F.coalesce(F.col("orig_h"), F.lit("")) != "")
     dur = F.greatest(S.number(F.col("duration")), F.lit(0.001))
     return held.withColumn("sinpkt", F.when(valid, F.col("iat_mean")).otherwise(dur)).withColumn("dinpkt", F.when(valid, F.col("iat_std")).otherwise(0.0)).drop("iat_mean", "iat_std", "iat_gap")
@@ -122,8 +122,8 @@ def _features(jitter: Column | None, http: dict[str, Column] | None, ftp: Column
 def unsw_conn42(conns: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
     """conns with the 42 features; counters and gaps belong to the source (missing: 'unknown')."""
     held = conns.withColumn("src", F.coalesce(F.nullif(F.col("orig_h"), F.lit("")), F.lit("unknown")))
-    rows = frames.ranged(held, ["src"], list(order))  # once, for gaps and counters
-    held = frames.hot_counts(_iat50(rows, order), _keys("src"), list(order), MOST, rows)
+    rows = frames.ranged(held, ["src"], list(order))  # once, for gaps and counters, and dealt once for both
+    held = _iat50(rows, order, frames.hot_counts(rows, _keys("src"), list(order), MOST))
     return held.withColumn(out, F.array(*_features(None, None, None))).drop(*COUNTERS, "sinpkt", "dinpkt", "__pid")
 
 

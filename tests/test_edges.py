@@ -162,6 +162,12 @@ def test_the_entry_point_gives_the_flagship(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def _exchanges(df):
+    """Shuffles by key in the plan, broadcasts left out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange " in line and "BroadcastExchange" not in line for line in plan.splitlines())
+
+
 def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
     from logweir.functions import frames
 
@@ -176,15 +182,21 @@ def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
     ranged = frames.ranged(rows, ["src"], ["us", "seq"])
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert ranged.select("__pid").distinct().count() > 2
-    got = frames.hot_gaps(ranged, "src", ["us", "seq"], 50, "g").collect()
-    assert len(got) == 899 and sum(r.g_gap is not None for r in got) > 300
-    for r in got:
-        p = plain[r.seq]
-        assert r.g_gap == p.g_gap
-        if r.g_gap is not None:
-            assert r.g_mean == pytest.approx(p.g_mean) and r.g_std == pytest.approx(p.g_std, abs=1e-9)
     counters = {"a": ["src", "k"], "b": ["src"], "c": ["k", "src"]}
-    counted = frames.hot_counts(ranged, counters, ["us", "seq"], 100)
+    with_counts = frames.hot_counts(ranged, counters, ["us", "seq"], 100)
+    after_counts = frames.hot_gaps(ranged, "src", ["us", "seq"], 50, "g", with_counts)
+    assert _exchanges(after_counts) == _exchanges(with_counts)  # full rows are dealt once for both
+    many = ranged.drop("__pid").repartitionByRange(60, "src", "us", "seq").withColumn("__pid", F.spark_partition_id())
+    many = frames.stored(many, "many")  # few gaps in each range, so frames reach over several
+    for got in (frames.hot_gaps(ranged, "src", ["us", "seq"], 50, "g"), after_counts, frames.hot_gaps(many, "src", ["us", "seq"], 50, "g")):
+        got = got.collect()
+        assert len(got) == 899 and sum(r.g_gap is not None for r in got) > 300
+        for r in got:
+            p = plain[r.seq]
+            assert r.g_gap == p.g_gap
+            if r.g_gap is not None:
+                assert r.g_mean == pytest.approx(p.g_mean) and r.g_std == pytest.approx(p.g_std, abs=1e-9)
+    counted = with_counts
     tasks = counted.select("__pid", F.spark_partition_id().alias("task")).distinct().collect()
     assert len(tasks) == len({r.task for r in tasks}) == len({r["__pid"] for r in tasks})  # a task for each range
     counts = counted.collect()
