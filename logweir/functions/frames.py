@@ -134,7 +134,6 @@ def _gaps_carried(rows: DataFrame, key: str, order: list[str], gaps: int) -> Dat
     some = slim.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left_semi")
     own, spans = Window.partitionBy("__pid", key), Window.partitionBy(key).orderBy("__pid")
     last = some.groupBy("__pid", key).agg(F.max_by("us", F.struct(*order)).alias("__us")).withColumn("__carried", F.lag("__us").over(spans)).filter("__carried is not null").drop("__us")
-    last = stored(last, "last-times")
     gap = _gap_of(own.orderBy(*order))
     valid = _met(_apart(some, _ranges(rows)), last, key).withColumn("__gap", gap).filter("__gap is not null")
     ends = valid.withColumn("__back", F.row_number().over(own.orderBy(*[F.desc(o) for o in order]))).filter(F.col("__back") < gaps)
