@@ -9,6 +9,8 @@ from ..sources.scratch import stored
 
 #: Gaps of an hour and more aren't gaps within one activity.
 LONGEST_GAP_US = 3_600_000_000
+#: Stored bytes of input for a range at most, if what a table is made from has a known size.
+RANGE_BYTES = 512 << 20
 
 
 def valid_gap(us: Column, before: Column) -> Column:
@@ -49,9 +51,25 @@ def _same(a: str, b: str, names: list[str]) -> Column:
     return on
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Stored bytes of the files and local rows that df is made from, as the optimizer knows them; without those of unknown
+    size, such as a stream's micro-batch. A sum over leaves, for estimates above a join are products."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 62)  # an unknown size counts as the greatest long
+
+
+def by_range(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """df dealt by range of the columns: as many ranges as shuffles have partitions, or more where that many would hold more
+    than RANGE_BYTES of input each. The first number may shrink at run time, the second stands."""
+    wanted = -(-input_bytes(df) // RANGE_BYTES)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(wanted, *columns) if wanted > usual else df.repartitionByRange(*columns)
+
+
 def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """df with __pid, its range of (keys, order), stored: a range partitioner samples anew in each job."""
-    return stored(df.repartitionByRange(*_first(keys + order)).withColumn("__pid", F.spark_partition_id()), "ranges")
+    return stored(by_range(df, _first(keys + order)).withColumn("__pid", F.spark_partition_id()), "ranges")
 
 
 def _ranges(base: DataFrame) -> int:
@@ -74,7 +92,7 @@ def sums_before(df: DataFrame, keys: list[str], order: list[str], values: list[s
     hot key in one task. The order must be total within keys."""
     r = ranged(df, keys, order)
     own = Window.partitionBy("__pid", *keys).orderBy(*_first(order)).rowsBetween(Window.unboundedPreceding, -1)
-    local = r.withColumns({f"{name}_{v}": F.coalesce(F.sum(v).over(own), F.lit(0)) for v in values})
+    local = _apart(r, _ranges(r)).withColumns({f"{name}_{v}": F.coalesce(F.sum(v).over(own), F.lit(0)) for v in values})
     span = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if keys else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = r.groupBy("__pid", *keys).agg(*[F.sum(v).alias(f"__{v}") for v in values])
     offsets = offsets.select("__pid", *keys, *[F.sum(f"__{v}").over(span).alias(f"__{v}") for v in values])

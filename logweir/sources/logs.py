@@ -109,7 +109,7 @@ def export_topics(records: DataFrame, folder: str, most: int | None = None, dedu
     rows = dedup_keep_first(records.select("topic", "value", order)) if dedup else records
     if most is not None:
         rows = frames.numbered(rows.select("topic", "value", order), ["topic"], [order], "__n").filter(F.col("__n") <= most)
-    rows.repartitionByRange("topic", order).sortWithinPartitions("topic", order).select("topic", "value").write.mode("overwrite").partitionBy("topic").text(folder)
+    frames.by_range(rows, [F.col("topic"), F.col(order)]).sortWithinPartitions("topic", order).select("topic", "value").write.mode("overwrite").partitionBy("topic").text(folder)
 
 
 class BatchFiles:

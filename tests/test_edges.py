@@ -208,6 +208,26 @@ def test_a_hot_source_in_ranges_counts_as_in_one_task(spark, monkeypatch):
             assert r[name] == min(seen[at], 100)
 
 
+def test_ranges_grow_with_the_bytes_of_the_input(spark, monkeypatch):
+    from logweir.functions import frames
+
+    rows = frames.stored(spark.range(20_000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("src")), "t")
+    size = frames.input_bytes(rows)
+    assert 0 < size < 1 << 20
+    twice = rows.join(rows.withColumnRenamed("src", "other"), "seq")
+    assert frames.input_bytes(twice) == 2 * size  # not their product
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert frames.ranged(rows, ["src"], ["seq"]).select("__pid").distinct().count() <= usual
+    monkeypatch.setattr(frames, "RANGE_BYTES", size // (3 * usual))
+    ranged = frames.ranged(rows, ["src"], ["seq"])
+    assert 2 * usual < ranged.select("__pid").distinct().count() <= 4 * usual
+    got = frames.numbered(rows, ["src"], ["seq"], "n")
+    assert got.count() == 20_000 and got.filter("n <> seq div 3 + 1").count() == 0
+    unknown = spark.createDataFrame(rows.rdd)  # its size isn't known, so it has the usual number
+    assert frames.input_bytes(unknown) == 0
+    assert frames.ranged(unknown, ["src"], ["seq"]).select("__pid").distinct().count() <= usual
+
+
 def test_quantiles_and_normal_values_equal_plain_ones(spark):
     from statistics import NormalDist
 
