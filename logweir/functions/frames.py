@@ -9,8 +9,9 @@ from ..sources.scratch import stored
 
 #: Gaps of an hour and more aren't gaps within one activity.
 LONGEST_GAP_US = 3_600_000_000
-#: Stored bytes of input for a range at most, if what a table is made from has a known size.
-RANGE_BYTES = 512 << 20
+#: Stored bytes of input for a range at most, if what a table is made from has a known size: a few hundred thousand rows, which
+#: a task sorts in several orders at once.
+RANGE_BYTES = 2 << 20
 
 
 def valid_gap(us: Column, before: Column) -> Column:
@@ -60,11 +61,14 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def by_range(df: DataFrame, columns: list[Column]) -> DataFrame:
-    """df dealt by range of the columns: as many ranges as shuffles have partitions, or more where that many would hold more
-    than RANGE_BYTES of input each. The first number may shrink at run time, the second stands."""
+    """df dealt by range of the columns. Input that fits one range of RANGE_BYTES is dealt as shuffles are, and their partitions
+    may be merged at run time. More has a number that stands: of ranges of at most RANGE_BYTES, and no fewer than keep the
+    cores busy. Merged at run time, ranges would grow with the table, for compressed bytes say little of rows."""
     wanted = -(-input_bytes(df) // RANGE_BYTES)
+    if wanted <= 1:
+        return df.repartitionByRange(*columns)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(wanted, *columns) if wanted > usual else df.repartitionByRange(*columns)
+    return df.repartitionByRange(max(wanted, min(usual, 2 * df.sparkSession.sparkContext.defaultParallelism)), *columns)
 
 
 def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -58,3 +58,21 @@ def test_models_see_equal_rows_once(spark):
         p = attack.predict_attack(model, odd, ["a", "b"])
         assert p.columns == ["a", "b", "side", "probabilities"]
         assert all((r.probabilities[1] > 0.5) == r.side and sum(r.probabilities) == pytest.approx(1) for r in p.collect())
+
+
+def test_ranges_hold_a_bounded_part_of_the_input(spark, tmp_path, monkeypatch):
+    from logweir.functions import frames
+    from logweir.streaming import stateful
+
+    rows = frames.stored(spark.range(40_000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("src")), "t")
+    monkeypatch.setattr(frames, "RANGE_BYTES", frames.input_bytes(rows) // 3 + 1)
+    ranged = frames.ranged(rows, ["src"], ["seq"])  # adaptive execution would make one of what is as small as this
+    assert sorted(r["count"] > 5_000 for r in ranged.groupBy("__pid").count().collect()) == [True] * 4
+    seen = []
+
+    def look(batch, number):
+        seen.append((frames.input_bytes(batch) > 0, frames.ranged(batch, ["src"], ["seq"]).select("__pid").distinct().count()))
+
+    rows.write.parquet(str(tmp_path / "in"))
+    stateful._start(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), look, str(tmp_path / "check"), True).awaitTermination(120)
+    assert seen == [(True, 4)]  # a micro-batch from files has a known size too
