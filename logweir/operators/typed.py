@@ -123,8 +123,11 @@ VECTORS = {"conn": (vec_conn41, 41), "ssl": (vec_ssl33, 33), "dns": (vec_dns38,
 
 
 def encode_dispatch(records: DataFrame, log_type: str, out: str = "features") -> DataFrame:
-    """records of one type (any case) with its vector; a record whose vector has a null drops. An unknown type gives no rows."""
+    """records of one type (any case) with its vector; a record whose vector has a null drops. An unknown type gives no rows.
+
+    The vector comes out of a generator, so that it is worked out once: a filter on a plain column would be pushed down with the
+    vector's whole expression in it."""
     kind = log_type.strip().lower()
     if kind not in VECTORS:
         return records.withColumn(out, F.lit(None).cast("array<double>")).limit(0)
-    return records.withColumn(out, VECTORS[kind][0]()).filter(~F.exists(out, lambda x: x.isNull()))
+    return records.withColumn(out, F.explode(F.array(VECTORS[kind][0]()))).filter(~F.exists(out, lambda x: x.isNull()))

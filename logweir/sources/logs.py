@@ -75,9 +75,10 @@ def typed(value: Column, log_type: str) -> Column:
 
 
 def typed_logs(records: DataFrame, log_type: str, column: str = "value") -> DataFrame:
-    """The fields as columns, dotted names as orig_h, orig_p, resp_h, resp_p. A record with a field that can't be coerced drops."""
+    """The fields as columns, dotted names as orig_h, orig_p, resp_h, resp_p. A record with a field that can't be coerced drops.
+    Records come out of a generator, so that each is parsed once and not anew in the filter."""
     schema = f"{SCHEMAS[log_type]}, __bad STRING"
-    held = records.select(F.from_json(unwrapped(F.col(column)), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}).alias("r")).filter("r is not null and r.__bad is null")
+    held = records.select(F.explode(F.array(F.from_json(unwrapped(F.col(column)), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}))).alias("r")).filter("r is not null and r.__bad is null")
     names = held.select("r.*").drop("__bad").columns
     return held.select(*[F.col(f"r.`{n}`").alias(n.removeprefix("id.") if n.startswith("id.") else n) for n in names])
 

@@ -149,3 +149,13 @@ def test_sessions_are_read_by_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(queries, "streamed", lambda rows, *more: seen.append(rows.rdd.getNumPartitions()) or rows.withColumns({"conn": F.lit(""), "n_dns": F.lit(0), "n_http": F.lit(0), "n_ssl": F.lit(0)}))
     queries.q_stateful_session(spark, SMALL)
     assert seen[0] >= 4
+
+
+def test_records_are_parsed_and_encoded_once(spark):
+    from logweir.operators import typed
+    from logweir.plans.queries import flows, raw_json
+    from logweir.sources import logs
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(logs.typed_logs(raw_json(spark, SMALL), "conn")).count("from_json(") == 1
+    assert plan(typed.encode_dispatch(flows(spark, SMALL), "conn").select("features")).count("tcp") == plan(flows(spark, SMALL).select(typed.vec_conn41().alias("features"))).count("tcp")
