@@ -119,8 +119,15 @@ def _features(jitter: Column | None, http: dict[str, Column] | None, ftp: Column
     ]
 
 
-def unsw_conn42(conns: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
-    """conns with the 42 features; counters and gaps belong to the source (missing: 'unknown')."""
+#: What the features of a connection are made from.
+NEEDED = ("us", "orig_h", "orig_p", "resp_h", "resp_p", "proto", "service", "conn_state", "history", "duration", "orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts")
+
+
+def unsw_conn42(conns: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features", keep: list[str] | None = None) -> DataFrame:
+    """conns with the 42 features; counters and gaps belong to the source (missing: 'unknown'). keep: the columns of conns that
+    are wanted beside them, where not all are; the others are neither stored nor shuffled on the way."""
+    if keep is not None:
+        return unsw_conn42(conns.select(*dict.fromkeys([*keep, *order, *NEEDED])), order, out).select(*keep, out)
     held = conns.withColumn("src", F.coalesce(F.nullif(F.col("orig_h"), F.lit("")), F.lit("unknown")))
     rows = frames.ranged(held, ["src"], list(order))  # once, for gaps and counters, and dealt once for both
     held = _iat50(rows, order, frames.hot_counts(rows, _keys("src"), list(order), MOST))

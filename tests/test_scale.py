@@ -159,3 +159,15 @@ def test_records_are_parsed_and_encoded_once(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert plan(logs.typed_logs(raw_json(spark, SMALL), "conn")).count("from_json(") == 1
     assert plan(typed.encode_dispatch(flows(spark, SMALL), "conn").select("features")).count("tcp") == plan(flows(spark, SMALL).select(typed.vec_conn41().alias("features"))).count("tcp")
+
+
+def test_only_wanted_columns_are_dealt(spark, monkeypatch):
+    from logweir.functions import frames
+    from logweir.plans import queries
+
+    dealt, original = [], frames.ranged
+    monkeypatch.setattr(frames, "ranged", lambda df, keys, order: dealt.append(set(df.columns)) or original(df, keys, order))
+    found = queries.QUERIES["classify_stream_overrides"](spark, SMALL)
+    assert found.count() > 0 and dealt and not dealt[0] & {"uid", "ts", "local_orig", "missed_bytes", "log_type"}
+    whole = queries.unsw.unsw_conn42(queries.flows(spark, SMALL)).select("seq", "features").collect()
+    assert sorted(whole) == sorted(queries.unsw.unsw_conn42(queries.flows(spark, SMALL), keep=["seq"]).collect())
