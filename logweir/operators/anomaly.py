@@ -21,8 +21,11 @@ def _scaler(fit: DataFrame) -> DataFrame:
     return fit.agg(F.sort_array(F.collect_list(F.struct("i", "low", "range"))).alias("s")).select(F.col("s.low").alias("__low"), F.col("s.range").alias("__range"))
 
 
-def _scaled(rows: DataFrame, fit: DataFrame, vector: str, scale: Callable[[Column, Column, Column], Column]) -> DataFrame:
+def _scaled(rows: DataFrame, fit: DataFrame, vector: str, scale: Callable[[Column, Column, Column], Column], width: int | None = None) -> DataFrame:
     held = rows.crossJoin(F.broadcast(_scaler(fit)))  # one row
+    if width:  # values of a known number are compiled; a lambda over an array isn't
+        values = F.array(*[scale(*(F.get(c, F.lit(i)) for c in (vector, "__low", "__range"))) for i in range(width)])
+        return held.withColumn(vector, F.when(F.col(vector).isNotNull(), values)).drop("__low", "__range")
     pairs = F.arrays_zip(F.col(vector).alias("x"), F.col("__low").alias("l"), F.col("__range").alias("r"))
     return held.withColumn(vector, F.transform(pairs, lambda p: scale(p["x"], p["l"], p["r"]))).drop("__low", "__range")
 
@@ -32,11 +35,11 @@ def minmax_apply_fit(rows: DataFrame, fit: DataFrame, vector: str = "features")
     return _scaled(rows, fit, vector, lambda x, low, r: (x - low) / F.when(r == 0, 1.0).otherwise(r))
 
 
-def minmax_apply_live(rows: DataFrame, fit: DataFrame | None, vector: str = "features") -> DataFrame:
-    """(x - low) / (range + 1e-8), clipped to 0 and 1; without a fit rows stay as they are."""
+def minmax_apply_live(rows: DataFrame, fit: DataFrame | None, vector: str = "features", width: int | None = None) -> DataFrame:
+    """(x - low) / (range + 1e-8), clipped to 0 and 1; without a fit rows stay as they are. width: of all vectors, where it is known."""
     if fit is None:
         return rows
-    return _scaled(rows, fit, vector, lambda x, low, r: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - low) / (r + 1e-8))))
+    return _scaled(rows, fit, vector, lambda x, low, r: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - low) / (r + 1e-8))), width)
 
 
 class LinearAutoencoder:

@@ -12,8 +12,12 @@ BATCH, TIMESTEPS = 50, 10
 
 def score_batches(rows: DataFrame, keys: list[str], order: list[str], size: int = BATCH) -> DataFrame:
     """Adds place (from 1 within keys), batch_id and slot (from 0 within the batch)."""
-    held = numbered(rows, keys, order, "place")
-    return held.withColumn("batch_id", F.floor((F.col("place") - 1) / size)).withColumn("slot", (F.col("place") - 1) % size)
+    return numbered_batches(numbered(rows, keys, order, "place"), size)
+
+
+def numbered_batches(rows: DataFrame, size: int = BATCH) -> DataFrame:
+    """Adds batch_id and slot to rows that have their place (from 1 within keys) already."""
+    return rows.withColumn("batch_id", F.floor((F.col("place") - 1) / size)).withColumn("slot", (F.col("place") - 1) % size)
 
 
 def edge_windows(batches: DataFrame, keys: list[str], vector: str = "features", timesteps: int = TIMESTEPS, out: str = "window") -> DataFrame:

@@ -50,8 +50,9 @@ def flow_duration(duration: Column, rtt: Column) -> Column:
     return F.when(d <= 0, 0.001).otherwise(d)
 
 
-def interaction(records: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> DataFrame:
-    """Adds src, epoch, flow_count, distinct_ports, port_ratio: per source, within epochs of 2000 flows.
+def interaction(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), place: str | None = None) -> DataFrame:
+    """Adds src, epoch, flow_count, distinct_ports, port_ratio: per source, within epochs of 2000 flows. place: the name of a
+    column for the flow's number (from 1) within its source, if it is wanted.
 
     Flows are numbered by range of (source, arrival), so a hot source is spread over tasks; what follows works on
     epochs, which are small."""
@@ -60,7 +61,7 @@ def interaction(records: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> D
     held = held.repartition("src", "epoch")  # serves all windows that follow, also those over a port within an epoch
     first = F.row_number().over(Window.partitionBy("src", "epoch", "resp_p").orderBy(*order)) == 1
     so_far = Window.partitionBy("src", "epoch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return held.withColumn("__first", F.when(first, 1).otherwise(0)).withColumn("distinct_ports", F.sum("__first").over(so_far)).withColumn("port_ratio", F.col("distinct_ports") / F.col("flow_count")).drop("__first", "__rn")
+    return held.withColumn("__first", F.when(first, 1).otherwise(0)).withColumn("distinct_ports", F.sum("__first").over(so_far)).withColumn("port_ratio", F.col("distinct_ports") / F.col("flow_count")).withColumnsRenamed({"__rn": place} if place else {}).drop("__first", "__rn")
 
 
 def iat_stats(records: DataFrame, order: tuple[str, ...] = ("us", "seq")) -> DataFrame:
@@ -113,10 +114,11 @@ def features() -> Column:
     )
 
 
-def vector33(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features") -> DataFrame:
-    """records with src, epoch and `out`, the 33 features in the order of NAMES.
+def vector33(records: DataFrame, order: tuple[str, ...] = ("us", "seq"), out: str = "features", place: str | None = None) -> DataFrame:
+    """records with src, epoch and `out`, the 33 features in the order of NAMES; with place, a column of that name with the
+    flow's number within its source, which batches then need not work out anew (batches.numbered_batches).
 
     Needs us (whole microseconds), ts, orig_h, resp_h, orig_p, resp_p and the numbers of a connection; columns that other
     log types lack may be null. The order must be total within a source."""
-    held = iat_stats(interaction(completed(records), order), order)
+    held = iat_stats(interaction(completed(records), order, place), order)
     return held.withColumn(out, features()).drop("iat_mean", "iat_std", "flow_count", "distinct_ports", "port_ratio")

@@ -171,3 +171,22 @@ def test_only_wanted_columns_are_dealt(spark, monkeypatch):
     assert found.count() > 0 and dealt and not dealt[0] & {"uid", "ts", "local_orig", "missed_bytes", "log_type"}
     whole = queries.unsw.unsw_conn42(queries.flows(spark, SMALL)).select("seq", "features").collect()
     assert sorted(whole) == sorted(queries.unsw.unsw_conn42(queries.flows(spark, SMALL), keep=["seq"]).collect())
+
+
+def test_flows_are_numbered_once(spark, monkeypatch):
+    from logweir.functions import frames
+    from logweir.operators import anomaly, batches, vector33
+    from logweir.plans import queries
+
+    numbered, original = [], frames.ranged
+    monkeypatch.setattr(frames, "ranged", lambda df, keys, order: numbered.append(keys) or original(df, keys, order))
+    queries.QUERIES["anomalous_flows"](spark, SMALL)
+    assert numbered == [["src"]]
+    monkeypatch.setattr(vector33, "FLOWS_PER_EPOCH", 100)
+    held = vector33.vector33(queries.flows(spark, SMALL), place="place")
+    names = ["seq", "place", "batch_id", "slot"]
+    got = batches.numbered_batches(held).select(*names).collect()
+    assert sorted(got) == sorted(batches.score_batches(held.drop("place"), ["src"], ["us", "seq"]).select(*names).collect())
+    rows = spark.createDataFrame([([1.0, 5.0],), ([3.0, None],), ([2.0, 5.0],), (None,)], "features array<double>")
+    fit = anomaly.minmax_fit(rows.limit(2))
+    assert anomaly.minmax_apply_live(rows, fit, width=2).collect() == anomaly.minmax_apply_live(rows, fit).collect()
