@@ -361,3 +361,23 @@ def test_pipeline_on_odd_rows(spark):
     for _, stage in pipeline.STAGES:
         at = stored(stage(spark, at, SMALL), "none")
         assert at.count() == 0
+
+
+def test_tokenising_tasks_share_what_a_worker_remembers(spark, monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+
+    from logweir.llm import packing, tokens
+
+    path, taken = public_tokenizers.path("byte_bpe_50k.json"), []
+    docs = spark.createDataFrame([(1, "some words, some more words", "a")], "doc_id long, text string, source string")
+    kind = type(docs)
+    original = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, f, schema, *more: taken.append(f) or original(df, f, schema, *more))
+    packing.tokenised(docs, path, "bytes", 0)
+    batch = pa.record_batch({"doc_id": [1], "source": ["a"], "t": ["some words, some more words"]})
+    for _ in range(2):  # tasks of one worker
+        assert sum(b.num_rows for b in taken[0](iter([batch]))) == 1
+    assert " words".strip() in tokens.encoder(path, "bytes").rest
+    tokens.forget_all()
+    assert not tokens.encoder(path, "bytes").rest
