@@ -55,8 +55,12 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 def fingerprint(text: str, words: int) -> int:
     """The SimHash of the text as a signed long."""
+    return _voted(shingle_hashes(text, words))
+
+
+def _voted(blocks) -> int:
     votes, total = np.zeros(BITS, np.int64), 0
-    for hashes in shingle_hashes(text, words):
+    for hashes in blocks:
         votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         total += len(hashes)
     return int(np.packbits(votes * 2 > total, bitorder="little").view(np.int64)[0])
@@ -310,7 +314,11 @@ def _cut(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
 
 def shingle_set(text: str, words: int) -> np.ndarray:
     """The distinct shingle hashes of the text, ascending."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+    return _distinct(shingle_hashes(text, words))
+
+
+def _distinct(blocks) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *blocks]))
 
 
 #: A minimum hash is the least of (shingle hash xor the one) times the other.
@@ -329,17 +337,20 @@ def _set_key(hashes: np.ndarray) -> int:
 
 
 def _banded(words: int):
-    """Batches of (doc_id, text, mark) to doc_id, key (a hash of the shingle set), bands (hashes of some minimum hashes each; none for an empty set), mark."""
+    """Batches of (doc_id, text, mark) to doc_id, key (a hash of the shingle set), print (the fingerprint), bands (hashes of some
+    minimum hashes each; none for an empty set), mark."""
 
     def run(batches):
         for batch in batches:
-            keys, bands = [], []
+            keys, prints, bands = [], [], []
             for text in batch.column(1).to_pylist():
-                hashes = shingle_set(text, words)
+                blocks = list(shingle_hashes(text, words))
+                hashes = _distinct(blocks)
                 keys.append(_set_key(hashes))
+                prints.append(_voted(blocks))
                 least = minimum_hashes(hashes).reshape(BANDS, -1)
                 bands.append([_signed(xxhash.xxh64_intdigest(b.tobytes(), SEED)) for b in least] if len(hashes) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), batch.column(2)], ["doc_id", "key", "bands", "mark"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(prints, pa.int64()), pa.array(bands, pa.list_(pa.int64())), batch.column(2)], ["doc_id", "key", "print", "bands", "mark"])
 
     return run
 
@@ -413,11 +424,12 @@ def _similar_of_sorted(similarity: float):
     return run
 
 
-def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: float, groups: DataFrame | None = None) -> DataFrame:
     """(a, b): links that connect the classes (key, least: an id of the class, bands) which pairs at the similarity connect.
 
     Candidates share a band: all of some BAND_HASHES minimum hashes. At Jaccard 0.8 a pair shares one of the BANDS with
-    0.9996. Classes of a band are a node; nodes of the same classes count once. Each candidate is checked by the shingle
+    0.9996. Classes of a band are a node, and so are those of each of groups (key, node), which fingerprints propose (print_groups);
+    nodes of the same classes count once. Each candidate is checked by the shingle
     sets, made anew from the texts of classes that have a node and joined by key. Nodes of more than SET_ROWS rows are
     cut into chunks, with SET_SAMPLE rows of the node in each of its chunks. What is then outside of a large node's
     largest component is held against all of that node's chunks, so no candidate pair is left out that isn't joined.
@@ -425,6 +437,7 @@ def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: f
     spark = classes.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     rows = classes.select("key", F.posexplode("bands").alias("view", "band")).select("key", F.xxhash64("view", "band").alias("node"))
+    rows = rows if groups is None else stored(rows.unionByName(groups), "proposed")
     sums = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.expr("bit_xor(xxhash64(key))").alias("x"), F.expr("bit_xor(xxhash64(key, 1))").alias("y"))
     once = sums.filter("rows > 1").groupBy("rows", "x", "y").agg(F.min("node").alias("node")).select("node", "rows")
     members = stored(rows.join(once, "node").select("key", "node", F.ceil(F.col("rows") / SET_ROWS).alias("chunks"), "rows"), "set-nodes")
@@ -456,12 +469,21 @@ def similar_links(classes: DataFrame, docs: DataFrame, words: int, similarity: f
     return links.unionByName(checked(crossed))
 
 
-def _similar_groups(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+def print_groups(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(key, node): the classes of texts whose fingerprints (print) are connected at max_bits or fewer differing bits, by the
+    operator's own search (fingerprint_links). Texts of one class can differ in fingerprint, as repeats count in it."""
+    pairs = stored(prints.select("key", "print").distinct(), "prints-of-classes")
+    roots = connected_components(fingerprint_links(pairs.select(F.col("print").alias("fp")).distinct(), max_bits))
+    of = pairs.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
+    return of.select("key", F.xxhash64(F.lit(-1), "root").alias("node")).distinct()
+
+
+def _similar_groups(docs: DataFrame, words: int, max_bits: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"), text_mark(docs, text_col).alias("mark"))
-    prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, bands array<long>, mark long"), "bands")
+    prints = stored(plain.mapInArrow(_banded(words), f"doc_id {kind}, key long, print long, bands array<long>, mark long"), "bands")
     classes = stored(prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "classes")
-    roots = connected_components(similar_links(classes, plain, words, similarity))
+    roots = connected_components(similar_links(classes, plain, words, similarity, print_groups(prints, max_bits)))
     return _named(prints, classes, roots, "key")
 
 
@@ -476,19 +498,20 @@ def _named(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str) ->
 
 def _grouped(docs: DataFrame, words: int, max_bits: int, similarity: float | None, id_col: str, text_col: str, marks: bool = False) -> DataFrame:
     if similarity is not None:
-        return _similar_groups(docs, words, similarity, id_col, text_col)
+        return _similar_groups(docs, words, max_bits, similarity, id_col, text_col)
     prints = stored(fingerprints(docs, words, id_col, text_col, marks), "fingerprints")
     reps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "reps")
     roots = connected_components(fingerprint_links(reps.select("fp"), max_bits))
     return _named(prints, reps, roots, "fp")
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 4, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (long), component_id: the smallest doc_id reachable over links, for each row of docs.
 
     Without a similarity, fingerprints link at max_bits or fewer differing bits. With one, texts link whose shingle sets
-    have that Jaccard similarity or more: minimum hashes propose pairs and the sets themselves decide (similar_links), so
-    that max_bits has no say; fp is then a hash of the shingle set, and only texts of equal sets share it.
+    have that Jaccard similarity or more: fingerprints connected at max_bits propose pairs, minimum hashes those whose
+    fingerprints lie further apart, and the sets themselves decide (similar_links), for texts with much filler have near
+    fingerprints and little in common. fp is then a hash of the shingle set, and only texts of equal sets share it.
 
     Null and empty texts have fingerprint zero (with a similarity, the empty set) and link to each other like any text.
     Rows that repeat an id each get a row. Null ids name no component unless no other is in it. An empty table gives an
@@ -497,7 +520,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, max_bits: int = 12, s
     return _grouped(docs, words, max_bits, similarity, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 12, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 4, similarity: float | None = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each near-duplicate group: the one with the smallest id (null ids last; of its rows with several
     texts the one whose text has the least hash, of rows alike any one). A group is that of a text, so rows that share an id
     but not a text are looked at each for itself. Rows go by id and text (drop_cells)."""

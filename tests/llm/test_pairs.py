@@ -320,3 +320,33 @@ def test_large_components_stay_exact(spark):
     v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1.0)
     got = topk.top_k(v.filter("vec_id = 3"), v.filter("vec_id < 3"), 2)
     assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(0, 4_000_000_001), (1, 4_000_000_000)]
+
+
+def test_fingerprints_propose_and_sets_decide(spark, monkeypatch):
+    """Pairs that the operator's search finds are held against each other though no minimum hashes propose them."""
+    bands = simhash._banded
+
+    def none(words):
+        run = bands(words)
+
+        def without(batches):
+            for batch in run(batches):
+                at = batch.schema.get_field_index("bands")
+                yield batch.set_column(at, "bands", type(batch.column(at)).from_buffers(batch.column(at).type, len(batch), [None, bytes_of(len(batch) + 1)], children=[batch.column(at).values.slice(0, 0)]))
+
+        import pyarrow as pa
+
+        def bytes_of(n):
+            return pa.py_buffer(bytes(4 * n))
+
+        return without
+
+    monkeypatch.setattr(simhash, "_banded", none)
+    rng = random.Random(9)
+    text = [f"w{rng.getrandbits(40)}" for _ in range(3000)]
+    words = [[f"u{rng.getrandbits(40)}" for _ in range(60)] for _ in range(3)]
+    rows = [(0, " ".join(text)), (1, " ".join([*text[:1500], "zz", *text[1501:]]))]
+    rows += [(10 + i, " ".join(w) + " ha" * 200) for i, w in enumerate(words)]
+    prints = [simhash.fingerprint(t, 5) for _, t in rows]
+    assert ((prints[0] ^ prints[1]) & ((1 << 64) - 1)).bit_count() <= 4 and len(set(prints[2:])) == 1
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(table(spark, rows)).collect()) == [0, 10, 11, 12]
