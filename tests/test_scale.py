@@ -190,3 +190,38 @@ def test_flows_are_numbered_once(spark, monkeypatch):
     rows = spark.createDataFrame([([1.0, 5.0],), ([3.0, None],), ([2.0, 5.0],), (None,)], "features array<double>")
     fit = anomaly.minmax_fit(rows.limit(2))
     assert anomaly.minmax_apply_live(rows, fit, width=2).collect() == anomaly.minmax_apply_live(rows, fit).collect()
+
+
+def test_a_split_reads_full_rows_once_and_loses_none(spark):
+    import hashlib
+
+    # one key twice where b is cut, one key for all of c; null is a class
+    keys = [(None, f"n{k}") for k in range(200)] + [("a", f"a{k}") for k in range(3000)] + [("b", f"b{k // 2}") for k in range(100)] + [("c", "same")] * 40
+    rows = spark.createDataFrame([(label, key, i) for i, (label, key) in enumerate(keys)], "label string, key string, i int").repartition(4)
+    split = attack.stratified_split(rows, "label", "key")
+    got = split.collect()
+    assert split.columns == ["label", "key", "i", "split"] and sorted(r.i for r in got) == list(range(len(keys)))
+    h = lambda key: hashlib.md5(f"{key}-42".encode()).hexdigest()
+    for label, n in ((None, 30), ("a", 450), ("b", 15), ("c", 6)):
+        wanted = sorted(h(key) for of, key in keys if of == label)[:n]
+        assert sorted(h(r.key) for r in got if r.label == label and r.split == "validation") == wanted
+    plain = attack.stratified_split(rows.filter("label = 'a' or label is null"), "label", "key")
+    found = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in found and "Union" not in found and {r.split: r["count"] for r in plain.groupBy("split").count().collect()} == {"validation": 480, "train": 2720}
+    assert attack.stratified_split(rows.limit(0), "label", "key").count() == 0
+    assert {r.split for r in attack.stratified_split(rows.limit(5), "label", "key").collect()} == {"train"}
+
+
+def test_what_models_are_tried_on_is_read_once_and_slim(spark):
+    from logweir.plans import queries
+
+    held, names = queries.split_items(spark, SMALL)
+    assert sorted(held.columns) == sorted([*names, "label", "split", "y", "weight"])
+    leaves = held._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("l_returnflag" in leaves.apply(k).toString() for k in range(leaves.size())) <= 2  # another one for line items that share an id at the cut
+    i = queries.items(spark, SMALL).withColumn("label", attack.clean_labels(F.col("attack_cat")))
+    weights = {r.label: r.weight for r in attack.class_weights(i, "label").collect()}
+    coded = attack.label_encode(i.withColumn("y", F.col("label")), ("proto", "service", "state", "y"))
+    kinds = ["label", "proto", "service", "state", "y"]
+    assert sorted(held.groupBy(*kinds).count().collect()) == sorted(coded.groupBy(*kinds).count().collect())
+    assert {(r.label, r.weight) for r in held.select("label", "weight").distinct().collect()} == set(weights.items())
