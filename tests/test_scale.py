@@ -225,3 +225,20 @@ def test_what_models_are_tried_on_is_read_once_and_slim(spark):
     kinds = ["label", "proto", "service", "state", "y"]
     assert sorted(held.groupBy(*kinds).count().collect()) == sorted(coded.groupBy(*kinds).count().collect())
     assert {(r.label, r.weight) for r in held.select("label", "weight").distinct().collect()} == set(weights.items())
+
+
+def test_units_are_counted_by_few_integers_and_dealt_once(spark):
+    names = [f"f{k}" for k in range(23)]  # more than go into two integers
+    value = lambda k: F.when(F.col("id") % 41 == k, None).when(F.col("id") % 43 == k, float("nan")).otherwise(F.floor(F.col("id") / (k + 1)) % (3 * k + 2))
+    rows = spark.range(0, 4000, 1, 4).select((F.col("id") % 3).alias("y"), (F.col("id") % 5 + 1).alias("weight"), *[value(k).cast("double").alias(n) for k, n in enumerate(names)])
+    model = attack.BinnedModel(names, attack._bin_bounds(rows, names, F.col("weight"), 4000))
+    units = model.counted(rows, "y", F.col("weight"))
+    plain = model.binned(rows).groupBy(*[F.col(b).cast("byte").alias(b) for b in model.bins], F.col("y").cast("double").alias("y")).agg(F.sum("weight").cast("double").alias("weight"), F.count(F.lit(1)).alias("__n"))
+    order = [*model.bins, "y", "weight", "__n"]
+    assert [n for n, _ in units.dtypes] == order and [n for _, n in units.dtypes[:23]] == ["tinyint"] * 23
+    assert sorted(tuple(r) for r in units.select(order).collect()) == sorted(tuple(r) for r in plain.select(order).collect())
+    assert units.agg(F.max(model.bins[-1])).first()[0] == attack.BINS  # the bin of NaN
+    assert len(units.inputFiles()) == 8  # twice the cores, however small
+    seen = []
+    model.fit(type("Trees", (), {"fit": lambda self, df: seen.append(df)})(), units)
+    assert "Repartition" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
