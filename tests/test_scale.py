@@ -242,3 +242,14 @@ def test_units_are_counted_by_few_integers_and_dealt_once(spark):
     seen = []
     model.fit(type("Trees", (), {"fit": lambda self, df: seen.append(df)})(), units)
     assert "Repartition" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_what_equal_rows_are_given_sums_to_what_all_are(spark):
+    rows = spark.range(0, 6000, 1, 4).select(*[(F.col("id") % k).cast("double").alias(f"f{k}") for k in (7, 11, 30)], F.when(F.col("id") % 30 + F.col("id") % 7 > 18, 1.0).otherwise(0.0).alias("y"), F.lit(1.0).alias("weight"))
+    names = ["f7", "f11", "f30"]
+    for model in (attack.attack_model(rows, names, trees=5, depth=3), attack.shellcode_model(rows, names, rounds=2)):
+        all_of = attack.predict_attack(model, rows, names).groupBy("y", F.col("probabilities")[1].alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        few = attack.predict_counted(model, rows, "y")
+        assert few.columns == ["y", "probabilities", "n"] and few.count() == 2310  # of 6000
+        summed = few.groupBy("y", F.col("probabilities")[1].alias("p")).agg(F.sum("n").alias("n"))
+        assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, all_of.collect()))
